@@ -15,6 +15,7 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
 from html import unescape
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -24,7 +25,7 @@ from pyspark.sql import functions as F
 from .scratch import small_batches
 
 #: Pages of the table that the labeller may be trained on, least keyed hashes first.
-SAMPLE_PAGES = 200
+SAMPLE_PAGES = 400
 GENERATED_PAGES = 600
 TAG_SLOTS, WORD_SLOTS, TAG_SIZE, WORD_SIZE, NUMBERS, HIDDEN = 1024, 1024, 12, 6, 8, 14
 
@@ -157,39 +158,52 @@ class Sequence:
     numbers: np.ndarray
 
 
-class _Slots(dict):
-    """Slots of hashed words, remembered up to a bound."""
-
-    def __init__(self, slots: int) -> None:
-        self.slots = slots
-
-    def __missing__(self, word: str) -> int:
-        slot = zlib.crc32(word.encode("utf-8", "surrogatepass")) % self.slots
-        if len(self) < 200_000:
-            self[word] = slot
-        return slot
-
-
-_TAGS, _WORDS = _Slots(TAG_SLOTS), _Slots(WORD_SLOTS)
-
-
-def described(page: list[Block]) -> Sequence:
-    tags: list[int] = []
-    words: list[int] = []
-    tag_at, word_at, numbers = [], [], []
-    slots: dict[tuple[str, ...], list[int]] = {}
-    total = len(page)
-    for i, b in enumerate(page):
-        tag_at.append(len(tags))
-        word_at.append(len(words))
-        if b.path not in slots:
-            slots[b.path] = [_TAGS[w] for w in b.path] or [0]
-        tags += slots[b.path]
-        own = b.text.lower().split()
-        words.extend(map(_WORDS.__getitem__, own))
-        n = len(b.text)
-        numbers.append((np.log1p(n) / 6, np.log1p(len(own)) / 4, b.linked / n, i / total, (total - i) / total, float(b.text[-1] in ".!?。"), float("©" in b.text), b.text.count(",") / (len(own) + 1)))
-    return Sequence(np.array(tags, np.int64), np.array(tag_at, np.int64), np.array(words, np.int64), np.array(word_at, np.int64), np.array(numbers, np.float64).reshape(-1, NUMBERS))
+@lru_cache(maxsize=20_000)
+def _path_slots(path: tuple[str, ...]) -> tuple[int, ...]:
+    return tuple(zlib.crc32(w.encode("utf-8", "surrogatepass")) % TAG_SLOTS for w in path) or (0,)
+
+
+_POWERS = np.cumprod(np.full(64, 0x9E3779B97F4A7C15, np.uint64), dtype=np.uint64)
+
+
+def _word_slots(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """Slots of all lower-cased words of non-empty texts (white space single), and where each text begins among them."""
+    raw = np.frombuffer("\n".join(texts).lower().encode("utf-8", "surrogatepass"), np.uint8)
+    line = raw == 10
+    gap = line | (raw == 32)
+    first = ~gap & np.concatenate([[True], gap[:-1]])
+    starts = np.flatnonzero(first)
+    place = np.arange(len(raw)) - starts[np.maximum(np.cumsum(first) - 1, 0)]
+    h = np.add.reduceat(np.where(gap, np.uint64(0), (raw.astype(np.uint64) + np.uint64(1)) * _POWERS[place & 63]), starts)
+    slots = (((h ^ (h >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)) >> np.uint64(40)) % np.uint64(WORD_SLOTS)
+    return slots.astype(np.int64), np.searchsorted(np.cumsum(line)[starts], np.arange(len(texts)))
+
+
+def described(pages: list[list[Block]]) -> list[Sequence]:
+    """The arrays of pages; the words of all their blocks are hashed in one sweep."""
+    every = [b for p in pages for b in p]
+    if not every:
+        return [Sequence(*(np.empty(0, np.int64),) * 4, np.empty((0, NUMBERS))) for _ in pages]
+    words, word_at = _word_slots([b.text for b in every])
+    word_end = np.append(word_at[1:], len(words))
+    n = np.array([len(b.text) for b in every], float)
+    own = (word_end - word_at).astype(float)
+    shape = np.stack([np.log1p(n) / 6, np.log1p(own) / 4, np.array([b.linked for b in every]) / n, np.zeros(len(n)), np.zeros(len(n)), np.array([b.text[-1] in ".!?。" for b in every], float), np.array(["©" in b.text for b in every], float), np.array([b.text.count(",") for b in every]) / (own + 1)], axis=1)
+    out, at = [], 0
+    for p in pages:
+        end = at + len(p)
+        if at == end:
+            out.append(Sequence(*(np.empty(0, np.int64),) * 4, np.empty((0, NUMBERS))))
+            continue
+        slots = [_path_slots(b.path) for b in p]
+        sizes = np.array(list(map(len, slots)))
+        numbers = shape[at:end]
+        numbers[:, 3] = np.arange(len(p)) / len(p)
+        numbers[:, 4] = 1 - numbers[:, 3]
+        low = word_at[at]
+        out.append(Sequence(np.fromiter(chain.from_iterable(slots), np.int64, sizes.sum()), np.cumsum(sizes) - sizes, words[low : word_end[end - 1]], word_at[at:end] - low, numbers))
+        at = end
+    return out
 
 
 class Labeller:
@@ -409,7 +423,7 @@ def train_labeller(pages: DataFrame, sample_pages: int = SAMPLE_PAGES, generated
     made = [blocks(h) for h in generated(words, generated_pages)]
     labelled = [(p, silver(p)) for p in own]
     train = [*[x for x in labelled if x[1].any()], *[(p, np.array([b.label for b in p], bool)) for p in made if p]]
-    return Labeller().train([described(p) for p, _ in train], [y for _, y in train])
+    return Labeller().train(described([p for p, _ in train]), [y for _, y in train])
 
 
 def main_text(page: list[Block], chosen: np.ndarray) -> str:
@@ -431,7 +445,7 @@ def extract(pages: DataFrame, labeller: Labeller | None = None, keep: tuple[str,
         model = sent.value
         for b in batches:
             cut = [blocks(h) for h in b.column("_html").to_pylist()]
-            texts = [main_text(p, y) for p, y in zip(cut, model.label([described(p) for p in cut]), strict=True)]
+            texts = [main_text(p, y) for p, y in zip(cut, model.label(described(cut)), strict=True)]
             yield pa.RecordBatch.from_arrays([*b.columns[:-1], pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())], names=[*keep, "text", "n_chars"])
 
     kept = "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in pages.select(*cols).schema)
