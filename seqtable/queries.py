@@ -1,15 +1,508 @@
-"""Queries over the driver's tables, with their SQL."""
+"""Queries over the driver's tables, each with the SQL of its result where SQL can say it."""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from .functions import scalars as sc
+from .functions import sequences as sq
+from .operators import features as ft
+from .operators import metadata as md
+from .operators import profiles as pf
+from .operators import reads as rd
+from .operators import similarity as sm
+from .plans import pipelines
+from .plans.fixtures import CTE_M, CTE_Q, CTE_R, full_reads, reads, runs, table
+from .sources import files as fl
 
-def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {}
+Query = Callable[[SparkSession, str], DataFrame]
+_QUERIES: dict[str, Query] = {}
+_SQL: dict[str, str] = {}
+
+
+def query(sql: str | None = None) -> Callable[[Query], Query]:
+    def put(f: Query) -> Query:
+        _QUERIES[f.__name__] = f
+        if sql:
+            _SQL[f.__name__] = sql
+        return f
+
+    return put
+
+
+def queries() -> dict[str, Query]:
+    return dict(_QUERIES)
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return dict(_SQL)
+
+
+# metadata
+
+
+@query(rf"""WITH {CTE_M}, ids AS (SELECT project AS id FROM m UNION ALL SELECT biosample FROM m UNION ALL SELECT coalesce(run, 'x') FROM m)
+SELECT CASE WHEN regexp_matches(id, '^SAM[CEDN][A-Z]?\d+$') THEN 'biosample' WHEN regexp_matches(id, '^[CEDS]R[RSXP]\d+$') THEN 'sra'
+ WHEN regexp_matches(id, '^PRJC[A-Z]\d+$') THEN 'cncb' WHEN regexp_matches(id, '^PRJ[EDN][A-Z]\d+$') THEN 'ncbi' ELSE 'unknown' END AS kind, count(*) AS n FROM ids GROUP BY 1""")
+def accession_classify(spark, d):
+    ids = runs(spark, d).select(F.explode(F.array("project", "biosample", F.coalesce("run", F.lit("x")))).alias("id"))
+    return md.classify_accessions(ids, "id").groupBy("kind").agg(F.count("*").alias("n"))
+
+
+@query(f"WITH {CTE_M} SELECT ok, translate(concat(' ', run, chr(9), ' '), concat(' ', chr(10), chr(9)), '') AS id FROM m WHERE run IS NOT NULL")
+def id_clean(spark, d):
+    return runs(spark, d).where("run is not null").select("ok", sc.clean_id(F.concat(F.lit(" "), "run", F.lit("\t "))).alias("id"))
+
+
+@query(rf"WITH {CTE_M} SELECT project AS dataset, bool_or(coalesce(regexp_matches(run, '^[CEDS]RR\d+$'), false)) AS valid FROM m GROUP BY 1")
+def project_valid(spark, d):
+    return md.has_valid_run(runs(spark, d), "project", "run")
+
+
+@query(f"WITH {CTE_M} SELECT DISTINCT project AS id FROM m WHERE project NOT IN (SELECT project FROM m WHERE ok % 97 = 0)")
+def pending_ids(spark, d):
+    m = runs(spark, d)
+    return md.pending(m.select(F.col("project").alias("id")).distinct(), m.where("ok % 97 = 0").select(F.col("project").alias("id")).distinct())
+
+
+@query(f"WITH {CTE_M} SELECT ok, biosample, 'with' AS side FROM m WHERE run IS NOT NULL UNION ALL SELECT ok, biosample, 'without' FROM m WHERE run IS NULL")
+def split_runs(spark, d):
+    a, b = md.split_without_run(runs(spark, d), "run")
+    return a.select("ok", "biosample", F.lit("with").alias("side")).unionByName(b.select("ok", "biosample", F.lit("without").alias("side")))
+
+
+@query(f"WITH {CTE_M} SELECT m.run AS \"Run\", m.biosample AS \"Biosample\", m.project AS organism, c_mktsegment AS organism_biosample, c_acctbal AS balance FROM m LEFT JOIN (SELECT * FROM customer WHERE c_custkey % 3 <> 0) c ON m.biosample = concat('SAMN', c.c_custkey)")
+def sample_join(spark, d):
+    m = runs(spark, d).select(F.col("run").alias("Run"), F.col("biosample").alias("Biosample"), F.col("project").alias("organism"))
+    s = table(spark, d, "customer").where("c_custkey % 3 <> 0").select(F.concat(F.lit("SAMN"), "c_custkey").alias("Biosample"), F.col("c_mktsegment").alias("organism"), F.col("c_acctbal").alias("balance"))
+    return md.join_samples(m, s)
+
+
+@query("""SELECT l_orderkey AS run, l_linenumber AS line, o_orderstatus AS status, c_name AS sample FROM lineitem
+LEFT JOIN (SELECT * FROM orders WHERE o_orderkey % 5 <> 0) o ON l_orderkey = o_orderkey LEFT JOIN customer ON o_custkey = c_custkey""")
+def run_exp_sample(spark, d):
+    r = table(spark, d, "lineitem").select(F.col("l_orderkey").alias("Experiment accession"), F.col("l_orderkey").alias("Accession"), F.col("l_linenumber").alias("line"))
+    e = table(spark, d, "orders").where("o_orderkey % 5 <> 0").select(F.col("o_orderkey").alias("Accession"), F.col("o_custkey").alias("BioSample accession"), F.col("o_orderstatus").alias("status"))
+    s = table(spark, d, "customer").select(F.col("c_custkey").alias("Accession"), F.col("c_name").alias("name"))
+    j = md.join_sheets(r, e, s)
+    return j.select(F.col("Run_Accession").alias("run"), F.col("Run_line").alias("line"), F.col("Experiment_status").alias("status"), F.col("Sample_name").alias("sample"))
+
+
+@query(f"WITH {CTE_M} SELECT ok, coalesce(n_name, '') AS description FROM m LEFT JOIN (SELECT * FROM nation WHERE n_nationkey % 4 <> 0) n ON project = concat('PRJNA', 1000 + n_nationkey)")
+def lookup_description(spark, d):
+    n = table(spark, d, "nation").where("n_nationkey % 4 <> 0").select(F.concat(F.lit("PRJNA"), F.col("n_nationkey") + 1000).alias("project"), F.col("n_name").alias("description"))
+    return md.lookup(runs(spark, d).select("ok", "project"), n, "project", "description").select("ok", "description")
+
+
+@query("SELECT o_orderkey AS id, row_number() OVER (ORDER BY o_orderkey) AS pos, coalesce(CASE WHEN o_orderkey % 3 = 0 THEN o_orderstatus END, 'unknown') AS status FROM (SELECT DISTINCT o_orderkey, o_orderstatus FROM orders)")
+def status_report(spark, d):
+    o = table(spark, d, "orders").select(F.col("o_orderkey").alias("id"), F.col("o_orderstatus").alias("status")).distinct()
+    counted = _rank_by_key(o.select("id"), "id")
+    return md.status_report(counted, o.where("id % 3 = 0"))
+
+
+def _rank_by_key(df: DataFrame, key: str) -> DataFrame:
+    """``df`` with pos, its rank by a unique integer key: ranks inside buckets of keys plus the counts of lower buckets."""
+    from pyspark.sql import Window
+
+    b = df.withColumn("_b", F.floor(F.col(key) / 4096))
+    low = b.groupBy("_b").count().withColumn("_s", F.coalesce(F.sum("count").over(Window.partitionBy(F.lit(0)).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
+    inside = b.withColumn("_r", F.row_number().over(Window.partitionBy("_b").orderBy(key)))
+    return inside.join(low.select("_b", "_s"), "_b").select(*df.columns, (F.col("_r") + F.col("_s")).alias("pos"))
+
+
+@query("SELECT c_custkey AS id, CASE WHEN c_custkey IN (SELECT o_custkey FROM orders) OR c_custkey IN (SELECT o_orderkey FROM orders WHERE o_orderkey % 8 = 0) THEN 'has_data' ELSE 'no_data' END AS status FROM customer")
+def found_any(spark, d):
+    ids = table(spark, d, "customer").select(F.col("c_custkey").cast("string").alias("id"))
+    o = table(spark, d, "orders").select("o_custkey", F.when(F.col("o_orderkey") % 8 == 0, F.col("o_orderkey")).alias("other"))
+    return md.found_status(ids, o, ["o_custkey", "other"]).select(F.col("id").cast("bigint").alias("id"), "status")
+
+
+_PROFILE = """WITH cells AS (SELECT o_custkey % 10 AS d, 'status' AS col, o_orderstatus AS v FROM orders UNION ALL SELECT o_custkey % 10, 'priority', o_orderpriority FROM orders
+ UNION ALL SELECT o_custkey % 10, 'rare', CASE WHEN o_orderkey % 50 = 0 THEN concat('v', o_orderkey % 7) END FROM orders UNION ALL SELECT o_custkey % 10, 'dataset', CAST(o_custkey % 10 AS VARCHAR) FROM orders),
+top AS (SELECT col, v, count(*) AS n, row_number() OVER (PARTITION BY col ORDER BY count(*) DESC, v) AS k FROM cells WHERE v IS NOT NULL GROUP BY col, v)
+SELECT c.col, count(v) AS n_values, printf('%.1f%%', 100.0 * count(v) / count(*)) AS fill_rate, count(DISTINCT CASE WHEN v IS NOT NULL THEN d END) AS n_datasets,
+ (SELECT string_agg(concat(v, '(', n, ')'), '; ' ORDER BY k) FROM top t WHERE t.col = c.col AND k <= 5) AS top,
+ CASE c.col WHEN 'status' THEN 'core' WHEN 'priority' THEN 'cncb' ELSE 'rare' END AS kind FROM cells c GROUP BY c.col"""
+
+
+@query(_PROFILE)
+def column_profile(spark, d):
+    o = table(spark, d, "orders").select("o_orderkey", F.col("o_orderstatus").alias("status"), F.col("o_orderpriority").alias("priority"), F.when(F.col("o_orderkey") % 50 == 0, F.concat(F.lit("v"), F.col("o_orderkey") % 7)).alias("rare"), (F.col("o_custkey") % 10).cast("string").alias("dataset"))
+    return md.column_profile(o, "o_orderkey", "dataset", ["status"], ["priority"])
+
+
+@query("""SELECT * FROM (SELECT 'blank' AS col, count(*) AS n_rows FROM orders UNION ALL SELECT 'nan', count(*) FROM orders) t""")
+def empty_columns(spark, d):
+    o = table(spark, d, "orders").select("o_orderkey", "o_orderstatus", F.lit(" ").alias("blank"), F.lit("nan").alias("nan"))
+    gone = md.empty_columns(o)
+    return o.agg(F.count("*").alias("n_rows")).select(F.explode(F.array(*map(F.lit, gone))).alias("col"), "n_rows")
+
+
+@query("SELECT 'again' AS col, count(o_orderstatus) AS n FROM orders")
+def duplicate_columns(spark, d):
+    o = table(spark, d, "orders").groupBy("o_orderkey").agg(F.min("o_orderstatus").alias("status"), F.min("o_orderpriority").alias("priority")).withColumn("again", F.col("status"))
+    gone = md.duplicate_columns(o, "o_orderkey")
+    return md.to_long(o, "o_orderkey").where(F.col("col").isin(gone)).groupBy("col").agg(F.count("value").alias("n"))
+
+
+@query(f"WITH {CTE_M} SELECT run AS \"Run\", project AS \"Bioproject\", biosample AS \"Biosample\", experiment AS \"Experiment\", platform_text AS \"PlatformText\" FROM m")
+def standard_columns(spark, d):
+    m = runs(spark, d).select(F.col("experiment").alias("Experiment_a"), F.col("run").alias("Run_b"), F.col("platform_text"), F.col("biosample").alias("c_biosample"), F.col("project").alias("d_x"))
+    return md.standardize_columns(m)
+
+
+@query(f"WITH {CTE_M} SELECT ok, CASE WHEN a IS NULL THEN b WHEN b IS NULL OR lower(a) = lower(b) THEN a ELSE concat(a, '_', b) END AS merged FROM (SELECT ok, run AS a, CASE ok % 4 WHEN 0 THEN NULL WHEN 1 THEN lower(run) WHEN 2 THEN biosample ELSE nullif(trim(' '), '') END AS b FROM m) t")
+def camel_merge(spark, d):
+    b = F.when(F.col("ok") % 4 == 1, F.lower("run")).when(F.col("ok") % 4 == 2, F.col("biosample")).when(F.col("ok") % 4 == 3, F.lit(" "))
+    return runs(spark, d).select("ok", md.merge_columns(F.col("run"), b).alias("merged"))
+
+
+@query(f"WITH {CTE_M} SELECT ok, CASE WHEN ok % 3 = 0 THEN NULL ELSE concat(' ', experiment) END AS extra, CASE WHEN ok % 2 = 0 AND run IS NOT NULL THEN NULL WHEN ok % 2 = 0 THEN NULL ELSE lat_lon END AS place FROM m")
+def cell_dedup(spark, d):
+    m = runs(spark, d).select("ok", F.col("run").alias("Run"), F.col("biosample").alias("Biosample"), F.when(F.col("ok") % 3 == 0, F.concat(F.lit(" "), "biosample")).otherwise(F.concat(F.lit(" "), "experiment")).alias("extra"), F.when(F.col("ok") % 2 == 0, F.col("run")).otherwise(F.col("lat_lon")).alias("place"))
+    return md.clear_repeated_cells(m, ["extra", "place"], ["Run", "Biosample"]).select("ok", "extra", "place")
+
+
+@query(f"WITH {CTE_M} SELECT ok, CAST(concat(ok % 90, '.', ok % 7) AS DOUBLE) * CASE WHEN ok % 2 = 0 THEN 1 ELSE -1 END AS lat, CAST(ok % 180 AS DOUBLE) * CASE WHEN ok % 3 = 0 THEN 1 ELSE -1 END AS lon FROM m")
+def latlon(spark, d):
+    return runs(spark, d).withColumn("p", sc.parse_latlon(F.col("lat_lon"))).select("ok", (F.col("p.lat") + 0.0).alias("lat"), (F.col("p.lon") + 0.0).alias("lon"))
+
+
+@query(f"WITH {CTE_M} SELECT ok, CAST(round_even((ok * 524288 + CASE WHEN ok % 5 = 0 THEN ok * 1024 ELSE 0 END) / 1048576.0, 0) AS BIGINT) AS mb FROM m")
+def filesize_mb(spark, d):
+    return runs(spark, d).select("ok", sc.filesize_to_mb(F.col("file_size")).alias("mb"))
+
+
+@query(f"WITH {CTE_M} SELECT CASE ok % 4 WHEN 0 THEN 'ILLUMINA' WHEN 1 THEN 'PACBIO_SMRT' WHEN 2 THEN 'OXFORD_NANOPORE' ELSE 'ION_TORRENT' END AS platform, count(*) AS n FROM m GROUP BY 1")
+def platforms(spark, d):
+    return runs(spark, d).select(sc.normalize_platform(F.lit(" "), F.col("platform_text")).alias("platform")).groupBy("platform").agg(F.count("*").alias("n"))
+
+
+@query("SELECT page_id, url AS cell FROM pages")
+def html_cell(spark, d):
+    html = F.concat(F.lit("<table><tr><td>Title</td><td> </td></tr><tr><TH> Description: </TH><td> <b>"), "url", F.lit("</b>\n</td></tr></table>"), "html")
+    return table(spark, d, "pages").select("page_id", sc.html_cell(html, ["Title", "Description"], 3).alias("cell"))
+
+
+@query("SELECT concat('PRJNA', o_orderkey) AS accession, concat('Study of ', o_orderstatus) AS title, o_orderpriority AS description, CASE WHEN o_orderkey % 2 = 0 THEN 'soil metagenome' END AS organism FROM orders")
+def project_xml(spark, d):
+    xml = F.concat(F.lit('<R><Project><Project><ProjectID><ArchiveID accession="PRJNA'), "o_orderkey", F.lit('"/></ProjectID><ProjectDescr><Title>Study of '), "o_orderstatus", F.lit("</Title><Description> "), "o_orderpriority", F.lit("</Description></ProjectDescr>"), F.when(F.col("o_orderkey") % 2 == 0, F.lit("<Organism><OrganismName>soil metagenome</OrganismName></Organism>")).otherwise(""), F.lit("</Project></Project></R>"))
+    return fl.parse_project_xml(table(spark, d, "orders").select(xml.alias("xml")), "xml")
+
+
+@query("""SELECT concat('PRJ', n_nationkey % 7) AS accession, min(n_nationkey * 2) AS query_ix, 0 AS source_ix FROM nation GROUP BY 1""")
+def keyword_union(spark, d):
+    n = table(spark, d, "nation").select(F.concat(F.when(F.col("n_nationkey") % 2 == 0, "PRJ").otherwise("PRJ"), F.col("n_nationkey") % 7).alias("accession"), (F.col("n_nationkey") * 2).alias("query_ix"), F.lit(0).alias("source_ix"))
+    other = n.select("accession", (F.col("query_ix") + 1).alias("query_ix"), F.lit(1).alias("source_ix")).unionByName(n.select(F.lit("XYZ").alias("accession"), "query_ix", "source_ix"))
+    return md.combine_results([n, other])
+
+
+@query("""SELECT concat('("', r_name, '") AND ("', n_name, '")') AS query FROM region, nation""")
+def expand_keywords(spark, d):
+    return md.expand_queries(table(spark, d, "region").select(F.col("r_name").alias("keyword")), table(spark, d, "nation").select(F.col("n_name").alias("keyword")))
+
+
+@query(f"WITH {CTE_M} SELECT project, ok FROM (SELECT project, ok, row_number() OVER (PARTITION BY project ORDER BY ok) AS k FROM m) t WHERE k <= 2")
+def first_n_per_group(spark, d):
+    return md.first_n(runs(spark, d).select("project", "ok"), ["project"], [F.col("ok")], 2)
+
+
+@query("SELECT o_custkey, arg_max(o_orderstatus, o_orderkey) AS status, max(o_orderkey) AS o_orderkey FROM orders GROUP BY 1")
+def keep_last(spark, d):
+    o = table(spark, d, "orders").select("o_custkey", "o_orderkey", F.col("o_orderstatus").alias("status"))
+    return md.keep_last(o, ["o_custkey"], ["o_orderkey"])
+
+
+@query("""SELECT CAST(coalesce(b.c_custkey, a.c_custkey) AS VARCHAR) AS id, CASE WHEN b.c_custkey IS NULL THEN a.c_mktsegment WHEN b.c_custkey % 4 = 0 THEN '' ELSE 'new' END AS segment
+FROM (SELECT * FROM customer WHERE c_custkey % 2 = 0) a FULL JOIN (SELECT * FROM customer WHERE c_custkey % 3 = 0) b ON a.c_custkey = b.c_custkey""")
+def upsert(spark, d):
+    c = table(spark, d, "customer").select(F.col("c_custkey").cast("string").alias("id"), F.col("c_mktsegment").alias("segment"), "c_custkey")
+    new = c.where("c_custkey % 3 = 0").select("id", F.when(F.col("c_custkey") % 4 == 0, None).otherwise("new").alias("segment"))
+    return md.upsert(c.where("c_custkey % 2 = 0").select("id", "segment"), new, ["id"])
+
+
+@query("SELECT event_type AS status, count(*) AS n FROM events WHERE event_id > (SELECT max(event_id) FROM events WHERE event_id % 1000 = 0) GROUP BY 1")
+def run_tally(spark, d):
+    log = table(spark, d, "events").select(F.col("event_id").alias("line"), F.col("event_type").alias("status"), (F.col("event_id") % 1000 == 0).alias("is_header"))
+    return md.status_tally(log)
+
+
+@query("""SELECT concat('D', o_orderkey) AS dataset_id, CASE WHEN o_orderkey % 4 = 3 AND o_orderkey % 2 = 1 THEN 'skip' WHEN o_orderkey % 500 < 100 THEN 'skip' ELSE 'run' END AS action,
+CASE WHEN o_orderkey % 4 = 3 THEN 'platform' WHEN o_orderkey % 500 < 100 THEN 'short' ELSE '' END AS reason FROM (SELECT DISTINCT o_orderkey FROM orders)""")
+def routing(spark, d):
+    rules = spark.createDataFrame([(1, "asv", "ION_TORRENT", None, None, None, "skip", "platform"), (2, None, None, None, None, 99, "skip", "short")], "ord int, mode string, platform string, quality string, min_length int, max_length int, action string, reason string")
+    k = F.col("o_orderkey")
+    ds = table(spark, d, "orders").select("o_orderkey").distinct().select(F.concat(F.lit("D"), k).alias("dataset_id"), F.lit("asv").alias("mode"), F.when(k % 4 == 3, "ION_TORRENT").otherwise("ILLUMINA").alias("platform"), F.lit(None).cast("string").alias("quality"), (k % 500).cast("int").alias("length"))
+    return md.route(ds, rules)
+
+
+# reads
+
+
+@query(f"WITH {CTE_Q}, s AS (SELECT CASE WHEN ln = 1 THEN substr(seq, 1, 40) WHEN ln = 3 THEN repeat('A', 60) WHEN ln = 4 THEN repeat('AAAAAAAAAAAAAAAAAAAACGAGATACTC', 3) ELSE seq END AS seq, ln FROM q) SELECT CASE ln WHEN 1 THEN 'length' WHEN 2 THEN 'quality' WHEN 3 THEN 'complexity' WHEN 4 THEN 'entropy' END AS discard_reason, count(*) AS n FROM s GROUP BY 1")
+def read_filter(spark, d):
+    q, ln = full_reads(spark, d), F.col("ln")
+    seq = F.when(ln == 1, F.substring("seq", 1, 40)).when(ln == 3, F.lit("A" * 60)).when(ln == 4, F.lit("AAAAAAAAAAAAAAAAAAAACGAGATACTC" * 3)).otherwise(F.col("seq"))
+    q = q.withColumn("qual", F.when(ln == 2, F.repeat(F.lit("#"), F.lit(113))).otherwise(F.col("qual"))).withColumn("seq", seq)
+    return rd.prefilter(q).groupBy("discard_reason").agg(F.count("*").alias("n"))
+
+
+@query(f"WITH {CTE_Q}, e AS (SELECT ok, ln, round(list_sum(list_transform(string_split(qual, ''), lambda c: power(10.0, -(ascii(c) - 33) / 10.0))), 6) AS ee, round(list_sum(list_transform(string_split(qual, ''), lambda c: ascii(c) - 33)) / 113.0, 6) AS mq FROM q WHERE ok % 10 = 1 OR ok % 10 <> 1) SELECT ok, ln, ee, mq FROM e")
+def expected_errors(spark, d):
+    return full_reads(spark, d).select("ok", "ln", F.round(sq.expected_errors(F.col("qual")), 6).alias("ee"), F.round(sq.mean_phred(F.col("qual")), 6).alias("mq"))
+
+
+@query(f"WITH {CTE_Q}, s AS (SELECT sample_id, substr(seq_tail_n, 16, 95) AS seq FROM q) SELECT sample_id, count(*) AS n, CAST(sum(length(seq)) AS BIGINT) AS bases FROM s WHERE length(seq) >= 95 AND length(seq) - length(replace(seq, 'N', '')) <= 1 GROUP BY 1")
+def trim_truncate(spark, d):
+    q = full_reads(spark, d).withColumn("seq", F.col("seq_tail_n"))
+    return rd.trim_truncate(q, 15, 95).groupBy("sample_id").agg(F.count("*").alias("n"), F.sum(F.length("seq")).alias("bases"))
+
+
+@query(f"WITH {CTE_R} SELECT ok, ln, regexp_matches(seq, '^CCTACGGG[ACGT]GGC[AT]GCAG') AS trimmed, substr(seq, 18) AS seq FROM r")
+def primer_trim(spark, d):
+    return rd.trim_primer(reads(spark, d), "CCTACGGGNGGCWGCAG").select("ok", "ln", "trimmed", "seq")
+
+
+@query(f"WITH {CTE_Q} SELECT ok, ln, substr(seq, 18, 76) AS seq FROM q")
+def amplicon(spark, d):
+    q = full_reads(spark, d)
+    ends = F.concat("seq", F.lit("GATTACAGATTACA"))
+    seq = F.when(F.col("ok") % 4 == 0, sq.revcomp(ends)).otherwise(ends)
+    return rd.extract_amplicon(q.withColumn("seq", seq), "CCTACGGGNGGCWGCAG", "TGTAATCTGTAATC", 90, 100).select("ok", "ln", F.substring("seq", 1, 76).alias("seq"))
+
+
+# profiles
+
+_PROFILE_SQL = """p AS (SELECT pos, count(*) AS n, count_if(substr(seq, pos + 1, 1) = 'A') / count(*) AS a, count_if(substr(seq, pos + 1, 1) = 'C') / count(*) AS c, count_if(substr(seq, pos + 1, 1) = 'G') / count(*) AS g, count_if(substr(seq, pos + 1, 1) = 'T') / count(*) AS t
+ FROM r, (SELECT unnest(range(60)) AS pos) x GROUP BY pos),
+st AS (SELECT pos, CASE WHEN f[1] >= 0.80 THEN 'C' WHEN f[1] + f[2] >= 0.80 AND f[2] >= 0.10 THEN 'D' ELSE 'V' END AS state,
+ CASE f[1] WHEN a THEN 'A' WHEN c THEN 'C' WHEN g THEN 'G' ELSE 'T' END AS base FROM (SELECT *, list_reverse_sort([a, c, g, t]) AS f FROM p) y)"""
+
+
+@query(f"WITH {CTE_R}, {_PROFILE_SQL} SELECT CAST(pos AS INT) AS pos, n, round(a, 6) AS a, round(c, 6) AS c, round(g, 6) AS g, round(t, 6) AS t FROM p")
+def base_profile(spark, d):
+    return pf.base_profile(reads(spark, d)).select("pos", "n", *[F.round(b, 6).alias(b) for b in "acgt"])
+
+
+@query(f"WITH {CTE_R}, {_PROFILE_SQL} SELECT CAST(pos AS INT) AS pos, state, base FROM st")
+def cdv_states(spark, d):
+    return pf.position_states(pf.base_profile(reads(spark, d)))
+
+
+@query(f"WITH {CTE_R}, {_PROFILE_SQL} SELECT string_agg(CASE WHEN state = 'C' THEN base ELSE 'N' END, '' ORDER BY pos) AS consensus FROM st WHERE pos < 30")
+def consensus(spark, d):
+    return pf.consensus(pf.position_states(pf.base_profile(reads(spark, d))))
+
+
+@query(f"WITH {CTE_R}, n AS (SELECT count(*) AS n FROM r) SELECT 17 AS boundary FROM n")
+def primer_boundary(spark, d):
+    return pf.primer_boundary(pf.position_states(pf.base_profile(reads(spark, d))))
+
+
+@query(f"WITH {CTE_R}, n AS (SELECT count(*) AS n FROM r) SELECT '341F357F' AS name, 17 AS trim, 1.0 AS identity FROM n")
+def primer_match(spark, d):
+    return pf.match_primers(pf.consensus(pf.position_states(pf.base_profile(reads(spark, d)))), pf.FORWARD).select("name", F.col("trim").cast("int").alias("trim"), F.col("identity").cast("decimal(2,1)").alias("identity"))
+
+
+@query(f"WITH {CTE_R}, {_PROFILE_SQL} SELECT true AS detected, '341F357F' AS name, 17 AS trim, (SELECT string_agg(CASE WHEN state = 'C' THEN base ELSE 'N' END, '' ORDER BY pos) FROM st WHERE pos < 17) AS consensus")
+def primer_decision(spark, d):
+    return pf.detect_primer(reads(spark, d)).select("detected", "name", "trim", "consensus")
+
+
+@query()
+def mixed_orientation(spark, d):
+    q = full_reads(spark, d).withColumn("seq", F.when(F.col("ok") % 3 == 0, F.translate("seq", "ACGT", "TGCA")).otherwise(F.col("seq")))
+    return pf.mixed_orientation(q, pf.base_profile(q))
+
+
+@query(f"WITH {CTE_Q}, n AS (SELECT count(*) AS n FROM q) SELECT 6 AS trim_length, 0 AS max_ambiguous FROM n")
+def tail_trim(spark, d):
+    q = full_reads(spark, d).select(F.col("seq_tail_n").alias("seq"), F.col("ln").alias("read_no"))
+    return pf.tail_profile(q)
+
+
+@query(f"WITH {CTE_Q}, x AS (SELECT unnest(range(113)) AS pos), c AS (SELECT pos, ascii(substr(qual, pos + 1, 1)) - 33 AS s FROM q, x) SELECT CAST(pos AS INT) AS pos, count(*) AS n, quantile_cont(s, 0.02) AS p02, quantile_cont(s, 0.09) AS p09, quantile_cont(s, 0.25) AS p25, quantile_cont(s, 0.5) AS p50, quantile_cont(s, 0.75) AS p75, quantile_cont(s, 0.91) AS p91, quantile_cont(s, 0.98) AS p98 FROM c GROUP BY pos")
+def quality_profile(spark, d):
+    return pf.quality_profile(full_reads(spark, d))
+
+
+@query()
+def quality_window(spark, d):
+    return pf.trim_positions(pf.quality_profile(full_reads(spark, d)), q=20)
+
+
+@query(f"WITH {CTE_Q}, n AS (SELECT count(*) AS n FROM q) SELECT CAST(2 AS BIGINT) AS n_chars, 'degraded_binned' AS status FROM n")
+def quality_diversity(spark, d):
+    return pf.quality_status(full_reads(spark, d).withColumn("qual", F.col("bad_qual")))
+
+
+@query(f"WITH {CTE_R}, l AS (SELECT 60 + ok % 300 AS len FROM r), b AS (SELECT len // 50 AS b, count(*) AS n FROM l GROUP BY 1), t AS (SELECT b AS top FROM b ORDER BY n DESC, b LIMIT 1), s AS (SELECT top, sum(CASE WHEN abs(b - top) <= 1 THEN n END) / sum(n) AS share FROM b, t GROUP BY top), c AS (SELECT share, CASE WHEN share >= 0.25 THEN top * 50 + 25 ELSE CAST(trunc((SELECT quantile_cont(len, 0.5) FROM l)) AS BIGINT) END AS center FROM s), w AS (SELECT share, center, greatest(200, CAST(round_even(center * 0.85, 0) AS INT)) AS lo, CAST(round_even(center * 1.15, 0) AS INT) AS hi FROM c) SELECT CAST(center AS INT) AS center, round(share, 6) AS share, lo, CASE WHEN hi <= lo THEN lo + 50 ELSE hi END AS hi FROM w")
+def length_window(spark, d):
+    q = reads(spark, d).select(F.repeat(F.lit("A"), (60 + F.col("ok") % 300).cast("int")).alias("seq"), F.col("ln").alias("read_no"))
+    return pf.length_window(q).withColumn("share", F.round("share", 6))
+
+
+# features
+
+
+@query(f"WITH {CTE_R} SELECT seq, count(*) AS size FROM r GROUP BY 1")
+def derep(spark, d):
+    return ft.dereplicate(reads(spark, d))
+
+
+@query(f"WITH {CTE_R} SELECT sample_id, seq, count(*) AS size FROM r GROUP BY ALL HAVING count(*) >= 3")
+def derep_by_sample(spark, d):
+    return ft.min_size(ft.dereplicate(reads(spark, d), ("sample_id",)), 3)
+
+
+@query(f"WITH {CTE_R}, t AS (SELECT seq, count(*) AS size FROM r GROUP BY seq HAVING count(*) >= 2) SELECT md5(seq) AS feature_id, sample_id, count(*) AS n FROM r WHERE seq IN (SELECT seq FROM t) GROUP BY ALL")
+def feature_counts(spark, d):
+    kept = rd.prefilter(full_reads(spark, d).withColumn("qual", F.regexp_replace("qual", "[?@A]", "I"))).where("discard_reason is null")
+    return ft.min_frequency(ft.feature_counts(kept), 2)
+
+
+@query(f"WITH {CTE_R} SELECT md5(seq) AS feature_id, sample_id, CAST(count(*) + count_if(ok % 2 = 0) AS BIGINT) AS n FROM r GROUP BY ALL")
+def merge_tables(spark, d):
+    r = reads(spark, d)
+    return ft.merge_tables([ft.feature_counts(r), ft.feature_counts(r.where("ok % 2 = 0"))])
+
+
+@query(f"WITH {CTE_R}, raw AS (SELECT sample_id, count(*) // 2 AS raw FROM r GROUP BY 1), fin AS (SELECT sample_id, count(*) AS final FROM r WHERE tpl < 30 AND sample_id <> 'S3' GROUP BY 1) SELECT sample_id, raw, coalesce(final, 0) AS final FROM raw LEFT JOIN fin USING (sample_id)")
+def sample_summary(spark, d):
+    r = reads(spark, d)
+    return ft.sample_summary(r.select("sample_id").distinct(), ft.raw_read_counts(r), ft.feature_counts(r.where("tpl < 30 and sample_id <> 'S3'")), paired=True)
+
+
+@query(f"WITH {CTE_R}, a AS (SELECT count(*) AS raw, count_if(tpl > 20) AS final FROM r) SELECT CAST(raw AS BIGINT) AS raw, CAST(final AS BIGINT) AS final, round(final / (raw // 2), 6) AS pct, CASE WHEN final / (raw // 2) < 0.5 THEN 'forward_reads' ELSE 'keep' END AS decision FROM a")
+def retention(spark, d):
+    r = reads(spark, d)
+    return ft.retention(ft.raw_read_counts(r), ft.feature_counts(r.where("tpl > 20"))).withColumn("pct", F.round("pct", 6))
+
+
+@query(f"WITH {CTE_R} SELECT count(*) AS n, count(DISTINCT seq) AS n_unique, CAST(count(DISTINCT seq) * 1000 // count(*) AS BIGINT) AS ppt, false AS untrustworthy FROM r")
+def abundance_check(spark, d):
+    return ft.abundance_check(reads(spark, d))
+
+
+@query(f"WITH {CTE_R} SELECT md5(seq) AS feature_id, sample_id, count(*) AS n, tpl % 3 = 0 AS kept FROM r GROUP BY ALL")
+def filter_features(spark, d):
+    r = reads(spark, d)
+    counts, ids = ft.feature_counts(r), r.where("tpl % 3 = 0").select(F.md5("seq").alias("feature_id")).distinct()
+    return ft.keep_features(counts, ids).withColumn("kept", F.lit(True)).unionByName(ft.removed_features(counts, ids).withColumn("kept", F.lit(False)))
+
+
+@query(f"WITH {CTE_R} SELECT 'feature_without_sequence' AS issue, 'error' AS level, count(DISTINCT seq) AS n FROM r WHERE tpl % 3 <> 0 UNION ALL SELECT 'sample_not_in_manifest', 'warning', count(DISTINCT sample_id) FROM r WHERE sample_id IN ('S1', 'S2')")
+def referential_check(spark, d):
+    r = reads(spark, d)
+    return ft.check_references(ft.feature_counts(r), r.where("tpl % 3 = 0").select(F.md5("seq").alias("feature_id")).distinct(), r.where("sample_id not in ('S1', 'S2')").select("sample_id").distinct())
+
+
+@query(f"WITH {CTE_R}, l AS (SELECT 60 + ok % 300 AS len FROM r), o AS (SELECT len, row_number() OVER (ORDER BY len) AS k, count(*) OVER () AS n FROM l) SELECT max(n) AS n, CAST(min(CASE WHEN k = floor(n * 0.05) + 1 THEN len END) AS INT) AS p05, CAST(min(CASE WHEN k >= floor(n * 0.95) THEN len END) AS INT) AS p95, true AS warn FROM o")
+def length_spread(spark, d):
+    return ft.length_spread(reads(spark, d).select(F.repeat(F.lit("A"), (60 + F.col("ok") % 300).cast("int")).alias("seq"))).select("n", "p05", "p95", "warn")
+
+
+@query(f"WITH {CTE_R}, s AS (SELECT sample_id, count(*) AS n FROM r GROUP BY 1), f AS (SELECT seq, count(*) AS n FROM r GROUP BY 1) SELECT * FROM (SELECT count(*) AS samples, CAST(sum(n) AS BIGINT) AS total, min(n) AS sample_min, median(n) AS sample_median, max(n) AS sample_max FROM s) a, (SELECT count(*) AS features, median(n) AS feature_median FROM f) b")
+def summarize_table(spark, d):
+    return ft.summarize_table(ft.feature_counts(reads(spark, d)))
+
+
+_REGION_SQL = "CASE WHEN len(c) = 0 THEN 'unclassified' WHEN len(c) = 9 THEN 'V1-V9' WHEN len(c) = 1 THEN c[1] ELSE concat(c[1], '-', c[-1]) END"
+_COVERED = "list_transform(list_filter([" + ", ".join(f"{{'n': '{n}', 's': {s}, 'e': {e}}}" for n, s, e in ft.REGIONS) + "], lambda v: greatest(0, least(hi, v.e) - greatest(lo, v.s)) >= 0.5 * (v.e - v.s)), lambda v: v.n)"
+_SPANS = "SELECT l_orderkey AS ok, l_linenumber AS ln, l_suppkey % 20 AS dataset_id, CAST(l_partkey * 13 % 900 AS INT) AS lo, CAST(l_partkey * 13 % 900 + l_orderkey * 7 % 650 AS INT) AS hi FROM lineitem"
+
+
+def _spans(spark, d):
+    return table(spark, d, "lineitem").select(F.col("l_orderkey").alias("ok"), F.col("l_linenumber").alias("ln"), (F.col("l_suppkey") % 20).alias("dataset_id"), (F.col("l_partkey") * 13 % 900).cast("int").alias("lo"), (F.col("l_partkey") * 13 % 900 + F.col("l_orderkey") * 7 % 650).cast("int").alias("hi"))
+
+
+@query(f"WITH s AS (SELECT *, {_COVERED} AS c FROM ({_SPANS}) t) SELECT ok, ln, lo, hi, {_REGION_SQL} AS region FROM s")
+def region_call(spark, d):
+    return ft.call_regions(_spans(spark, d)).select("ok", "ln", "lo", "hi", "region")
+
+
+@query(f"""WITH s AS (SELECT *, {_COVERED} AS c FROM ({_SPANS}) t), x AS (SELECT dataset_id, {_REGION_SQL} AS own FROM s),
+m AS (SELECT dataset_id, CAST(trunc(quantile_cont(lo, 0.5)) AS INT) AS lo, CAST(trunc(quantile_cont(hi, 0.5)) AS INT) AS hi FROM s GROUP BY 1), k AS (SELECT *, {_COVERED} AS c FROM m), r AS (SELECT dataset_id, lo, hi, {_REGION_SQL} AS region FROM k)
+SELECT dataset_id, region, lo, hi, round_even(avg(CASE WHEN own = region THEN 1.0 ELSE 0.0 END), 2) AS confidence, count(*) AS n FROM x JOIN r USING (dataset_id) GROUP BY ALL""")
+def region_consensus(spark, d):
+    return ft.region_consensus(_spans(spark, d))
+
+
+@query("WITH f AS (SELECT o_custkey % 10 AS dataset_id, o_orderkey AS s, CASE WHEN o_orderkey % 3 = 0 THEN 2 ELSE 1 END AS mates FROM (SELECT DISTINCT o_custkey, o_orderkey FROM orders)) SELECT dataset_id, count_if(mates < 2) AS n_se, count_if(mates = 2) AS n_pe, CASE WHEN count_if(mates = 2) >= count_if(mates < 2) THEN 'PE' ELSE 'SE' END AS layout FROM f GROUP BY 1")
+def layout(spark, d):
+    f = table(spark, d, "orders").select((F.col("o_custkey") % 10).alias("dataset_id"), F.col("o_orderkey").alias("sample_id"), F.explode(F.when(F.col("o_orderkey") % 3 == 0, F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1)))).alias("mate"))
+    return ft.layout(f)
+
+
+@query("WITH n AS (SELECT DISTINCT c_nationkey % 20 AS k FROM customer) SELECT concat('S', a.k) AS sample_id, concat('S', b.k) AS other FROM n a JOIN n b ON a.k <> b.k AND starts_with(concat('S', b.k), concat('S', a.k))")
+def prefix_collisions(spark, d):
+    return ft.prefix_collisions(table(spark, d, "customer").select(F.concat(F.lit("S"), F.col("c_nationkey") % 20).alias("sample_id")))
+
+
+# similarity
+
+
+def _features(spark, d) -> DataFrame:
+    return ft.dereplicate(reads(spark, d)).withColumn("feature_id", F.md5("seq"))
+
+
+@query(f"WITH {CTE_R}, f AS (SELECT DISTINCT seq FROM r) SELECT md5(a.seq) AS query, md5(b.seq) AS ref, CAST(levenshtein(a.seq, b.seq) AS INT) AS d FROM f a, f b WHERE a.seq <> b.seq AND levenshtein(a.seq, b.seq) <= 3")
+def similarity_join(spark, d):
+    f = _features(spark, d)
+    return sm.similarity_join(f, f, 0.97).where("query <> ref").select("query", "ref", "d")
+
+
+@query(f"WITH {CTE_R}, f AS (SELECT tpl, seq, count(*) AS size FROM r GROUP BY ALL), c AS (SELECT tpl, arg_max(seq, size * 100000 - k) AS seq, CAST(sum(size) AS BIGINT) AS size FROM (SELECT *, row_number() OVER (PARTITION BY tpl ORDER BY seq) AS k FROM f) x GROUP BY tpl) SELECT md5(seq) AS feature_id, seq, size FROM c")
+def cluster_97(spark, d):
+    f = _features(spark, d).select("feature_id", "seq", "size")
+    return sm.cluster_sizes(f, sm.greedy_cluster(f, 0.97))
+
+
+@query(f"WITH {CTE_R}, f AS (SELECT tpl, seq, count(*) AS size FROM r GROUP BY ALL), c AS (SELECT tpl, arg_max(seq, size * 100000 - k) AS seq FROM (SELECT *, row_number() OVER (PARTITION BY tpl ORDER BY seq) AS k FROM f) x GROUP BY tpl) SELECT md5(c.seq) AS feature_id, sample_id, count(*) AS n FROM r JOIN c USING (tpl) GROUP BY ALL")
+def map_back(spark, d):
+    from .plans.stages import staged
+
+    f = staged(_features(spark, d).select("feature_id", "seq", "size"))
+    otus = staged(sm.cluster_sizes(f, sm.greedy_cluster(f, 0.97)))
+    return sm.map_back(reads(spark, d), otus, 0.97)
+
+
+@query()
+def denoise(spark, d):
+    return sm.denoise_by_skew(_features(spark, d).select("feature_id", "seq", "size"), 2)
+
+
+@query()
+def chimeras(spark, d):
+    return sm.remove_chimeras(_features(spark, d).select("feature_id", "seq", "size"))
+
+
+@query()
+def otu_table(spark, d):
+    return pipelines.otu_pipeline(reads(spark, d))
+
+
+@query(f"WITH {CTE_Q}, f AS (SELECT DISTINCT seq_mixed, seq FROM q) SELECT md5(seq_mixed) AS feature_id, seq FROM f")
+def orient(spark, d):
+    q = full_reads(spark, d)
+    f = q.select(F.col("seq_mixed").alias("seq")).distinct().withColumn("feature_id", F.md5("seq"))
+    return sm.orient(f, q.select("seq").distinct())[0].select("feature_id", "seq")
+
+
+@query()
+def kmer_naive_bayes(spark, d):
+    """Reads assigned to the group and number of their template, by 7-mers learned from one read of each."""
+    r = reads(spark, d)
+    named = r.groupBy("tpl").agg(F.min("seq").alias("seq")).select(F.concat(F.lit("g"), (F.col("tpl") % 4).cast("string"), F.lit(";t"), F.col("tpl").cast("string")).alias("lineage"), "seq")
+    return sm.classify(_features(spark, d).select("feature_id", "seq"), sm.train_classifier(named))
+
+
+@query()
+def merge_pairs(spark, d):
+    r = full_reads(spark, d).groupBy("sample_id", F.col("ok").alias("read_no")).agg(F.min(F.struct("seq", "qual")).alias("r"))
+    pairs = r.select("sample_id", "read_no", F.substring("r.seq", 1, 80).alias("seq1"), F.substring("r.qual", 1, 80).alias("qual1"), F.substring(sq.revcomp(F.col("r.seq")), 1, 80).alias("seq2"), F.substring(F.reverse("r.qual"), 1, 80).alias("qual2"))
+    return sm.merge_pairs(pairs)
