@@ -34,13 +34,16 @@ def mean_error_phred(q: Column) -> Column:
 
 def kmers(s: Column, k: int) -> Column:
     """All substrings of length k, in order; empty for shorter strings."""
-    n = F.length(s) - k + 1
-    return F.when(n > 0, F.transform(F.sequence(F.lit(1), F.greatest(n, F.lit(1))), lambda i: F.substr(s, i, F.lit(k)))).otherwise(F.array().cast("array<string>"))
+    # the string is bound once, not computed again at every position
+    one = F.transform(F.array(s), lambda x: F.transform(F.sequence(F.lit(1), F.greatest(F.length(x) - k + 1, F.lit(1))), lambda i: F.substr(x, i, F.lit(k))))[0]
+    return F.when(F.length(s) >= k, one).otherwise(F.array().cast("array<string>"))
 
 
 def complexity(s: Column) -> Column:
     """Distinct pairs of adjacent letters, out of 16."""
-    return F.size(F.array_distinct(kmers(F.upper(s), 2))) / F.lit(16.0)
+    letters = F.filter(F.split(F.upper(s), ""), lambda c: c != "")
+    pairs = F.zip_with(letters, F.slice(letters, 2, 1 << 30), lambda a, b: F.concat(a, b))
+    return F.size(F.array_distinct(F.array_compact(pairs))) / F.lit(16.0)
 
 
 def base_entropy(s: Column) -> Column:

@@ -17,11 +17,12 @@ REVERSE = [("1064RD", "CGACRRCCATGCANCACCT"), ("1100RD", "GGGTTGCGCTCGTTG"), ("1
 def base_profile(reads: DataFrame, n: int = 60) -> DataFrame:
     """(pos, n, a, c, g, t): shares of A, C, G and T at each of the first ``n`` positions (from 0); 0.25 each without any.
 
-    Counted as 4 n sums in one pass: no row per base, one row per task shuffled.
+    Letters are combined by position before the shuffle: a task sends at most ``n`` rows, however many reads it has.
     """
-    upper = F.upper("seq")
-    counts = reads.agg(*[F.count_if(F.substr(upper, F.lit(p + 1), F.lit(1)) == b).alias(f"{b}{p}") for p in range(n) for b in BASES])
-    long = counts.select(F.explode(F.array(*[F.struct(F.lit(p).alias("pos"), *[F.col(f"{b}{p}").alias(b) for b in BASES]) for p in range(n)])).alias("x")).select("x.*")
+    letters = reads.select(F.posexplode(F.split(F.substring(F.upper("seq"), 1, n), "")).alias("pos", "x")).where(F.col("x").isin(*BASES))
+    counts = letters.groupBy("pos").agg(*[F.count_if(F.col("x") == b).alias(b) for b in BASES])
+    every = reads.sparkSession.range(n).select(F.col("id").cast("int").alias("pos"))
+    long = every.join(counts, "pos", "left").select("pos", *[F.coalesce(b, F.lit(0)).alias(b) for b in BASES])
     total = F.col("A") + F.col("C") + F.col("G") + F.col("T")
     return long.select("pos", total.alias("n"), *[F.when(total > 0, F.col(b) / total).otherwise(0.25).alias(b.lower()) for b in BASES])
 
@@ -135,8 +136,8 @@ def tail_profile(reads: DataFrame, n: int = 10000, width: int = 50, cap: int = 3
     """
     rows = head_reads(reads, n)
     tail = F.reverse(F.upper(F.substring("seq", -width, width)))
-    counts = rows.agg(*[F.count_if(F.length("seq") > p).alias(f"n{p}") for p in range(width)], *[F.count_if(F.substr(tail, F.lit(p + 1), F.lit(1)) == "N").alias(f"k{p}") for p in range(width)])
-    freq = counts.select(F.explode(F.array(*[F.struct(F.lit(p).alias("pos"), F.when(F.col(f"n{p}") > 0, F.col(f"k{p}") / F.col(f"n{p}")).otherwise(0.0).alias("f")) for p in range(width)])).alias("x")).select("x.*")
+    seen = rows.select(F.posexplode(F.split(tail, "")).alias("pos", "x")).where("x <> ''").groupBy("pos").agg(F.avg((F.col("x") == "N").cast("double")).alias("f"))
+    freq = rows.sparkSession.range(width).select(F.col("id").cast("int").alias("pos")).join(seen, "pos", "left").select("pos", F.coalesce("f", F.lit(0.0)).alias("f"))
     limit = freq.agg(F.greatest(3 * F.avg(F.when(F.col("pos").between(25, 44), F.col("f"))), F.lit(0.01)).alias("limit"))
     run = leading_run(freq.crossJoin(F.broadcast(limit)), [], "pos", F.col("f") > F.col("limit")).select(F.least("run", F.lit(cap)).cast("int").alias("trim_length"))
     cut = F.when(F.length("seq") > F.col("trim_length"), F.substr(F.col("seq"), F.lit(1), F.length("seq") - F.col("trim_length"))).otherwise(F.col("seq"))
@@ -163,7 +164,7 @@ def quality_profile(reads: DataFrame, probs: tuple[float, ...] = (0.02, 0.09, 0.
     """
     chars = reads.select(F.posexplode(F.filter(F.split("qual", ""), lambda c: c != "")).alias("pos", "c")).groupBy("pos", (F.ascii("c") - 33).alias("q")).count()
     names = [f"p{int(round(p * 100)):02d}" for p in probs]
-    return chars.groupBy("pos").agg(F.sum("count").alias("n"), *[F.percentile("q", p, "count").alias(n) for p, n in zip(probs, names, strict=True)])
+    return chars.groupBy("pos").agg(F.sum("count").alias("n"), *[F.percentile("q", p, F.col("count")).alias(n) for p, n in zip(probs, names, strict=True)])
 
 
 def trim_positions(qprofile: DataFrame, q: float = 25, window: int = 5, consecutive: int = 5, min_retain: int = 50) -> DataFrame:

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from .stages import staged
+
 #: Reads: 40 templates of skewed abundance behind a degenerate primer, one substitution in every eighth.
 READS = """
 SELECT concat('S', l_suppkey % 10) AS sample_id, l_orderkey AS ok, l_linenumber AS ln, l_partkey AS pk, tpl,
@@ -43,7 +45,8 @@ def reads(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def full_reads(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.sql(FULL.replace("FROM r", "FROM {r}"), r=reads(spark, sf_dir))
+    """Written once: a filter on a derived column would otherwise derive it again for each of its uses."""
+    return staged(spark.sql(FULL.replace("FROM r", "FROM {r}"), r=reads(spark, sf_dir)))
 
 
 def runs(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -243,10 +243,10 @@ def routing(spark, d):
 # reads
 
 
-@query(f"WITH {CTE_Q}, s AS (SELECT CASE WHEN ln = 1 THEN substr(seq, 1, 40) WHEN ln = 3 THEN repeat('A', 60) WHEN ln = 4 THEN repeat('AAAAAAAAAAAAAAAAAAAACGAGATACTC', 3) ELSE seq END AS seq, ln FROM q) SELECT CASE ln WHEN 1 THEN 'length' WHEN 2 THEN 'quality' WHEN 3 THEN 'complexity' WHEN 4 THEN 'entropy' END AS discard_reason, count(*) AS n FROM s GROUP BY 1")
+@query(f"WITH {CTE_Q}, s AS (SELECT CASE WHEN ln = 1 THEN substr(seq, 1, 40) WHEN ln = 3 THEN repeat('A', 60) WHEN ln = 4 THEN repeat('AAAAAAAAAAAAAAAAAAAAAAAACGTCAG', 3) ELSE seq END AS seq, ln FROM q) SELECT CASE ln WHEN 1 THEN 'length' WHEN 2 THEN 'quality' WHEN 3 THEN 'complexity' WHEN 4 THEN 'entropy' END AS discard_reason, count(*) AS n FROM s GROUP BY 1")
 def read_filter(spark, d):
     q, ln = full_reads(spark, d), F.col("ln")
-    seq = F.when(ln == 1, F.substring("seq", 1, 40)).when(ln == 3, F.lit("A" * 60)).when(ln == 4, F.lit("AAAAAAAAAAAAAAAAAAAACGAGATACTC" * 3)).otherwise(F.col("seq"))
+    seq = F.when(ln == 1, F.substring("seq", 1, 40)).when(ln == 3, F.lit("A" * 60)).when(ln == 4, F.lit("AAAAAAAAAAAAAAAAAAAAAAAACGTCAG" * 3)).otherwise(F.col("seq"))
     q = q.withColumn("qual", F.when(ln == 2, F.repeat(F.lit("#"), F.lit(113))).otherwise(F.col("qual"))).withColumn("seq", seq)
     return rd.prefilter(q).groupBy("discard_reason").agg(F.count("*").alias("n"))
 
