@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .scratch import small_batches
+from .scratch import least_hashed, small_batches
 
 #: Pages of the table that the labeller may be trained on, least keyed hashes first.
 SAMPLE_PAGES = 400
@@ -417,8 +417,8 @@ def silver(page: list[Block]) -> np.ndarray:
 
 def train_labeller(pages: DataFrame, sample_pages: int = SAMPLE_PAGES, generated_pages: int = GENERATED_PAGES) -> Labeller:
     """Train on at most ``sample_pages`` pages with silver labels and ``generated_pages`` layouts of their words."""
-    rows = pages.where("html is not null").select("html").orderBy(F.xxhash64("html", F.lit(9)), "page_id").limit(sample_pages).collect()
-    own = [p for p in (blocks(r["html"][:200_000]) for r in rows) if p]
+    rows = least_hashed(pages.where("html is not null").select("page_id", "html"), F.xxhash64("page_id", F.lit(9)), sample_pages).collect()
+    own = [p for p in (blocks(r["html"]) for r in sorted(rows, key=lambda r: (r["page_id"] is None, r["page_id"]))) if p]
     words = sorted({w.strip(".,!?") for p in own for b in p for w in b.text.lower().split()[:200]} - {""})[:5000] or ["word"]
     made = [blocks(h) for h in generated(words, generated_pages)]
     labelled = [(p, silver(p)) for p in own]

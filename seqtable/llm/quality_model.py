@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .scratch import small_batches, written
+from .scratch import least_hashed, small_batches, written
 
 STATISTICS = ("log_words", "word_length", "distinct", "symbols", "capitals", "digits", "repeats", "dup_lines", "line_length", "marks", "pipes")
 #: Bound on the labelled rows that the two classes are fitted on, least keyed hashes first.
@@ -106,7 +106,8 @@ def fit_on(stats: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABELLED
     hashes of doc_id: a sample that does not depend on partitions.
     """
     one = labels.where("quality in (0, 1) and doc_id is not null").groupBy("doc_id").agg(F.min("quality").alias("quality"))
-    rows = stats.join(one, "doc_id").orderBy(F.xxhash64("doc_id", F.lit(3)), "doc_id").limit(max_labelled).select("x", "quality").collect()
+    met = stats.join(one, "doc_id").select("doc_id", "x", "quality")
+    rows = sorted(least_hashed(met, F.xxhash64("doc_id", F.lit(3)), max_labelled).collect())  # one order of summing in every run
     return fit(np.array([r["x"] for r in rows]), np.array([r["quality"] for r in rows]))
 
 
@@ -137,7 +138,7 @@ def keep_good(docs: DataFrame, labels: DataFrame, threshold: float = 0.5, max_la
     small_batches(docs.sparkSession)
     one = labels.where("quality in (0, 1)").select("doc_id").distinct()
     known = docs.select("doc_id", "text").join(one, "doc_id", "left_semi").where(~held_out(F.col("doc_id")))
-    model = fit_on(with_statistics(known, ["doc_id"]), labels, max_labelled)
+    model = fit_on(written(with_statistics(known, ["doc_id"])), labels, max_labelled)
     names = docs.columns
     at = names.index("text")
 

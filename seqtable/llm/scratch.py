@@ -5,7 +5,8 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -24,6 +25,18 @@ def written(df: DataFrame, compression: str = "zstd") -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def least_hashed(df: DataFrame, key: Column, n: int) -> DataFrame:
+    """At most ``n`` rows, those with the least values of ``key``, a 64-bit hash: a sample that does not depend on partitions.
+
+    Rows far above the expected n-th value are filtered where they stand, so that tasks send about ``n`` rows in all.
+    """
+    total = df.count()
+    kept = df.withColumn("_key", key)
+    if total > 2 * n:
+        kept = kept.where(F.col("_key") < int(-(2**63) + 2**64 * min(1.0, (n + 8 * n**0.5 + 64) / total)))
+    return kept.orderBy("_key").limit(n).drop("_key")
+
+
 def small_batches(spark: SparkSession, rows: int = 256) -> None:
     """Arrow batches of few rows, since single texts may be megabytes long."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
