@@ -501,8 +501,100 @@ def kmer_naive_bayes(spark, d):
     return sm.classify(_features(spark, d).select("feature_id", "seq"), sm.train_classifier(named))
 
 
-@query()
+@query(f"WITH {CTE_Q} SELECT sample_id, ok AS read_no, length(min(seq)) AS len, min(seq) AS seq FROM q GROUP BY sample_id, ok")
 def merge_pairs(spark, d):
     r = full_reads(spark, d).groupBy("sample_id", F.col("ok").alias("read_no")).agg(F.min(F.struct("seq", "qual")).alias("r"))
     pairs = r.select("sample_id", "read_no", F.substring("r.seq", 1, 80).alias("seq1"), F.substring("r.qual", 1, 80).alias("qual1"), F.substring(sq.revcomp(F.col("r.seq")), 1, 80).alias("seq2"), F.substring(F.reverse("r.qual"), 1, 80).alias("qual2"))
-    return sm.merge_pairs(pairs)
+    return sm.merge_pairs(pairs).select("sample_id", "read_no", F.length("seq").alias("len"), "seq")
+
+
+# datasets, files and reports
+
+
+@query("WITH u AS (SELECT concat('R', o_orderkey) AS run FROM orders WHERE o_orderkey % 40 <> 0), r AS (SELECT DISTINCT concat('D', o_custkey) AS dataset_id, concat('R', o_orderkey) AS run FROM orders) SELECT dataset_id, count_if(u.run IS NULL) AS n_gap, CASE WHEN count_if(u.run IS NULL) > 0 THEN 'other' ELSE 'first' END AS source FROM r LEFT JOIN (SELECT DISTINCT run FROM u) u USING (run) GROUP BY 1")
+def source_gap(spark, d):
+    o = table(spark, d, "orders").select(F.concat(F.lit("D"), "o_custkey").alias("dataset_id"), F.concat(F.lit("R"), "o_orderkey").alias("run"), "o_orderkey").distinct()
+    return md.source_gap(o.select("dataset_id", "run"), o.where("o_orderkey % 40 <> 0").select("run", F.concat(F.lit("ftp://"), "run").alias("url")).distinct())
+
+
+def _files(spark, d) -> DataFrame:
+    o = table(spark, d, "orders").select((F.col("o_custkey") % 50).alias("dataset_id"), F.col("o_orderkey").alias("sample_id")).distinct()
+    k = F.col("sample_id") % 4
+    return o.select("dataset_id", "sample_id", F.explode(F.when(k == 0, F.array(F.lit(1), F.lit(2))).when(k == 1, F.array(F.lit(1))).when(k == 2, F.array(F.lit(None).cast("int"), F.lit(1), F.lit(2))).otherwise(F.array(F.lit(None).cast("int")))).alias("mate"))
+
+
+@query("SELECT dataset_id, sample_id, mate FROM (SELECT DISTINCT o_custkey % 50 AS dataset_id, o_orderkey AS sample_id FROM orders) o, (SELECT unnest([1, 2, NULL]) AS mate) m WHERE CASE WHEN mate IS NULL THEN sample_id % 4 = 3 ELSE sample_id % 4 IN (0, 2) END")
+def orphan_files(spark, d):
+    return ft.drop_orphans(_files(spark, d))
+
+
+@query("WITH o AS (SELECT DISTINCT o_custkey % 50 AS dataset_id, o_orderkey AS s FROM orders), c AS (SELECT dataset_id, count(*) AS n_runs, CAST(sum(CASE s % 4 WHEN 0 THEN 2 WHEN 2 THEN 3 ELSE 1 END) AS BIGINT) AS n_files, count_if(s % 4 IN (0, 1, 2)) AS r1, count_if(s % 4 IN (0, 2)) AS r2 FROM o GROUP BY 1) SELECT dataset_id, n_runs, n_files, n_files = n_runs OR n_files = 2 * n_runs AS complete, CASE WHEN r2 > 0 AND 10 * r2 >= 9 * r1 THEN 'PE' ELSE 'SE' END AS layout FROM c")
+def completeness(spark, d):
+    f = _files(spark, d)
+    return ft.completeness(f, f.select("dataset_id", "sample_id").distinct())
+
+
+@query(f"WITH {CTE_R} SELECT sample_id, count(*) AS n_pairs, count_if(ok % 3 = 0) AS n_merged, round(count_if(ok % 3 = 0) / count(*), 6) AS rate, CASE WHEN count_if(ok % 3 = 0) / count(*) < 0.5 THEN 'forward' ELSE 'merged' END AS use FROM r GROUP BY 1")
+def merge_rate(spark, d):
+    r = reads(spark, d)
+    return ft.merge_rate(r, r.where("ok % 3 = 0")).withColumn("rate", F.round("rate", 6))
+
+
+@query("""WITH t AS (SELECT o_custkey AS project, CASE WHEN o_orderkey % 3 = 0 THEN 1 ELSE 2 END AS tier, o_orderkey AS pos, concat('P', o_orderkey) AS pmid FROM (SELECT DISTINCT o_custkey, o_orderkey FROM orders)),
+b AS (SELECT *, row_number() OVER (PARTITION BY project ORDER BY pos) AS k FROM (SELECT *, min(tier) OVER (PARTITION BY project) AS best FROM t) x WHERE tier = best)
+SELECT project, best AS tier, string_agg(pmid, ';' ORDER BY pos) AS pmids, string_agg(CASE WHEN k <= 2 THEN concat('T', pos) END, ' || ' ORDER BY pos) AS titles FROM b GROUP BY ALL""")
+def publications(spark, d):
+    o = table(spark, d, "orders").select(F.col("o_custkey").alias("project"), F.when(F.col("o_orderkey") % 3 == 0, 1).otherwise(2).alias("tier"), F.col("o_orderkey").alias("pos"), F.concat(F.lit("P"), "o_orderkey").alias("pmid")).distinct()
+    a = o.select("pmid", F.concat(F.lit("T"), "pos").alias("title"), F.lit("x").alias("abstract"), F.lit(None).cast("string").alias("doi")).distinct()
+    return md.associate_publications(o, a).select("project", "tier", "pmids", "titles")
+
+
+@query("""WITH t AS (SELECT c_nationkey AS dataset_id, count(*) AS samples, CAST(sum(c_custkey) AS BIGINT) AS raw FROM customer GROUP BY 1)
+SELECT dataset_id, samples, raw, CASE WHEN dataset_id % 2 = 0 THEN 'ILLUMINA' ELSE 'NA' END AS platform, CASE WHEN dataset_id % 3 = 0 THEN 'normal' ELSE 'NA' END AS quality_status, CASE WHEN dataset_id % 5 = 0 THEN 'V4' ELSE 'NA' END AS region FROM t""")
+def dataset_summary(spark, d):
+    c = table(spark, d, "customer").withColumnRenamed("c_nationkey", "dataset_id")
+    t = c.groupBy("dataset_id").agg(F.count("*").alias("samples"), F.sum("c_custkey").alias("raw"))
+    ids = t.select("dataset_id")
+    return ft.dataset_summary(ids.where("dataset_id % 5 = 0").select("dataset_id", F.lit("V4").alias("region"), F.lit(1).alias("lo"), F.lit(2).alias("hi"), F.lit(1.0).alias("confidence")), ids.where("dataset_id % 3 = 0").withColumn("quality_status", F.lit("normal")), ids.where("dataset_id % 2 = 0").withColumn("platform", F.lit("ILLUMINA")), t).select("dataset_id", "samples", "raw", "platform", "quality_status", "region")
+
+
+@query("SELECT c_nationkey AS dataset_id, count(*) AS samples, CAST(coalesce(sum(CASE WHEN c_custkey % 7 <> 0 THEN c_custkey END), 0) AS BIGINT) AS raw, CAST(0 AS BIGINT) AS final FROM customer GROUP BY 1")
+def dataset_totals(spark, d):
+    c = table(spark, d, "customer")
+    return ft.dataset_totals(c.select(F.col("c_nationkey").alias("dataset_id"), F.when(F.col("c_custkey") % 7 == 0, "n/a").otherwise(F.col("c_custkey").cast("string")).alias("raw"), F.lit("x").alias("final")))
+
+
+@query("SELECT c_nationkey AS dataset_id, count(*) AS samples, CAST(sum(c_custkey) AS BIGINT) AS raw, CAST(sum(c_custkey % 9) AS BIGINT) AS final FROM customer GROUP BY ROLLUP (c_nationkey)")
+def summary_rollup(spark, d):
+    c = table(spark, d, "customer")
+    return ft.summary_rollup(c.select(F.col("c_nationkey").alias("dataset_id"), F.col("c_custkey").alias("raw"), (F.col("c_custkey") % 9).alias("final")))
+
+
+@query("SELECT DISTINCT concat('f', l_suppkey) AS file, count(*) AS n_lines, count(*) % 4 = 0 AS valid FROM lineitem GROUP BY l_suppkey")
+def fastq_integrity(spark, d):
+    return fl.fastq_integrity(table(spark, d, "lineitem").select(F.concat(F.lit("f"), "l_suppkey").alias("file"), F.lit("x").alias("value")))
+
+
+@query(f"WITH {CTE_R} SELECT count_if(60 + ok % 300 > 250) / count(*) AS share, count_if(60 + ok % 300 > 250) / count(*) > 0.5 AS long FROM r")
+def long_reads(spark, d):
+    return pf.long_read_share(reads(spark, d).select(F.repeat(F.lit("A"), (60 + F.col("ok") % 300).cast("int")).alias("seq"), F.col("ln").alias("read_no")), 250)
+
+
+@query(f"WITH {CTE_R}, l AS (SELECT 60 + ok % 300 - 15 AS n FROM r) SELECT CAST(trunc(quantile_cont(n, 0.1)) AS INT) AS length FROM l WHERE n > 0")
+def truncation_length(spark, d):
+    return pf.truncation_length(reads(spark, d).select(F.repeat(F.lit("A"), (60 + F.col("ok") % 300).cast("int")).alias("seq")))
+
+
+@query("WITH o AS (SELECT min(o_orderkey) AS k FROM orders WHERE o_orderstatus = 'F') SELECT k AS o_orderkey, 'F' AS o_orderstatus FROM o")
+def match_or_first(spark, d):
+    return md.match_or_first(table(spark, d, "orders").select("o_orderkey", "o_orderstatus"), "o_orderstatus", "F", "o_orderkey")
+
+
+@query(f"WITH {CTE_R} SELECT tpl, seq AS label FROM (SELECT tpl, concat('>', sample_id, '_', row_number() OVER (PARTITION BY sample_id ORDER BY ok, ln, pk, seq), ';sample=', sample_id, ';', chr(10), seq) AS seq FROM (SELECT DISTINCT * FROM r) r) x")
+def labelled_fasta(spark, d):
+    r = reads(spark, d).distinct()
+    file = F.concat(F.lpad(F.col("ok").cast("string"), 12, "0"), F.lpad(F.col("ln").cast("string"), 4, "0"), F.lpad(F.col("pk").cast("string"), 12, "0"))
+    rows = r.select("sample_id", "tpl", "seq", file.alias("file"), F.col("seq").alias("read_no"))
+    lines = rd.label_reads(rows).select(F.col("value").alias("label"))
+    names = rd.number_reads(rows).select("tpl", F.concat(F.lit(">"), "sample_id", F.lit("_"), F.col("n").cast("string"), F.lit(";sample="), "sample_id", F.lit(";\n"), "seq").alias("label"))
+    return names.join(lines, "label").select("tpl", "label")
