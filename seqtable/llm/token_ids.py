@@ -5,7 +5,8 @@ Ids are replaced by their rank by corpus frequency, so that frequent ids take on
 * the magic ``SVB1`` and five little-endian int64: partition, ids before this shard in its partition, documents, ids,
   control bytes;
 * doc_ids (int64 each; the least int64 stands for null) and ids per document (int64 each);
-* the control bytes: two bits per id, the number of its data bytes less one, four ids to a byte;
+* the control bytes: two bits per id, the number of its data bytes less one, four ids to a byte; each document begins
+  a byte of its own;
 * the data bytes, little-endian, without padding.
 
 The table from rank to id is a file of its own beside the shards. Decoding looks each control byte up in a table of 256
@@ -27,7 +28,7 @@ import pyarrow.fs as pafs
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .scratch import shared_folder, small_batches
+from .scratch import shared_folder, small_batches, written
 
 MAGIC = b"SVB1"
 NULL_ID = np.iinfo(np.int64).min
@@ -48,9 +49,12 @@ def encode_block(ranks: np.ndarray) -> tuple[bytes, bytes]:
     return control.astype(np.uint8).tobytes(), data.tobytes()
 
 
-def decode_block(control: bytes, data: bytes, n: int) -> np.ndarray:
-    """The ``n`` ranks of a block."""
-    size = LENGTHS[np.frombuffer(control, np.uint8)].ravel()[:n].astype(np.int64)
+def decode_block(control: bytes, data: bytes, lengths: np.ndarray) -> np.ndarray:
+    """The ranks of blocks of the given lengths that stand one after the other; each begins a control byte of its own."""
+    size = LENGTHS[np.frombuffer(control, np.uint8)].ravel().astype(np.int64)
+    padded = -(-lengths // 4) * 4
+    used = np.arange(len(size)) - np.repeat(np.cumsum(padded) - padded, padded) < np.repeat(lengths, padded)
+    size = size[used]
     starts = np.cumsum(size) - size
     raw = np.frombuffer(data + b"\0\0\0", np.uint8)
     out = raw[starts].astype(np.uint32)
@@ -66,44 +70,75 @@ class WordEncoder:
     The ids of a word are remembered for the life of the worker process, up to a bound on the number of words.
     """
 
-    def __init__(self, path: str, remembered: int = 400_000) -> None:
+    def __init__(self, path: str, remembered: int = 600_000) -> None:
         from tokenizers import Tokenizer
 
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         self.tokenizer, self.remembered = Tokenizer.from_file(path), remembered
         self.known: dict[str, bytes] = {"": b""}
+        # words are sent many to a text with a special token between them, which no word may hold
+        special = [(i, t.content) for i, t in self.tokenizer.get_added_tokens_decoder().items() if t.special and not t.normalized]
+        self.mark, self.between = special[0] if special else (None, None)
 
     def __call__(self, texts: list[str | None]) -> list[np.ndarray]:
         """The ids of each whole text."""
         cut = [(t or "").replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ") for t in texts]
         known = self.known
-        missing = list(set().union(*cut).difference(known)) if cut else []
-        fresh = {w: np.array(e.ids, "<u4").tobytes() for w, e in zip(missing, self.tokenizer.encode_batch_fast(missing, add_special_tokens=False), strict=True)}
+        every = set().union(*cut) if cut else set()
+        missing = list(every.difference(known))
+        fresh = self._encoded(missing)
         if len(known) + len(fresh) <= self.remembered:
             known.update(fresh)
             find = known.__getitem__
         else:
-            find = lambda w: known[w] if w in known else fresh[w]
+            fresh.update({w: known[w] for w in every if w in known})
+            find = fresh.__getitem__
         return [np.frombuffer(b"".join(map(find, words)), "<u4") for words in cut]
 
 
+    def _encoded(self, words: list[str]) -> dict[str, bytes]:
+        one = [w for w in words if self.between is None or self.between in w]
+        many = [w for w in words if self.between is not None and self.between not in w]
+        out = {w: np.array(e.ids, "<u4").tobytes() for w, e in zip(one, self.tokenizer.encode_batch_fast(one, add_special_tokens=False), strict=True)}
+        for low in range(0, len(many), 1000):
+            some = many[low : low + 1000]
+            ids = np.array(self.tokenizer.encode_batch_fast([self.between.join(some)], add_special_tokens=False)[0].ids, "<u4")
+            cuts = np.flatnonzero(ids == self.mark)
+            raw, ends = ids.tobytes(), (4 * cuts).tolist()
+            out.update(zip(some, [raw[a:b] for a, b in zip([0, *[e + 4 for e in ends]], [*ends, len(raw)], strict=True)], strict=True))
+        return out
+
+
 @lru_cache(maxsize=2)
 def word_encoder(path: str) -> WordEncoder:
     return WordEncoder(path)
 
 
-def _frequencies(docs: DataFrame, tokenizer: str, end_id: int, vocabulary: int) -> np.ndarray:
+def tokenised(docs: DataFrame, tokenizer: str, end_id: int, vocabulary: int) -> DataFrame:
+    """(doc_id, ids): the ids of each whole text and the end id, as little-endian 16-bit numbers, or 32-bit for larger vocabularies."""
+    kind = "<u2" if vocabulary <= 1 << 16 else "<u4"
+    end = np.array([end_id], kind).tobytes()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        encode = word_encoder(tokenizer)
+        for b in batches:
+            ids = [x.astype(kind).tobytes() + end for x in encode(b.column("text").to_pylist())]
+            yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(ids, pa.binary())], names=["doc_id", "ids"])
+
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "doc_id bigint, ids binary")
+
+
+def _frequencies(coded: DataFrame, kind: str, vocabulary: int) -> np.ndarray:
     """How often each id occurs in the corpus; a vector of the vocabulary's size is all that reaches the driver."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode, total = word_encoder(tokenizer), np.zeros(vocabulary, np.int64)
+        total = np.zeros(vocabulary, np.int64)
         for b in batches:
-            total += np.bincount(np.concatenate(encode(b.column(0).to_pylist())), minlength=vocabulary)
-            total[end_id] += b.num_rows
+            total += np.bincount(np.frombuffer(b"".join(b.column(0).to_pylist()), kind), minlength=vocabulary)
         at = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(total[at])], names=["id", "n"])
 
-    counted = docs.select("text").mapInArrow(run, "id bigint, n bigint").groupBy("id").agg(F.sum("n").alias("n")).toPandas()
+    counted = coded.select("ids").mapInArrow(run, "id bigint, n bigint").groupBy("id").agg(F.sum("n").alias("n")).toPandas()
     out = np.zeros(vocabulary, np.int64)
     out[counted["id"].to_numpy()] = counted["n"].to_numpy()
     return out
@@ -130,44 +165,50 @@ def write_ids(docs: DataFrame, tokenizer: str, folder: str, end_id: int = 1) ->
     spark = docs.sparkSession
     small_batches(spark)
     vocabulary = max(Tokenizer.from_file(tokenizer).get_vocab_size(), end_id + 1)
-    by_rank = np.argsort(-_frequencies(docs, tokenizer, end_id, vocabulary), kind="stable").astype("<u4")
+    kind = "<u2" if vocabulary <= 1 << 16 else "<u4"
+    coded = written(tokenised(docs, tokenizer, end_id, vocabulary))  # read three times, tokenised once
+    by_rank = np.argsort(-_frequencies(coded, kind, vocabulary), kind="stable").astype("<u4")
     _put(folder, "ranks.u32", by_rank.tobytes())
     rank_of = np.empty(vocabulary, np.uint32)
     rank_of[by_rank] = np.arange(vocabulary, dtype=np.uint32)
     sent = spark.sparkContext.broadcast(rank_of)  # bounded by the vocabulary
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    bounds = np.array(sorted(set(coded.approxQuantile("doc_id", [i / n for i in range(1, n)], 0.1 / n))) if n > 1 else [], np.float64)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode, ranks = word_encoder(tokenizer), sent.value
-        part, shard, before = -1, 0, 0
-        ids: list[np.ndarray] = []
-        docs_: list[int] = []
-        held = 0
+    def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            blocks = [encode_block(sent.value[np.frombuffer(x, kind)]) for x in b.column("ids").to_pylist()]
+            ids = b.column("doc_id").to_pylist()
+            part = [0 if d is None else int(np.searchsorted(bounds, d, "right")) for d in ids]
+            size = [x // np.dtype(kind).itemsize for x in pa.compute.binary_length(b.column("ids")).to_pylist()]
+            yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(part, pa.int32()), pa.array(size, pa.int64()), pa.array([c for c, _ in blocks], pa.binary()), pa.array([x for _, x in blocks], pa.binary())], names=["doc_id", "part", "n", "control", "data"])
+
+    def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        part, shard, before, held = -1, 0, 0, 0
+        rows: list[tuple] = []
 
         def flush() -> None:
             nonlocal shard, before, held
-            lengths = np.array([len(x) for x in ids], "<i8")
-            control, data = encode_block(ranks[np.concatenate(ids)])
-            head = np.array([part, before, len(docs_), held, len(control)], "<i8")
-            _put(folder, f"part-{part:06d}-{shard:06d}.svb", MAGIC + head.tobytes() + np.array(docs_, "<i8").tobytes() + lengths.tobytes() + control + data)
+            docs_, sizes, control, data = zip(*rows, strict=True)
+            control, data = b"".join(control), b"".join(data)
+            head = np.array([part, before, len(rows), held, len(control)], "<i8")
+            _put(folder, f"part-{part:06d}-{shard:06d}.svb", MAGIC + head.tobytes() + np.array(docs_, "<i8").tobytes() + np.array(sizes, "<i8").tobytes() + control + data)
             shard, before, held = shard + 1, before + held, 0
-            ids.clear()
-            docs_.clear()
+            rows.clear()
 
         for b in batches:
-            for d, x, p in zip(b.column("doc_id").to_pylist(), encode(b.column("text").to_pylist()), b.column("_part").to_pylist(), strict=True):
+            for d, p, size, control, data in zip(*[b.column(c).to_pylist() for c in ("doc_id", "part", "n", "control", "data")], strict=True):
                 part = p
-                ids.append(np.append(x, np.uint32(end_id)))
-                docs_.append(NULL_ID if d is None else d)
-                held += len(ids[-1])
+                rows.append((NULL_ID if d is None else d, size, control, data))
+                held += size
                 if held >= SHARD_IDS:
                     flush()
-        if held:
+        if rows:
             flush()
         yield pa.RecordBatch.from_arrays([pa.array([part], pa.int64()), pa.array([before], pa.int64())], names=["part", "n"])
 
-    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ordered = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").repartitionByRange(n, F.col("doc_id").asc_nulls_first()).sortWithinPartitions(F.col("doc_id").asc_nulls_first(), F.xxhash64("text"))
-    ordered.withColumn("_part", F.spark_partition_id()).mapInArrow(run, "part bigint, n bigint").agg(F.sum("n")).collect()
+    ordered = coded.mapInArrow(encode, "doc_id bigint, part int, n bigint, control binary, data binary").repartitionById(n, F.col("part")).sortWithinPartitions(F.col("doc_id").asc_nulls_first(), F.xxhash64("control", "data"))
+    ordered.mapInArrow(write, "part bigint, n bigint").agg(F.sum("n")).collect()
 
 
 def read_ids(spark: SparkSession, folder: str) -> DataFrame:
@@ -186,7 +227,7 @@ def read_ids(spark: SparkSession, folder: str) -> DataFrame:
                 docs_ = np.frombuffer(blob, "<i8", n_docs, at)
                 lengths = np.frombuffer(blob, "<i8", n_docs, at + 8 * n_docs)
                 at += 16 * n_docs
-                ids = by_rank.value[decode_block(blob[at : at + n_control], blob[at + n_control :], n_ids)]
+                ids = by_rank.value[decode_block(blob[at : at + n_control], blob[at + n_control :], lengths)]
                 ends = np.cumsum(lengths)
                 for s in range(0, n_docs, 512):
                     e = min(s + 512, n_docs)
