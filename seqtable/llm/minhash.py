@@ -7,8 +7,9 @@ corrected for accidental collisions, estimates their Jaccard similarity, and pai
 verified on their full shingle sets.
 
 Groups of any size are compared without emitting all pairs: each bucket of a band first links its members to its least
-one; only buckets that still hold several components are compared member by member, in tiles of bounded size, and emit
-only pairs of different components that pass the estimate.
+one; only buckets that still hold several components are compared member by member, in tiles of bounded size. Such a
+comparison first emits, for each component in a tile, its most promising pair with another one; when those are verified
+and joined, what is left in different components is compared in full, and every pair that passes the estimate is verified.
 """
 
 from __future__ import annotations
@@ -28,7 +29,9 @@ BANDS, LANES, MANTISSA = 24, 4, 10
 REGISTERS = BANDS * LANES
 #: The estimate's margin below the threshold, in standard deviations of the share of equal registers.
 SIGMAS = 5.0
-TILE = 64
+TILE, WIDE_TILE = 64, 256
+#: Rounds that join components by their most promising pairs, before the full comparison.
+JOINING_ROUNDS = 2
 _rng = np.random.default_rng(20)
 MULTIPLIERS = _rng.integers(0, 2**64, REGISTERS, dtype=np.uint64) | np.uint64(1)
 OFFSETS = _rng.integers(0, 2**64, REGISTERS, dtype=np.uint64)
@@ -166,29 +169,41 @@ def _lanes(b: pa.RecordBatch) -> np.ndarray:
     return b.column("bands").flatten().to_numpy(zero_copy_only=False).view(np.uint16).reshape(-1, REGISTERS)
 
 
-def _tile_pairs(members: DataFrame, percent: int) -> DataFrame:
+def _tile_pairs(members: DataFrame, percent: int, best_only: bool) -> DataFrame:
     """Pairs of members of one bucket in different components that pass the estimate; compared tile against tile.
 
     ``members``: band, value, set_key, root, n_shingles, bands, tile, tiles. Every tile meets itself and each other
     tile of its bucket once; a run of rows with one (band, value, i, j) has at most about two tiles. A pair that shares
-    several bands is reported by the first only.
+    several bands is reported by the first only. ``best_only``: for each component in a run only its pair with most
+    equal registers, if these reach the threshold.
     """
-    floor = _margin(percent / 100) * REGISTERS * 0.97
+    floor = percent / 100 * REGISTERS if best_only else _margin(percent / 100) * REGISTERS * 0.97
     met = members.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1))).select("band", "value", F.least("tile", "other").alias("i"), F.greatest("tile", "other").alias("j"), (F.col("tile") > F.col("other")).alias("second"), "set_key", "root", "n_shingles", "bands")
     keys = ["band", "value", "i", "j"]
     dealt = met.repartition(*keys).sortWithinPartitions(*keys)
 
     def of_run(rows: dict) -> list[tuple[str, str]]:
-        key, root, n, reg, second = rows["set_key"], rows["root"], rows["n"], rows["reg"], rows["second"]
+        key, n, reg, second = rows["set_key"], rows["n"], rows["reg"], rows["second"]
+        root = np.unique(rows["root"], return_inverse=True)[1]
         packed = np.ascontiguousarray(reg).view(np.uint64)
-        band, out = rows["band"], []
+        band, out, found = rows["band"], [], []
         for x in range(len(key)):
             y = np.flatnonzero((root != root[x]) & (100 * np.minimum(n, n[x]) >= percent * np.maximum(n, n[x])) & (second != second[x] if rows["apart"] else np.arange(len(key)) > x))
             y = y[y > x] if rows["apart"] else y
             if len(y):
-                y = y[(reg[y] == reg[x]).sum(axis=1) >= floor]
-                first = (packed[y] == packed[x]).argmax(axis=1) if len(y) else []
-                out += [(key[x], key[z]) for z, f in zip(y, first, strict=True) if f == band]
+                equal = (reg[y] == reg[x]).sum(axis=1)
+                y, equal = y[equal >= floor], equal[equal >= floor]
+                if best_only:
+                    found += [(x, z, e) for z, e in zip(y.tolist(), equal.tolist(), strict=True)]
+                elif len(y):
+                    first = (packed[y] == packed[x]).argmax(axis=1)
+                    out += [(key[x], key[z]) for z, f in zip(y, first, strict=True) if f == band]
+        if found:
+            i, j, e = np.array(found).T
+            ends, both = np.concatenate([root[i], root[j]]), np.concatenate([np.arange(len(i))] * 2)
+            order = np.lexsort((-np.concatenate([e, e]), ends))
+            _, first = np.unique(ends[order], return_index=True)
+            out = [(key[i[k]], key[j[k]]) for k in np.unique(both[order[first]])]
         return out
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -231,6 +246,18 @@ def _tile_pairs(members: DataFrame, percent: int) -> DataFrame:
     return dealt.mapInArrow(run, "a string, b string")
 
 
+def _unjoined(shared: DataFrame, roots: DataFrame, classes: DataFrame, percent: int, joining: bool) -> DataFrame:
+    """Candidate pairs of different components among the members of each bucket."""
+    named = shared.select("set_key").distinct().join(roots, F.col("set_key") == F.col("node"), "left").select(F.col("set_key").alias("node"), F.coalesce("root", "set_key").alias("root"))
+    labelled = written(shared.join(written(named), F.col("set_key") == F.col("node")).select("set_key", "band", "value", "root"))
+    open_ = labelled.groupBy("band", "value").agg(F.min("root").alias("low"), F.max("root").alias("high"), F.count("*").alias("n")).where("low <> high")
+    tiles = F.ceil(F.col("n") / (WIDE_TILE if joining else TILE)).cast("int")
+    probe = F.col("value").bitwiseXOR(F.lit(-1))
+    members = labelled.withColumn("v", probe).join(open_.select(F.col("band").alias("band_"), probe.alias("v_"), tiles.alias("tiles")), (F.col("band") == F.col("band_")) & (F.col("v") == F.col("v_"))).select("band", "value", "set_key", "root", "tiles")
+    members = members.join(classes.select("set_key", "n_shingles", "bands"), "set_key").withColumn("tile", F.pmod(F.xxhash64("set_key"), F.col("tiles")).cast("int"))
+    return _tile_pairs(members, percent, joining)
+
+
 def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
     """One row per document: doc_id, n_shingles, component_id (least doc_id of its group), kept (whether it is that one).
 
@@ -252,17 +279,15 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame
     near = _verified(written(_plausible(to_pivot, classes, percent)), classes, docs, k, percent)
     links = written(near)
     roots = written(components(links))
-    named = written(shared.select("set_key").distinct().join(roots, F.col("set_key") == F.col("node"), "left").select(F.col("set_key").alias("node"), F.coalesce("root", "set_key").alias("root")))
-    labelled = written(shared.join(named, F.col("set_key") == F.col("node")).select("set_key", "band", "value", "root"))
-    open_ = labelled.groupBy("band", "value").agg(F.min("root").alias("low"), F.max("root").alias("high"), F.count("*").alias("n")).where("low <> high")
-    tiles = F.ceil(F.col("n") / TILE).cast("int")
-    members = labelled.withColumn("v", probe).join(open_.select(F.col("band").alias("band_"), probe.alias("v_"), tiles.alias("tiles")), (F.col("band") == F.col("band_")) & (F.col("v") == F.col("v_"))).select("band", "value", "set_key", "root", "tiles")
-    members = members.join(classes.select("set_key", "n_shingles", "bands"), "set_key").withColumn("tile", F.pmod(F.xxhash64("set_key"), F.col("tiles")).cast("int"))
-    more = written(_plausible(_tile_pairs(members, percent).distinct(), classes, percent))
-    if more.limit(1).count():
+    for i in range(JOINING_ROUNDS + 1):
+        joining = i < JOINING_ROUNDS
+        more = written(_plausible(_unjoined(shared, roots, classes, percent, joining).distinct(), classes, percent))
+        if not more.limit(1).count():
+            continue
         late = written(_verified(more, classes, docs, k, percent))
         if late.limit(1).count():
-            roots = written(components(links.unionByName(late)))
+            links = written(links.unionByName(late))
+            roots = written(components(links))
     grouped = classes.select("set_key", "first_doc").join(roots, F.col("set_key") == F.col("node"), "left").select("set_key", "first_doc", F.coalesce("root", "set_key").alias("root"))
     least = grouped.groupBy("root").agg(F.min("first_doc").alias("component_id"))
     named_sets = grouped.select("set_key", F.reverse("root").alias("_k")).join(least.select(F.reverse("root").alias("_k"), "component_id"), "_k").select(F.col("set_key").alias("_set"), "component_id")
