@@ -118,7 +118,7 @@ def test_map_back_conserves_counts(spark):
 
 
 def test_columns(spark):
-    df = spark.createDataFrame([("SRR1", "PRJNA1", "a", "A", " ", "a"), ("SRR2", "PRJNA1", "b", None, None, "b")], "Run_id string, p_x string, Geo_Loc string, geo_loc string, blank string, again string")
+    df = spark.createDataFrame([("SRR1", "PRJNA1", "a", "A", " ", "a"), ("SRR2", "PRJNA1", "b", None, None, "b")], "Run_id string, p_x string, Geo_Loc string, `geo loc` string, blank string, again string")
     out = md.standardize_columns(df)
     assert out.columns[:2] == ["Run", "Bioproject"] and "GeoLoc" in out.columns
     assert md.empty_columns(df) == ["blank"]
