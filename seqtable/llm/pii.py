@@ -7,7 +7,7 @@ get equal pseudonyms in every document and row order never matters:
   recomputed; numbers that fail the checksum are not personal data and stay;
 * phone numbers (8 to 15 digits after ``+``, or the 3-3-4 form), national ids (3-2-4 form with a valid area, group and
   serial): digits permuted, punctuation kept;
-* IPv4 addresses (each part at most 255): permuted as one 32-bit number;
+* IPv4 addresses (each part at most 255): parts permuted among those of as many digits;
 * calendar dates (``yyyy-mm-dd``, ``dd.mm.yyyy``, ``dd/mm/yyyy``, 1900 to 2099): permuted as day numbers;
 * e-mail addresses: letters and digits of the local part and of the domain (all but its last label) permuted, so that
   equal domains stay equal;
@@ -42,11 +42,27 @@ def _noise(key: str, kind: str, *parts: Column) -> Column:
     return F.conv(F.substring(F.sha2(F.concat_ws("|", F.lit(key), F.lit(kind), *[p.cast("string") for p in parts]), 256), 1, 8), 16, 10).cast("long")
 
 
+def permute_cells(cells: Column, key: str, kind: str) -> Column:
+    """A keyed permutation of cells (x, r, o), x within 0 .. r - 1 each; r and o stay in place.
+
+    An alternating Feistel network over the two halves of the cells, with the radix of each cell.
+    """
+    half = F.ceil(F.size(cells) / 2).cast("int")
+
+    def round_(state: Column, i: Column) -> Column:
+        left, right = state["l"], state["r"]
+        other = F.array_join(F.transform(right, lambda c: c["x"].cast("string")), ",")
+        mixed = F.transform(left, lambda c, j: F.struct(F.pmod(c["x"] + _noise(key, kind, i, j, other), c["r"]).alias("x"), c["r"].alias("r"), c["o"].alias("o")))
+        return F.struct(right.alias("l"), mixed.alias("r"))
+
+    state = F.aggregate(F.sequence(F.lit(1), F.lit(ROUNDS)), F.struct(F.slice(cells, F.lit(1), half).alias("l"), F.slice(cells, half + 1, F.size(cells)).alias("r")), round_)
+    return F.transform(F.array(state), lambda t: F.concat(t["l"], t["r"]))[0]
+
+
 def permute_chars(s: Column, key: str, kind: str, alphabets: list[str]) -> Column:
     """Permute the characters of ``s`` that are in one of ``alphabets``, each within its alphabet.
 
-    An alternating Feistel network over the two halves of those characters, with one radix for each position; other
-    characters stay in place. One character alone is shifted by the key.
+    Other characters stay in place. One character alone is shifted by the key.
     """
     every = "".join(alphabets)
     parts = F.filter(F.split(s, ""), lambda c: c != "")
@@ -66,16 +82,7 @@ def permute_chars(s: Column, key: str, kind: str, alphabets: list[str]) -> Colum
 
     own = F.filter(parts, lambda c: F.instr(F.lit(every), c) > 0)
     cells = F.transform(own, lambda c: F.struct((F.instr(F.lit(every), c) - 1 - origin(c)).cast("long").alias("x"), radix(c).cast("long").alias("r"), origin(c).alias("o")))
-    half = F.ceil(F.size(own) / 2).cast("int")
-
-    def round_(state: Column, i: Column) -> Column:
-        left, right = state["l"], state["r"]
-        other = F.array_join(F.transform(right, lambda c: c["x"].cast("string")), ",")
-        mixed = F.transform(left, lambda c, j: F.struct(F.pmod(c["x"] + _noise(key, kind, i, j, other), c["r"]).alias("x"), c["r"].alias("r"), c["o"].alias("o")))
-        return F.struct(right.alias("l"), mixed.alias("r"))
-
-    state = F.aggregate(F.sequence(F.lit(1), F.lit(ROUNDS)), F.struct(F.slice(cells, F.lit(1), half).alias("l"), F.slice(cells, half + 1, F.size(cells)).alias("r")), round_)
-    done = F.transform(F.array(state), lambda t: F.transform(F.concat(t["l"], t["r"]), lambda c: F.substring(F.lit(every), (c["o"] + c["x"] + 1).cast("int"), F.lit(1))))[0]
+    done = F.transform(permute_cells(cells, key, kind), lambda c: F.substring(F.lit(every), (c["o"] + c["x"] + 1).cast("int"), F.lit(1)))
     filled = F.aggregate(
         parts, F.struct(F.lit("").alias("s"), F.lit(1).alias("at"), done.alias("d")),
         lambda acc, c: F.when(F.instr(F.lit(every), c) > 0, F.struct(F.concat(acc["s"], F.element_at(acc["d"], acc["at"])).alias("s"), (acc["at"] + 1).alias("at"), acc["d"].alias("d"))).otherwise(F.struct(F.concat(acc["s"], c).alias("s"), acc["at"].alias("at"), acc["d"].alias("d"))),
@@ -151,9 +158,12 @@ def _date(s: Column, key: str) -> Column:
 
 def _ip(s: Column, key: str) -> Column:
     part = F.split(s, r"\.")
-    number = F.aggregate(part, F.lit(0).cast("long"), lambda a, p: a * 256 + p.cast("long"))
-    put = lambda v: F.concat_ws(".", *[F.pmod(F.shiftright(v, 8 * i), F.lit(256)).cast("string") for i in (3, 2, 1, 0)])
-    return F.when(F.forall(part, lambda p: p.cast("int") <= 255), _bind(permute_number(number, 1 << 32, key, "ip"), put)).otherwise(s)
+    # parts of one, two and three digits are permuted among themselves, so that the length stays
+    low = lambda n: F.when(n < 10, 0).when(n < 100, 10).otherwise(100)
+    size = lambda n: F.when(n < 10, 10).when(n < 100, 90).otherwise(156)
+    cells = F.transform(F.transform(part, lambda p: p.cast("int")), lambda n: F.struct((n - low(n)).cast("long").alias("x"), size(n).cast("long").alias("r"), low(n).alias("o")))
+    new = F.array_join(F.transform(permute_cells(cells, key, "ip"), lambda c: (c["o"] + c["x"]).cast("string")), ".")
+    return F.when(F.forall(part, lambda p: (p.cast("int") <= 255) & ((F.length(p) == 1) | ~p.startswith("0"))), new).otherwise(s)
 
 
 def _email(s: Column, key: str) -> Column:
