@@ -60,12 +60,12 @@ def mix(docs: DataFrame, seed: int = 17, weights: tuple[int, ...] = (1, 2, 3), m
     of their own; an empty table gives an empty result. Whole documents are taken: the play that would pass the budget
     ends the mix. Reruns agree, since the shuffle is a keyed hash of doc_id (ties: doc_id, size).
     """
-    sized = written(docs.select(*keep, "doc_id", "source", size_of(F.col("text")).alias("size"), F.xxhash64(F.lit(seed), "doc_id", *keep).alias("_h")))
+    sized = written(docs.select(*keep, "doc_id", "source", size_of(F.col("text")).alias("size"), F.xxhash64(F.lit(seed), "doc_id").alias("_h")))
     n = sized.count()
     bits = max(0, math.ceil(math.log2(max(1.0, n / max(128.0, math.sqrt(n))))))
     goal = written(targets(sized.groupBy("source").agg(F.sum("size").alias("source_size")), weights, max_repeats))
     budget = goal.agg(F.coalesce(F.sum("source_size"), F.lit(0))).first()[0]
-    order = [F.col("_h"), F.col("doc_id"), F.col("size")]
+    order = [F.col("_h"), F.col("doc_id"), F.col("size"), *map(F.col, keep)]
     bucket = F.shiftrightunsigned(F.col("_h").bitwiseXOR(F.lit(-(2**63))), 64 - bits) if bits else F.lit(0).cast("long")
     placed = _running(sized.withColumn("_bucket", bucket), ["source"], "_bucket", order, "size", "_cum").drop("_bucket")
     goal = goal.withColumnRenamed("source", "_src")
@@ -89,7 +89,7 @@ def mixed_documents(docs: DataFrame, **options) -> DataFrame:
     keyed = docs.withColumn("_key", key)
     plan = mix(keyed, keep=("_key",), **options).groupBy("_key").agg(F.sum("n_taken").cast("int").alias("_n"), F.count("*").alias("_g")).where("_n > 0")
     plan = written(plan)
-    # equal rows stand in several rows of docs: the first play of each is its own, so the sum is dealt out once
-    single = keyed.join(plan.where("_g = 1"), "_key")
-    several = keyed.join(plan.where("_g > 1"), "_key").dropDuplicates(["_key"])
-    return single.unionByName(several).withColumn("_i", F.explode(F.sequence(F.lit(1), F.col("_n")))).select(*[F.col(f"`{c}`") for c in docs.columns])
+    met = keyed.join(plan.where("_g = 1"), "_key")
+    if plan.where("_g > 1").limit(1).count():  # one of several equal rows stands for all
+        met = met.unionByName(keyed.join(plan.where("_g > 1"), "_key").dropDuplicates(["_key"]))
+    return met.withColumn("_i", F.explode(F.sequence(F.lit(1), F.col("_n")))).select(*[F.col(f"`{c}`") for c in docs.columns])
