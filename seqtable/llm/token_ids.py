@@ -70,18 +70,18 @@ class WordEncoder:
     The ids of a word are remembered for the life of the worker process, up to a bound on the number of words.
     """
 
-    def __init__(self, path: str, remembered: int = 600_000) -> None:
+    def __init__(self, path: str, kind: str = "<u4", remembered: int = 900_000) -> None:
         from tokenizers import Tokenizer
 
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
-        self.tokenizer, self.remembered = Tokenizer.from_file(path), remembered
+        self.tokenizer, self.kind, self.remembered = Tokenizer.from_file(path), kind, remembered
         self.known: dict[str, bytes] = {"": b""}
         # words are sent many to a text with a special token between them, which no word may hold
         special = [(i, t.content) for i, t in self.tokenizer.get_added_tokens_decoder().items() if t.special and not t.normalized]
         self.mark, self.between = special[0] if special else (None, None)
 
-    def __call__(self, texts: list[str | None]) -> list[np.ndarray]:
-        """The ids of each whole text."""
+    def __call__(self, texts: list[str | None]) -> list[bytes]:
+        """The ids of each whole text, as numbers of the encoder's kind."""
         cut = [(t or "").replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ") for t in texts]
         known = self.known
         every = set().union(*cut) if cut else set()
@@ -91,27 +91,28 @@ class WordEncoder:
             known.update(fresh)
             find = known.__getitem__
         else:
-            fresh.update({w: known[w] for w in every if w in known})
+            fresh.update({w: known[w] for w in every.intersection(known)})
             find = fresh.__getitem__
-        return [np.frombuffer(b"".join(map(find, words)), "<u4") for words in cut]
+        return [b"".join(map(find, words)) for words in cut]
 
 
     def _encoded(self, words: list[str]) -> dict[str, bytes]:
         one = [w for w in words if self.between is None or self.between in w]
         many = [w for w in words if self.between is not None and self.between not in w]
-        out = {w: np.array(e.ids, "<u4").tobytes() for w, e in zip(one, self.tokenizer.encode_batch_fast(one, add_special_tokens=False), strict=True)}
+        out = {w: np.array(e.ids, self.kind).tobytes() for w, e in zip(one, self.tokenizer.encode_batch_fast(one, add_special_tokens=False), strict=True)}
         for low in range(0, len(many), 1000):
             some = many[low : low + 1000]
-            ids = np.array(self.tokenizer.encode_batch_fast([self.between.join(some)], add_special_tokens=False)[0].ids, "<u4")
+            ids = np.array(self.tokenizer.encode_batch_fast([self.between.join(some)], add_special_tokens=False)[0].ids, self.kind)
             cuts = np.flatnonzero(ids == self.mark)
-            raw, ends = ids.tobytes(), (4 * cuts).tolist()
-            out.update(zip(some, [raw[a:b] for a, b in zip([0, *[e + 4 for e in ends]], [*ends, len(raw)], strict=True)], strict=True))
+            wide = ids.itemsize
+            raw, ends = ids.tobytes(), (wide * cuts).tolist()
+            out.update(zip(some, [raw[a:b] for a, b in zip([0, *[e + wide for e in ends]], [*ends, len(raw)], strict=True)], strict=True))
         return out
 
 
 @lru_cache(maxsize=2)
-def word_encoder(path: str) -> WordEncoder:
-    return WordEncoder(path)
+def word_encoder(path: str, kind: str = "<u4") -> WordEncoder:
+    return WordEncoder(path, kind)
 
 
 def tokenised(docs: DataFrame, tokenizer: str, end_id: int, vocabulary: int) -> DataFrame:
@@ -120,9 +121,9 @@ def tokenised(docs: DataFrame, tokenizer: str, end_id: int, vocabulary: int) ->
     end = np.array([end_id], kind).tobytes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = word_encoder(tokenizer)
+        encode = word_encoder(tokenizer, kind)
         for b in batches:
-            ids = [x.astype(kind).tobytes() + end for x in encode(b.column("text").to_pylist())]
+            ids = [x + end for x in encode(b.column("text").to_pylist())]
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(ids, pa.binary())], names=["doc_id", "ids"])
 
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "doc_id bigint, ids binary")
@@ -211,8 +212,12 @@ def write_ids(docs: DataFrame, tokenizer: str, folder: str, end_id: int = 1) ->
     ordered.mapInArrow(write, "part bigint, n bigint").agg(F.sum("n")).collect()
 
 
-def read_ids(spark: SparkSession, folder: str) -> DataFrame:
-    """(doc_id, start, ids) of the documents in the shards of ``folder``; ``start`` counts the ids of all documents before."""
+def read_ids(spark: SparkSession, folder: str, digest_only: bool = False) -> DataFrame:
+    """(doc_id, start, ids) of the documents in the shards of ``folder``; ``start`` counts the ids of all documents before.
+
+    ``digest_only``: (doc_id, start, n_tokens, ids_crc32) instead, the checksum being that of the decoded ids as
+    little-endian unsigned 32-bit integers.
+    """
     fs, path = pafs.FileSystem.from_uri(folder)
     with fs.open_input_stream(f"{path}/ranks.u32") as f:
         by_rank = spark.sparkContext.broadcast(np.frombuffer(f.read(), "<u4"))
@@ -229,21 +234,27 @@ def read_ids(spark: SparkSession, folder: str) -> DataFrame:
                 at += 16 * n_docs
                 ids = by_rank.value[decode_block(blob[at : at + n_control], blob[at + n_control :], lengths)]
                 ends = np.cumsum(lengths)
+                starts = ends - lengths
+                named = [pa.array(docs_, mask=docs_ == NULL_ID), pa.array(np.full(n_docs, part)), pa.array(before + starts)]
+                if digest_only:
+                    raw = memoryview(np.ascontiguousarray(ids, "<u4")).cast("B")
+                    crc = [zlib.crc32(raw[4 * x : 4 * y]) for x, y in zip(starts.tolist(), ends.tolist(), strict=True)]
+                    yield pa.RecordBatch.from_arrays([*named, pa.array(lengths), pa.array(crc, pa.int64())], names=["doc_id", "part", "start", "n_tokens", "ids_crc32"])
+                    continue
                 for s in range(0, n_docs, 512):
                     e = min(s + 512, n_docs)
-                    low = ends[s] - lengths[s]
-                    offsets = np.append(ends[s:e] - lengths[s:e], ends[e - 1]) - low
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(docs_[s:e], mask=docs_[s:e] == NULL_ID), pa.array(np.full(e - s, part)), pa.array(before + ends[s:e] - lengths[s:e]), pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(ids[low : ends[e - 1]].astype(np.int64)))],
-                        names=["doc_id", "part", "start", "ids"],
-                    )
+                    low = starts[s]
+                    offsets = np.append(starts[s:e], ends[e - 1]) - low
+                    yield pa.RecordBatch.from_arrays([*[x[s:e] for x in named], pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(ids[low : ends[e - 1]].astype(np.int64)))], names=["doc_id", "part", "start", "ids"])
 
+    rest = ["n_tokens", "ids_crc32"] if digest_only else ["ids"]
+    kinds = "n_tokens bigint, ids_crc32 bigint" if digest_only else "ids array<bigint>"
     files = spark.read.format("binaryFile").option("pathGlobFilter", "*.svb").schema("path string, modificationTime timestamp, length bigint, content binary").load(folder)
-    decoded = files.select("content").mapInArrow(run, "doc_id bigint, part bigint, start bigint, ids array<bigint>")
+    decoded = files.select("content").mapInArrow(run, f"doc_id bigint, part bigint, start bigint, {kinds}")
     # one row for each partition of the writer: its ids, and those of the partitions before
     heads = files.select("content").mapInArrow(_heads, "part bigint, n bigint").groupBy("part").agg(F.sum("n").alias("n"))
     before = heads.select(F.col("part").alias("_part"), F.coalesce(F.sum("n").over(Window.partitionBy(F.lit(0)).orderBy("part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_before"))
-    return decoded.join(F.broadcast(before), F.col("part") == F.col("_part")).select("doc_id", (F.col("start") + F.col("_before")).alias("start"), "ids")
+    return decoded.join(F.broadcast(before), F.col("part") == F.col("_part")).select("doc_id", (F.col("start") + F.col("_before")).alias("start"), *rest)
 
 
 def _heads(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -252,20 +263,8 @@ def _heads(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array([int(h[0]) for h in heads], pa.int64()), pa.array([int(h[3]) for h in heads], pa.int64())], names=["part", "n"])
 
 
-def checked(rows: DataFrame) -> DataFrame:
-    """doc_id, start, n_tokens and ids_crc32 (of the ids as little-endian unsigned 32-bit integers) of decoded rows."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            crc = [zlib.crc32(x.values.to_numpy(zero_copy_only=False).astype("<u4").tobytes()) if x.is_valid else None for x in b.column("ids")]
-            size = pa.compute.list_value_length(b.column("ids"))
-            yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("start"), size.cast(pa.int64()), pa.array(crc, pa.int64())], names=["doc_id", "start", "n_tokens", "ids_crc32"])
-
-    return rows.mapInArrow(run, "doc_id bigint, start bigint, n_tokens bigint, ids_crc32 bigint")
-
-
 def digest(docs: DataFrame, tokenizer: str, end_id: int = 1) -> DataFrame:
     """Write the shards of ``docs`` in the shared folder and describe each document as read back from them."""
     folder = shared_folder(docs.sparkSession)
     write_ids(docs, tokenizer, folder, end_id)
-    return checked(read_ids(docs.sparkSession, folder))
+    return read_ids(docs.sparkSession, folder, digest_only=True)
