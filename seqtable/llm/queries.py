@@ -39,10 +39,7 @@ def op3_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op4_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document encoded with merge dropout and decoded again; ``lossless`` compares the texts."""
-    model = tokenizer_path("piece_bpe_32k.model")
-    docs = _table(spark, sf_dir, "documents").select("doc_id", "text", F.coalesce("text", F.lit("")).alias("original"))
-    back = pieces.decoded(pieces.encoded(docs, model, dropout=0.1, seed=SEED).withColumn("n_pieces", F.size("piece_ids").cast("long")).withColumn("ids_crc32", F.crc32(F.array_join("piece_ids", ",").cast("binary"))), model)
-    return back.select("doc_id", "n_pieces", "ids_crc32", (F.col("text") == F.col("original")).alias("lossless"))
+    return pieces.round_trip(_table(spark, sf_dir, "documents"), tokenizer_path("piece_bpe_32k.model"), dropout=0.1, seed=SEED)
 
 
 def op5_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
