@@ -98,7 +98,7 @@ def test_registers_estimate():
     common, a, b = (r.integers(0, 2**64, n, dtype=np.uint64) for n in (800, 100, 100))
     x, y = minhash.sketches([np.unique(np.concatenate([common, a])), np.unique(np.concatenate([common, b]))])
     assert abs((x == y).mean() - 0.8) < 0.15
-    assert minhash.registers(np.array([1 << 63, 0], np.uint64)).tolist() == [1024 * 0, 53 << 10] or True
+    assert minhash.registers(np.array([1 << 63, 0], np.uint64)).tolist() == [0, 53 << 10]
 
 
 def brute_rule(host, path):
@@ -131,8 +131,8 @@ def labeller(spark, data):
 
 
 def test_blocks_end_where_html_ends_them():
-    got = [(b.text, b.path[-1]) for b in html_text.blocks("<p>a<b>b</b> c<p>d<ul><li>e<li>f</ul>g<!-- x --><h2>h")]
-    assert got == [("ab c", "p"), ("d", "p"), ("e", "li"), ("f", "li"), ("g", got[4][1]), ("h", "h2")] or [t for t, _ in got] == ["ab c", "d", "e", "f", "g", "h"]
+    got = [b.text for b in html_text.blocks("<p>a<b>b</b> c<p>d<ul><li>e<li>f</ul>g<!-- x --><h2>h")]
+    assert got == ["ab c", "d", "e", "f", "g", "h"]
 
 
 def test_main_text(spark, labeller):
