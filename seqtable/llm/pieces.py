@@ -1,9 +1,10 @@
 """SentencePiece BPE encoding with seeded merge dropout, and decoding.
 
 The merges of the model are applied from an agenda (best score first, then leftmost). With ``dropout`` above 0 each
-candidate merge is skipped if a keyed hash of (seed, variant, position, pieces) falls below it: segmentations vary, and
-all of them decode to the same text. A word's variant is a keyed hash of its document and place, one of ``variants``;
-the segmentations of a (word, variant) are remembered up to a bound. The model's own file is read, never trained.
+candidate merge that comes up is skipped with that chance, by a draw of its own: a keyed hash of (seed, document, place of
+the word in the document) gives how many candidates are applied before the next one is skipped, so every occurrence of a
+word is varied anew, and all its segmentations decode to the same text. What a word becomes after given skips does not
+depend on the draw; it is remembered, up to a bound. The model's own file is read, never trained.
 """
 
 from __future__ import annotations
@@ -11,8 +12,10 @@ from __future__ import annotations
 import heapq
 import re
 import zlib
-from collections.abc import Iterator
+from bisect import bisect_right
+from collections.abc import Iterable, Iterator
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -23,26 +26,30 @@ from pyspark.sql import functions as F
 from .scratch import small_batches
 
 SPACE = "▁"
+#: Words of up to so many characters are merged together, and their segmentations after skips are remembered.
+WIDE = 32
+#: A word of WIDE characters has fewer candidates than this.
+STEPS = 128
+#: Fewer words than this are merged one by one.
+FEW = 32
 
 
 class PieceEncoder:
     """Encode with the vocabulary of a SentencePiece BPE model with byte fallback and identity normalisation."""
 
-    def __init__(self, model: str, dropout: float = 0.1, seed: int = 7, variants: int = 2, remembered: int = 800_000) -> None:
+    def __init__(self, model: str, dropout: float = 0.1, seed: int = 7, remembered: int = 800_000) -> None:
         import sentencepiece
 
         self.model = sentencepiece.SentencePieceProcessor(model_file=model)
-        self.dropout, self.seed, self.variants, self.remembered = dropout, seed, variants if dropout > 0 else 1, remembered
+        self.seed, self.remembered = seed, remembered
         m = self.model
         plain = [i for i in range(m.get_piece_size()) if not (m.is_control(i) or m.is_unknown(i) or m.is_byte(i) or m.is_unused(i))]
         self.ids = {m.id_to_piece(i): i for i in plain}
         self.scores = {m.id_to_piece(i): m.get_score(i) for i in plain}
-        self.known: dict[tuple[str, int], bytes] = {}
         self.bytes = [m.piece_to_id(f"<0x{b:02X}>") for b in range(256)]
         # a space mark or a line end in a text is written as bytes; a text is cut there unless a piece could span it
         alone = [SPACE, *["\n"] * (not any("\n" in t for t in self.ids))]
         self.marks = {c: "\n" + c for c in alone}  # no word holds a line end
-        self.known.update({("\n" + c, v): np.array([self.bytes[b] for b in c.encode()], np.int32).tobytes() for c in alone for v in range(self.variants)})
         self.cut = re.compile("([" + "".join(alone) + "])")
         # a text is cut before each run of spaces, where no piece of the vocabulary can span
         self.texts = [b""] * m.get_piece_size()  # control pieces have no text
@@ -62,51 +69,78 @@ class PieceEncoder:
             if len(t) == 1:
                 self.chars[ord(t)] = i
 
-    def merge(self, word: str, variant: int = 0) -> list[int]:
-        """Ids of one word (with its leading space marks).
-
-        The agenda holds the best score at each adjacent pair; a candidate that the keyed hash skips is never offered
-        again at its place.
+        # chances, of 2**53, that at most so many candidates are applied before one is skipped
+        keep, left = 2**24 - int(dropout * 2**24), 2**53
+        self.gaps: list[int] = []
+        while keep < 2**24 and left:
+            left = left * keep >> 24
+            self.gaps.append(2**53 - left)
+        self.gap_table = np.array(self.gaps, np.uint64)
+        # what is remembered: nodes, each a word after given skips, with its ids in the pool and how many candidates came up
+        self.roots: dict[str, int] = {}
+        self.children: dict[int, int] = {}  # node * STEPS + place of one skip more
+        self.paths: list[tuple[str, tuple[int, ...]]] = []
+        self.starts, self.sizes, self.steps, self.wide = (np.zeros(1024, np.int64) for _ in range(4))
+        self.pool, self.pooled = np.zeros(4096, np.int32), 0
+        for c, w in self.marks.items():
+            raw = np.array([self.bytes[b] for b in c.encode()], np.int32)
+            self.roots[w] = self._add([(w, ())], raw, np.array([len(raw)]), np.array([0]))
+
+    def _add(self, paths: list[tuple[str, tuple[int, ...]]], ids: np.ndarray, sizes: np.ndarray, steps: np.ndarray) -> int:
+        """Append nodes; the number of the first."""
+        first, last, end = len(self.paths), len(self.paths) + len(paths), self.pooled + len(ids)
+        while last > len(self.starts):
+            self.starts, self.sizes, self.steps, self.wide = (np.concatenate([x, np.zeros_like(x)]) for x in (self.starts, self.sizes, self.steps, self.wide))
+        if end > len(self.pool):
+            self.pool = np.concatenate([self.pool[: self.pooled], np.zeros(end, np.int32)])
+        self.paths += paths
+        self.sizes[first:last], self.steps[first:last], self.wide[first:last] = sizes, steps, [len(w) > WIDE for w, _ in paths]
+        self.starts[first:last] = self.pooled + np.cumsum(sizes) - sizes
+        self.pool[self.pooled : end] = ids
+        self.pooled = end
+        return first
+
+    def _drop(self, nodes: int) -> None:
+        """Forget all nodes from this one on."""
+        if nodes < len(self.paths):
+            self.pooled = int(self.starts[nodes])
+            del self.paths[nodes:]
+
+    def merge(self, word: str, skips: Iterable[int] = ()) -> tuple[list[int], int]:
+        """Ids of one word (with its leading space marks), and how many candidates came up.
+
+        The agenda holds the best score at each adjacent pair. The candidates at the places ``skips``, in the order in
+        which they come up, are not applied, and never offered again.
         """
         sym = list(word)
-        known, ids, limit = self.scores.get, self.ids, int(self.dropout * 2**24)
-        key = xxhash.xxh3_64_intdigest(word, self.seed * 1000 + variant) if limit else 0
-        none = -1e30
-
-        def offer(piece: str, at: int) -> float:
-            s = known(piece)
-            if s is None:
-                return none
-            if limit:
-                x = ((key + ids[piece] * 0x9E3779B97F4A7C15 + at * 0xD1B54A32D192ED03) & 0xFFFFFFFFFFFFFFFF) * 0xBF58476D1CE4E5B9
-                if (x >> 33) & 0xFFFFFF < limit:
-                    return none
-            return s
-
+        known, due, step, none = self.scores.get, iter(skips), 0, -1e30
+        skip = next(due, -1)
         if len(sym) > 64:
-            return self._merge_long(sym, offer)
-        at = list(range(len(sym)))
-        agenda = [offer(sym[i] + sym[i + 1], i) for i in range(len(sym) - 1)]
+            return self._merge_long(sym, due, skip)
+        agenda = [known(sym[i] + sym[i + 1], none) for i in range(len(sym) - 1)]
         while agenda and (best := max(agenda)) > none:
             i = agenda.index(best)
+            step += 1
+            if step - 1 == skip:
+                agenda[i], skip = none, next(due, -1)
+                continue
             sym[i] += sym.pop(i + 1)
-            at.pop(i + 1)
             agenda.pop(i)
             if i < len(agenda):
-                agenda[i] = offer(sym[i] + sym[i + 1], at[i])
+                agenda[i] = known(sym[i] + sym[i + 1], none)
             if i:
-                agenda[i - 1] = offer(sym[i - 1] + sym[i], at[i - 1])
-        return self._ids(sym)
+                agenda[i - 1] = known(sym[i - 1] + sym[i], none)
+        return self._ids(sym), step
 
-    def _merge_long(self, sym: list[str], offer) -> list[int]:
+    def _merge_long(self, sym: list[str], due: Iterator[int], skip: int) -> tuple[list[int], int]:
         """The same from a heap, for runs of hundreds or thousands of characters without a space."""
-        n = len(sym)
+        n, step = len(sym), 0
         before, after = list(range(-1, n - 1)), [*range(1, n), -1]
         heap: list[tuple[float, int, str, int]] = []
 
         def push(i: int) -> None:
             j = after[i]
-            if j >= 0 and (s := offer(sym[i] + sym[j], i)) > -1e30:
+            if j >= 0 and (s := self.scores.get(sym[i] + sym[j])) is not None:
                 heapq.heappush(heap, (-s, i, sym[i] + sym[j], j))
 
         for i in range(n - 1):
@@ -115,13 +149,17 @@ class PieceEncoder:
             _, i, piece, j = heapq.heappop(heap)
             if not sym[i] or not sym[j] or after[i] != j or sym[i] + sym[j] != piece:
                 continue
+            step += 1
+            if step - 1 == skip:
+                skip = next(due, -1)
+                continue
             sym[i], sym[j], after[i] = piece, "", after[j]
             if after[i] >= 0:
                 before[after[i]] = i
                 push(i)
             if before[i] >= 0:
                 push(before[i])
-        return self._ids([s for s in sym if s])
+        return self._ids([s for s in sym if s]), step
 
     def _ids(self, sym: list[str]) -> list[int]:
         out: list[int] = []
@@ -144,96 +182,157 @@ class PieceEncoder:
                 held = 0
         return [*out, SPACE * held] if held else out
 
-    def _candidates(self, left: np.ndarray, right: np.ndarray, key: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(piece, score) of adjacent pieces; the score is -inf where they make none or the keyed hash skips them."""
+    def _candidates(self, left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(piece, score) of adjacent pieces; the score is -inf where they make none."""
         want = (left << 32) | right
         where = np.minimum(np.searchsorted(self.pairs, want), len(self.pairs) - 1)
-        piece = np.where((self.pairs[where] == want) & (right >= 0), self.products[where], 0)
-        score = np.where(piece > 0, self.ranks[piece], -np.inf)
-        if self.dropout > 0:
-            x = (key + piece.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + at.astype(np.uint64) * np.uint64(0xD1B54A32D192ED03)) * np.uint64(0xBF58476D1CE4E5B9)
-            score[((x >> np.uint64(33)) & np.uint64(0xFFFFFF)) < np.uint64(int(self.dropout * 2**24))] = -np.inf
-        return piece, score
+        piece = np.where((self.pairs[where] == want) & (left >= 0) & (right >= 0), self.products[where], 0)
+        return piece, np.where(piece > 0, self.ranks[piece], -np.inf)
 
-    def merge_many(self, wanted: list[tuple[str, int]]) -> dict[tuple[str, int], bytes]:
-        """:meth:`merge` of many (word, variant) at once: each round applies the best entry of every word's agenda.
+    def merge_many(self, wanted: list[tuple[str, tuple[int, ...]]]) -> np.ndarray:
+        """Nodes of many (word, skips), merged at once: each round takes the best entry of every word's agenda.
 
         Long words and words with characters outside the vocabulary are merged one by one.
         """
-        out: dict[tuple[str, int], bytes] = {}
-        groups: dict[int, list[tuple[str, int]]] = {}
-        for wv in wanted:
-            groups.setdefault(-(-len(wv[0]) // 4) * 4, []).append(wv)
+        nodes = np.zeros(len(wanted), np.int64)
+        groups: dict[int, list[int]] = {}
+        for k, (w, _) in enumerate(wanted):
+            groups.setdefault(-(-len(w) // 4) * 4, []).append(k)
+        single: list[int] = []
         for width, group in groups.items():
-            if width > 32:
-                out |= {wv: np.array(self.merge(*wv), np.int32).tobytes() for wv in group}
+            if width > WIDE or len(group) < FEW:
+                single += group
                 continue
             for low in range(0, len(group), 8192):
                 some = group[low : low + 8192]
-                points = np.frombuffer("".join(w.ljust(width, "\0") for w, _ in some).encode("utf-32-le", "surrogatepass"), np.uint32).reshape(len(some), width)
+                points = np.frombuffer("".join(wanted[k][0].ljust(width, "\0") for k in some).encode("utf-32-le", "surrogatepass"), np.uint32).reshape(len(some), width)
                 ids = np.where(points > 0, self.chars[points], -2).astype(np.int64)
-                odd = (ids == -1).any(axis=1) | (np.array([len(w) for w, _ in some]) != (points > 0).sum(axis=1))
-                for k in np.flatnonzero(odd).tolist():
-                    out[some[k]] = np.array(self.merge(*some[k]), np.int32).tobytes()
+                odd = (ids == -1).any(axis=1) | (np.array([len(wanted[k][0]) for k in some]) != (points > 0).sum(axis=1))
+                single += [some[k] for k in np.flatnonzero(odd).tolist()]
                 even = np.flatnonzero(~odd)
                 if len(even):
-                    out |= self._rounds([some[k] for k in even.tolist()], ids[even])
-        return out
-
-    def _rounds(self, words: list[tuple[str, int]], ids: np.ndarray) -> dict[tuple[str, int], bytes]:
+                    chosen = [some[k] for k in even.tolist()]
+                    paths = [wanted[k] for k in chosen]
+                    nodes[chosen] = self._add(paths, *self._rounds([s for _, s in paths], ids[even])) + np.arange(len(chosen))
+        if single:
+            done = [self.merge(*wanted[k]) for k in single]
+            flat = np.array(list(chain.from_iterable(x for x, _ in done)), np.int32)
+            nodes[single] = self._add([wanted[k] for k in single], flat, np.array([len(x) for x, _ in done]), np.array([n for _, n in done])) + np.arange(len(single))
+        return nodes
+
+    def _rounds(self, skips: list[tuple[int, ...]], ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Ids of all words one after the other, how many each has, and how many candidates came up."""
         n, width = ids.shape
-        key = np.array([xxhash.xxh3_64_intdigest(w, self.seed * 1000 + v) for w, v in words] if self.dropout > 0 else [0] * n, np.uint64)
-        pad = np.full((n, 1), -2, np.int64)
-        ids = np.hstack([ids, pad])
-        at = np.tile(np.arange(width + 1), (n, 1))
-        piece, score = self._candidates(ids[:, :-1], ids[:, 1:], key[:, None], at[:, :-1])
-        score[ids[:, :-1] < 0] = -np.inf
+        skipped = np.zeros((STEPS, n), bool)
+        skipped[list(chain.from_iterable(skips)), np.repeat(np.arange(n), [len(s) for s in skips])] = True
+        ids = np.hstack([ids, np.full((n, 1), -2, np.int64)])
+        piece, score = self._candidates(ids[:, :-1], ids[:, 1:])
         columns = np.arange(width + 1)
-        final = ids.copy()
+        final, steps = ids.copy(), np.zeros(n, np.int64)
         rows = np.arange(n)
-        while True:
+        for step in range(STEPS):
             best = score.argmax(axis=1)
+            go = score[np.arange(len(rows)), best] > -np.inf
+            if not go.all():
+                final[rows[~go]], steps[rows[~go]] = ids[~go], step
+                if not go.any():
+                    break
+                rows, ids, piece, score, best = (x[go] for x in (rows, ids, piece, score, best))
+            skip = skipped[step, rows]
             here = np.arange(len(rows))
-            go = score[here, best] > -np.inf
-            final[rows[~go]] = ids[~go]
-            if not go.any():
-                break
-            rows, ids, at, piece, score, key, best = (x[go] for x in (rows, ids, at, piece, score, key, best))
-            here = np.arange(len(rows))
-            ids[here, best] = piece[here, best]
-            move = np.minimum(columns + (columns > best[:, None]), width)
-            ids, at = np.take_along_axis(ids, move, 1), np.take_along_axis(at, move, 1)
-            ids[:, -1] = -2
-            move = np.minimum(move[:, :-1], width - 1)
-            piece, score = np.take_along_axis(piece, move, 1), np.take_along_axis(score, move, 1)
-            score[:, -1] = -np.inf
-            for shift in (0, -1):
-                i = best + shift
-                some = np.flatnonzero(i >= 0)
-                j = i[some]
-                piece[some, j], score[some, j] = self._candidates(ids[some, j], ids[some, j + 1], key[some], at[some, j])
-        sizes = (final >= 0).sum(axis=1)
-        raw = final[final >= 0].astype(np.int32).tobytes()
-        ends = (4 * np.cumsum(sizes)).tolist()
-        return dict(zip(words, [raw[a:b] for a, b in zip([0, *ends[:-1]], ends, strict=True)], strict=True))
+            ids[here, best] = np.where(skip, ids[here, best], piece[here, best])
+            # what is behind a pair that is merged moves up by one
+            shift = (columns > best[:, None]) & ~skip[:, None]
+            ids[:, :-1] = np.where(shift[:, :-1], ids[:, 1:], ids[:, :-1])
+            ids[~skip, -1] = -2
+            piece[:, :-1], score[:, :-1] = np.where(shift[:, :-2], piece[:, 1:], piece[:, :-1]), np.where(shift[:, :-2], score[:, 1:], score[:, :-1])
+            score[~skip, -1] = -np.inf
+            score[skip, best[skip]] = -np.inf
+            here = np.flatnonzero(~skip)
+            some, j = np.concatenate([here, here]), np.concatenate([best[here], best[here] - 1])
+            some, j = some[j >= 0], j[j >= 0]
+            piece[some, j], score[some, j] = self._candidates(ids[some, j], ids[some, j + 1])
+        return final[final >= 0].astype(np.int32), (final >= 0).sum(axis=1), steps
+
+    def _gaps(self, places: np.ndarray, k: int) -> np.ndarray:
+        """How many candidates of each occurrence are applied between its skips k - 1 and k."""
+        x = places + np.uint64(k * 0xD1B54A32D192ED03 & 0xFFFFFFFFFFFFFFFF)
+        x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+        x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+        return np.searchsorted(self.gap_table, (x ^ (x >> np.uint64(31))) >> np.uint64(11), "right")
+
+    def _skips(self, place: int) -> Iterator[int]:
+        """The places of all skips of one occurrence, from the same draws."""
+        at, k, most = -1, 0, 0xFFFFFFFFFFFFFFFF
+        while True:
+            x = (place + k * 0xD1B54A32D192ED03) & most
+            x = ((x ^ (x >> 30)) * 0xBF58476D1CE4E5B9) & most
+            x = ((x ^ (x >> 27)) * 0x94D049BB133111EB) & most
+            at += 1 + bisect_right(self.gaps, (x ^ (x >> 31)) >> 11)
+            yield at
+            k += 1
+
+    def _places(self, keys: list, counts: list[int]) -> np.ndarray:
+        """One number for each occurrence, from the key of its document and its place there."""
+        own = np.array([xxhash.xxh3_64_intdigest(str(k), self.seed) for k in keys], np.uint64)
+        ends = np.cumsum(counts)
+        at = np.arange(ends[-1] if len(ends) else 0) - np.repeat(ends - counts, counts)
+        return np.repeat(own, counts) + at.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
 
     def encode_many(self, texts: list[str | None], keys: list) -> list[np.ndarray]:
         """Ids of whole texts; null and empty texts have none. ``keys`` name the documents.
 
         A space mark that a text itself holds is written as bytes, since the model would decode it as a space.
         """
-        cut = [self._placed(self._flat(t), k) if t else [] for t, k in zip(texts, keys, strict=True)]
-        pairs: set[tuple[str, int]] = set()
-        pairs.update(*cut)
-        known = self.known
-        fresh = self.merge_many(list(pairs.difference(known)))
-        if len(known) + len(fresh) <= self.remembered:
-            known.update(fresh)
-            find = known.__getitem__
-        else:
-            fresh.update({wv: known[wv] for wv in pairs if wv in known})
-            find = fresh.__getitem__
-        return [np.frombuffer(b"".join(map(find, c)), np.int32) for c in cut]
+        cut = [self._flat(t) if t else [] for t in texts]
+        counts = [len(c) for c in cut]
+        words = list(chain.from_iterable(cut))
+        before = len(self.paths)
+        fresh = list(set(words).difference(self.roots))
+        self.roots.update(zip(fresh, self.merge_many([(w, ()) for w in fresh]).tolist(), strict=True))
+        node = np.array(list(map(self.roots.__getitem__, words)), np.int64)
+        born: list[int] = []
+        long: list[int] = []
+        places = self._places(keys, counts)
+        if self.gaps:
+            # from each word to what it is after its first skip, its second, and so on
+            some, k = np.arange(len(words)), 0
+            at = self._gaps(places, 0)
+            while True:
+                go = at < self.steps[node[some]]
+                some, at = some[go], at[go]
+                if k == 0:
+                    wide = self.wide[node[some]] > 0
+                    long = some[wide].tolist()
+                    some, at = some[~wide], at[~wide]
+                if not len(some):
+                    break
+                want, which = np.unique(node[some] * STEPS + at, return_inverse=True)
+                got = np.array([self.children.get(x, -1) for x in want.tolist()], np.int64)
+                new = want[got < 0].tolist()
+                if new:
+                    got[got < 0] = nodes = self.merge_many([(w, (*s, x % STEPS)) for x in new for w, s in [self.paths[x // STEPS]]])
+                    self.children.update(zip(new, nodes.tolist(), strict=True))
+                    born += new
+                node[some] = got[which]
+                k += 1
+                at = at + 1 + self._gaps(places[some], k)
+        after = len(self.paths)
+        for i in long:
+            ids, steps = self.merge(words[i], self._skips(int(places[i])))
+            node[i] = self._add([(words[i], ())], np.array(ids, np.int32), np.array([len(ids)]), np.array([steps]))
+        sizes = self.sizes[node]
+        ends = np.cumsum(sizes)
+        flat = self.pool[np.repeat(self.starts[node] - ends + sizes, sizes) + np.arange(ends[-1] if len(ends) else 0)]
+        bounds = np.concatenate([[0], ends])[np.concatenate([[0], np.cumsum(counts)]).astype(np.int64)].tolist()
+        self._drop(after)
+        if after > self.remembered or self.pooled > 16 * self.remembered:
+            for w in fresh:
+                del self.roots[w]
+            for x in born:
+                del self.children[x]
+            self._drop(before)
+        return [flat[a:b] for a, b in zip(bounds[:-1], bounds[1:], strict=True)]
 
     def _flat(self, text: str) -> list[str]:
         """The words of a text, and what is written as bytes between them."""
@@ -248,14 +347,6 @@ class PieceEncoder:
     def __call__(self, text: str | None, key: int = 0) -> np.ndarray:
         return self.encode_many([text], [key])[0]
 
-    def _placed(self, words: list[str], key) -> list[tuple[str, int]]:
-        """Words with their variants."""
-        if self.variants == 1:
-            return [(w, 0) for w in words]
-        places = np.arange(len(words), dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15) + np.uint64(xxhash.xxh3_64_intdigest(str(key), self.seed))
-        places = (places ^ (places >> np.uint64(31))) * np.uint64(0xBF58476D1CE4E5B9)
-        return list(zip(words, ((places >> np.uint64(40)) % np.uint64(self.variants)).tolist(), strict=True))
-
     def decode(self, ids: list[int]) -> str:
         """The text of ids, however they were merged."""
         raw = b"".join(map(self.texts.__getitem__, ids))
@@ -263,12 +354,12 @@ class PieceEncoder:
 
 
 @lru_cache(maxsize=2)
-def piece_encoder(model: str, dropout: float, seed: int, variants: int) -> PieceEncoder:
+def piece_encoder(model: str, dropout: float, seed: int) -> PieceEncoder:
     """One encoder for the life of a worker process, with what it remembers."""
-    return PieceEncoder(model, dropout, seed, variants)
+    return PieceEncoder(model, dropout, seed)
 
 
-def encoded(docs: DataFrame, model: str, dropout: float = 0.1, seed: int = 7, variants: int = 2, key: str = "doc_id", text: str = "text") -> DataFrame:
+def encoded(docs: DataFrame, model: str, dropout: float = 0.1, seed: int = 7, key: str = "doc_id", text: str = "text") -> DataFrame:
     """``docs`` without its text, with piece_ids (array of int) instead.
 
     Equal (key, text) rows get equal ids. Null and empty texts get an empty array. Whole texts are encoded; other
@@ -278,7 +369,7 @@ def encoded(docs: DataFrame, model: str, dropout: float = 0.1, seed: int = 7, va
     keep = [c for c in docs.columns if c not in (text, "piece_ids")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = piece_encoder(model, dropout, seed, variants)
+        encode = piece_encoder(model, dropout, seed)
         for b in batches:
             ids = encode.encode_many(b.column("_text").to_pylist(), b.column("_key").to_pylist())
             offsets = np.concatenate([[0], np.cumsum([len(x) for x in ids])]).astype(np.int32)
@@ -295,7 +386,7 @@ def decoded(rows: DataFrame, model: str, ids: str = "piece_ids", text: str = "te
     keep = [c for c in rows.columns if c not in (ids, text)]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        decode = piece_encoder(model, 0.0, 0, 1).decode
+        decode = piece_encoder(model, 0.0, 0).decode
         for b in batches:
             texts = [None if x is None else decode(x) for x in b.column("_ids").to_pylist()]
             yield pa.RecordBatch.from_arrays([*[b.column(i) for i in range(len(keep))], pa.array(texts, pa.string())], names=[*keep, text])
@@ -304,7 +395,7 @@ def decoded(rows: DataFrame, model: str, ids: str = "piece_ids", text: str = "te
     return rows.select(*[F.col(f"`{c}`") for c in keep], F.col(f"`{ids}`").alias("_ids")).mapInArrow(run, f"{fields + ', ' if keep else ''}`{text}` string")
 
 
-def round_trip(docs: DataFrame, model: str, dropout: float = 0.1, seed: int = 7, variants: int = 2) -> DataFrame:
+def round_trip(docs: DataFrame, model: str, dropout: float = 0.1, seed: int = 7) -> DataFrame:
     """(doc_id, n_pieces, ids_crc32, lossless): every whole text encoded and decoded again in one pass.
 
     ids_crc32 is that of the ids as little-endian 32-bit integers; null texts count as empty.
@@ -312,7 +403,7 @@ def round_trip(docs: DataFrame, model: str, dropout: float = 0.1, seed: int = 7,
     small_batches(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = piece_encoder(model, dropout, seed, variants)
+        encoder = piece_encoder(model, dropout, seed)
         for b in batches:
             texts = b.column("text").to_pylist()
             ids = encoder.encode_many(texts, b.column("doc_id").to_pylist())

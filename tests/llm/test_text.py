@@ -68,6 +68,40 @@ def test_pieces(spark):
     assert enc.limit(0).count() == 0
 
 
+def test_pieces_are_varied_at_every_occurrence():
+    model = public_tokenizers.path("piece_bpe_32k.model")
+    encoder, plain = pieces.PieceEncoder(model, dropout=0.1), pieces.PieceEncoder(model, dropout=0.0)
+    scores, r = encoder.scores, random.Random(1)
+
+    def brute(sym):
+        never = set()
+        while True:
+            pairs = [(-scores[x + y], i) for i, (x, y) in enumerate(zip(sym, sym[1:])) if x + y in scores and (sum(map(len, sym[:i])), x + y) not in never]
+            if not pairs:
+                return tuple(encoder._ids(sym))
+            _, i = min(pairs)
+            if r.random() < 0.1:
+                never.add((sum(map(len, sym[:i])), sym[i] + sym[i + 1]))
+            else:
+                sym = [*sym[:i], sym[i] + sym[i + 1], *sym[i + 2 :]]
+
+    want = [brute(list("▁international")) for _ in range(4000)]
+    got = [tuple(encoder("international", k).tolist()) for k in range(4000)]
+    assert len(set(got)) > 20  # two variants of a word gave two
+    for x in set(want):
+        assert abs(want.count(x) - got.count(x)) < 150
+    inside = encoder("international " * 500, 1).tolist()
+    assert abs(inside.count(plain("international").tolist()[0]) - want.count(tuple(plain("international").tolist())) / 8) < 60
+    # each occurrence has what its own draws give when it is merged alone
+    texts = ["the quick international brown fox " * 40, "naïve " + "x" * 40 + " pneumonoultramicroscopicsilicovolcanoconiosis the 日本語", ""] * 3
+    for small in (encoder, pieces.PieceEncoder(model, dropout=0.1, remembered=5)):
+        got = small.encode_many(texts, list(range(9)))
+        for k, (t, ids) in enumerate(zip(texts, got, strict=True)):
+            words = encoder._flat(t) if t else []
+            want = [i for w, x in zip(words, encoder._places([k], [len(words)]).tolist(), strict=True) for i in encoder.merge(w, encoder._skips(x))[0]]
+            assert ids.tolist() == want and encoder.decode(want) == t
+
+
 PERSONAL = "pay 4111 1111 1111 1111 or 4785380592391139; not 9807915762804490. call +1 (017) 555-7713, mail Ann.34@mail7.example.com from 97.51.17.173 (not 999.1.1.1), born 1987-03-21, ssn 123-45-6789, v2.0"
 
 
