@@ -4,7 +4,8 @@ Found values are validated, then permuted within their own format by a keyed Fei
 get equal pseudonyms in every document and row order never matters:
 
 * card and account numbers (13 to 19 digits, Luhn-valid): all digits but the last are permuted, the check digit is
-  recomputed; numbers that fail the checksum are not personal data and stay;
+  recomputed; numbers that fail the checksum are not personal data and stay. Among neighbouring numbers, the printed
+  groupings are looked for first, then other runs of groups of 3 to 7 digits, and runs from either end;
 * phone numbers (8 to 15 digits after ``+``, or the 3-3-4 form), national ids (3-2-4 form with a valid area, group and
   serial): digits permuted, punctuation kept;
 * IPv4 addresses (each part at most 255): parts permuted among those of as many digits;
@@ -20,19 +21,23 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 ROUNDS = 8
+AT_MOST_15 = r"(?<!" + r"\d[ .()-]{0,2}" * 15 + r"\d)"  # digits behind, as far as a plus sign
 #: Patterns of candidate values; each is bounded by look-arounds so that no part of a longer run matches.
 PATTERNS = {
     "email": r"(?<![\p{L}\p{N}._%+-])[\p{L}\p{N}._%+-]++@(?:[A-Za-z0-9-]++\.)+[A-Za-z]{2,24}(?![A-Za-z0-9])",
-    "phone": r"(?<![\w+])\+\d{1,3}[ .-]?(?:\(\d{1,4}\)[ .-]?)?\d{2,4}(?:[ .-]?\d{2,4}){1,4}(?!\d)|(?<![\w.+-])(?:\(\d{3}\) ?|\d{3}[.-])\d{3}[.-]\d{4}(?![\w-])",
+    "phone": r"(?<![\w+])\+\d{1,3}[ .-]?(?:\(\d{1,4}\)[ .-]?)?\d{2,4}(?:[ .-]?\d{2,4}){1,4}(?!\d)" + AT_MOST_15 + r"|(?<![\w.+-])(?:\(\d{3}\) ?|\d{3}[.-])\d{3}[.-]\d{4}(?![\w-])",
     "national": r"(?<![\w-])\d{3}-\d{2}-\d{4}(?![\w-])",
-    "date": r"(?<![\w./-])(?:\d{4}-\d{2}-\d{2}|\d{2}[./]\d{2}[./]\d{4})(?![\w/-]|\.\d)",
+    "date": r"(?<![\w./-])(?:\d{4}-\d{2}-\d{2}|\d{2}[./]\d{2}[./]\d{4})(?:(?=T\d)|(?![\w/-]|\.\d))",
     "ip": r"(?<![\w.])\d{1,3}\.\d{1,3}\.\d{1,3}\.\d{1,3}(?![\w]|\.\d)",
-    "card": r"(?<![\w.+-])\d(?:[ -]?\d){12,18}(?![\w]|[-.]\d)",
+    # numbers side by side, from one with 13 digits at single separators on; not the first digits of a date or an address
+    "card": r"(?<![\w.+-])(?=\d(?:[ -]?\d){12})\d[\d -]*\d(?!\w|[-.]\d|/\d\d/\d{4}(?![\w/]))(?:(?!@)|(?<=\b\d{4}[ -]\d{4}[ -]\d{4}[ -]\d{4}|\b\d{4}[ -]\d{6}[ -]\d{5}|\b\d{13,19}))",
     "secret": r"(?<![0-9A-Za-z])(?:[0-9a-fA-F]{64}|[0-9a-fA-F]{40}|[0-9a-fA-F]{32})(?![0-9A-Za-z])",
 }
 #: Without e-mail addresses every value starts with one of few characters, which is tested first.
 NUMBERS = r"(?=[0-9+(a-fA-F])(?:" + "|".join(v for k, v in PATTERNS.items() if k != "email") + ")"
 FOUND = PATTERNS["email"] + "|" + NUMBERS
+#: What ends a card among numbers side by side: values of other kinds, and wider gaps.
+BESIDE = "|".join([*(PATTERNS[k] for k in ("phone", "national", "date")), "[ -]{2,}"])
 FIRST_DAY, LAST_DAY = "1900-01-01", "2099-12-31"
 _LOWER, _UPPER, _DIGITS = "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "0123456789"
 
@@ -174,8 +179,56 @@ def _email(s: Column, key: str) -> Column:
     return F.concat(permute_chars(local, key, "local", sets), F.lit("@"), permute_chars(head, key, "domain", sets), last)
 
 
-def pseudonym(s: Column, key: str) -> Column:
-    """The pseudonym of one found value, or the value itself if it fails validation."""
+def _cards(s: Column, key: str) -> Column:
+    """(s, n): numbers at single separators with the n card numbers among them replaced."""
+
+    def among(tokens: Column, gaps: Column) -> Column:
+        last = F.size(tokens) - 1
+
+        def candidate(i: Column, j: Column) -> Column:
+            part = F.slice(tokens, i + 1, j - i + 1)
+            sizes = F.array_join(F.transform(part, lambda x: F.length(x).cast("string")), " ")
+            known = sizes.isin("4 4 4 4", "4 6 5") | (i == j)
+            usual = known | (i == 0) | (j == last) | F.forall(part, lambda x: F.length(x).between(3, 7))
+            d = F.array_join(part, "")
+            return F.struct(F.when(known, 0).otherwise(1).alias("rank"), (-F.length(d)).alias("short"), i.alias("i"), j.alias("j"), F.when(usual, d).alias("d"))
+
+        # a run of more than 19 numbers has more than 19 digits
+        every = F.flatten(F.transform(F.sequence(F.lit(0), last), lambda i: F.filter(F.transform(F.sequence(i, F.least(i + 18, last)), lambda j: candidate(i, j)), lambda c: (-c["short"]).between(13, 19) & c["d"].isNotNull())))
+        valid = F.array_sort(F.filter(every, lambda c: F.pmod(_luhn(c["d"], False), F.lit(10)) == 0))
+        taken = F.aggregate(
+            F.transform(valid, lambda c: F.struct(c["i"].alias("i"), c["j"].alias("j"))), F.expr("cast(array() as array<struct<i: int, j: int>>)"),
+            lambda t, c: F.when(F.exists(t, lambda x: (x["i"] <= c["j"]) & (c["i"] <= x["j"])), t).otherwise(F.concat(t, F.array(c))),
+        )
+
+        def replaced(t: Column) -> Column:
+            def at(k: Column) -> Column:
+                own = F.get(F.filter(t, lambda x: (x["i"] <= k) & (k <= x["j"])), F.lit(0))
+
+                def written(x: Column) -> Column:
+                    run = F.array_join(F.transform(F.sequence(x["i"], x["j"]), lambda m: F.concat(F.when(m == x["i"], "").otherwise(F.get(gaps, m)), F.get(tokens, m))), "")
+                    return F.concat(F.get(gaps, k), _bind(run, lambda r: _card(r, key)))
+
+                return F.when(own.isNull(), F.concat(F.get(gaps, k), F.get(tokens, k))).when(own["i"] == k, _bind(own, written)).otherwise("")
+
+            return F.struct(F.concat(F.array_join(F.transform(F.sequence(F.lit(0), last), at), ""), F.get(gaps, last + 1)).alias("s"), F.size(t).cast("long").alias("n"))
+
+        return _bind(taken, replaced)
+
+    whole = F.length(_digits(s)) >= 13
+    return F.when(whole, _bind(F.regexp_extract_all(s, F.lit("[0-9]+"), F.lit(0)), lambda t: _bind(F.split(s, "[0-9]+", -1), lambda g: among(t, g)))).otherwise(F.struct(s.alias("s"), F.lit(0).cast("long").alias("n")))
+
+
+def _side_by_side(s: Column, key: str) -> Column:
+    """(s, n): numbers side by side with the n values among them replaced."""
+    gaps = F.transform(F.split(s, BESIDE, -1), lambda p: _cards(p, key))
+    others = F.transform(F.regexp_extract_all(s, F.lit(BESIDE), F.lit(0)), lambda m: _bind(_single(m, key), lambda p: F.struct(p.alias("s"), (p != m).cast("long").alias("n"))))
+    both = F.flatten(F.zip_with(gaps, F.concat(others, F.array(F.struct(F.lit("").alias("s"), F.lit(0).cast("long").alias("n")))), lambda a, b: F.array(a, b)))
+    return _bind(both, lambda x: F.struct(F.array_join(F.transform(x, lambda y: y["s"]), "").alias("s"), F.aggregate(x, F.lit(0).cast("long"), lambda n, y: n + y["n"]).alias("n")))
+
+
+def _single(s: Column, key: str) -> Column:
+    """The pseudonym of a value that is no card, or the value itself if it fails validation."""
     d = _digits(s)
     whole = {k: f"^(?:{v})$" for k, v in PATTERNS.items()}
     valid_national = ~s.rlike(r"^(000|666|9)|-00-|-0000$")
@@ -186,11 +239,16 @@ def pseudonym(s: Column, key: str) -> Column:
         .when(s.rlike(whole["date"]), _date(s, key))
         .when(s.rlike(whole["ip"]), _ip(s, key))
         .when(s.rlike(whole["phone"]) & F.length(d).between(8, 15), permute_chars(s, key, "phone", [_DIGITS]))
-        .when(s.rlike(whole["card"]) & (F.pmod(_luhn(d, False), F.lit(10)) == 0), _card(s, key))
         .otherwise(s)
     )
 
 
+def pseudonym(s: Column, key: str) -> Column:
+    """(s, n): one found value with the n valid ones in it replaced; itself if it fails validation."""
+    side = s.rlike("^[0-9 -]+$") & (F.length(_digits(s)) >= 13)
+    return F.when(side, _side_by_side(s, key)).otherwise(_bind(_single(s, key), lambda p: F.struct(p.alias("s"), (p != s).cast("long").alias("n"))))
+
+
 def pseudonymise(docs: DataFrame, key: str, text: str = "text", found: str | None = None) -> DataFrame:
     """``docs`` with every validated personal value in ``text`` replaced; ``found`` names an added count of changed values.
 
@@ -206,8 +264,8 @@ def pseudonymise(docs: DataFrame, key: str, text: str = "text", found: str | Non
     # each array is a column of its own, so that the searches and permutations run once
     with_hits = docs.withColumn(hits, hit).withColumn(fresh, F.when(some, F.transform(F.col(hits), lambda m: pseudonym(m, key))))
     pieces = F.when(mail, F.split(t, FOUND, -1)).otherwise(F.split(t, NUMBERS, -1))
-    ends = F.concat(F.col(fresh), F.array(F.lit("")))
+    ends = F.concat(F.transform(F.col(fresh), lambda x: x["s"]), F.array(F.lit("")))
     joined = F.array_join(F.flatten(F.zip_with(pieces, ends, lambda p, n: F.array(p, n))), "")
-    changed = F.aggregate(F.zip_with(F.col(hits), F.col(fresh), lambda a, b: (a != b).cast("long")), F.lit(0).cast("long"), lambda n, x: n + x)
+    changed = F.aggregate(F.col(fresh), F.lit(0).cast("long"), lambda n, x: n + x["n"])
     new = {text: F.when(some, joined).otherwise(t)} | ({found: F.when(some, changed).otherwise(F.lit(0).cast("long"))} if found else {})
     return with_hits.withColumns(new).drop(hits, fresh)

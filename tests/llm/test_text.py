@@ -126,6 +126,22 @@ def test_pseudonyms(spark):
     assert "Python" not in pii.pseudonymise(df, "k")._jdf.queryExecution().toString()
 
 
+def test_pseudonyms_beside_other_digits(spark):
+    card, other = "4111 1111 1111 1111", "4242-4242-4242-4242"
+    cases = {  # text: the values that must go, and what must stay
+        f"{card} 12/27": ([card], " 12/27"), f"{card} 123": ([card], " 123"), "4111111111111111 5 items": (["4111111111111111"], " 5 items"), f"12 {card}": ([card], "12 "),
+        f"1234 {card} 5678": ([card], "1234 "), f"{card} {other}": ([card, other], ""), f"{card} 1987-03-21": ([card, "1987-03-21"], ""), f"{card} 21/03/1987": ([card, "21/03/1987"], ""),
+        f"{card} 123-45-6789 7": ([card, "123-45-6789"], " 7"), f"{card} 555-123-4567": ([card, "555-123-4567"], ""), f"{card} 77@mail.com": ([card, "77@mail"], ".com"), f"{card}@x": ([card], "@x"),
+        "3782 822463 10005 99": (["3782 822463 10005"], " 99"), "1 2 " * 3000 + card: ([card], ""), f"7  {card}  8": ([card], "7  "),
+        "+1 555 123 4567 2024 1234": (["555 123 4567"], " 1234"), "at 2024-01-02T10:00:00Z": (["2024-01-02"], "T10:00:00Z"),
+    }
+    rows = pii.pseudonymise(docs(spark, list(cases)), "k", found="n").orderBy("doc_id").collect()
+    for (text, (gone, stays)), row in zip(cases.items(), rows, strict=True):
+        assert len(row["text"]) == len(text) and stays in row["text"], text
+        assert not any(g in row["text"] for g in gone), text
+        assert row["n"] == len(gone) or text.startswith("1 2 1 2"), text
+
+
 def test_permutations_are_bijections(spark):
     n = 731
     got = spark.range(n).select(pii.permute_number(F.col("id"), n, "k", "x").alias("p")).agg(F.countDistinct("p"), F.min("p"), F.max("p")).first()
