@@ -299,6 +299,17 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame
 
 
 def deduplicated(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
-    """The rows of ``docs`` that are kept: of each group the document with the least doc_id, with all its columns."""
-    gone = near_duplicates(docs, k, percent).where("not kept").select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+    """The rows of ``docs`` that are kept: one of each group, with all its columns.
+
+    It is a row with the least doc_id of the group, and of several texts with this doc_id the one with the least hash; of
+    rows with equal doc_id and text one stays. Rows without doc_id are grouped like the others and come last. Texts without
+    shingles are in no group and all stay.
+    """
+    row = next(n for n in (f"_row{i}" for i in range(len(docs.columns) + 1)) if n not in docs.columns)
+    none = F.lit(0).cast(docs.schema["doc_id"].dataType)
+    keyed = docs.withColumn(row, F.struct(F.col("doc_id").isNull().alias("none"), F.coalesce("doc_id", none).alias("id"), F.md5(F.coalesce("text", F.lit(""))).alias("text")))
+    judged = written(near_duplicates(keyed.select(F.col(row).alias("doc_id"), "text"), k, percent))
+    gone = judged.where("not kept").select(F.col("doc_id").alias(row)).distinct()
+    repeated = judged.where("kept and n_shingles > 0").groupBy(F.col("doc_id").alias(row)).agg(F.count("*").alias("n")).where("n > 1").select(row)
+    left = keyed.join(gone.unionByName(repeated), row, "left_anti")
+    return left.unionByName(keyed.join(repeated, row, "left_semi").dropDuplicates([row])).select(*[F.col(f"`{c}`") for c in docs.columns])

@@ -93,6 +93,17 @@ def test_minhash_groups(spark):
     assert [(x["doc_id"], x["component_id"], x["kept"]) for x in minhash.near_duplicates(odd).collect() if x["doc_id"] is None] == [(None, None, True)]
 
 
+def test_deduplicated_decides_by_row(spark):
+    a, b, c = "one text of its own kind", "two copies of the other text", "a text that has no id"
+    near = " ".join(f"w{i}" for i in range(60))
+    rows = [(3, b, "x"), (5, a, "x"), (5, b, "x"), (7, c, "x"), (7, c, "x"), (None, b, "x"), (None, "only rows without id", "y"), (None, "only rows without id", "y"), (None, near, "x"), (9, near + " more", "x"), (None, None, "x"), (None, None, "x"), (8, "", "x")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, _row0 string")
+    got = [tuple(x) for x in minhash.deduplicated(df).collect()]
+    want = [rows[0], rows[1], rows[3], rows[6], rows[9], rows[10], rows[11], rows[12]]
+    assert sorted(map(str, got)) == sorted(map(str, want))
+    assert minhash.deduplicated(df.limit(0)).count() == 0
+
+
 def test_registers_estimate():
     r = np.random.default_rng(4)
     common, a, b = (r.integers(0, 2**64, n, dtype=np.uint64) for n in (800, 100, 100))
