@@ -1,15 +1,15 @@
 """Near-duplicate documents by HyperMinHash sketches, banding and exact verification.
 
-Every bucket of a sketch sees all word shingles under its own keyed permutation (so short texts leave none empty) and
-stores, of the least value, the number of leading zeros and the next mantissa bits: 16 bits. Four registers make a band
-of 64 bits. Documents with equal shingle sets are collapsed first. Candidates share a band; the share of equal registers,
-corrected for accidental collisions, estimates their Jaccard similarity, and pairs near or above the threshold are
-verified on their full shingle sets.
-
-Groups of any size are compared without emitting all pairs: each bucket of a band first links its members to its least
-one; only buckets that still hold several components are compared member by member, in tiles of bounded size. Such a
-comparison first emits, for each component in a tile, its most promising pair with another one; when those are verified
-and joined, what is left in different components is compared in full, and every pair that passes the estimate is verified.
+Each word shingle is hashed once: the hash says which bucket of the sketch it belongs to and its value there. Of the
+least value of each bucket the sketch stores the number of leading zeros and the next mantissa bits: 16 bits. Buckets
+that no shingle of a short text falls into borrow from another one, chosen by a fixed random order of their own, so
+that any bucket is equal in two texts with the chance of their Jaccard similarity. Four registers make a band of 64 bits.
+
+Documents with equal shingle sets are collapsed first. The classes that share a band meet in tiles of bounded size:
+there the share of equal registers, corrected for accidental collisions, estimates their similarity, and pairs near or
+above the threshold are verified on their full sets in the same place. A tile emits a spanning forest of its links,
+never pairs. Buckets of several tiles whose members are still in several components after that are compared once more
+across tiles, without the tiles of one and the same component.
 """
 
 from __future__ import annotations
@@ -23,18 +23,18 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .components import components
-from .scratch import small_batches, written
+from .scratch import discard, small_batches, written
 
 BANDS, LANES, MANTISSA = 24, 4, 10
 REGISTERS = BANDS * LANES
-#: The estimate's margin below the threshold, in standard deviations of the share of equal registers.
+#: The estimate's margin below the threshold, in standard deviations of the share of equal registers, whose variance
+#: is at most twice that of independent registers (borrowing repeats some).
 SIGMAS = 5.0
-TILE, WIDE_TILE = 64, 256
-#: Rounds that join components by their most promising pairs, before the full comparison.
-JOINING_ROUNDS = 2
-_rng = np.random.default_rng(20)
-MULTIPLIERS = _rng.integers(0, 2**64, REGISTERS, dtype=np.uint64) | np.uint64(1)
-OFFSETS = _rng.integers(0, 2**64, REGISTERS, dtype=np.uint64)
+#: About as many members, and shingles of members, are in a tile; a longer text has one of its own.
+TILE, WEIGHT = 256, 250_000
+#: The first shingle hash of each bucket, and the order in which an empty one looks at the others.
+BOUNDS = np.array([-(-i * 2**64 // REGISTERS) for i in range(REGISTERS)], np.uint64)
+BORROW = np.stack([np.random.default_rng(20 + i).permutation(REGISTERS) for i in range(REGISTERS)])
 
 
 class _Hashes(dict):
@@ -74,24 +74,26 @@ def registers(least: np.ndarray) -> np.ndarray:
 
 
 def sketches(sets: list[np.ndarray]) -> np.ndarray:
-    """Registers (rows: sets, all non-empty) of shingle sets."""
-    out = np.empty((len(sets), REGISTERS), np.uint64)
-    at = 0
-    while at < len(sets):  # a few thousand values at a time stay in the processor's cache
-        end, n = at + 1, len(sets[at])
-        while end < len(sets) and n + len(sets[end]) <= 16384:
-            n += len(sets[end])
-            end += 1
-        values = np.concatenate(sets[at:end])
-        starts = np.cumsum([0, *map(len, sets[at : end - 1])])
-        for j in range(REGISTERS):
-            out[at:end, j] = np.minimum.reduceat(values * MULTIPLIERS[j] + OFFSETS[j], starts)
-        at = end
-    return registers(out)
+    """Registers (rows: sets, all non-empty and sorted) of shingle sets."""
+    sizes = np.array([len(x) for x in sets])
+    ends = np.cumsum(sizes)
+    every = np.concatenate(sets)
+    first = np.stack([np.searchsorted(x, BOUNDS) for x in sets]) + (ends - sizes)[:, None]
+    # the sets are sorted: the first shingle from a bucket's bound on is its least, if it is below the next bound
+    after = np.concatenate([first[:, 1:], ends[:, None]], axis=1)
+    filled = first < after
+    values = every[np.minimum(first, len(every) - 1)] * np.uint64(REGISTERS)  # modulo 2**64: the place within the bucket
+    short = np.flatnonzero(~filled.all(axis=1))
+    for low in range(0, len(short), 256):
+        rows = short[low : low + 256]
+        source = BORROW[np.arange(REGISTERS), filled[rows][:, BORROW].argmax(axis=2)]
+        own = np.where(filled[rows], np.arange(REGISTERS), source)
+        values[rows] = np.take_along_axis(values[rows], own, axis=1)
+    return registers(values)
 
 
 def sketched(docs: DataFrame, k: int, keep: list[str]) -> DataFrame:
-    """``keep``, n_shingles, set_key (hex of a 128-bit hash of the set; null if empty) and bands (longs; null if empty)."""
+    """``keep``, n_shingles, set_key (a 128-bit hash of the set; null if empty) and bands (longs; null if empty)."""
     small_batches(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -104,198 +106,222 @@ def sketched(docs: DataFrame, k: int, keep: list[str]) -> DataFrame:
                 packed = np.ascontiguousarray(sketches([sets[i] for i in full])).view(np.int64)
                 for i, row in zip(full, packed, strict=True):
                     bands[i] = row
-            keys = [xxhash.xxh3_128_hexdigest(s.tobytes()) if len(s) else None for s in sets]
-            yield pa.RecordBatch.from_arrays([*[b.column(c) for c in keep], pa.array([len(s) for s in sets], pa.int64()), pa.array(keys, pa.string()), pa.array(bands, pa.list_(pa.int64()))], names=[*keep, "n_shingles", "set_key", "bands"])
+            keys = [xxhash.xxh3_128_digest(s.tobytes()) if len(s) else None for s in sets]
+            yield pa.RecordBatch.from_arrays([*[b.column(c) for c in keep], pa.array([len(s) for s in sets], pa.int64()), pa.array(keys, pa.binary()), pa.array(bands, pa.list_(pa.int64()))], names=[*keep, "n_shingles", "set_key", "bands"])
 
     kept = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.select(*keep).schema)
-    return docs.select(*keep, F.col("text").alias("_text")).mapInArrow(run, f"{kept}, n_shingles bigint, set_key string, bands array<bigint>")
+    return docs.select(*keep, F.col("text").alias("_text")).mapInArrow(run, f"{kept}, n_shingles bigint, set_key binary, bands array<bigint>")
 
 
 def full_sets(docs: DataFrame, k: int) -> DataFrame:
-    """(set_key, items) of documents: the sorted hashes of their shingles."""
+    """(set_key, items) of documents: the sorted hashes of their shingles. A task gives equal sets once."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cache = _Hashes()
+        cache, seen = _Hashes(), set()
         for b in batches:
             sets = [shingles(t, k, cache) for t in b.column("text").to_pylist()]
-            yield pa.RecordBatch.from_arrays([pa.array([xxhash.xxh3_128_hexdigest(s.tobytes()) if len(s) else None for s in sets], pa.string()), pa.array([s.view(np.int64) for s in sets], pa.list_(pa.int64()))], names=["set_key", "items"])
+            sets = [s for s in sets if len(s) and (h := xxhash.xxh3_128_digest(s.tobytes())) not in seen and not seen.add(h)]
+            yield pa.RecordBatch.from_arrays([pa.array([xxhash.xxh3_128_digest(s.tobytes()) for s in sets], pa.binary()), pa.array([s.view(np.int64) for s in sets], pa.list_(pa.int64()))], names=["set_key", "items"])
 
-    return docs.select("text").mapInArrow(run, "set_key string, items array<bigint>").where("set_key is not null")
+    return docs.select("text").mapInArrow(run, "set_key binary, items array<bigint>")
 
 
-def equal_registers(a: Column, b: Column) -> Column:
-    """Number of equal registers of two arrays of bands."""
-    lanes = [-1 << 48, 0xFFFF << 32, 0xFFFF << 16, 0xFFFF]
-    one = lambda x: sum((x.bitwiseAND(F.lit(m)) == 0).cast("int") for m in lanes[1:]) + (F.shiftrightunsigned(x, 48) == 0).cast("int")
-    return F.aggregate(F.zip_with(a, b, lambda x, y: one(x.bitwiseXOR(y))), F.lit(0), lambda s, x: s + x)
+def collisions(sizes: np.ndarray) -> np.ndarray:
+    """For each set size the chances of 0, 1, .. 53 leading zeros in a register; their products, summed and divided by the
+    number of mantissas, give the chance that registers of unrelated sets are equal."""
+    n = np.maximum(sizes / REGISTERS, 1.0)[:, None]
+    i = np.arange(54)
+    return (1 - 2.0 ** -(i + 1)) ** n - np.where(i > 0, 1 - 2.0**-i, 0.0) ** n
 
 
-def collision_rate(n: Column, m: Column) -> Column:
-    """Chance that registers of unrelated sets of n and m shingles are equal: equal leading zeros, then equal mantissas."""
-    q = lambda size, i: F.pow(1 - F.pow(F.lit(2.0), -(i + 1)), size) - F.pow(1 - F.pow(F.lit(2.0), -i), size)
-    return F.aggregate(F.sequence(F.lit(0), F.lit(52)), F.lit(0.0), lambda s, i: s + q(n, i) * q(m, i)) / (1 << MANTISSA)
+def estimate(equal: np.ndarray, chance: np.ndarray) -> np.ndarray:
+    """Collision-corrected Jaccard estimates from numbers of equal registers and the chances of accidental equality."""
+    return (equal / REGISTERS - chance) / (1 - chance)
 
 
-def estimate(equal: Column, n: Column, m: Column) -> Column:
-    """Collision-corrected Jaccard estimate from the number of equal registers."""
-    c = collision_rate(n, m)
-    return (equal / REGISTERS - c) / (1 - c)
+def _margin(threshold: float) -> float:
+    return max(0.0, threshold - SIGMAS * (2 * threshold * (1 - threshold) / REGISTERS) ** 0.5)
 
 
-def _margin(threshold: float) -> float:
-    return max(0.0, threshold - SIGMAS * (threshold * (1 - threshold) / REGISTERS) ** 0.5)
+class _Forest(dict):
+    """Roots of what a task has joined so far."""
 
+    def find(self, x: int) -> int:
+        while (y := self.get(x, x)) != x:
+            self[x] = x = self.get(y, y)
+        return x
 
-def _plausible(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
-    """Pairs (a, b) whose sizes allow the threshold and whose estimate comes near it."""
-    side = lambda x: classes.select(F.col("set_key").alias(x), F.col("n_shingles").alias(f"n{x}"), F.col("bands").alias(f"r{x}"))
-    met = pairs.join(side("a"), "a").join(side("b"), "b").where(100 * F.least("na", "nb") >= percent * F.greatest("na", "nb"))
-    return met.where(estimate(equal_registers(F.col("ra"), F.col("rb")), F.col("na"), F.col("nb")) >= _margin(percent / 100)).select("a", "b")
 
+def _run_links(percent: int, node: np.ndarray, group: np.ndarray, reg: np.ndarray, starts: np.ndarray, items: np.ndarray, side: np.ndarray | None, first: np.ndarray | None, joined: _Forest) -> list[tuple[int, int]]:
+    """Links of a run that join its members' components: a spanning forest, as pairs of ``node``.
 
-def _verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame, k: int, percent: int) -> DataFrame:
-    """The pairs whose full sets meet the threshold."""
-    ids = pairs.select(F.explode(F.array("a", "b")).alias("set_key")).distinct()
-    wanted = classes.join(ids, "set_key", "left_semi").select("first_doc", "set_key")
-    texts = docs.select("doc_id", "text").join(wanted.select(F.col("first_doc").alias("doc_id")).distinct(), "doc_id", "left_semi")
-    sets = written(full_sets(texts, k))
-    side = lambda x: sets.select(F.col("set_key").alias(x), F.col("items").alias(f"s{x}"))
-    met = pairs.join(side("a"), "a").join(side("b"), "b")
-    shared = F.size(F.array_intersect("sa", "sb"))
-    return met.where(100 * shared >= percent * (F.size("sa") + F.size("sb") - shared)).select("a", "b").distinct()
+    ``starts``: where each member's set begins in ``items``, and the end. ``side``: only members of different sides are
+    compared. ``first``: only pairs are looked at whose first shared band is this one.
+    """
+    n, out = len(node), []
+    size = np.diff(starts)
+    label = np.array([joined.find(x) for x in group.tolist()])
+    packed = np.ascontiguousarray(reg).view(np.uint64)
+    chances = collisions(size)
+    least = _margin(percent / 100)
+    codes = None
+    for x in range(n - 1):
+        y = np.arange(x + 1, n)
+        ok = (label[y] != label[x]) & (100 * np.minimum(size[y], size[x]) >= percent * np.maximum(size[y], size[x]))
+        if side is not None:
+            ok &= side[y] != side[x]
+        y = y[ok]
+        if not len(y):
+            continue
+        equal = (reg[y] == reg[x]).sum(axis=1)
+        ok = estimate(equal, chances[y] @ chances[x] / (1 << MANTISSA)) >= least
+        if first is not None:
+            ok &= (packed[y] == packed[x]).argmax(axis=1) == first
+        y = y[ok]
+        if not len(y):
+            continue
+        own = items[starts[x] : starts[x + 1]]
+        if len(y) <= 4:
+            shared = np.array([len(np.intersect1d(own, items[starts[k] : starts[k + 1]], assume_unique=True)) for k in y])
+        else:
+            if codes is None:
+                codes = np.unique(items, return_inverse=True)[1]
+                mark = np.zeros(len(codes), bool)
+            mine = codes[starts[x] : starts[x + 1]]
+            mark[mine] = True
+            ends = np.cumsum(size[y])
+            at = np.arange(ends[-1]) + np.repeat(starts[y] - (ends - size[y]), size[y])
+            shared = np.add.reduceat(mark[codes[at]].astype(np.int64), ends - size[y])
+            mark[mine] = False
+        for k in y[100 * shared >= percent * (size[y] + size[x] - shared)]:
+            if label[k] != label[x]:
+                out.append((int(node[x]), int(node[k])))
+                a, b = sorted((int(label[x]), int(label[k])))
+                joined[b] = a
+                label[(label == a) | (label == b)] = a
+    return out
+
+
+def _linked(runs: DataFrame, percent: int) -> DataFrame:
+    """(a, b): for each run of rows with one key (bucket, i, j, g, h) the links that join components, as pairs of roots.
+
+    ``runs``: bucket, i, j (tiles), g, h (groups), side (whether a row is of the second tile), band, root, bands, items.
+    """
+    keys = ["bucket", "g", "h", "i", "j"]
+    dealt = runs.repartition(*keys).sortWithinPartitions(*keys)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        joined = _Forest()
+
+        def of_table(t: pa.Table, final: bool) -> tuple[list, pa.Table | None]:
+            b = t.combine_chunks().to_batches()[0]
+            code = np.stack([b.column(c).to_numpy() for c in keys])
+            bounds = [0, *(np.flatnonzero((code[:, 1:] != code[:, :-1]).any(axis=0)) + 1).tolist(), b.num_rows]
+            last = len(bounds) - 1 if final else len(bounds) - 2
+            root, side, band = (b.column(c).to_numpy(zero_copy_only=False) for c in ("root", "side", "band"))
+            reg = b.column("bands").flatten().to_numpy(zero_copy_only=False).view(np.uint16).reshape(-1, REGISTERS)
+            lists = b.column("items")
+            starts = lists.offsets.to_numpy()
+            items = lists.values.to_numpy(zero_copy_only=False)
+            out: list = []
+            for s, e in zip(bounds[:last], bounds[1 : last + 1], strict=True):
+                if e - s > 1:
+                    apart = code[1, s] != code[2, s] or code[3, s] != code[4, s]
+                    out += _run_links(percent, root[s:e], root[s:e], reg[s:e], starts[s : e + 1] - starts[s], items[starts[s] : starts[e]], side[s:e] if apart else None, None if band[s] < 0 else band[s], joined)
+            return out, None if final or bounds[-2] == b.num_rows else pa.Table.from_batches([b.slice(bounds[-2])])
+
+        held: list[pa.Table] = []
+        for b in batches:
+            if not b.num_rows:
+                continue
+            here = pa.Table.from_batches([b])
+            if held and all(here[c][-1].equals(held[0][c][0]) for c in keys):
+                held.append(here)  # a run that goes on
+                continue
+            out, rest = of_table(pa.concat_tables([*held, here]), False)
+            held = [rest] if rest is not None else []
+            if out:
+                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*out, strict=True)], names=["a", "b"])
+        if held:
+            out, _ = of_table(pa.concat_tables(held), True)
+            if out:
+                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*out, strict=True)], names=["a", "b"])
 
+    return dealt.mapInArrow(run, "a bigint, b bigint")
 
-def _lanes(b: pa.RecordBatch) -> np.ndarray:
-    return b.column("bands").flatten().to_numpy(zero_copy_only=False).view(np.uint16).reshape(-1, REGISTERS)
 
+def _tiles(n: str, weight: str) -> Column:
+    return F.ceil(F.greatest(F.col(n) / TILE, F.col(weight) / WEIGHT)).cast("int")
 
-def _tile_pairs(members: DataFrame, percent: int, best_only: bool) -> DataFrame:
-    """Pairs of members of one bucket in different components that pass the estimate; compared tile against tile.
 
-    ``members``: band, value, set_key, root, n_shingles, bands, tile, tiles. Every tile meets itself and each other
-    tile of its bucket once; a run of rows with one (band, value, i, j) has at most about two tiles. A pair that shares
-    several bands is reported by the first only. ``best_only``: for each component in a run only its pair with most
-    equal registers, if these reach the threshold.
-    """
-    floor = percent / 100 * REGISTERS if best_only else _margin(percent / 100) * REGISTERS * 0.97
-    met = members.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1))).select("band", "value", F.least("tile", "other").alias("i"), F.greatest("tile", "other").alias("j"), (F.col("tile") > F.col("other")).alias("second"), "set_key", "root", "n_shingles", "bands")
-    keys = ["band", "value", "i", "j"]
-    dealt = met.repartition(*keys).sortWithinPartitions(*keys)
-
-    def of_run(rows: dict) -> list[tuple[str, str]]:
-        key, n, reg, second = rows["set_key"], rows["n"], rows["reg"], rows["second"]
-        root = np.unique(rows["root"], return_inverse=True)[1]
-        packed = np.ascontiguousarray(reg).view(np.uint64)
-        band, out, found = rows["band"], [], []
-        for x in range(len(key)):
-            y = np.flatnonzero((root != root[x]) & (100 * np.minimum(n, n[x]) >= percent * np.maximum(n, n[x])) & (second != second[x] if rows["apart"] else np.arange(len(key)) > x))
-            y = y[y > x] if rows["apart"] else y
-            if len(y):
-                equal = (reg[y] == reg[x]).sum(axis=1)
-                y, equal = y[equal >= floor], equal[equal >= floor]
-                if best_only:
-                    found += [(x, z, e) for z, e in zip(y.tolist(), equal.tolist(), strict=True)]
-                elif len(y):
-                    first = (packed[y] == packed[x]).argmax(axis=1)
-                    out += [(key[x], key[z]) for z, f in zip(y, first, strict=True) if f == band]
-        if found:
-            i, j, e = np.array(found).T
-            ends, both = np.concatenate([root[i], root[j]]), np.concatenate([np.arange(len(i))] * 2)
-            order = np.lexsort((-np.concatenate([e, e]), ends))
-            _, first = np.unique(ends[order], return_index=True)
-            out = [(key[i[k]], key[j[k]]) for k in np.unique(both[order[first]])]
-        return out
+def _tile_of(tiles: str) -> Column:
+    return F.pmod(F.xxhash64("class", "bucket"), F.col(tiles)).cast("int")
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def pairs() -> Iterator[tuple[str, str]]:
-            held: list[pa.RecordBatch] = []
-
-            def parts(final: bool) -> Iterator[tuple[str, str]]:
-                t = pa.Table.from_batches(held).combine_chunks().to_batches()
-                held.clear()
-                if not t:
-                    return
-                b = t[0]
-                code = np.stack([b.column(c).to_numpy(zero_copy_only=False).astype(np.int64) for c in keys])
-                cuts = np.flatnonzero((code[:, 1:] != code[:, :-1]).any(axis=0)) + 1
-                bounds = [0, *cuts, b.num_rows]
-                last = len(bounds) - 1 if final else len(bounds) - 2
-                cols = {c: b.column(c).to_numpy(zero_copy_only=False) for c in ("set_key", "root", "second")}
-                n, reg = b.column("n_shingles").to_numpy(), _lanes(b)
-                for s, e in zip(bounds[:last], bounds[1 : last + 1], strict=True):
-                    if e - s > 1:
-                        yield from of_run({c: v[s:e] for c, v in cols.items()} | {"n": n[s:e], "reg": reg[s:e], "band": code[0, s], "apart": code[2, s] != code[3, s]})
-                if not final and bounds[-2] < b.num_rows:
-                    held.append(b.slice(bounds[-2]))
-
-            for b in batches:
-                held.append(b)
-                yield from parts(False)
-            if held:
-                yield from parts(True)
-
-        out: list[tuple[str, str]] = []
-        for p in pairs():
-            out.append(p)
-            if len(out) >= 10_000:
-                yield pa.RecordBatch.from_arrays([pa.array(c, pa.string()) for c in zip(*out, strict=True)], names=["a", "b"])
-                out = []
-        if out:
-            yield pa.RecordBatch.from_arrays([pa.array(c, pa.string()) for c in zip(*out, strict=True)], names=["a", "b"])
-
-    return dealt.mapInArrow(run, "a string, b string")
-
-
-def _unjoined(shared: DataFrame, roots: DataFrame, classes: DataFrame, percent: int, joining: bool) -> DataFrame:
-    """Candidate pairs of different components among the members of each bucket."""
-    named = shared.select("set_key").distinct().join(roots, F.col("set_key") == F.col("node"), "left").select(F.col("set_key").alias("node"), F.coalesce("root", "set_key").alias("root"))
-    labelled = written(shared.join(written(named), F.col("set_key") == F.col("node")).select("set_key", "band", "value", "root"))
-    open_ = labelled.groupBy("band", "value").agg(F.min("root").alias("low"), F.max("root").alias("high"), F.count("*").alias("n")).where("low <> high")
-    tiles = F.ceil(F.col("n") / (WIDE_TILE if joining else TILE)).cast("int")
-    probe = F.col("value").bitwiseXOR(F.lit(-1))
-    members = labelled.withColumn("v", probe).join(open_.select(F.col("band").alias("band_"), probe.alias("v_"), tiles.alias("tiles")), (F.col("band") == F.col("band_")) & (F.col("v") == F.col("v_"))).select("band", "value", "set_key", "root", "tiles")
-    members = members.join(classes.select("set_key", "n_shingles", "bands"), "set_key").withColumn("tile", F.pmod(F.xxhash64("set_key"), F.col("tiles")).cast("int"))
-    return _tile_pairs(members, percent, joining)
+
+def _across(members: DataFrame, roots: DataFrame, payload: DataFrame, percent: int) -> DataFrame:
+    """Links between tiles of the buckets (bucket, class, band, n_shingles) that hold several components, as pairs of roots.
+
+    Components with many members in a bucket have tiles of their own, which are not compared with each other; all others
+    of the bucket share tiles.
+    """
+    named = members.join(roots, F.col("class") == F.col("node"), "left").select("bucket", "class", "band", "n_shingles", F.coalesce("root", "class").alias("root"))
+    sizes = named.groupBy("bucket", "root").agg(F.count("*").alias("n"), F.sum("n_shingles").alias("w"))
+    grouped = sizes.withColumn("g", F.when(_tiles("n", "w") > 1, F.col("root")).otherwise(-1))
+    open_ = grouped.groupBy("bucket").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high").select("bucket")
+    groups = written(grouped.join(open_, "bucket").groupBy("bucket", "g").agg(F.sum("n").alias("n"), F.sum("w").alias("w")).select("bucket", "g", _tiles("n", "w").alias("tiles")))
+    big = groups.where("g >= 0").select(F.bitwise_not("bucket").alias("k"), F.col("g").alias("big"))
+    at = named.withColumn("k", F.bitwise_not("bucket"))
+    placed = at.join(big, (at["k"] == big["k"]) & (F.col("root") == F.col("big")), "left").drop("k").withColumn("g", F.coalesce("big", F.lit(-1).cast("long")))
+    own = groups.select(F.bitwise_not("bucket").alias("k"), F.col("g").alias("own_g"), F.col("tiles").alias("own_tiles"))
+    other = groups.select(F.bitwise_not("bucket").alias("k2"), F.col("g").alias("other"), F.col("tiles").alias("others"))
+    placed = placed.withColumn("k", F.bitwise_not("bucket")).join(own, ["k"]).where("g = own_g").withColumn("tile", _tile_of("own_tiles"))
+    met = placed.join(other, F.col("k") == F.col("k2")).where("g <> other or g < 0").withColumn("o", F.explode(F.sequence(F.lit(0), F.col("others") - 1)))
+    same, second = F.col("g") == F.col("other"), F.col("g") > F.col("other")
+    low = F.when(same, F.least("tile", "o")).when(second, F.col("o")).otherwise(F.col("tile"))
+    high = F.when(same, F.greatest("tile", "o")).when(second, F.col("tile")).otherwise(F.col("o"))
+    runs = met.select("bucket", "class", "band", "root", F.least("g", "other").alias("g"), F.greatest("g", "other").alias("h"), low.alias("i"), high.alias("j"), F.when(same, F.col("tile") > F.col("o")).otherwise(second).alias("side"))
+    return _linked(runs.join(payload, "class").drop("class", "n_shingles"), percent)
 
 
 def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
     """One row per document: doc_id, n_shingles, component_id (least doc_id of its group), kept (whether it is that one).
 
     Links are pairs of documents with ``100 * shared shingles >= percent * all shingles`` that share a band (a pair at
-    80 % is missed with a chance of about 3 in a million). Null and empty texts have no shingles and link with nothing;
-    equal texts, and texts with equal shingle sets, are linked; rows without doc_id are linked with nothing, have a null
-    component and are kept. Repeated doc_ids stand for one document of several texts. Other columns are not read.
+    80 % is missed with a chance of about 3 in a million). Shingles are told apart by 64-bit hashes. Null and empty texts
+    have no shingles and link with nothing; equal texts, and texts with equal shingle sets, are linked; rows without doc_id
+    are linked with nothing, have a null component and are kept. Repeated doc_ids stand for one document of several texts.
+    Other columns are not read.
     """
     all_rows = written(sketched(docs, k, ["doc_id"]))
     rows = all_rows.where("doc_id is not null and set_key is not null")
-    # equal sets have equal sketches
-    classes = written(rows.groupBy("set_key").agg(F.min("doc_id").alias("first_doc"), F.first("n_shingles").alias("n_shingles"), F.first("bands").alias("bands")))
-    banded = classes.select("set_key", F.posexplode("bands").alias("band", "value"))
-    buckets = banded.groupBy("band", "value").agg(F.min("set_key").alias("pivot"), F.max("set_key").alias("last")).where("pivot <> last")
-    # the value is renamed through an expression, so that the join shuffles both sides alike and can split a hot bucket
-    probe = F.col("value").bitwiseXOR(F.lit(-1))
-    shared = written(banded.withColumn("v", probe).join(buckets.select(F.col("band").alias("band_"), probe.alias("v_"), "pivot"), (F.col("band") == F.col("band_")) & (F.col("v") == F.col("v_"))).select("set_key", "band", "value", "pivot"))
-    to_pivot = shared.where("set_key <> pivot").select(F.col("set_key").alias("a"), F.col("pivot").alias("b")).distinct()
-    near = _verified(written(_plausible(to_pivot, classes, percent)), classes, docs, k, percent)
-    links = written(near)
+    # equal sets have equal sketches; repeated rows of a doc_id may stand in the payload twice, which links nothing new
+    classes = written(rows.groupBy("set_key").agg(F.min("doc_id").alias("first_doc"), F.first("n_shingles").alias("n_shingles"), F.first("bands").alias("bands")).withColumn("class", F.monotonically_increasing_id()))
+    # the band stands in the first bits of a bucket's number: the least of equal buckets is that of the first band
+    banded = classes.select("class", "n_shingles", F.posexplode("bands").alias("band", "value"))
+    banded = banded.select(F.shiftleft(F.col("band").cast("long"), 58).bitwiseOR(F.shiftrightunsigned(F.xxhash64("value"), 6)).alias("bucket"), "class", "n_shingles")
+    members = [F.count("*").alias("n"), F.sum("n_shingles").alias("w"), F.min("class").alias("low"), F.max("class").alias("high"), F.bit_xor(F.xxhash64("class")).alias("mixed")]
+    filled = banded.groupBy("bucket").agg(*members).where("n > 1")
+    # most groups of copies share many bands: of buckets with the same members one is enough
+    buckets = filled.groupBy("n", "w", "low", "high", "mixed").agg(F.min("bucket").alias("bucket")).select(F.bitwise_not("bucket").alias("k"), _tiles("n", "w").alias("tiles"))
+    shared = written(banded.withColumn("k", F.bitwise_not("bucket")).join(buckets, "k").drop("k").withColumn("band", F.shiftright("bucket", 58)))
+    wanted = classes.join(shared.select("class"), "class", "left_semi").select("class", "first_doc", "set_key", "bands")
+    texts = docs.select("doc_id", "text").join(wanted.select(F.col("first_doc").alias("doc_id")).distinct(), "doc_id", "left_semi")
+    payload = written(full_sets(texts, k).join(wanted, "set_key").select("class", "bands", "items"))
+    inside = shared.select("bucket", "class", F.col("class").alias("root"), F.lit(-1).cast("long").alias("band"), F.lit(0).cast("long").alias("g"), F.lit(0).cast("long").alias("h"), _tile_of("tiles").alias("i"), F.lit(False).alias("side"))
+    links = written(_linked(inside.withColumn("j", F.col("i")).join(payload, "class").drop("class"), percent))
     roots = written(components(links))
-    for i in range(JOINING_ROUNDS + 1):
-        joining = i < JOINING_ROUNDS
-        more = written(_plausible(_unjoined(shared, roots, classes, percent, joining).distinct(), classes, percent))
-        if not more.limit(1).count():
-            continue
-        late = written(_verified(more, classes, docs, k, percent))
-        if late.limit(1).count():
-            links = written(links.unionByName(late))
-            roots = written(components(links))
-    grouped = classes.select("set_key", "first_doc").join(roots, F.col("set_key") == F.col("node"), "left").select("set_key", "first_doc", F.coalesce("root", "set_key").alias("root"))
-    least = grouped.groupBy("root").agg(F.min("first_doc").alias("component_id"))
-    named_sets = grouped.select("set_key", F.reverse("root").alias("_k")).join(least.select(F.reverse("root").alias("_k"), "component_id"), "_k").select(F.col("set_key").alias("_set"), "component_id")
-    out = all_rows.select("doc_id", "n_shingles", F.coalesce("set_key", F.concat(F.lit("none "), F.coalesce(F.col("doc_id").cast("string"), F.lit("")))).alias("_set"), F.col("set_key").isNull().alias("_none"))
-    result = out.join(named_sets, "_set", "left")
-    component = F.when(F.col("doc_id").isNull(), F.lit(None)).otherwise(F.coalesce("component_id", "doc_id"))
-    result = result.select("doc_id", "n_shingles", component.alias("component_id"))
-    return result.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
+    late = written(_across(shared.where("tiles > 1").drop("tiles"), roots, payload, percent))
+    over = components(late).select(F.col("node").alias("was"), F.col("root").alias("top"))
+    every = shared.select("class").distinct().join(roots, F.col("class") == F.col("node"), "left").select("class", F.coalesce("root", "class").alias("root"))
+    grouped = written(every.join(over, F.col("root") == F.col("was"), "left").select("class", F.coalesce("top", "root").alias("root")))
+    discard(payload, shared, links, late)
+    met = grouped.join(classes.select("class", "first_doc"), "class")
+    least = met.groupBy("root").agg(F.min("first_doc").alias("component_id"))
+    of_class = grouped.withColumn("k", F.bitwise_not("root")).join(least.select(F.bitwise_not("root").alias("k"), "component_id"), "k").select(F.col("class").alias("in_group"), "component_id")
+    named_sets = classes.join(of_class, F.col("class") == F.col("in_group"), "left").select(F.col("set_key").alias("named"), F.coalesce("component_id", "first_doc").alias("component_id"))
+    met = rows.select("doc_id", "n_shingles", "set_key").join(named_sets, F.col("set_key") == F.col("named")).select("doc_id", "n_shingles", "component_id")
+    alone = all_rows.where("doc_id is null or set_key is null").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"))
+    return met.unionByName(alone).withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
 
 
 def deduplicated(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:

@@ -81,7 +81,7 @@ def judge(pages: DataFrame, entries: Iterable[tuple[str, str, str]], default: st
     An entry (verdict, host, path) fits its host and all subdomains of it, and urls whose path starts with its path.
     Null and malformed urls get the default; repeated rows are judged alike; an empty table gives an empty result.
     """
-    small_batches(pages.sparkSession, 4096)
+    small_batches(pages.sparkSession)
     trie = pages.sparkSession.sparkContext.broadcast(Trie(entries))
     host, path = url_parts(F.col(f"`{url}`"))
     cols = [F.col(f"`{c}`") for c in keep]
