@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import re
 import zlib
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
@@ -27,14 +28,24 @@ from .scratch import least_hashed, small_batches
 #: Pages of the table that the labeller may be trained on, least keyed hashes first.
 SAMPLE_PAGES = 400
 GENERATED_PAGES = 600
+#: Distinct words of these pages that fill the generated layouts.
+SAMPLE_WORDS = 5000
 TAG_SLOTS, WORD_SLOTS, TAG_SIZE, WORD_SIZE, NUMBERS, HIDDEN = 1024, 1024, 12, 6, 8, 14
 
 BLOCKS = frozenset("address article aside blockquote body button caption center dd details dialog div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 head header hr html legend li main menu nav ol optgroup option p pre section select summary table tbody td textarea tfoot th thead title tr ul".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "option": {"option"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}}
 INSIDE_P = BLOCKS - {"button", "option", "select", "textarea", "title", "head", "html", "body"}
-_SILENT = r"<(script|style|noscript|template|svg|iframe|object)\b[^>]*>.*?(?:</\1\s*>|\Z)"
-TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|" + _SILENT + r"|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<[!?][^>]*>", re.S | re.I)
+#: Elements whose content is no text. Of those in RAW an end that never comes is the page's end; of others only the tag goes.
+SILENT = frozenset("script style noscript template svg iframe object".split())
+RAW = frozenset("script style iframe".split())
+#: A tag up to ``>`` outside quotes, without looking past another ``<``.
+TAG = re.compile(r"<(/?)([a-zA-Z][^\s/>]*)((?:[^<>\"']|\"[^<\"]*\"|'[^<']*')*+)>")
+TAG_NAME = re.compile(r"(/?)([a-zA-Z][^\s/>]*)")
+#: The rest of a tag that has a ``<`` in it: up to ``>`` outside quotes.
+FAR_END = re.compile(r"(?:[^>\"']|\"[^\"]*\"|'[^']*')*+>")
+#: A path of more words keeps this many of its outermost and innermost each, as features of a block.
+PATH_WORDS = 32
 ATTRIBUTE = re.compile(r"\b(class|id|role|data-y)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
 NAME = re.compile(r"[a-z]+")
 
@@ -74,12 +85,65 @@ def _attributes(text: str) -> tuple[tuple[str, ...], str]:
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 
 
+def tags(html: str) -> Iterator[tuple[int, int, str, bool, str]]:
+    """(start, end, name, whether it ends an element, attributes) of all tags and of what is no text (name empty).
+
+    Comments, declarations and silent elements are no text, nor is a tag that the page breaks off. A ``<`` that begins
+    none of these is text. Every page is read in time linear in its length: what may not end is looked for once.
+    """
+    at, last = 0, html.rfind(">")
+    ends: dict[str, bool] = {}  # whether an end of a silent element may still come
+    far = 8 * len(html) + 65_536  # characters that may be read again behind tags with a < in them
+    while (start := html.find("<", at)) >= 0:
+        if near := TAG.match(html, start):
+            slash, tag, attributes = near.groups()
+            at = near.end()
+        elif html.startswith("<!--", start):
+            end = html.find("-->", start + 4)
+            short = next((start + len(x) for x in ("<!-->", "<!--->") if html.startswith(x, start)), 0)
+            at = short or (len(html) if end < 0 else end + 3)
+            yield start, at, "", False, ""
+            continue
+        else:
+            name = TAG_NAME.match(html, start + 1)
+            if not name and html[start + 1 : start + 2] not in ("!", "?", "/") or start == len(html) - 1:
+                at = start + 1
+                continue
+            if start > last:  # broken off
+                yield start, len(html), "", False, ""
+                return
+            if not name:
+                at = html.index(">", start) + 1
+                yield start, at, "", False, ""
+                continue
+            slash, tag = name.groups()
+            end = FAR_END.match(html, name.end()) if far > 0 else None
+            far -= (end.end() if end else len(html)) - start
+            at = end.end() if end else html.index(">", name.end()) + 1
+            attributes = html[name.end() : at - 1]
+        tag = tag.lower()
+        if tag in SILENT and not slash:
+            found = None
+            if ends.get(tag, True) and not (tag == "svg" and html.endswith("/>", start, at)):
+                found = re.compile(f"</{tag}(?=[\\s/>])[^>]*>", re.I).search(html, at)
+                ends[tag] = found is not None
+                if not found and tag in RAW:
+                    yield start, len(html), "", False, ""
+                    return
+            at = found.end() if found else at
+            yield start, at, "", False, ""
+            continue
+        yield start, at, tag, bool(slash), attributes
+
+
 def blocks(html: str | None) -> list[Block]:
     """The blocks of a whole page; unclosed elements end where HTML ends them. Scripts, styles and comments are no text."""
     html = html or ""
     root = _Open("", (), "", False)
     out: list[Block] = []
     stack: list[_Open] = [root]
+    open_: Counter[str] = Counter()
+    block_at = [0]  # where the open blocks stand in the stack
     texts: list[str] = []
     linked = links = at = 0
 
@@ -96,53 +160,54 @@ def blocks(html: str | None) -> list[Block]:
 
     def close_to(i: int) -> None:
         nonlocal links
-        if any(o.block for o in stack[i:]):
+        if block_at[-1] >= i:
             flush()
-        links -= sum(o.tag == "a" for o in stack[i:])
+            while block_at[-1] >= i:
+                block_at.pop()
+        gone = stack[i:]
+        open_.subtract(o.tag for o in gone)
+        links -= sum(o.tag == "a" for o in gone)
         del stack[i:]
 
-    def innermost() -> int:
-        return next((i for i in range(len(stack) - 1, 0, -1) if stack[i].block), 0)
-
-    for m in TOKEN.finditer(html):
-        start = m.start()
+    for start, end, tag, closing, attributes in tags(html):
         if start > at:
             texts.append(html[at:start])
             if links:
                 linked += start - at
-        at = m.end()
-        if not m[3]:
+        at = end
+        if not tag:
             continue
-        tag = m[3].lower()
         block = tag in BLOCKS
-        if m[2]:
-            for i in range(len(stack) - 1, 0, -1):
-                if stack[i].tag == tag:
-                    close_to(i)
-                    break
-            else:
-                if block:
-                    flush()
+        if closing:
+            if open_[tag] > 0:
+                close_to(next(i for i in range(len(stack) - 1, 0, -1) if stack[i].tag == tag))
+            elif block:
+                flush()
             continue
         if block:
             flush()
             if tag in INSIDE_P:
-                i = innermost()
+                i = block_at[-1]
                 if stack[i].tag == "p" or (tag in HEADINGS and stack[i].tag in HEADINGS):
                     close_to(i)
             if tag in CLOSES:
-                while stack[i := innermost()].tag in CLOSES[tag]:
+                while stack[i := block_at[-1]].tag in CLOSES[tag]:
                     close_to(i)
         if tag in VOID:
             if tag in ("br", "hr"):
                 texts.append(" ")
             continue
-        words, label = _attributes(m[4]) if m[4] else ((), "")
+        words, label = _attributes(attributes) if attributes else ((), "")
         top = stack[-1]
-        stack.append(_Open(tag, (*top.path, tag, *words), label or top.label, block))
+        path = (*top.path, tag, *words)
+        if len(path) > 2 * PATH_WORDS:
+            path = (*path[:PATH_WORDS], *path[-PATH_WORDS:])
+        if block:
+            block_at.append(len(stack))
+        stack.append(_Open(tag, path, label or top.label, block))
+        open_[tag] += 1
         links += tag == "a"
-    if not html[at:].startswith("<"):
-        texts.append(html[at:])
+    texts.append(html[at:])
     flush()
     return out
 
@@ -247,6 +312,26 @@ class Labeller:
             x[: len(p), j], mask[: len(p), j] = p, True
         return x, mask
 
+    def _read(self, x: np.ndarray, mask: np.ndarray) -> np.ndarray:
+        """Hidden states (steps, pages, 2 * HIDDEN) of both directions, which are read side by side."""
+        steps, pages, _ = x.shape
+        # the sigmoid of z is (1 + tanh(z / 2)) / 2, so that one call serves all gates
+        scale = np.repeat([0.5, 1.0], [3 * HIDDEN, HIDDEN])
+        own = np.stack([self.p["fh"], self.p["bh"]]) * scale
+        gates = np.stack([x @ self.p["fx"] + self.p["f0"], (x @ self.p["bx"] + self.p["b0"])[::-1]], axis=1) * scale
+        full = mask.all()
+        masks = np.stack([mask, mask[::-1]], axis=1)[..., None]
+        h = c = np.zeros((2, pages, HIDDEN))
+        out = np.empty((steps, 2, pages, HIDDEN))
+        for t in range(steps):
+            a = np.tanh(gates[t] + h @ own)
+            s = a[..., : 3 * HIDDEN] * 0.5 + 0.5
+            c2 = s[..., HIDDEN : 2 * HIDDEN] * c + s[..., :HIDDEN] * a[..., 3 * HIDDEN :]
+            h2 = s[..., 2 * HIDDEN :] * np.tanh(c2)
+            c, h = (c2, h2) if full else (np.where(masks[t], c2, c), np.where(masks[t], h2, h))
+            out[t] = h
+        return np.concatenate([out[:, 0], out[::-1, 1]], axis=2)
+
     def label(self, pages: list[Sequence]) -> list[np.ndarray]:
         """For each page whether its blocks are main text. Pages of like length are read side by side."""
         out: list[np.ndarray] = [np.empty(0, bool)] * len(pages)
@@ -256,7 +341,7 @@ class Labeller:
             some = order[-max(1, 20_000 // longest) :]
             del order[-len(some) :]
             x, mask = self.padded([self.inputs(pages[i]) for i in some])
-            z = np.concatenate([self._run(x, mask, k)[0] for k in "fb"], axis=2) @ self.p["out"] + self.p["bias"]
+            z = self._read(x, mask) @ self.p["out"] + self.p["bias"]
             for j, i in enumerate(some):
                 out[i] = z[: len(pages[i].numbers), j] > 0
         return out
@@ -415,11 +500,13 @@ def silver(page: list[Block]) -> np.ndarray:
     return np.array([("article" in b.path or "main" in b.path) and not OUTSIDE.intersection(b.path) for b in page], bool)
 
 
-def train_labeller(pages: DataFrame, sample_pages: int = SAMPLE_PAGES, generated_pages: int = GENERATED_PAGES) -> Labeller:
-    """Train on at most ``sample_pages`` pages with silver labels and ``generated_pages`` layouts of their words."""
+def train_labeller(pages: DataFrame, sample_pages: int = SAMPLE_PAGES, generated_pages: int = GENERATED_PAGES, sample_words: int = SAMPLE_WORDS) -> Labeller:
+    """Train on at most ``sample_pages`` pages with silver labels, and on ``generated_pages`` layouts of at most
+    ``sample_words`` of their words, those with the least hashes."""
     rows = least_hashed(pages.where("html is not null").select("page_id", "html"), F.xxhash64("page_id", F.lit(9)), sample_pages).collect()
     own = [p for p in (blocks(r["html"]) for r in sorted(rows, key=lambda r: (r["page_id"] is None, r["page_id"]))) if p]
-    words = sorted({w.strip(".,!?") for p in own for b in p for w in b.text.lower().split()[:200]} - {""})[:5000] or ["word"]
+    every = {w.strip(".,!?") for p in own for b in p for w in b.text.lower().split()} - {""}
+    words = sorted(every, key=lambda w: (zlib.crc32(w.encode("utf-8", "surrogatepass")), w))[:sample_words] or ["word"]
     made = [blocks(h) for h in generated(words, generated_pages)]
     labelled = [(p, silver(p)) for p in own]
     train = [*[x for x in labelled if x[1].any()], *[(p, np.array([b.label for b in p], bool)) for p in made if p]]
@@ -437,7 +524,7 @@ def extract(pages: DataFrame, labeller: Labeller | None = None, keep: tuple[str,
     that are not kept are not read. An empty table gives an empty result.
     """
     labeller = labeller or train_labeller(pages)
-    small_batches(pages.sparkSession, 128)
+    small_batches(pages.sparkSession)
     cols = [F.col(f"`{c}`") for c in keep]
     sent = pages.sparkSession.sparkContext.broadcast(labeller)  # some 30,000 numbers
 
