@@ -10,7 +10,8 @@ get equal pseudonyms in every document and row order never matters:
   serial): digits permuted, punctuation kept;
 * IPv4 addresses (each part at most 255): parts permuted among those of as many digits;
 * calendar dates (``yyyy-mm-dd``, ``dd.mm.yyyy``, ``dd/mm/yyyy``, 1900 to 2099): permuted as day numbers;
-* e-mail addresses: letters and digits of the local part and of the domain (all but its last label) permuted, so that
+* e-mail addresses (at most 64 characters before the ``@``, names of at most 63, as mail allows): letters and digits of
+  the local part and of the domain (all but its last label) permuted, so that
   equal domains stay equal;
 * hexadecimal secrets of 32, 40 or 64 digits: permuted as hexadecimal digits.
 """
@@ -22,9 +23,10 @@ from pyspark.sql import functions as F
 
 ROUNDS = 8
 AT_MOST_15 = r"(?<!" + r"\d[ .()-]{0,2}" * 15 + r"\d)"  # digits behind, as far as a plus sign
-#: Patterns of candidate values; each is bounded by look-arounds so that no part of a longer run matches.
+#: Patterns of candidate values; each is bounded by look-arounds so that no part of a longer run matches. Groups are
+#: repeated a bounded number of times, since Java's matcher takes stack for each.
 PATTERNS = {
-    "email": r"(?<![\p{L}\p{N}._%+-])[\p{L}\p{N}._%+-]++@(?:[A-Za-z0-9-]++\.)+[A-Za-z]{2,24}(?![A-Za-z0-9])",
+    "email": r"(?<![\p{L}\p{N}._%+-])[\p{L}\p{N}._%+-]{1,64}+@(?:[A-Za-z0-9-]{1,63}+\.){1,126}[A-Za-z]{2,24}(?![A-Za-z0-9])",
     "phone": r"(?<![\w+])\+\d{1,3}[ .-]?(?:\(\d{1,4}\)[ .-]?)?\d{2,4}(?:[ .-]?\d{2,4}){1,4}(?!\d)" + AT_MOST_15 + r"|(?<![\w.+-])(?:\(\d{3}\) ?|\d{3}[.-])\d{3}[.-]\d{4}(?![\w-])",
     "national": r"(?<![\w-])\d{3}-\d{2}-\d{4}(?![\w-])",
     "date": r"(?<![\w./-])(?:\d{4}-\d{2}-\d{2}|\d{2}[./]\d{2}[./]\d{4})(?:(?=T\d)|(?![\w/-]|\.\d))",
