@@ -34,6 +34,7 @@ MAGIC = b"SVB1"
 NULL_ID = np.iinfo(np.int64).min
 #: Ids per shard, about: a document is never split, so a longer one has a shard of its own.
 SHARD_IDS = 2_000_000
+_ALPHABET = "abcdefghijklmnopqrstuvwxyz"
 LENGTHS = ((np.arange(256)[:, None] >> np.array([0, 2, 4, 6])) & 3).astype(np.uint8) + 1
 
 
@@ -67,18 +68,38 @@ def decode_block(control: bytes, data: bytes, lengths: np.ndarray) -> np.ndarray
 class WordEncoder:
     """Encodes texts with the tokenizers library, word by word: white space never joins tokens of these vocabularies.
 
-    The ids of a word are remembered for the life of the worker process, up to a bound on the number of words.
+    The ids of a word are remembered for the life of the worker process, up to a bound on the number of words. Where the
+    vocabulary marks the ends of words, a word of letters is encoded without the marks behind it, ASCII in lower case,
+    and many such words are sent as one text, whose ids are cut at the ends.
     """
 
+    #: Marks that may follow a word and then make one run; no apostrophes and no part of special tokens.
+    MARKS = ".,!?;:#$%&*)]}\"-_/"
+
     def __init__(self, path: str, kind: str = "<u4", remembered: int = 900_000) -> None:
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         self.tokenizer, self.kind, self.remembered = Tokenizer.from_file(path), kind, remembered
         self.known: dict[str, bytes] = {"": b""}
+        self.cores: dict[str, bytes] = {"": b""}
         # words are sent many to a text with a special token between them, which no word may hold
         special = [(i, t.content) for i, t in self.tokenizer.get_added_tokens_decoder().items() if t.special and not t.normalized]
         self.mark, self.between = special[0] if special else (None, None)
+        # the letters a-z pass as they are, capitals as the same letters, and letters and marks are cut apart
+        suffix = getattr(self.tokenizer.model, "end_of_word_suffix", None)
+        pieces = self._pieces(_ALPHABET + self.MARKS + " " + _ALPHABET.upper())
+        self.ends = None
+        if suffix and pieces == [_ALPHABET, self.MARKS, _ALPHABET]:
+            self.ends = np.zeros(self.tokenizer.get_vocab_size(), bool)
+            self.ends[[i for t, i in self.tokenizer.get_vocab().items() if t.endswith(suffix)]] = True
+            self.plain = Tokenizer.from_file(path)
+            self.plain.normalizer, self.plain.pre_tokenizer = None, pre_tokenizers.WhitespaceSplit()
+
+    def _pieces(self, text: str) -> list[str]:
+        t = self.tokenizer
+        text = t.normalizer.normalize_str(text) if t.normalizer else text
+        return [p for p, _ in t.pre_tokenizer.pre_tokenize_str(text)] if t.pre_tokenizer else [text]
 
     def __call__(self, texts: list[str | None]) -> list[bytes]:
         """The ids of each whole text, as numbers of the encoder's kind."""
@@ -86,7 +107,7 @@ class WordEncoder:
         known = self.known
         every = set().union(*cut) if cut else set()
         missing = list(every.difference(known))
-        fresh = self._encoded(missing)
+        fresh = self._words(missing) if self.ends is not None else self._encoded(missing)
         if len(known) + len(fresh) <= self.remembered:
             known.update(fresh)
             find = known.__getitem__
@@ -95,13 +116,43 @@ class WordEncoder:
             find = fresh.__getitem__
         return [b"".join(map(find, words)) for words in cut]
 
+    def _words(self, words: list[str]) -> dict[str, bytes]:
+        """The ids of words from those of their letters and of the marks behind."""
+        cores = [w.rstrip(self.MARKS) for w in words]
+        whole = [c.isalpha() for c in cores]
+        cores = [c.lower() if a and c.isascii() else c for c, a in zip(cores, whole, strict=True)]
+        tails = [w[len(c) :] for w, c in zip(words, cores, strict=True)]
+        odd = self._encoded([w for w, a in zip(words, whole, strict=True) if not a])
+        need = set(cores for cores, a in zip(cores, whole, strict=True) if a).difference(self.cores)
+        fresh = self._letters([c for c in need if c.isascii()], self.plain) | self._letters([c for c in need if not c.isascii()], self.tokenizer)
+        fresh |= self._encoded(list(set(tails).difference(self.cores)))
+        if len(self.cores) + len(fresh) <= self.remembered:
+            self.cores.update(fresh)
+            find = self.cores.__getitem__
+        else:
+            find = lambda c: fresh[c] if c in fresh else self.cores[c]
+        return odd | {w: find(c) + find(t) for w, c, t, a in zip(words, cores, tails, whole, strict=True) if a}
+
+    def _letters(self, words: list[str], tokenizer) -> dict[str, bytes]:
+        """The ids of words of letters alone, each of which has one end."""
+        out: dict[str, bytes] = {}
+        for low in range(0, len(words), 100):
+            some = words[low : low + 100]
+            ids = np.array(tokenizer.encode_batch_fast([" ".join(some)], add_special_tokens=False)[0].ids, self.kind)
+            ends = (np.flatnonzero(self.ends[ids]) + 1).tolist()
+            if len(ends) != len(some):  # a letter that is more than one after normalisation
+                out.update(self._encoded(some))
+                continue
+            wide, raw = ids.itemsize, ids.tobytes()
+            out.update(zip(some, [raw[wide * a : wide * b] for a, b in zip([0, *ends[:-1]], ends, strict=True)], strict=True))
+        return out
 
     def _encoded(self, words: list[str]) -> dict[str, bytes]:
         one = [w for w in words if self.between is None or self.between in w]
         many = [w for w in words if self.between is not None and self.between not in w]
         out = {w: np.array(e.ids, self.kind).tobytes() for w, e in zip(one, self.tokenizer.encode_batch_fast(one, add_special_tokens=False), strict=True)}
-        for low in range(0, len(many), 1000):
-            some = many[low : low + 1000]
+        for low in range(0, len(many), 100):
+            some = many[low : low + 100]
             ids = np.array(self.tokenizer.encode_batch_fast([self.between.join(some)], add_special_tokens=False)[0].ids, self.kind)
             cuts = np.flatnonzero(ids == self.mark)
             wide = ids.itemsize
@@ -221,7 +272,7 @@ def read_ids(spark: SparkSession, folder: str, digest_only: bool = False) -> Dat
     fs, path = pafs.FileSystem.from_uri(folder)
     with fs.open_input_stream(f"{path}/ranks.u32") as f:
         by_rank = spark.sparkContext.broadcast(np.frombuffer(f.read(), "<u4"))
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "4")
+    small_batches(spark)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
