@@ -93,6 +93,48 @@ def test_minhash_groups(spark):
     assert [(x["doc_id"], x["component_id"], x["kept"]) for x in minhash.near_duplicates(odd).collect() if x["doc_id"] is None] == [(None, None, True)]
 
 
+def test_minhash_large_group_that_drifts(spark, monkeypatch):
+    r = random.Random(5)
+    word = lambda: "".join(r.choices("abcdefgh", k=5))
+    base, texts = [word() for _ in range(90)], []
+    chain = list(base)
+    for i in range(240):
+        t = list(base if i % 3 else chain)
+        for _ in range(r.choice([1, 2, 3, 5, 8])):
+            t[r.randrange(len(t))] = word()
+        if i % 3 == 0:
+            chain = t
+        texts.append(" ".join(t))
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    sets = [{tuple(w[k : k + 4]) for k in range(len(w) - 3)} for w in map(str.split, texts)]
+    low = list(range(len(texts)))
+
+    def find(x):
+        while low[x] != x:
+            x = low[x]
+        return x
+
+    for i, a in enumerate(sets):
+        for j in range(i):
+            k = len(a & sets[j])
+            if 100 * k >= 80 * (len(a) + len(sets[j]) - k):
+                x, y = sorted((find(i), find(j)))
+                low[y] = x
+    assert len({find(i) for i in range(240)}) > 30  # some texts of the group stay alone
+    for tile in (256, 7):  # one tile, and many that are compared across
+        monkeypatch.setattr(minhash, "TILE", tile)
+        got = {x["doc_id"]: x["component_id"] for x in minhash.near_duplicates(df, k=4).collect()}
+        assert got == {i: find(i) for i in range(240)}
+
+
+def test_deduplicated_keeps_columns_of_any_name(spark):
+    names = ["set_key", "bands", "class", "bucket", "root", "component_id", "kept", "n_shingles"]
+    rows = [(i, "the same seven words are in here", *[f"{n}{i}" for n in names]) for i in range(3)] + [(9, None, *[None] * len(names))]
+    df = spark.createDataFrame(rows, ", ".join(["doc_id long, text string", *[f"`{n}` string" for n in names]]))
+    got = minhash.deduplicated(df)
+    assert got.columns == df.columns and sorted(map(str, map(tuple, got.collect()))) == sorted(map(str, [rows[0], rows[3]]))
+
+
 def test_deduplicated_decides_by_row(spark):
     a, b, c = "one text of its own kind", "two copies of the other text", "a text that has no id"
     near = " ".join(f"w{i}" for i in range(60))
@@ -146,6 +188,31 @@ def test_blocks_end_where_html_ends_them():
     assert got == ["ab c", "d", "e", "f", "g", "h"]
 
 
+@pytest.mark.parametrize("piece", ["<a ", "<script ", "<div>x", "<p>x", "<", "<!--", "</b>", "<b>", '<a "', "<a '\">", "<svg>", "<noscript>", "<b><p>", "<li>", '<a href="<">', "&amp;"])
+def test_malformed_pages_take_linear_time(piece):
+    import time
+
+    start = time.process_time()
+    for end in ("", "'>", '">'):
+        html_text.blocks(piece * ((1 << 20) // len(piece)) + end)
+    assert time.process_time() - start < 30  # a few seconds; hours if it grew with the square
+
+
+def test_text_of_odd_markup():
+    text = lambda h: [b.text for b in html_text.blocks(h)]
+    assert text("<p>one <svg class=i/></p><p>two</p><object-card>x</object-card> <3 thanks") == ["one", "two", "x <3 thanks"]
+    assert text("a <svg>hid</svg>b<noscript>c<p>d<!-->e<a title='x > y < z'>f</a><div class='") == ["a bc", "def"]
+    assert text("a<script>x</scripty>y</script >b<style>p{}") == ["ab"] and text("1 < 2 <") == ["1 < 2 <"]
+
+
+def test_both_directions_are_read_as_in_training():
+    model = html_text.Labeller()
+    pages = [html_text.described([html_text.blocks(h)])[0] for h in html_text.generated(["a", "b", "c d"], 12)]
+    x, mask = model.padded([model.inputs(p) for p in pages])
+    want = np.concatenate([model._run(x, mask, k)[0] for k in "fb"], axis=2)
+    assert np.allclose(model._read(x, mask)[mask], want[mask])
+
+
 def test_main_text(spark, labeller):
     df = spark.createDataFrame([(1, "u", PAGE), (2, None, None), (3, "u", ""), (4, "u", "<p>" * 2000 + "x")], "page_id long, url string, html string")
     got = {x["page_id"]: x for x in html_text.extract(df, labeller).collect()}

@@ -40,6 +40,17 @@ def test_token_ids(spark):
         at += len(ids)
 
 
+def test_words_are_encoded_as_in_whole_texts():
+    from tokenizers import Tokenizer
+
+    path = public_tokenizers.path("word_bpe_49k.json")
+    t, encoder = Tokenizer.from_file(path), token_ids.WordEncoder(path)
+    hard = "it's Don't 'll x'S. a<|endoftext|>b <|ENDOFTEXT|>. İstanbul. ΣΑΣ, straße! क़ क़. éá. ﬁn; a_b. a.b, a...! 3.5% $3 x² ½. don't.'s a'. (foo) \"bar\" - -- foo-- a/ a\u00a0b 　c \x0bd\x0c ABCé. ÀÉ: aＡ. !!! ...a <|startoftext|>. ǅ. 𝐀b ʰ. naïve### x##y##"
+    for text in [hard, hard.upper(), *hard.split(" "), *hard.lower().split()]:
+        for _ in range(2):  # the second time from memory
+            assert np.frombuffer(encoder([text])[0], "<u4").tolist() == t.encode(text, add_special_tokens=False).ids
+
+
 def test_token_ids_null_and_repeated_ids_and_empty(spark):
     path = public_tokenizers.path("word_bpe_49k.json")
     df = spark.createDataFrame([(None, "a"), (5, "b"), (5, "b c")], "doc_id long, text string")
@@ -126,6 +137,21 @@ def test_pseudonyms(spark):
     assert "Python" not in pii.pseudonymise(df, "k")._jdf.queryExecution().toString()
 
 
+def test_pseudonyms_in_very_long_texts(spark):
+    n = 60_000
+    texts = ["x@" + "a." * (n // 2) + "!", "a" * n + "@b.com", "1 " * (n // 2), "1" * n, "4111 1111 1111 1111 " * 2000, "a@b." * (n // 4), "x@a.bc " * 5000, "+1 555 123 4567 " * 2000, "1.2.3.4 " * 4000, "+" * n, "1.1." * 9]
+    got = pii.pseudonymise(docs(spark, texts), "k", found="n").orderBy("doc_id").collect()
+    assert [len(r["text"]) for r in got] == [len(t) for t in texts]
+    assert [r["n"] for r in got][4:9] == [2000, 0, 5000, 2000, 4000] and got[0]["n"] == got[1]["n"] == 0
+
+
+def test_pseudonyms_of_repeated_rows_and_empty_tables(spark):
+    df = docs(spark, [PERSONAL, PERSONAL, None])
+    rows = pii.pseudonymise(df.union(df), "k", found="n").collect()
+    assert len(rows) == 6 and len({r["text"] for r in rows}) == 2
+    assert pii.pseudonymise(df.limit(0), "k").columns == df.columns and pii.pseudonymise(df.limit(0), "k").count() == 0
+
+
 def test_pseudonyms_beside_other_digits(spark):
     card, other = "4111 1111 1111 1111", "4242-4242-4242-4242"
     cases = {  # text: the values that must go, and what must stay
