@@ -58,9 +58,10 @@ def mix(docs: DataFrame, seed: int = 17, weights: tuple[int, ...] = (1, 2, 3), m
 
     Sources are taken by code point, null last. Null texts have size 0 and are never taken; repeated rows are documents
     of their own; an empty table gives an empty result. Whole documents are taken: the play that would pass the budget
-    ends the mix. Reruns agree, since the shuffle is a keyed hash of doc_id (ties: doc_id, size).
+    ends the mix. Reruns agree, since the shuffle is a keyed hash of doc_id and text, so that rows without doc_id are
+    spread as well (ties: doc_id, size). Names of ``keep`` are not those of the result nor begin with an underscore.
     """
-    sized = written(docs.select(*keep, "doc_id", "source", size_of(F.col("text")).alias("size"), F.xxhash64(F.lit(seed), "doc_id").alias("_h")))
+    sized = written(docs.select(*keep, "doc_id", "source", size_of(F.col("text")).alias("size"), F.xxhash64(F.lit(seed), "doc_id", "text").alias("_h")))
     n = sized.count()
     bits = max(0, math.ceil(math.log2(max(1.0, n / max(128.0, math.sqrt(n))))))
     goal = written(targets(sized.groupBy("source").agg(F.sum("size").alias("source_size")), weights, max_repeats))
@@ -69,27 +70,30 @@ def mix(docs: DataFrame, seed: int = 17, weights: tuple[int, ...] = (1, 2, 3), m
     bucket = F.shiftrightunsigned(F.col("_h").bitwiseXOR(F.lit(-(2**63))), 64 - bits) if bits else F.lit(0).cast("long")
     placed = _running(sized.withColumn("_bucket", bucket), ["source"], "_bucket", order, "size", "_cum").drop("_bucket")
     goal = goal.withColumnRenamed("source", "_src")
-    placed = written(placed.join(F.broadcast(goal) if goal.count() <= 100_000 else goal, F.col("source").eqNullSafe(F.col("_src"))).drop("_src").withColumn("_row", F.xxhash64("_h", "doc_id", "size", "_cum", "source")))
-    plays = placed.where("size > 0 and target > 0").select("_row", "_h", "doc_id", "size", "source", F.explode(F.sequence(F.lit(0), F.lit(max_repeats - 1))).alias("_e"), "_cum", "source_size", "target")
+    placed = written(placed.join(F.broadcast(goal) if goal.count() <= 100_000 else goal, F.col("source").eqNullSafe(F.col("_src"))).drop("_src"))
+    # within a source every document with words has a running sum of its own
+    plays = placed.where("size > 0 and target > 0").select("_h", "doc_id", "size", "source", F.explode(F.sequence(F.lit(0), F.lit(max_repeats - 1))).alias("_e"), "_cum", "source_size", "target")
     plays = plays.withColumn("_v", (F.col("_e") * F.col("source_size") + F.col("_cum")).cast("double") / F.col("target"))
     scale = float(max(1, 2**bits))
     plays = plays.withColumn("_slot", F.floor(F.when(F.col("_v") < 1, F.col("_v") * scale).otherwise((1 + F.ln("_v")) * scale)).cast("long"))
     run = _running(plays, [], "_slot", [F.col("_v"), F.col("_h"), F.col("doc_id"), F.col("source"), F.col("_e"), F.col("size")], "size", "_total")
-    taken = run.where(F.col("_total") <= budget).groupBy("_row").agg(F.count("*").alias("_n")).select(F.col("_row").alias("_r"), "_n")
+    taken = run.where(F.col("_total") <= budget).groupBy("source", "_cum").agg(F.count("*").alias("_n")).select(F.col("source").alias("_s"), F.col("_cum").alias("_c"), "_n")
     n_taken = F.least(F.coalesce(F.col("_n"), F.lit(0)), F.lit(max_repeats)).cast("int")
-    return placed.join(taken, F.col("_row") == F.col("_r"), "left").select(*keep, "doc_id", "source", "size", "source_size", "target", n_taken.alias("n_taken"), (n_taken * F.col("size")).alias("taken"))
+    return placed.join(taken, F.col("source").eqNullSafe(F.col("_s")) & (F.col("_cum") == F.col("_c")) & (F.col("size") > 0), "left").select(*keep, "doc_id", "source", "size", "source_size", "target", n_taken.alias("n_taken"), (n_taken * F.col("size")).alias("taken"))
 
 
 def mixed_documents(docs: DataFrame, **options) -> DataFrame:
     """The documents of the mix with all their columns, a document that is taken n times n times over.
 
-    Rows are told apart by a hash of all their columns; equal rows share what they are taken together.
+    Rows are told apart by a hash of all their columns, whatever their names; equal rows share what they are taken together.
     """
-    key = F.sha2(F.to_json(F.struct(*[F.col(f"`{c}`") for c in docs.columns]), {"ignoreNullFields": "false"}), 256)
-    keyed = docs.withColumn("_key", key)
-    plan = mix(keyed, keep=("_key",), **options).groupBy("_key").agg(F.sum("n_taken").cast("int").alias("_n"), F.count("*").alias("_g")).where("_n > 0")
-    plan = written(plan)
-    met = keyed.join(plan.where("_g = 1"), "_key")
-    if plan.where("_g > 1").limit(1).count():  # one of several equal rows stands for all
-        met = met.unionByName(keyed.join(plan.where("_g > 1"), "_key").dropDuplicates(["_key"]))
-    return met.withColumn("_i", F.explode(F.sequence(F.lit(1), F.col("_n")))).select(*[F.col(f"`{c}`") for c in docs.columns])
+    own = {c.lower() for c in docs.columns}
+    key, count, equal, play = [x for x in (f"row{i}" for i in range(len(own) + 4)) if x not in own][:4]
+    keyed = docs.withColumn(key, F.sha2(F.to_json(F.struct(*[F.col(f"`{c}`") for c in docs.columns]), {"ignoreNullFields": "false"}), 256))
+    plan = mix(keyed.select(F.col(key).alias("row_key"), "doc_id", "source", "text"), keep=("row_key",), **options)
+    plan = plan.groupBy(F.col("row_key").alias(key)).agg(F.sum("n_taken").cast("int").alias(count), F.count("*").alias(equal))
+    plan = written(plan.where(F.col(count) > 0))
+    met = keyed.join(plan.where(F.col(equal) == 1), key)
+    if plan.where(F.col(equal) > 1).limit(1).count():  # one of several equal rows stands for all
+        met = met.unionByName(keyed.join(plan.where(F.col(equal) > 1), key).dropDuplicates([key]))
+    return met.withColumn(play, F.explode(F.sequence(F.lit(1), F.col(count)))).select(*[F.col(f"`{c}`") for c in docs.columns])

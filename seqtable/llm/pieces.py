@@ -359,6 +359,12 @@ def piece_encoder(model: str, dropout: float, seed: int) -> PieceEncoder:
     return PieceEncoder(model, dropout, seed)
 
 
+def _free_names(columns: list[str], n: int) -> list[str]:
+    """Names that no column has, in any case of letters."""
+    taken = {c.lower() for c in columns}
+    return [x for x in (f"own{i}" for i in range(len(taken) + n)) if x not in taken][:n]
+
+
 def encoded(docs: DataFrame, model: str, dropout: float = 0.1, seed: int = 7, key: str = "doc_id", text: str = "text") -> DataFrame:
     """``docs`` without its text, with piece_ids (array of int) instead.
 
@@ -371,13 +377,14 @@ def encoded(docs: DataFrame, model: str, dropout: float = 0.1, seed: int = 7, ke
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = piece_encoder(model, dropout, seed)
         for b in batches:
-            ids = encode.encode_many(b.column("_text").to_pylist(), b.column("_key").to_pylist())
+            ids = encode.encode_many(b.column(len(keep)).to_pylist(), b.column(len(keep) + 1).to_pylist())
             offsets = np.concatenate([[0], np.cumsum([len(x) for x in ids])]).astype(np.int32)
             values = np.concatenate(ids) if ids else np.empty(0, np.int32)
             yield pa.RecordBatch.from_arrays([*[b.column(i) for i in range(len(keep))], pa.ListArray.from_arrays(pa.array(offsets), pa.array(values, pa.int32()))], names=[*keep, "piece_ids"])
 
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.select(*[F.col(f"`{c}`") for c in keep]).schema)
-    return docs.select(*[F.col(f"`{c}`") for c in keep], F.col(f"`{text}`").alias("_text"), F.col(f"`{key}`").alias("_key")).mapInArrow(run, f"{fields + ', ' if keep else ''}piece_ids array<int>")
+    free = _free_names(docs.columns, 2)
+    return docs.select(*[F.col(f"`{c}`") for c in keep], F.col(f"`{text}`").alias(free[0]), F.col(f"`{key}`").alias(free[1])).mapInArrow(run, f"{fields + ', ' if keep else ''}piece_ids array<int>")
 
 
 def decoded(rows: DataFrame, model: str, ids: str = "piece_ids", text: str = "text") -> DataFrame:
@@ -388,11 +395,11 @@ def decoded(rows: DataFrame, model: str, ids: str = "piece_ids", text: str = "te
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         decode = piece_encoder(model, 0.0, 0).decode
         for b in batches:
-            texts = [None if x is None else decode(x) for x in b.column("_ids").to_pylist()]
+            texts = [None if x is None else decode(x) for x in b.column(len(keep)).to_pylist()]
             yield pa.RecordBatch.from_arrays([*[b.column(i) for i in range(len(keep))], pa.array(texts, pa.string())], names=[*keep, text])
 
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.select(*[F.col(f"`{c}`") for c in keep]).schema)
-    return rows.select(*[F.col(f"`{c}`") for c in keep], F.col(f"`{ids}`").alias("_ids")).mapInArrow(run, f"{fields + ', ' if keep else ''}`{text}` string")
+    return rows.select(*[F.col(f"`{c}`") for c in keep], F.col(f"`{ids}`").alias(_free_names(rows.columns, 1)[0])).mapInArrow(run, f"{fields + ', ' if keep else ''}`{text}` string")
 
 
 def round_trip(docs: DataFrame, model: str, dropout: float = 0.1, seed: int = 7) -> DataFrame:

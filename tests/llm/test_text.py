@@ -73,9 +73,13 @@ def test_pieces(spark):
     long = "supercalifragilistic " * 40
     assert varied(long, 1).tolist() != plain(long).tolist() and varied(long, 1).tolist() == varied(long, 1).tolist()
     assert varied(long, 1).tolist() != varied(long, 2).tolist()
-    enc = pieces.encoded(docs(spark).withColumn("_text", F.lit(1)).drop("_text"), model)
-    back = {r["doc_id"]: r["text"] for r in pieces.decoded(enc, model).collect()}
-    assert back == {i: t or "" for i, t in enumerate(TEXTS)}
+    clash = dict.fromkeys(["_text", "_key", "_ids", "own0", "OWN1", "ids"], F.lit("mine"))
+    enc = pieces.encoded(docs(spark).withColumns(clash).withColumn("piece_ids", F.lit(0)), model)
+    assert enc.columns == ["doc_id", "lang", "source", "n_chars", *clash, "piece_ids"]
+    back = pieces.decoded(enc, model).collect()
+    assert {r["doc_id"]: r["text"] for r in back} == {i: t or "" for i, t in enumerate(TEXTS)} and {r[c] for r in back for c in clash} == {"mine"}
+    none = spark.createDataFrame([(1, None), (2, [])], "doc_id long, piece_ids array<int>")
+    assert {r["doc_id"]: r["text"] for r in pieces.decoded(none, model).collect()} == {1: None, 2: ""}
     assert enc.limit(0).count() == 0
 
 
@@ -248,3 +252,41 @@ def test_mixing(spark):
     assert mixing.mix(df.limit(0)).count() == 0
     twice = df.where("doc_id < 5").unionByName(df.where("doc_id < 5"))
     assert mixing.mix(twice).count() == 10
+
+
+def test_mixing_order_and_cut(spark):
+    r = random.Random(4)
+    rows = [(r.choice([i, i, None]), "w " * r.randint(0, 30), "en", r.choice(["b", "a", "c", "a", None]), i) for i in range(300)]
+    df = spark.createDataFrame(rows, SCHEMA)
+    out = mixing.mix(df, seed=5, keep=("n_chars",)).collect()
+    h = {x["n_chars"]: x["h"] for x in df.select("n_chars", F.xxhash64(F.lit(5), "doc_id", "text").alias("h")).collect()}
+    size = {x["n_chars"]: x["size"] for x in out}
+    low = lambda v: (v is not None, v or 0)
+    plays = []
+    for s in {x["source"] for x in out}:
+        own, cum = sorted((x for x in out if x["source"] == s), key=lambda x: (h[x["n_chars"]], low(x["doc_id"]), x["size"], x["n_chars"])), 0
+        for x in own:
+            cum += x["size"]
+            plays += [((e * x["source_size"] + cum) / x["target"], h[x["n_chars"]], low(x["doc_id"]), (s is not None, s or ""), e, x["size"], x["n_chars"]) for e in range(3) if x["size"]]
+    budget, total, n = sum(size.values()), 0, dict.fromkeys(size, 0)
+    for p in sorted(plays):
+        total += p[5]
+        if total > budget:
+            break
+        n[p[6]] += 1
+    assert {x["n_chars"]: x["n_taken"] for x in out} == n and 250 < sum(n.values())
+    clash = df.withColumns(dict.fromkeys(["_key", "_i", "_n", "_g", "row0", "ROW1", "size", "taken", "target"], F.lit("mine")))
+    got = mixing.mixed_documents(clash, seed=5)
+    assert got.columns == clash.columns and {x[c] for x in got.collect() for c in got.columns[5:]} == {"mine"}
+    assert sorted(x["n_chars"] for x in got.collect()) == sorted(k for k, v in n.items() for _ in range(v))
+
+
+def test_many_words_are_merged_as_one_by_one():
+    encoder = pieces.PieceEncoder(public_tokenizers.path("piece_bpe_32k.model"), dropout=0.1)
+    r = random.Random(6)
+    words = ["▁" * r.randint(0, 2) + "".join(r.choices("etaoinshrdluüé漢", k=r.randint(1, 40))) for _ in range(1500)]
+    wanted = [(w, tuple(sorted(r.sample(range(60), r.randint(0, 4))))) for w in words]
+    for (w, skips), node in zip(wanted, encoder.merge_many(wanted).tolist(), strict=True):
+        ids, steps = encoder.merge(w, skips)
+        at = int(encoder.starts[node])
+        assert encoder.pool[at : at + int(encoder.sizes[node])].tolist() == ids and encoder.steps[node] == steps
