@@ -2,15 +2,16 @@
 
 Each rule compares one document statistic with a cutoff. For every stratum and rule a fixed grid of cutoffs is tested:
 with n labelled good documents of which k lie beyond the cutoff, P(Binomial(n, alpha) <= k) is the exact p-value of
-"this cutoff rejects more than alpha of the good documents". A cutoff is certified if that p-value is at most
-delta divided by the number of tests (Bonferroni over strata, rules and grid); the strictest certified cutoff is used.
-The allowance for a document is split evenly over the rules, so that with probability 1 - delta no stratum loses more
+"this cutoff rejects more than alpha of the good documents". The cutoffs of a rule are tested in fixed order from loose
+to strict, each at delta divided by the number of strata and rules (Bonferroni over these alone), up to the first that
+fails; the last certified one is used. Stricter cutoffs reject no fewer documents, so that p-values only rise on the way
+and the last certified cutoff is the strictest whose p-value is small enough. The allowance for a document is split evenly over the rules, so that with probability 1 - delta no stratum loses more
 than ``max_false_rejection`` of its good documents. A stratum without enough labels gets no cutoff and loses nothing.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .scratch import written
@@ -35,7 +36,8 @@ def words(text: Column) -> Column:
 def statistics(docs: DataFrame, keep: list[str], text: str = "text") -> DataFrame:
     """``keep`` and n_words, word_chars, n_symbols, n_lines, n_dup_lines, n_repeat_words (long) of each whole text.
 
-    Null and empty texts have zeros. The words of a text stay in its own row: no shuffle, no cut.
+    Null and empty texts have zeros. The words of a text stay in its own row: no shuffle, no cut. Repeated windows are
+    told by 64-bit hashes of their words.
     """
     t = F.coalesce(F.col(text), F.lit(""))
     base = docs.select(*keep, t.alias("_t"), words(F.col(text)).alias("_w"))
@@ -77,7 +79,7 @@ def certified_cutoffs(stats: DataFrame, labels: DataFrame, stratum: Column, max_
     """(stratum, rule, cutoff, n_good, n_rejected, p_value): the strictest certified cutoff of each stratum and rule.
 
     ``labels``: (doc_id, quality); rows with quality 1 count, repeated labels of a document once. ``stats`` has doc_id
-    and the columns of :func:`statistics`. Documents that fail the base checks never reach the rules and aren't counted.
+    and the columns of :func:`statistics`, as a written table since each is read many times. Documents that fail the base checks never reach the rules and aren't counted.
     Strata without certified cutoff have no row. Null strata form a stratum of their own.
     """
     alpha = max_false_rejection / len(RULES)
@@ -87,12 +89,12 @@ def certified_cutoffs(stats: DataFrame, labels: DataFrame, stratum: Column, max_
     long = held.select("stratum", F.explode(F.array(*[F.struct(F.lit(r).alias("rule"), F.col(r).alias("beyond")) for r in RULES])).alias("x")).select("stratum", "x.*")
     counted = long.groupBy("stratum", "rule", "beyond").count()
     grid = F.explode(F.filter(F.array(*[F.struct(F.lit(r).alias("rule"), F.lit(len(c) - i).alias("at_least"), F.lit(float(x)).alias("cutoff")) for r, (_, c) in RULES.items() for i, x in enumerate(c)]), lambda g: g["rule"] == F.col("rule")))
-    sums = counted.groupBy("stratum", "rule").agg(F.sum("count").alias("n_good"), F.collect_list(F.struct("beyond", "count")).alias("hist"))  # at most one entry for each cutoff
+    # at most one entry for each cutoff
+    sums = written(counted.groupBy("stratum", "rule").agg(F.sum("count").alias("n_good"), F.collect_list(F.struct("beyond", "count")).alias("hist")))
+    level = delta / max(1, sums.count())  # one sequence of tests for each stratum and rule
     tests = sums.select("stratum", "rule", "n_good", "hist", grid.alias("g")).select("stratum", "rule", "n_good", F.col("g.cutoff").alias("cutoff"), F.aggregate("hist", F.lit(0).cast("long"), lambda a, h: a + F.when(h["beyond"] >= F.col("g.at_least"), h["count"]).otherwise(0)).alias("n_rejected"))
-    n_tests = F.count("*").over(Window.partitionBy(F.lit(0)))
-    tests = tests.withColumn("n_tests", n_tests)
     p = F.when(F.col("n_rejected") <= alpha * F.col("n_good"), binomial_cdf(F.col("n_rejected"), F.col("n_good"), alpha)).otherwise(F.lit(1.0))
-    passed = tests.withColumn("p_value", p).where(F.col("p_value") * F.col("n_tests") <= delta)
+    passed = tests.withColumn("p_value", p).where(F.col("p_value") <= level)
     return passed.groupBy("stratum", "rule").agg(F.min("cutoff").alias("cutoff"), F.max("n_good").alias("n_good"), F.max_by("n_rejected", -F.col("cutoff")).alias("n_rejected"), F.max_by("p_value", -F.col("cutoff")).alias("p_value"))
 
 

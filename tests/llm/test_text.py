@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from seqtable.llm import mixing, pieces, pii, quality_rules, token_ids
-from seqtable.llm.scratch import shared_folder
+from seqtable.llm.scratch import shared_folder, written
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
 TEXTS = [None, "", " ", "one", "a b c d e", "x " * 3000, "Ünï cödé ▁ 日本語 😀\n\n\tz  ", "same text here", "same text here"]
@@ -219,6 +219,32 @@ def test_rules_bound_false_rejection(spark):
     assert quality_rules.judge(df.limit(0), labels).count() == 0
 
 
+def test_cutoffs_equal_brute_force(spark):
+    from math import comb
+
+    r = random.Random(8)
+    rows = [(i, " ".join(f"w{r.randrange(60) if r.random() < 0.1 else j}{'#' if r.random() < 0.02 * (i % 5) else 'x' * (i % 7)}" for j in range(r.randint(40, 90))), r.choice(["en", "en", "de", None]), "s", None) for i in range(3000)]
+    df = spark.createDataFrame(rows, SCHEMA)
+    labels = spark.createDataFrame([(i, int(i % 9 > 0)) for i in range(3000)], "doc_id long, quality int")
+    stats = written(quality_rules.statistics(df, ["doc_id", "lang"]))
+    got = {(x["stratum"], x["rule"]): (round(x["cutoff"], 9), x["n_good"], x["n_rejected"]) for x in quality_rules.certified_cutoffs(stats, labels, F.col("lang")).collect()}
+    value = {"symbols": lambda x: x["n_symbols"] / max(1, x["word_chars"]), "dup_lines": lambda x: x["n_dup_lines"] / max(1, x["n_lines"]), "repeats": lambda x: x["n_repeat_words"] / max(1, x["n_words"]), "word_length": lambda x: x["word_chars"] / max(1, x["n_words"])}
+    good = [x for x in stats.collect() if x["doc_id"] % 9 and x["n_words"] >= 50 and 2 * x["n_repeat_words"] <= x["n_words"]]
+    want = {}
+    for s in ("en", "de", None):
+        own = [x for x in good if x["lang"] == s]
+        for rule, (_, grid) in quality_rules.RULES.items():
+            for c in grid:  # from loose to strict, up to the first failure
+                k = sum(value[rule](x) > c for x in own)
+                if sum(comb(len(own), i) * 0.0125**i * 0.9875 ** (len(own) - i) for i in range(k + 1)) > 0.05 / 12:
+                    break
+                want[s, rule] = (round(c, 9), len(own), k)
+    assert got == want and len({s for s, _ in got}) == 3 and any(k for *_, k in got.values())
+    out = quality_rules.judge(df, labels).collect()
+    for x, y in zip(sorted(out, key=lambda x: x["doc_id"]), sorted(stats.collect(), key=lambda x: x["doc_id"]), strict=True):
+        assert x["failed_rules"] == [rule for rule in value if value[rule](y) > got[y["lang"], rule][0] + 1e-12]
+
+
 def brute_targets(sizes, weights):
     total, cap = sum(sizes), [3 * s for s in sizes]
     target, fixed = [0.0] * len(sizes), [False] * len(sizes)
