@@ -9,8 +9,9 @@ from pyspark.sql import functions as F
 
 from . import embedding_dedup, html_text, minhash, mixing, pieces, pii, quality_model, quality_rules, token_ids, url_filter
 
-#: Production parameters.
-KEY = "corpus-2024"
+#: Production parameters. The key of pseudonyms is the setting KEY_SETTING of the session; the one here is for trials,
+#: since whoever has the key can undo the pseudonyms.
+KEY_SETTING, KEY = "spark.seqtable.pseudonym.key", "trial-key"
 SEED = 17
 URL_ENTRIES = [("block", "com", "/en/"), ("allow", "example.com", "/en/7"), ("allow", "net", "/de/"), ("block", "example.net", "/de/8"), ("block", "org", "/es/")]
 
@@ -25,15 +26,22 @@ def tokenizer_path(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def pseudonym_key(spark: SparkSession) -> str:
+    return spark.conf.get(KEY_SETTING, KEY)
+
+
 def op1_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids of every whole text in frequency-ranked shards, read back from them: doc_id, start, n_tokens, ids_crc32. Null texts have the end id only."""
     return token_ids.digest(_table(spark, sf_dir, "documents"), tokenizer_path("word_bpe_49k.json"), end_id=1)
 
 
 def op2_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return pii.pseudonymise(_table(spark, sf_dir, "documents"), KEY, found="n_replaced").select("doc_id", "text", "n_replaced")
+    """Every document with personal values replaced, and how many: doc_id, text, n_replaced. Null texts stay null."""
+    return pii.pseudonymise(_table(spark, sf_dir, "documents"), pseudonym_key(spark), found="n_replaced").select("doc_id", "text", "n_replaced")
 
 
 def op3_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links between vectors of equal label with cosine >= 0.93: vec_id, n_links, component_id, kept. Unusable vectors link with nothing."""
     return embedding_dedup.near_duplicates(_table(spark, sf_dir, "embeddings"), 0.93)
 
 
@@ -43,27 +51,33 @@ def op4_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page: page_id, url, text, n_chars. Null pages have an empty text."""
     return html_text.extract(_table(spark, sf_dir, "pages"))
 
 
 def op6_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Verdict on every url: page_id, host, path, rule, verdict. Null urls have empty parts and are allowed."""
     return url_filter.judge(_table(spark, sf_dir, "pages"), URL_ENTRIES)
 
 
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Statistics and verdict of every document: the base columns, base_failed, kept, failed_rules. Null texts fail the base check."""
     out = quality_rules.judge(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
     return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "failed_rules")
 
 
 def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the mix takes of every document: doc_id, size, source_size, target, taken, n_taken. Null texts have size 0."""
     return mixing.mix(_table(spark, sf_dir, "documents"), seed=SEED).select("doc_id", "size", "source_size", "target", "taken", "n_taken")
 
 
 def op9_quality_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality score of every document, learned from the labels that are not held out: doc_id, held_out, score, predicted."""
     return quality_model.score_documents(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
 
 def op10_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate groups of all documents by 4-word shingles: doc_id, n_shingles, component_id, kept."""
     return minhash.near_duplicates(_table(spark, sf_dir, "documents"), k=4, percent=80)
 
 
