@@ -34,6 +34,9 @@ MAGIC = b"SVB1"
 NULL_ID = np.iinfo(np.int64).min
 #: Ids per shard, about: a document is never split, so a longer one has a shard of its own.
 SHARD_IDS = 2_000_000
+#: Bytes of texts that are encoded at a time; a longer text is one piece.
+CHUNK = 1 << 20
+BLANK = np.isin(np.arange(256), [9, 10, 11, 12, 13, 32])
 _ALPHABET = "abcdefghijklmnopqrstuvwxyz"
 LENGTHS = ((np.arange(256)[:, None] >> np.array([0, 2, 4, 6])) & 3).astype(np.uint8) + 1
 
@@ -68,9 +71,10 @@ def decode_block(control: bytes, data: bytes, lengths: np.ndarray) -> np.ndarray
 class WordEncoder:
     """Encodes texts with the tokenizers library, word by word: white space never joins tokens of these vocabularies.
 
-    The ids of a word are remembered for the life of the worker process, up to a bound on the number of words. Where the
-    vocabulary marks the ends of words, a word of letters is encoded without the marks behind it, ASCII in lower case,
-    and many such words are sent as one text, whose ids are cut at the ends.
+    Words are found and told apart in numpy, by 64-bit polynomial hashes of their bytes. The ids of a word are remembered
+    for the life of the worker process, up to a bound on the number of words; then memory begins anew. Where the vocabulary
+    marks the ends of words, a word of letters is encoded without the marks behind it, ASCII in lower case, and many such
+    words are sent as one text, whose ids are cut at the ends.
     """
 
     #: Marks that may follow a word and then make one run; no apostrophes and no part of special tokens.
@@ -80,8 +84,8 @@ class WordEncoder:
         from tokenizers import Tokenizer, pre_tokenizers
 
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
-        self.tokenizer, self.kind, self.remembered = Tokenizer.from_file(path), kind, remembered
-        self.known: dict[str, bytes] = {"": b""}
+        self.tokenizer, self.kind, self.remembered = Tokenizer.from_file(path), np.dtype(kind), remembered
+        self._forget()
         self.cores: dict[str, bytes] = {"": b""}
         # words are sent many to a text with a special token between them, which no word may hold
         special = [(i, t.content) for i, t in self.tokenizer.get_added_tokens_decoder().items() if t.special and not t.normalized]
@@ -101,23 +105,78 @@ class WordEncoder:
         text = t.normalizer.normalize_str(text) if t.normalizer else text
         return [p for p, _ in t.pre_tokenizer.pre_tokenize_str(text)] if t.pre_tokenizer else [text]
 
+    def _forget(self) -> None:
+        self.known: dict[int, int] = {}  # hash of a word to its place in starts and sizes
+        self.starts, self.sizes = np.zeros(1024, np.int64), np.zeros(1024, np.int64)
+        self.pool, self.pooled = np.zeros(4096, self.kind), 0
+
+    def _add(self, keys: list[int], ids: list[bytes]) -> None:
+        first, last = len(self.known), len(self.known) + len(ids)
+        new = np.frombuffer(b"".join(ids), self.kind)
+        while last > len(self.starts):
+            self.starts, self.sizes = (np.concatenate([x, np.zeros_like(x)]) for x in (self.starts, self.sizes))
+        if self.pooled + len(new) > len(self.pool):
+            self.pool = np.concatenate([self.pool[: self.pooled], np.zeros(self.pooled + len(new), self.kind)])
+        sizes = np.fromiter(map(len, ids), np.int64, len(ids)) // self.kind.itemsize
+        self.starts[first:last], self.sizes[first:last] = self.pooled + np.cumsum(sizes) - sizes, sizes
+        self.pool[self.pooled : self.pooled + len(new)] = new
+        self.pooled += len(new)
+        self.known.update(zip(keys, range(first, last), strict=True))
+
+    def encode(self, texts: pa.Array, end: int | None = None) -> pa.Array:
+        """The ids of each whole text (null: none) and ``end``, as a binary array of numbers of the encoder's kind."""
+        texts = texts.cast(pa.large_string()).fill_null("")
+        bounds = np.frombuffer(texts.buffers()[1], np.int64, len(texts) + 1, 8 * texts.offset)
+        raw = np.frombuffer(texts.buffers()[2] or b"", np.uint8)
+        parts, low = [], 0
+        while low < len(texts):  # about a million bytes at a time
+            high = max(low + 1, int(np.searchsorted(bounds, bounds[low] + CHUNK, "right")) - 1)
+            parts.append(self._chunk(raw[bounds[low] : bounds[high]], bounds[low : high + 1] - bounds[low], end))
+            low = high
+        return pa.chunked_array(parts, pa.large_binary()).combine_chunks() if parts else pa.array([], pa.large_binary())
+
+    def _chunk(self, raw: np.ndarray, bounds: np.ndarray, end: int | None) -> pa.Array:
+        if len(self.known) > self.remembered:
+            self._forget()
+        inside = np.concatenate([~BLANK[raw], [False]])
+        edge = np.concatenate([inside[:1], inside[1:] != inside[:-1]])
+        edge[bounds[:-1][inside[bounds[:-1]]]] = True
+        first = np.flatnonzero(edge & inside)
+        # a word ends before the next blank, or at the end of its text
+        stop = np.flatnonzero(edge & ~inside)
+        last = stop[np.minimum(np.searchsorted(stop, first), max(len(stop) - 1, 0))] if len(first) else first
+        last = np.minimum(last, bounds[np.searchsorted(bounds, first, "right")]) if len(first) else first
+        powers, inverse = _powers(len(raw))
+        total = np.concatenate([[np.uint64(0)], np.cumsum((raw.astype(np.uint64) + np.uint64(1)) * powers[: len(raw)], dtype=np.uint64)])
+        size = (last - first).astype(np.uint64)
+        key = (total[last] - total[first]) * inverse[first] + size * np.uint64(0xD6E8FEB86659FD93)
+        unique, where, which = np.unique(key, return_index=True, return_inverse=True)
+        names = unique.tolist()
+        missing = [k for k, h in enumerate(names) if h not in self.known]
+        if missing:
+            at = where[missing]
+            words = [raw[a:b].tobytes().decode("utf-8", "surrogatepass") for a, b in zip(first[at].tolist(), last[at].tolist(), strict=True)]
+            got = self._words(words) if self.ends is not None else self._encoded(words)
+            self._add([names[k] for k in missing], [got[w] for w in words])
+        node = np.fromiter(map(self.known.__getitem__, names), np.int64, len(names))[which]
+        sizes = self.sizes[node]
+        ends = np.cumsum(sizes)
+        ids = self.pool[np.repeat(self.starts[node] - ends + sizes, sizes) + np.arange(ends[-1] if len(ends) else 0)]
+        cuts = np.concatenate([[0], ends])[np.searchsorted(first, bounds)]
+        if end is not None:
+            ids = np.insert(ids, cuts[1:], end)
+            cuts = cuts + np.arange(len(cuts))
+        ids = np.ascontiguousarray(ids, self.kind)
+        return pa.Array.from_buffers(pa.large_binary(), len(bounds) - 1, [None, pa.py_buffer(cuts.astype(np.int64) * self.kind.itemsize), pa.py_buffer(ids)])
+
     def __call__(self, texts: list[str | None]) -> list[bytes]:
         """The ids of each whole text, as numbers of the encoder's kind."""
-        cut = [(t or "").replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ") for t in texts]
-        known = self.known
-        every = set().union(*cut) if cut else set()
-        missing = list(every.difference(known))
-        fresh = self._words(missing) if self.ends is not None else self._encoded(missing)
-        if len(known) + len(fresh) <= self.remembered:
-            known.update(fresh)
-            find = known.__getitem__
-        else:
-            fresh.update({w: known[w] for w in every.intersection(known)})
-            find = fresh.__getitem__
-        return [b"".join(map(find, words)) for words in cut]
+        return self.encode(pa.array(texts, pa.string())).to_pylist()
 
     def _words(self, words: list[str]) -> dict[str, bytes]:
         """The ids of words from those of their letters and of the marks behind."""
+        if len(self.cores) > self.remembered:
+            self.cores = {"": b""}
         cores = [w.rstrip(self.MARKS) for w in words]
         whole = [c.isalpha() for c in cores]
         cores = [c.lower() if a and c.isascii() else c for c, a in zip(cores, whole, strict=True)]
@@ -126,11 +185,8 @@ class WordEncoder:
         need = set(cores for cores, a in zip(cores, whole, strict=True) if a).difference(self.cores)
         fresh = self._letters([c for c in need if c.isascii()], self.plain) | self._letters([c for c in need if not c.isascii()], self.tokenizer)
         fresh |= self._encoded(list(set(tails).difference(self.cores)))
-        if len(self.cores) + len(fresh) <= self.remembered:
-            self.cores.update(fresh)
-            find = self.cores.__getitem__
-        else:
-            find = lambda c: fresh[c] if c in fresh else self.cores[c]
+        self.cores.update(fresh)
+        find = self.cores.__getitem__
         return odd | {w: find(c) + find(t) for w, c, t, a in zip(words, cores, tails, whole, strict=True) if a}
 
     def _letters(self, words: list[str], tokenizer) -> dict[str, bytes]:
@@ -161,6 +217,19 @@ class WordEncoder:
         return out
 
 
+@lru_cache(maxsize=2)
+def _some_powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    base = 0x9E3779B97F4A7C15
+    out = np.full((2, n), [[base], [pow(base, -1, 2**64)]], np.uint64)
+    out[:, 0] = 1
+    return tuple(np.cumprod(out, axis=1, dtype=np.uint64))
+
+
+def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """At least n powers of an odd number and of its inverse, modulo 2**64."""
+    return _some_powers(max(2 * CHUNK, 1 << max(n, 1).bit_length()))
+
+
 @lru_cache(maxsize=2)
 def word_encoder(path: str, kind: str = "<u4") -> WordEncoder:
     return WordEncoder(path, kind)
@@ -169,13 +238,11 @@ def word_encoder(path: str, kind: str = "<u4") -> WordEncoder:
 def tokenised(docs: DataFrame, tokenizer: str, end_id: int, vocabulary: int) -> DataFrame:
     """(doc_id, ids): the ids of each whole text and the end id, as little-endian 16-bit numbers, or 32-bit for larger vocabularies."""
     kind = "<u2" if vocabulary <= 1 << 16 else "<u4"
-    end = np.array([end_id], kind).tobytes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = word_encoder(tokenizer, kind)
+        encoder = word_encoder(tokenizer, kind)
         for b in batches:
-            ids = [x + end for x in encode(b.column("text").to_pylist())]
-            yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(ids, pa.binary())], names=["doc_id", "ids"])
+            yield pa.RecordBatch.from_arrays([b.column("doc_id"), encoder.encode(b.column("text"), end_id).cast(pa.binary())], names=["doc_id", "ids"])
 
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "doc_id bigint, ids binary")
 
@@ -225,13 +292,14 @@ def write_ids(docs: DataFrame, tokenizer: str, folder: str, end_id: int = 1) ->
     rank_of[by_rank] = np.arange(vocabulary, dtype=np.uint32)
     sent = spark.sparkContext.broadcast(rank_of)  # bounded by the vocabulary
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    unnamed = n if coded.where("doc_id is null").limit(1).count() else 0  # parts for rows without doc_id, by their hash
     bounds = np.array(sorted(set(coded.approxQuantile("doc_id", [i / n for i in range(1, n)], 0.1 / n))) if n > 1 else [], np.float64)
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             blocks = [encode_block(sent.value[np.frombuffer(x, kind)]) for x in b.column("ids").to_pylist()]
             ids = b.column("doc_id").to_pylist()
-            part = [0 if d is None else int(np.searchsorted(bounds, d, "right")) for d in ids]
+            part = [-1 if d is None else unnamed + int(np.searchsorted(bounds, d, "right")) for d in ids]
             size = [x // np.dtype(kind).itemsize for x in pa.compute.binary_length(b.column("ids")).to_pylist()]
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(part, pa.int32()), pa.array(size, pa.int64()), pa.array([c for c, _ in blocks], pa.binary()), pa.array([x for _, x in blocks], pa.binary())], names=["doc_id", "part", "n", "control", "data"])
 
@@ -259,7 +327,10 @@ def write_ids(docs: DataFrame, tokenizer: str, folder: str, end_id: int = 1) ->
             flush()
         yield pa.RecordBatch.from_arrays([pa.array([part], pa.int64()), pa.array([before], pa.int64())], names=["part", "n"])
 
-    ordered = coded.mapInArrow(encode, "doc_id bigint, part int, n bigint, control binary, data binary").repartitionById(n, F.col("part")).sortWithinPartitions(F.col("doc_id").asc_nulls_first(), F.xxhash64("control", "data"))
+    blocks = coded.mapInArrow(encode, "doc_id bigint, part int, n bigint, control binary, data binary")
+    by_hash = F.floor((F.xxhash64("control", "data") / F.lit(2.0**64) + 0.5) * unnamed).cast("int")
+    blocks = blocks.withColumn("part", F.when(F.col("part") < 0, F.least(by_hash, F.lit(unnamed - 1))).otherwise(F.col("part")))
+    ordered = blocks.repartitionById(n + unnamed, F.col("part")).sortWithinPartitions("part", F.col("doc_id").asc_nulls_first(), F.xxhash64("control", "data"))
     ordered.mapInArrow(write, "part bigint, n bigint").agg(F.sum("n")).collect()
 
 
