@@ -149,6 +149,19 @@ def layout(files: DataFrame) -> DataFrame:
     return out.withColumn("layout", F.when(F.col("n_pe") >= F.col("n_se"), "PE").otherwise("SE"))
 
 
+def keep_layout(files: DataFrame, merge: bool = False) -> DataFrame:
+    """The files of each dataset's majority layout; those of the minority go or, with ``merge``, join a single-end dataset.
+
+    A paired sample in a single-end dataset then gives both its files as single ones (mate null); a single file never
+    joins pairs.
+    """
+    per = files.groupBy("dataset_id", "sample_id").agg((F.countDistinct("mate") == 2).alias("_pair"))
+    met = files.join(per, ["dataset_id", "sample_id"]).join(layout(files).select("dataset_id", (F.col("layout") == "PE").alias("_pe")), "dataset_id")
+    kept = met if merge else met.where("_pair = _pe")
+    kept = kept.where("_pair or not _pe").withColumn("mate", F.when(F.col("_pe") | ~F.col("_pair"), F.col("mate")))
+    return kept.drop("_pair", "_pe")
+
+
 def completeness(files: DataFrame, runs: DataFrame) -> DataFrame:
     """(dataset_id, n_runs, n_files, complete, layout): one or two files for every run; pairs if mates 2 are nine tenths of mates 1."""
     f = files.groupBy("dataset_id").agg(F.count("*").alias("n_files"), F.count_if(F.col("mate") == 1).alias("r1"), F.count_if(F.col("mate") == 2).alias("r2"))

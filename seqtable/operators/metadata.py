@@ -17,6 +17,10 @@ from ..functions.scalars import CONTENT, accession_kind, clean_id, is_run
 PRIORITY = "Run Bioproject Description DesignDescription Biosample Experiment".split()
 CORE = "Run Bioproject Description DesignDescription Biosample Experiment Center ReleaseDate FileType FileName SizeMb Title LibraryStrategy LibrarySelection LibrarySource LibraryLayout InsertSize Platform Platform.1 SampleType HostTaxonomyId ScientificName Submission".split()
 
+#: Columns that name local files.
+PATH_COLUMNS = ("DownloadPath", "DownloadReadFile1", "DownloadReadFile2", "ReadFilename1", "ReadFilename2")
+#: Rules of a routing table that every dataset is compared with.
+MAX_RULES = 10_000
 
 def _c(name: str) -> Column:
     return F.col(f"`{name}`")
@@ -191,6 +195,11 @@ def empty_columns(df: DataFrame) -> list[str]:
     return [c for i, c in enumerate(df.columns) if counts[f"c{i}"] == 0]
 
 
+def drop_path_columns(df: DataFrame, names: tuple[str, ...] = PATH_COLUMNS) -> DataFrame:
+    """Without the columns that name local files, whichever of them are there."""
+    return df.drop(*[c for c in names if c in df.columns])
+
+
 def drop_empty_columns(df: DataFrame) -> DataFrame:
     gone = empty_columns(df)
     return df.select(*[_c(c) for c in df.columns if c not in gone])
@@ -323,8 +332,11 @@ def top_values(df: DataFrame, by: str, col: str, n: int = 5) -> DataFrame:
 
 
 def upsert(target: DataFrame, new: DataFrame, keys: list[str], order: list[str] | None = None) -> DataFrame:
-    """``target`` with the rows of ``new`` put in by key: inserted or replaced, null cells as ''. Of repeated keys the last by ``order`` counts."""
-    rows = keep_last(new, keys, order) if order else new.dropDuplicates(keys)
+    """``target`` with the rows of ``new`` put in by key: inserted or replaced, null cells as ''.
+
+    Of repeated keys the last by ``order`` counts, and without an order the greatest by its other columns, so that reruns agree.
+    """
+    rows = keep_last(new, keys, order or [])
     cols = target.columns
     fresh = rows.select(*[(_c(c).cast("string") if c in rows.columns else F.lit(None).cast("string")).alias(c) for c in cols])
     kept = target.join(fresh.select(*keys), keys, "left_anti").select(*[_c(c).cast("string").alias(c) for c in cols])
@@ -349,8 +361,10 @@ def route(df: DataFrame, rules: DataFrame) -> DataFrame:
     """(dataset_id, action, reason): the first rule that fits, by order; a null in a rule fits anything, no rule runs.
 
     ``df``: (dataset_id, mode, platform, quality, length); ``rules``: (ord, mode, platform, quality, min_length, max_length,
-    action, reason), a short list.
+    action, reason), a short list: more than MAX_RULES are refused, since every dataset meets all of them.
     """
+    if rules.limit(MAX_RULES + 1).count() > MAX_RULES:
+        raise ValueError(f"more than {MAX_RULES} rules")
     r = rules.select(*[F.col(c).alias(f"r_{c}") for c in rules.columns])
     fits = reduce(lambda a, b: a & b, [F.coalesce(F.col(f"r_{c}") == F.col(c), F.col(f"r_{c}").isNull()) for c in ("mode", "platform", "quality")])
     fits = fits & F.coalesce(F.col("length") >= F.col("r_min_length"), F.col("r_min_length").isNull()) & F.coalesce(F.col("length") <= F.col("r_max_length"), F.col("r_max_length").isNull())

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.sequences import count_n, iupac_mask, revcomp
+from ..plans.stages import staged
 from .reads import head_reads
 
 BASES = "ACGT"
@@ -86,7 +87,7 @@ def match_primers(consensus_row: DataFrame, primers: list[tuple[str, str]], min_
 
 def detect_primer(reads: DataFrame, primers: list[tuple[str, str]] | None = None) -> DataFrame:
     """(detected, name, trim, consensus, boundary, d_density): database match, else the boundary unless it looks like a gene."""
-    states = position_states(base_profile(reads)).persist()
+    states = staged(position_states(base_profile(reads)))  # 60 rows, read four times
     b = primer_boundary(states)
     density = states.crossJoin(b).where("pos < boundary").agg(F.coalesce(F.avg((F.col("state") == "D").cast("double")), F.lit(0.0)).alias("d_density"))
     one = consensus(states, 30)
@@ -190,6 +191,10 @@ def long_read_share(reads: DataFrame, over: int = 1400, n: int = 1000) -> DataFr
     return head_reads(reads, n).agg(F.coalesce(F.avg((F.length("seq") > over).cast("double")), F.lit(0.0)).alias("share")).withColumn("long", F.col("share") > 0.5)
 
 
-def primer_report(results: DataFrame) -> DataFrame:
-    """(report,): the detection results as JSON."""
-    return results.select(F.to_json(F.struct(*results.columns)).alias("report"))
+def primer_report(results: DataFrame, mode: str = "SE") -> DataFrame:
+    """(report,): a detection result (one row, or one for each mate) as JSON, with its mode: SE, PE, SE_mixed or PE_mixed."""
+    return results.select(F.to_json(F.struct(F.lit(mode).alias("mode"), *results.columns)).alias("report"))
+
+
+def report_mode(paired: bool, mixed: bool) -> str:
+    return ("PE" if paired else "SE") + ("_mixed" if mixed else "")

@@ -79,6 +79,11 @@ def filter_mean_quality(reads: DataFrame, q: float = 10, lo: int | None = None,
     return reads.where(keep)
 
 
+def empty_samples(samples: DataFrame, reads: DataFrame) -> DataFrame:
+    """The samples (sample_id) that a filter has left without reads."""
+    return samples.select("sample_id").distinct().join(reads.select("sample_id"), "sample_id", "left_anti")
+
+
 def trim_tail(reads: DataFrame, k: int) -> DataFrame:
     """Cut ``k`` bases at the end of reads longer than that."""
     cut = lambda c: F.when(F.length("seq") > k, F.substr(F.col(c), F.lit(1), F.length("seq") - k)).otherwise(F.col(c))

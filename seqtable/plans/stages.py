@@ -9,10 +9,12 @@ from pyspark.sql import DataFrame
 
 
 def staged(df: DataFrame) -> DataFrame:
-    """``df`` as a written table below ``spark.checkpoint.dir`` (a local folder only where that is unset, as in tests)."""
+    """``df`` as a written table below ``spark.checkpoint.dir``; only a local session may leave that unset, as in tests."""
     spark = df.sparkSession
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         base = "file://" + tempfile.mkdtemp(prefix="spark-seqtable-")
         spark.conf.set("spark.checkpoint.dir", base)
     path = f"{base.rstrip('/')}/stage-{uuid.uuid4().hex}"

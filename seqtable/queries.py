@@ -62,10 +62,10 @@ def project_valid(spark, d):
     return md.has_valid_run(runs(spark, d), "project", "run")
 
 
-@query(f"WITH {CTE_M} SELECT DISTINCT project AS id FROM m WHERE project NOT IN (SELECT project FROM m WHERE ok % 97 = 0)")
+@query(f"WITH {CTE_M} SELECT DISTINCT biosample AS id FROM m WHERE biosample NOT IN (SELECT biosample FROM m WHERE ok % 7 = 0)")
 def pending_ids(spark, d):
     m = runs(spark, d)
-    return md.pending(m.select(F.col("project").alias("id")).distinct(), m.where("ok % 97 = 0").select(F.col("project").alias("id")).distinct())
+    return md.pending(m.select(F.col("biosample").alias("id")).distinct(), m.where("ok % 7 = 0").select(F.col("biosample").alias("id")).distinct())
 
 
 @query(f"WITH {CTE_M} SELECT ok, biosample, 'with' AS side FROM m WHERE run IS NOT NULL UNION ALL SELECT ok, biosample, 'without' FROM m WHERE run IS NULL")
@@ -243,12 +243,23 @@ def routing(spark, d):
 # reads
 
 
-@query(f"WITH {CTE_Q}, s AS (SELECT CASE WHEN ln = 1 THEN substr(seq, 1, 40) WHEN ln = 3 THEN repeat('A', 60) WHEN ln = 4 THEN repeat('AAAAAAAAAAAAAAAAAAAAAAAACGTCAG', 3) ELSE seq END AS seq, ln FROM q) SELECT CASE ln WHEN 1 THEN 'length' WHEN 2 THEN 'quality' WHEN 3 THEN 'complexity' WHEN 4 THEN 'entropy' END AS discard_reason, count(*) AS n FROM s GROUP BY 1")
+#: The reads with short, poor and monotonous ones among them, and what each is discarded for.
+_FILTER_SQL = f"""{CTE_Q}, s AS (SELECT sample_id, ok, CASE WHEN ok % 11 = 1 THEN substr(seq, 1, CAST(30 + ok % 40 AS INT)) WHEN ok % 11 = 3 THEN repeat('A', 60) WHEN ok % 11 = 4 THEN repeat('AAAAAAAAAAAAAAAAAAAAAAAACGTCAG', CAST(1 + ok % 3 AS INT)) ELSE seq END AS seq,
+ CASE WHEN ok % 11 = 2 THEN bad_qual ELSE qual END AS qual FROM q),
+mm AS (SELECT *, list_sum(list_transform(string_split(qual, ''), lambda c: ascii(c) - 33)) / length(qual) AS mq, len(list_distinct(list_transform(range(1, length(seq)), lambda i: substr(seq, i, 2)))) / 16.0 AS cx,
+ list_sum(list_transform(['A', 'C', 'G', 'T'], lambda b: CASE WHEN contains(seq, b) THEN -(length(seq) - length(replace(seq, b, ''))) / length(seq) * log2((length(seq) - length(replace(seq, b, ''))) / length(seq)) ELSE 0.0 END)) AS en FROM s),
+fr AS (SELECT *, CASE WHEN length(seq) < 50 THEN 'length' WHEN mq < 20 THEN 'quality' WHEN cx < 0.3 THEN 'complexity' WHEN en < 1.0 THEN 'entropy' END AS discard_reason FROM mm)"""
+
+
+def _mixed_reads(spark, d) -> DataFrame:
+    k = F.col("ok") % 11
+    seq = F.when(k == 1, F.substr(F.col("seq"), F.lit(1), (30 + F.col("ok") % 40).cast("int"))).when(k == 3, F.lit("A" * 60)).when(k == 4, F.repeat(F.lit("AAAAAAAAAAAAAAAAAAAAAAAACGTCAG"), (1 + F.col("ok") % 3).cast("int"))).otherwise(F.col("seq"))
+    return full_reads(spark, d).select("sample_id", "ok", "ln", seq.alias("seq"), F.when(k == 2, F.col("bad_qual")).otherwise(F.col("qual")).alias("qual"))
+
+
+@query(f"WITH {_FILTER_SQL} SELECT discard_reason, count(*) AS n FROM fr GROUP BY 1")
 def read_filter(spark, d):
-    q, ln = full_reads(spark, d), F.col("ln")
-    seq = F.when(ln == 1, F.substring("seq", 1, 40)).when(ln == 3, F.lit("A" * 60)).when(ln == 4, F.lit("AAAAAAAAAAAAAAAAAAAAAAAACGTCAG" * 3)).otherwise(F.col("seq"))
-    q = q.withColumn("qual", F.when(ln == 2, F.repeat(F.lit("#"), F.lit(113))).otherwise(F.col("qual"))).withColumn("seq", seq)
-    return rd.prefilter(q).groupBy("discard_reason").agg(F.count("*").alias("n"))
+    return rd.prefilter(_mixed_reads(spark, d)).groupBy("discard_reason").agg(F.count("*").alias("n"))
 
 
 @query(f"WITH {CTE_Q}, e AS (SELECT ok, ln, round(list_sum(list_transform(string_split(qual, ''), lambda c: power(10.0, -(ascii(c) - 33) / 10.0))), 6) AS ee, round(list_sum(list_transform(string_split(qual, ''), lambda c: ascii(c) - 33)) / 113.0, 6) AS mq FROM q WHERE ok % 10 = 1 OR ok % 10 <> 1) SELECT ok, ln, ee, mq FROM e")
@@ -298,28 +309,53 @@ def consensus(spark, d):
     return pf.consensus(pf.position_states(pf.base_profile(reads(spark, d))))
 
 
-@query(f"WITH {CTE_R}, n AS (SELECT count(*) AS n FROM r) SELECT 17 AS boundary FROM n")
+#: From the states: runs of V and of others, what is tolerated, and where the prefix ends; then primers against the consensus.
+_BOUNDARY_SQL = """ch AS (SELECT pos, state = 'V' AS v, coalesce(CAST((state = 'V') <> lag(state = 'V') OVER (ORDER BY pos) AS INT), 0) AS c FROM st),
+rn AS (SELECT v, run, min(pos) AS s, count(*) AS len FROM (SELECT *, sum(c) OVER (ORDER BY pos) AS run FROM ch) x GROUP BY v, run),
+ok AS (SELECT *, len <= 2 AND lag(len, 1, 0) OVER (ORDER BY run) >= 3 AND lead(len, 1, 0) OVER (ORDER BY run) >= 3 AS ok FROM rn),
+bd AS (SELECT CAST(least(coalesce(min(CASE WHEN v AND NOT ok AND s < 30 THEN s END), greatest(30, coalesce(max(CASE WHEN v AND ok AND s < 30 THEN s + len END), 0))), sum(len)) AS INT) AS b FROM ok),
+bo AS (SELECT CASE WHEN b < 10 THEN 0 ELSE b END AS boundary FROM bd)"""
+_CONSENSUS_SQL = "co AS (SELECT string_agg(CASE WHEN state = 'C' THEN base ELSE 'N' END, '' ORDER BY pos) AS consensus FROM st WHERE pos < 30)"
+_PRIMERS_SQL = f"""db(ord, name, fwd) AS (VALUES {", ".join(f"({i}, '{n}', '{p}')" for i, (n, p) in enumerate(pf.FORWARD))}),
+pr AS (SELECT ord, 0 AS rc, name, fwd AS p FROM db UNION ALL SELECT ord, 1, concat(name, '_RC'), reverse(translate(fwd, 'ACGTRYSWKMBDHVN', 'TGCAYRSWMKVHDBN')) FROM db),
+pl AS (SELECT *, unnest(range(31 - length(p))) AS off FROM pr, co),
+sc AS (SELECT *, list_sum(list_transform(range(1, length(p) + 1), lambda i: CAST(substr(consensus, off + i, 1) <> 'N' AS INT))) AS told,
+ list_sum(list_transform(range(1, length(p) + 1), lambda i: CAST(substr(consensus, off + i, 1) <> 'N' AND (instr('ACMGRSVTWYHKDBN', substr(consensus, off + i, 1)) & instr('ACMGRSVTWYHKDBN', substr(p, i, 1))) > 0 AS INT))) AS fit FROM pl),
+hit AS (SELECT name, CAST(off + length(p) AS INT) AS trim, fit / told AS identity FROM sc WHERE told > 0 AND told >= 0.5 * length(p) AND fit / told >= 0.85 ORDER BY fit / told DESC, ord, rc, off LIMIT 1)"""
+
+
+@query(f"WITH {CTE_R}, {_PROFILE_SQL}, {_BOUNDARY_SQL} SELECT boundary FROM bo")
 def primer_boundary(spark, d):
     return pf.primer_boundary(pf.position_states(pf.base_profile(reads(spark, d))))
 
 
-@query(f"WITH {CTE_R}, n AS (SELECT count(*) AS n FROM r) SELECT '341F357F' AS name, 17 AS trim, 1.0 AS identity FROM n")
+@query(f"WITH {CTE_R}, {_PROFILE_SQL}, {_CONSENSUS_SQL}, {_PRIMERS_SQL} SELECT name, trim, CAST(identity AS DECIMAL(2,1)) AS identity FROM hit")
 def primer_match(spark, d):
     return pf.match_primers(pf.consensus(pf.position_states(pf.base_profile(reads(spark, d)))), pf.FORWARD).select("name", F.col("trim").cast("int").alias("trim"), F.col("identity").cast("decimal(2,1)").alias("identity"))
 
 
-@query(f"WITH {CTE_R}, {_PROFILE_SQL} SELECT true AS detected, '341F357F' AS name, 17 AS trim, (SELECT string_agg(CASE WHEN state = 'C' THEN base ELSE 'N' END, '' ORDER BY pos) FROM st WHERE pos < 17) AS consensus")
+@query(f"""WITH {CTE_R}, {_PROFILE_SQL}, {_CONSENSUS_SQL}, {_BOUNDARY_SQL}, {_PRIMERS_SQL},
+de AS (SELECT coalesce(avg(CASE WHEN state = 'D' THEN 1.0 ELSE 0.0 END), 0) AS d FROM st, bo WHERE pos < boundary),
+tr AS (SELECT consensus, name, CASE WHEN name IS NOT NULL THEN trim WHEN boundary >= 30 OR d > 0.25 THEN 0 ELSE boundary END AS trim FROM co, bo, de LEFT JOIN hit ON true)
+SELECT trim > 0 AS detected, coalesce(name, CASE WHEN trim > 0 THEN 'unknown' ELSE 'none' END) AS name, trim, substr(consensus, 1, trim) AS consensus FROM tr""")
 def primer_decision(spark, d):
     return pf.detect_primer(reads(spark, d)).select("detected", "name", "trim", "consensus")
 
 
-@query()
+@query(f"""WITH {CTE_Q}, m AS (SELECT CASE WHEN ok % 3 = 0 THEN translate(seq, 'ACGT', 'TGCA') ELSE seq END AS seq FROM q),
+l AS (SELECT pos, substr(seq, pos + 1, 1) AS b FROM m, (SELECT unnest(range(15)) AS pos) x), f AS (SELECT pos, b, count(*) / sum(count(*)) OVER (PARTITION BY pos) AS f FROM l GROUP BY pos, b),
+k AS (SELECT *, row_number() OVER (PARTITION BY pos ORDER BY f DESC, b) AS k FROM f), two AS (SELECT pos, max(CASE WHEN k = 1 THEN f END) AS f1, coalesce(max(CASE WHEN k = 2 THEN f END), 0) AS f2, max(CASE WHEN k = 1 THEN b END) AS b1, max(CASE WHEN k = 2 THEN b END) AS b2 FROM k GROUP BY pos),
+bi AS (SELECT *, f1 + f2 > 0.85 AND f2 > 0.15 AND f1 < 0.85 AS bimodal FROM two), n AS (SELECT count_if(bimodal) AS n_bimodal, count_if(bimodal) / count(*) > 0.5 AS mixed FROM bi),
+top AS (SELECT pos, b1, b2 FROM bi WHERE bimodal ORDER BY f2 DESC, pos LIMIT 1), sh AS (SELECT avg(CASE WHEN substr(seq, pos + 1, 1) = b2 THEN 1.0 ELSE 0.0 END) AS share FROM m, top)
+SELECT mixed, n_bimodal, CASE WHEN mixed THEN CAST(pos AS INT) END AS best_pos, CASE WHEN mixed THEN b1 END AS majority, CASE WHEN mixed THEN b2 END AS minority, CASE WHEN mixed THEN share END AS ratio FROM n LEFT JOIN top ON true LEFT JOIN sh ON true""")
 def mixed_orientation(spark, d):
     q = full_reads(spark, d).withColumn("seq", F.when(F.col("ok") % 3 == 0, F.translate("seq", "ACGT", "TGCA")).otherwise(F.col("seq")))
     return pf.mixed_orientation(q, pf.base_profile(q))
 
 
-@query(f"WITH {CTE_Q}, n AS (SELECT count(*) AS n FROM q) SELECT 6 AS trim_length, 0 AS max_ambiguous FROM n")
+@query(f"""WITH {CTE_Q}, p AS (SELECT unnest(range(50)) AS pos), f AS (SELECT pos, avg(CASE WHEN substr(seq_tail_n, length(seq_tail_n) - pos, 1) = 'N' THEN 1.0 ELSE 0.0 END) AS f FROM q, p GROUP BY pos),
+l AS (SELECT greatest(3 * avg(CASE WHEN pos BETWEEN 25 AND 44 THEN f END), 0.01) AS l FROM f), t AS (SELECT least(coalesce(min(CASE WHEN f <= l THEN pos END), 50), 30) AS t FROM f, l)
+SELECT CAST(t AS INT) AS trim_length, CAST(trunc(quantile_cont(length(c) - length(replace(c, 'N', '')), 0.95)) AS INT) AS max_ambiguous FROM (SELECT t, substr(seq_tail_n, 1, length(seq_tail_n) - t) AS c FROM q, t) x GROUP BY t""")
 def tail_trim(spark, d):
     q = full_reads(spark, d).select(F.col("seq_tail_n").alias("seq"), F.col("ln").alias("read_no"))
     return pf.tail_profile(q)
@@ -335,7 +371,7 @@ def quality_window(spark, d):
     return pf.trim_positions(pf.quality_profile(full_reads(spark, d)), q=20)
 
 
-@query(f"WITH {CTE_Q}, n AS (SELECT count(*) AS n FROM q) SELECT CAST(2 AS BIGINT) AS n_chars, 'degraded_binned' AS status FROM n")
+@query(f"WITH {CTE_Q}, c AS (SELECT DISTINCT unnest(string_split(bad_qual, '')) AS c FROM q) SELECT count(*) AS n_chars, CASE WHEN count(*) < 5 THEN 'degraded_binned' ELSE 'normal' END AS status FROM c")
 def quality_diversity(spark, d):
     return pf.quality_status(full_reads(spark, d).withColumn("qual", F.col("bad_qual")))
 
@@ -359,9 +395,9 @@ def derep_by_sample(spark, d):
     return ft.min_size(ft.dereplicate(reads(spark, d), ("sample_id",)), 3)
 
 
-@query(f"WITH {CTE_R}, t AS (SELECT seq, count(*) AS size FROM r GROUP BY seq HAVING count(*) >= 2) SELECT md5(seq) AS feature_id, sample_id, count(*) AS n FROM r WHERE seq IN (SELECT seq FROM t) GROUP BY ALL")
+@query(f"WITH {_FILTER_SQL}, g AS (SELECT sample_id, seq FROM fr WHERE discard_reason IS NULL), t AS (SELECT seq FROM g GROUP BY seq HAVING count(*) >= 2) SELECT md5(seq) AS feature_id, sample_id, count(*) AS n FROM g WHERE seq IN (SELECT seq FROM t) GROUP BY ALL")
 def feature_counts(spark, d):
-    kept = rd.prefilter(full_reads(spark, d).withColumn("qual", F.regexp_replace("qual", "[?@A]", "I"))).where("discard_reason is null")
+    kept = rd.prefilter(_mixed_reads(spark, d)).where("discard_reason is null")
     return ft.min_frequency(ft.feature_counts(kept), 2)
 
 
@@ -383,7 +419,7 @@ def retention(spark, d):
     return ft.retention(ft.raw_read_counts(r), ft.feature_counts(r.where("tpl > 20"))).withColumn("pct", F.round("pct", 6))
 
 
-@query(f"WITH {CTE_R} SELECT count(*) AS n, count(DISTINCT seq) AS n_unique, CAST(count(DISTINCT seq) * 1000 // count(*) AS BIGINT) AS ppt, false AS untrustworthy FROM r")
+@query(f"WITH {CTE_R} SELECT count(*) AS n, count(DISTINCT seq) AS n_unique, CAST(count(DISTINCT seq) * 1000 // count(*) AS BIGINT) AS ppt, count(DISTINCT sample_id) = 1 AND count(DISTINCT seq) * 1000 // count(*) > 950 AS untrustworthy FROM r")
 def abundance_check(spark, d):
     return ft.abundance_check(reads(spark, d))
 
@@ -401,7 +437,7 @@ def referential_check(spark, d):
     return ft.check_references(ft.feature_counts(r), r.where("tpl % 3 = 0").select(F.md5("seq").alias("feature_id")).distinct(), r.where("sample_id not in ('S1', 'S2')").select("sample_id").distinct())
 
 
-@query(f"WITH {CTE_R}, l AS (SELECT 60 + ok % 300 AS len FROM r), o AS (SELECT len, row_number() OVER (ORDER BY len) AS k, count(*) OVER () AS n FROM l) SELECT max(n) AS n, CAST(min(CASE WHEN k = floor(n * 0.05) + 1 THEN len END) AS INT) AS p05, CAST(min(CASE WHEN k >= floor(n * 0.95) THEN len END) AS INT) AS p95, true AS warn FROM o")
+@query(f"WITH {CTE_R}, l AS (SELECT 60 + ok % 300 AS len FROM r), o AS (SELECT len, row_number() OVER (ORDER BY len) AS k, count(*) OVER () AS n FROM l) SELECT *, n >= 20 AND p95 / p05 > 1.5 AS warn FROM (SELECT max(n) AS n, CAST(min(CASE WHEN k = floor(n * 0.05) + 1 THEN len END) AS INT) AS p05, CAST(min(CASE WHEN k >= floor(n * 0.95) THEN len END) AS INT) AS p95 FROM o) x")
 def length_spread(spark, d):
     return ft.length_spread(reads(spark, d).select(F.repeat(F.lit("A"), (60 + F.col("ok") % 300).cast("int")).alias("seq"))).select("n", "p05", "p95", "warn")
 
@@ -570,9 +606,10 @@ def summary_rollup(spark, d):
     return ft.summary_rollup(c.select(F.col("c_nationkey").alias("dataset_id"), F.col("c_custkey").alias("raw"), (F.col("c_custkey") % 9).alias("final")))
 
 
-@query("SELECT DISTINCT concat('f', l_suppkey) AS file, count(*) AS n_lines, count(*) % 4 = 0 AS valid FROM lineitem GROUP BY l_suppkey")
+@query("SELECT concat('f', o_orderkey) AS file, count(l_orderkey) AS n_lines, count(l_orderkey) > 0 AND count(l_orderkey) % 4 = 0 AS valid FROM (SELECT DISTINCT o_orderkey FROM orders) o LEFT JOIN lineitem ON l_orderkey = o_orderkey AND l_linenumber % 3 > 0 GROUP BY o_orderkey")
 def fastq_integrity(spark, d):
-    return fl.fastq_integrity(table(spark, d, "lineitem").select(F.concat(F.lit("f"), "l_suppkey").alias("file"), F.lit("x").alias("value")))
+    lines = table(spark, d, "lineitem").where("l_linenumber % 3 > 0").select(F.concat(F.lit("f"), "l_orderkey").alias("file"), F.col("l_comment" if "l_comment" in table(spark, d, "lineitem").columns else "l_linenumber").cast("string").alias("value"))
+    return fl.fastq_integrity(lines, table(spark, d, "orders").select(F.concat(F.lit("f"), "o_orderkey").alias("file")))
 
 
 @query(f"WITH {CTE_R} SELECT count_if(60 + ok % 300 > 250) / count(*) AS share, count_if(60 + ok % 300 > 250) / count(*) > 0.5 AS long FROM r")
@@ -598,3 +635,134 @@ def labelled_fasta(spark, d):
     lines = rd.label_reads(rows).select(F.col("value").alias("label"))
     names = rd.number_reads(rows).select("tpl", F.concat(F.lit(">"), "sample_id", F.lit("_"), F.col("n").cast("string"), F.lit(";sample="), "sample_id", F.lit(";\n"), "seq").alias("label"))
     return names.join(lines, "label").select("tpl", "label")
+
+
+# filters and trims of reads
+
+
+@query(f"WITH {_FILTER_SQL}, t AS (SELECT ok, substr(seq, 6) AS seq, substr(qual, 6) AS qual FROM fr), e AS (SELECT *, list_sum(list_transform(string_split(qual, ''), lambda c: power(10.0, -(ascii(c) - 33) / 10.0))) AS ee FROM t) SELECT ok % 11 AS kind, count(*) AS n FROM e WHERE ee <= 0.3 AND ee / length(qual) <= 0.002 AND length(seq) BETWEEN 20 AND 110 GROUP BY 1")
+def expected_error_filter(spark, d):
+    """Reads within an expected error, an error rate and a length window, by kind of read."""
+    kept = rd.filter_expected_error(_mixed_reads(spark, d), 0.3, 0.002, 20, 110, 5)
+    return kept.groupBy((F.col("ok") % 11).alias("kind")).agg(F.count("*").alias("n"))
+
+
+@query(f"WITH {_FILTER_SQL}, e AS (SELECT ok, length(seq) AS len, -10 * log10(list_sum(list_transform(string_split(qual, ''), lambda c: power(10.0, -(ascii(c) - 33) / 10.0))) / length(qual)) AS mq FROM fr) SELECT ok % 11 AS kind, count(*) AS n FROM e WHERE mq >= 10 AND len BETWEEN 55 AND 400 GROUP BY 1")
+def mean_quality_filter(spark, d):
+    return rd.filter_mean_quality(_mixed_reads(spark, d), 10, 55, 400).groupBy((F.col("ok") % 11).alias("kind")).agg(F.count("*").alias("n"))
+
+
+@query(f"WITH {CTE_Q}, c AS (SELECT seq, length(regexp_extract(bad_qual, '^(.*?)(#{{4}}|$)', 1)) AS cut FROM q) SELECT length(substr(seq, 1, cut)) AS len, count(*) AS n FROM c WHERE cut >= 0.02 * length(seq) GROUP BY 1")
+def length_fraction_filter(spark, d):
+    """Reads cut before their first four poor scores, by what is left of them."""
+    kept = rd.filter_length_fraction(full_reads(spark, d).select("seq", F.col("bad_qual").alias("qual")), 0.02)
+    return kept.groupBy(F.length("seq").alias("len")).agg(F.count("*").alias("n"))
+
+
+@query(f"WITH {_FILTER_SQL}, g AS (SELECT sample_id, ok, min(length(seq)) AS least, count(*) AS n FROM fr WHERE ok % 2 = 0 GROUP BY ALL) SELECT 'pairs' AS kind, CAST(sum(n) AS BIGINT) AS n FROM g WHERE least >= 50 UNION ALL SELECT 'reads', count(*) FROM fr WHERE length(seq) >= 50")
+def length_filter(spark, d):
+    r = _mixed_reads(spark, d).withColumn("read_no", F.col("ok"))
+    pairs, single = rd.min_length(r.where("ok % 2 = 0"), 50, True), rd.min_length(r, 50)
+    return pairs.agg(F.count("*").alias("n")).select(F.lit("pairs").alias("kind"), "n").unionByName(single.agg(F.count("*").alias("n")).select(F.lit("reads").alias("kind"), "n"))
+
+
+@query(f"WITH {CTE_Q}, t AS (SELECT sample_id, CASE WHEN length(seq) > 9 THEN substr(seq, 1, length(seq) - 9) ELSE seq END AS seq FROM q), f AS (SELECT sample_id, substr(seq, 1 + CASE WHEN sample_id = 'S7' THEN 0 ELSE CAST(substr(sample_id, 2) AS INT) END) AS seq FROM t) SELECT sample_id, count(DISTINCT seq) AS n_unique, CAST(sum(length(seq)) AS BIGINT) AS bases FROM f GROUP BY 1")
+def trims(spark, d):
+    """Reads without their last nine bases and their dataset's primer length."""
+    r = rd.trim_tail(full_reads(spark, d).withColumn("dataset_id", F.col("sample_id")), 9)
+    lengths = r.select("dataset_id").distinct().where("dataset_id <> 'S7'").withColumn("trim", F.substring("dataset_id", 2, 9).cast("int"))
+    return rd.trim_fixed(r, lengths).groupBy("sample_id").agg(F.countDistinct("seq").alias("n_unique"), F.sum(F.length("seq")).alias("bases"))
+
+
+@query(f"WITH {CTE_R}, p AS (SELECT sample_id, ok, ln, seq AS a, reverse(translate(seq, 'ACGT', 'TGCA')) AS b FROM r), f AS (SELECT *, substr(a, 9, 1) <> 'A' AS swapped FROM p) SELECT ok, ln, swapped, substr(CASE WHEN swapped THEN b ELSE a END, 4) AS seq1, substr(CASE WHEN swapped THEN a ELSE b END, 6) AS seq2 FROM f")
+def orientation_repair(spark, d):
+    r = reads(spark, d)
+    pairs = r.select("sample_id", F.struct("ok", "ln").alias("read_no"), F.col("seq").alias("seq1"), F.col("seq").alias("qual1"), sq.revcomp(F.col("seq")).alias("seq2"), F.col("seq").alias("qual2"))
+    return rd.repair_orientation(pairs, 8, "A", 3, 5).select("read_no.ok", "read_no.ln", "swapped", "seq1", "seq2")
+
+
+@query(f"WITH {CTE_Q}, c AS (SELECT DISTINCT sample_id, unnest(string_split(CASE WHEN sample_id IN ('S1', 'S4') THEN repeat('I', length(qual)) ELSE qual END, '')) AS c FROM q) SELECT sample_id, count(*) <= 1 AS dummy FROM c GROUP BY 1")
+def dummy_quality(spark, d):
+    q = full_reads(spark, d).withColumn("read_no", F.col("ln")).withColumn("qual", F.when(F.col("sample_id").isin("S1", "S4"), F.repeat(F.lit("I"), F.length("qual"))).otherwise(F.col("qual")))
+    return rd.has_dummy_quality(q)
+
+
+@query(f"WITH {CTE_R} SELECT concat('r', ok, '_', ln) AS id, seq, false AS residual, count(*) AS n FROM r GROUP BY ALL")
+def fasta_ids(spark, d):
+    r = reads(spark, d).select(F.concat(F.lit("r"), "ok", F.lit("_"), "ln", F.lit(";size="), "pk", F.lit("; x")).alias("id"), F.lower("seq").alias("seq"))
+    return rd.clean_fasta_ids(r).groupBy("id", "seq", "residual").agg(F.count("*").alias("n"))
+
+
+# metadata that other queries leave out
+
+
+@query(f"WITH {CTE_M} SELECT m.run AS \"Run\", m.project AS project, o_orderstatus AS status, CASE WHEN o_orderkey IS NOT NULL THEN concat('x', m.ok) END AS project_sheet FROM m LEFT JOIN (SELECT * FROM orders WHERE o_orderkey % 3 <> 0) o ON m.run = concat('SRR', o_orderkey)")
+def join_runs(spark, d):
+    sheets = table(spark, d, "orders").where("o_orderkey % 3 <> 0").select(F.concat(F.lit("SRR"), "o_orderkey").alias("Run_Accession"), F.col("o_orderstatus").alias("status"), F.concat(F.lit("x"), "o_orderkey").alias("project"))
+    return md.join_runs(runs(spark, d).select(F.col("run").alias("Run"), "project"), sheets).select("Run", "project", "status", "project_sheet")
+
+
+@query(f"""WITH {CTE_M} SELECT ok, concat_ws('_', project, coalesce(nullif(trim(CASE WHEN ok % 3 = 0 THEN ' ' ELSE biosample END), ''), run)) AS sample, coalesce(nullif(trim(CASE WHEN ok % 2 = 0 THEN ' ' ELSE run END), ''), experiment) AS text,
+ substr(regexp_replace(regexp_replace(trim(lat_lon), '[^A-Za-z0-9_.-]+', '_', 'g'), '^_+|_+$', '', 'g'), 1, 9) AS name, printf('%.1f%%', ok % 1000 / 1000.0 * 100) AS pct,
+ CASE ok % 4 WHEN 0 THEN 'invalid_format' WHEN 1 THEN 'no_run' WHEN 2 THEN 'no_data' ELSE 'download_error' END AS status, 'src' AS source FROM m""")
+def small_texts(spark, d):
+    """Sample names, first texts, file names, shares, stage statuses and provenance of all runs."""
+    k = F.col("ok")
+    m = md.tag_provenance(runs(spark, d), "P", "src", "text")
+    return m.select("ok", sc.run_sample_name(F.col("project"), F.when(k % 3 == 0, F.lit(" ")).otherwise(F.col("biosample")), F.col("run")).alias("sample"), sc.first_text(F.when(k % 2 == 0, F.lit(" ")).otherwise(F.col("run")), F.col("experiment")).alias("text"), sc.safe_name(F.col("lat_lon"), 9).alias("name"), sc.fmt_pct((k % 1000) / 1000).alias("pct"), sc.stage_status(F.element_at(F.array(*map(F.lit, ["validation", "no_run", "no_data", "other"])), (k % 4 + 1).cast("int"))).alias("status"), F.col("Source_Database").alias("source"))
+
+
+@query(f"WITH {CTE_M} SELECT project, ok FROM (SELECT project, ok, row_number() OVER (PARTITION BY project ORDER BY ok) AS k FROM m) t WHERE k > 2")
+def after_first(spark, d):
+    return md.after_first(runs(spark, d).select("project", "ok"), ["project"], [F.col("ok")], 2)
+
+
+@query(f"WITH {CTE_M} SELECT DISTINCT project AS dataset, upper(platform_text) AS platform FROM m")
+def dataset_list(spark, d):
+    m = runs(spark, d).withColumns({"project": F.concat(F.lit(" "), "project", F.lit("\n")), "platform": F.upper("platform_text"), "DownloadPath": F.lit("/x")})
+    return md.datasets(md.drop_path_columns(m), "project", "platform")
+
+
+@query("""WITH f AS (SELECT DISTINCT o_custkey % 50 AS dataset_id, o_orderkey AS s, CASE o_orderkey % 4 WHEN 0 THEN 2 WHEN 2 THEN 2 ELSE 1 END AS mates FROM orders), l AS (SELECT dataset_id, count_if(mates = 2) >= count_if(mates = 1) AS pe FROM f GROUP BY 1)
+SELECT dataset_id, pe, CAST(sum(CASE WHEN pe AND mates = 2 THEN 2 WHEN NOT pe AND mates = 1 THEN 1 ELSE 0 END) AS BIGINT) AS n_kept, CAST(sum(CASE WHEN pe AND mates = 1 THEN 0 ELSE mates END) AS BIGINT) AS n_merged FROM f JOIN l USING (dataset_id) GROUP BY ALL""")
+def layout_majority(spark, d):
+    """Files that stay when the minority layout is dropped, or merged into single-end datasets."""
+    o = table(spark, d, "orders").select((F.col("o_custkey") % 50).alias("dataset_id"), F.col("o_orderkey").alias("sample_id")).distinct()
+    f = o.select("dataset_id", "sample_id", F.explode(F.when(F.col("sample_id") % 2 == 0, F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1)))).alias("mate"))
+    n = lambda rows, name: rows.groupBy("dataset_id").agg(F.count("*").alias(name))
+    base = ft.layout(f).select("dataset_id", (F.col("layout") == "PE").alias("pe"))
+    return base.join(n(ft.keep_layout(f), "n_kept"), "dataset_id", "left").join(n(ft.keep_layout(f, True), "n_merged"), "dataset_id", "left").select("dataset_id", "pe", F.coalesce("n_kept", F.lit(0)).alias("n_kept"), F.coalesce("n_merged", F.lit(0)).alias("n_merged"))
+
+
+# whole pipelines and regions
+
+
+@query(f"WITH {CTE_R}, f AS (SELECT DISTINCT seq, tpl FROM r WHERE seq NOT IN (SELECT seq FROM r WHERE tpl % 3 = 0)) SELECT md5(seq) AS feature_id, seq, tpl FROM f")
+def merge_and_classify(spark, d):
+    """Two datasets merged, features outside a given list left out, the others oriented against all reads and classified by template."""
+    r = reads(spark, d)
+    named = r.groupBy("tpl").agg(F.min("seq").alias("seq")).select(F.col("tpl").cast("string").alias("lineage"), "seq")
+    parts = [r.where("ok % 2 = 0"), r.where("ok % 2 = 1")]
+    seqs = [ft.dereplicate(p).select(F.md5("seq").alias("feature_id"), "seq") for p in parts]
+    keep = r.where("tpl % 3 <> 0").select(F.md5("seq").alias("feature_id")).distinct()
+    counts, taxonomy = pipelines.merge_and_classify([ft.feature_counts(p) for p in parts], seqs, r.select("seq").distinct(), sm.train_classifier(named), keep)
+    known = r.select(F.md5("seq").alias("feature_id"), "seq").distinct()
+    return counts.select("feature_id").distinct().join(taxonomy, "feature_id").join(known, "feature_id").select("feature_id", "seq", F.col("lineage").try_cast("int").alias("tpl"))
+
+
+@query(f"WITH {CTE_R}, t AS (SELECT min(seq) AS ref FROM r), f AS (SELECT DISTINCT substr(ref, 1 + CAST(ok % 30 AS INT), CAST(40 + ok % 50 AS INT)) AS seq, CAST(1 + ok % 30 AS INT) AS lo, CAST(least(113, ok % 30 + 40 + ok % 50) AS INT) AS hi FROM r, t) SELECT md5(seq) AS feature_id, lo, hi FROM f")
+def region_spans(spark, d):
+    """Where pieces of a reference, half of them reversed, lie on it."""
+    r = reads(spark, d)
+    ref = r.agg(F.min("seq").alias("ref"))
+    piece = F.substr(F.col("ref"), (1 + F.col("ok") % 30).cast("int"), (40 + F.col("ok") % 50).cast("int"))
+    p = r.select("ok").crossJoin(F.broadcast(ref)).select(piece.alias("s")).distinct()
+    f = p.select(F.md5("s").alias("feature_id"), F.when(F.length("s") % 2 == 0, sq.revcomp(F.col("s"))).otherwise(F.col("s")).alias("seq"))
+    return sm.detect_region(f, ref.withColumnRenamed("ref", "seq"), band=1)
+
+
+@query()
+def ont_table(spark, d):
+    """Counts of the long-read pipeline over all reads."""
+    q = full_reads(spark, d)
+    return pipelines.ont_pipeline(q.select("sample_id", "seq", "qual"), 10, 50, 400)

@@ -100,16 +100,30 @@ def read_fasta(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_count_table(spark: SparkSession, path: str) -> DataFrame:
-    """(feature_id, sample_id, n) of a wide table whose first column names features (cut at ``;``); zero counts are left out."""
-    df = spark.read.csv(path, sep="\t", header=True, inferSchema=False)
-    first, *samples = df.columns
-    long = df.unpivot([first], samples, "sample_id", "n")
-    return long.select(F.split(F.col(f"`{first}`"), ";")[0].alias("feature_id"), "sample_id", F.col("n").cast("double").cast("bigint").alias("n")).where("n > 0")
-
-
-def fastq_integrity(lines: DataFrame) -> DataFrame:
-    """(file, n_lines, valid) of (file, value) lines: not empty, and four lines per record."""
-    return lines.groupBy("file").agg(F.count("*").alias("n_lines")).withColumn("valid", (F.col("n_lines") > 0) & (F.col("n_lines") % 4 == 0))
+    """(feature_id, sample_id, n) of a wide table whose first column names features (cut at ``;``); zero counts are left out.
+
+    Lines that begin with ``#`` are comments, but for the header ``#OTU ID``; without one the first other line is the header.
+    """
+    lines = spark.read.text(path).where(F.trim("value") != "")
+    named = F.col("value").startswith("#OTU ID")
+    head = lines.where(named).first() or lines.where(~F.col("value").startswith("#")).first()
+    if head is None:
+        return spark.createDataFrame([], "feature_id string, sample_id string, n bigint")
+    samples = head["value"].split("\t")[1:]
+    cells = lines.where(~F.col("value").startswith("#") & (F.col("value") != head["value"])).select(F.split("value", "\t").alias("v"))
+    pairs = F.explode(F.array(*[F.struct(F.lit(s).alias("sample_id"), F.get("v", F.lit(i + 1)).try_cast("double").cast("bigint").alias("n")) for i, s in enumerate(samples)]))
+    return cells.select(F.split(F.col("v")[0], ";")[0].alias("feature_id"), pairs.alias("x")).select("feature_id", "x.*").where("n > 0")
+
+
+def fastq_integrity(lines: DataFrame, files: DataFrame | None = None) -> DataFrame:
+    """(file, n_lines, valid) of (file, value) lines: not empty, and four lines per record.
+
+    A file without lines has no row among them; it is found, and invalid, if ``files`` (file) lists it.
+    """
+    found = lines.groupBy("file").agg(F.count("*").alias("n_lines"))
+    if files is not None:
+        found = files.select("file").distinct().join(found, "file", "left").withColumn("n_lines", F.coalesce("n_lines", F.lit(0)))
+    return found.withColumn("valid", (F.col("n_lines") > 0) & (F.col("n_lines") % 4 == 0))
 
 
 def discover_samples(spark: SparkSession, folder: str) -> DataFrame:

@@ -1,5 +1,6 @@
 import gzip
 import random
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -12,23 +13,13 @@ from seqtable.operators import similarity as sm
 from seqtable.sources import fastq, files
 
 
-def boundary_by_scan(states, lo=10, hi=30, max_v=2):
-    """The rule read position by position."""
-    i, n = 0, len(states)
-    while i < hi and i < n:
-        if states[i] != "V":
-            i += 1
-            continue
-        j = i
-        while j < n and states[j] == "V":
-            j += 1
-        left = i >= 3 and "V" not in states[i - 3 : i]
-        right = j + 2 < n and "V" not in states[j : j + 3]
-        if j - i <= max_v and left and right:
-            i = j
-            continue
-        break
-    return 0 if i < lo else i
+def boundary_by_runs(states, lo=10, hi=30):
+    """The rule on maximal runs: short V runs between three or more others count as others; the first V left ends the prefix."""
+    marked = re.sub("(?<=[CD]{3})V{1,2}(?=[CD]{3})", lambda m: "v" * len(m[0]), states)
+    first = marked.find("V")
+    over = max([m.end() for m in re.finditer("v+", marked) if m.start() < hi], default=0)
+    end = first if 0 <= first < hi else min(max(hi, over), len(states))
+    return end if end >= lo else 0
 
 
 def test_primer_boundary(spark):
@@ -36,7 +27,7 @@ def test_primer_boundary(spark):
     for _ in range(6):
         states = "".join(r.choices("CDV", [8, 2, 1], k=60))
         df = spark.createDataFrame(list(enumerate(states)), "pos int, state string")
-        assert pf.primer_boundary(df).first()[0] == boundary_by_scan(states), states
+        assert pf.primer_boundary(df).first()[0] == boundary_by_runs(states), states
 
 
 def test_primer_match_prefers_first_and_skips_n(spark):
@@ -101,6 +92,85 @@ def test_chimera(spark):
     assert {x["feature_id"] for x in sm.remove_chimeras(df).collect()} == {"a", "b"}
 
 
+def test_denoise_by_sample_equals_brute_force(spark):
+    r = random.Random(14)
+    rows = {}
+    for sample in ("s1", "s2", None):
+        for _ in range(3):
+            base = "".join(r.choices("ACGT", k=40))
+            rows[sample, base] = r.choice([64, 300, 900])
+            for _ in range(15):
+                t = list(base)
+                for _ in range(r.randint(1, 3)):
+                    t[r.randrange(40)] = r.choice("ACGT")
+                rows.setdefault((sample, "".join(t)), r.choice([1, 2, 5, 20, 60]))
+        rows.setdefault((sample, "ACGT" * 10), 7)
+    f = [(k[0], s_, k[1], n) for (k, n) in rows.items() for s_ in ["f" + k[1]]]
+    got = sm.denoise_by_skew(spark.createDataFrame(f, "sample_id string, feature_id string, seq string, size long"), 1, by=("sample_id",))
+
+    def dist(a, b):
+        row = list(range(len(b) + 1))
+        for i, x in enumerate(a, 1):
+            new = [i]
+            for j, y in enumerate(b, 1):
+                new.append(min(row[j] + 1, new[-1] + 1, row[j - 1] + (x != y)))
+            row = new
+        return row[-1]
+
+    want = {}
+    for sample in ("s1", "s2", None):
+        centroids = []
+        for _, i, s, n in sorted((x for x in f if x[0] == sample), key=lambda x: (-x[3], x[2])):
+            near = [(d, -cn, c, ci) for c, ci, cn in centroids if (d := dist(s, c)) <= 4 and n <= cn * 2.0 ** -(2 * d + 1)]
+            want[sample, i] = min(near)[3] if near else i
+            if not near:
+                centroids.append((s, i, n))
+    assert {(x["sample_id"], x["feature_id"]): x["centroid_id"] for x in got.collect()} == want and len(set(want.values())) < len(want)
+
+
+def test_chimeras_equal_brute_force(spark):
+    r = random.Random(12)
+    primer = "ACGTACGTAC"
+    parents = [primer + "".join(r.choices("ACGT", k=30)) for _ in range(6)]
+    rows = {p: r.choice([40, 60, 400]) for p in parents}
+    for _ in range(60):
+        a, b, k = r.choice(parents), r.choice(parents), r.randint(5, 39)
+        s = list(a[:k] + b[k:])
+        for _ in range(r.choice([0, 0, 1])):
+            s[r.randrange(40)] = r.choice("ACGT")
+        rows.setdefault("".join(s), r.randint(1, 5))
+    rows[parents[0][:25]] = 1  # a cut copy stays
+    f = [(f"f{i}", s, n) for i, (s, n) in enumerate(rows.items())]
+
+    def shared(a, b):
+        n = 0
+        while n < min(len(a), len(b)) and a[n] == b[n]:
+            n += 1
+        return n
+
+    gone = set()
+    for i, s, n in f:
+        pre = [(j, shared(s, t)) for j, t, m in f if m >= 16 * n and j != i]
+        suf = [(j, shared(s[::-1], t[::-1])) for j, t, m in f if m >= 16 * n and j != i]
+        if not any(k == len(s) for _, k in pre + suf) and any(a != b and x + y >= len(s) for a, x in pre for b, y in suf):
+            gone.add(i)
+    got = {x["feature_id"] for x in sm.remove_chimeras(spark.createDataFrame(f, "feature_id string, seq string, size long")).collect()}
+    assert got == {i for i, _, _ in f} - gone and 10 < len(gone) < 60
+
+
+def test_similarity_join_of_reads_with_one_primer(spark):
+    r = random.Random(9)
+    primer = "CCTACGGGAGGCAGCAG"
+    seqs = {primer + "".join(r.choices("ACGT", k=96)) for _ in range(2000)}
+    near = {s[:60] + "A" + s[61:] for s in list(seqs)[:50]}
+    df = spark.createDataFrame([(s, s) for s in seqs | near], "feature_id string, seq string")
+    joined = sm.similarity_join(df, df, 0.97)
+    got = {(x["query"], x["ref"]) for x in joined.collect()}
+    assert {(s, s[:60] + "A" + s[61:]) for s in list(seqs)[:50] if s[60] != "A"} <= got and len(got) < 2400
+    # candidates, before their distance is taken: not all pairs of reads, though all begin with the primer
+    assert sm.candidate_pairs(df, df, 0.97).count() < 20_000
+
+
 def test_merge_pairs(spark):
     r = random.Random(4)
     whole = "".join(r.choices("ACGT", k=120))
@@ -212,3 +282,47 @@ def test_streams(spark, tmp_path):
     s = tally.writeStream.outputMode("complete").format("memory").queryName("tally").trigger(availableNow=True).start()
     s.awaitTermination()
     assert spark.table("tally").count() == 2
+
+
+def test_count_table_with_comments_and_integrity_of_empty_files(spark, tmp_path):
+    (tmp_path / "t.tsv").write_text("# Constructed from a table\n#OTU ID\ts1\ts2\nf1;size=3\t2.0\t0\n\nf2\t\t7\n")
+    (tmp_path / "u.tsv").write_text("# a comment\nid\ts1\nf1\t4\n")
+    (tmp_path / "v.tsv").write_text("")
+    got = [sorted(tuple(r) for r in files.read_count_table(spark, str(tmp_path / f"{n}.tsv")).collect()) for n in "tuv"]
+    assert got == [[("f1", "s1", 2), ("f2", "s2", 7)], [("f1", "s1", 4)], []]
+    lines = spark.createDataFrame([("a", x) for x in "1234"] + [("b", "1")], "file string, value string")
+    listed = spark.createDataFrame([("a",), ("b",), ("c",)], "file string")
+    assert {r["file"]: (r["n_lines"], r["valid"]) for r in files.fastq_integrity(lines, listed).collect()} == {"a": (4, True), "b": (1, False), "c": (0, False)}
+
+
+def test_upsert_without_order_is_defined(spark):
+    old = spark.createDataFrame([("k", "x")], "id string, v string")
+    new = spark.createDataFrame([("k", "b"), ("k", "c"), ("k", None)], "id string, v string")
+    assert [tuple(r) for r in md.upsert(old, new.repartition(3), ["id"]).collect()] == [("k", "c")]
+
+
+def test_run_tables_manifests_and_sinks(spark, tmp_path):
+    (tmp_path / "runs.csv").write_text("P,R,Plat\n PRJNA1 ,SRR1,ILLUMINA\nNA,SRR2,x\nPRJNA2,N/A,\n")
+    got = files.read_runs(spark, str(tmp_path / "runs.csv"), "P", "R", "Plat").collect()
+    assert [(r["project"], r["run"], r["platform"]) for r in got] == [("PRJNA1", "SRR1", "ILLUMINA"), ("PRJNA2", None, None)]
+    (tmp_path / "found.tsv").write_text("Accession\tTitle\nPRJNA1\tsoil\n")
+    assert [tuple(r) for r in files.read_search_results(spark, str(tmp_path / "found.tsv"), "\t", {"Accession": "accession", "Title": "title", "None": "none"}).collect()] == [("PRJNA1", "soil")]
+    f = spark.createDataFrame([("s1", 1, "a_1.fastq"), ("s1", 2, "a_2.fastq"), ("s2", 1, "b_1.fastq"), ("s3", None, "c.fastq")], "sample_id string, mate int, path string")
+    assert [tuple(r) for r in files.manifest_paired(f).collect()] == [("s1", "a_1.fastq", "a_2.fastq")]
+    assert sorted(tuple(r) for r in files.manifest_single(f).collect()) == [("s1", "a_1.fastq"), ("s2", "b_1.fastq"), ("s3", "c.fastq")]
+    big, small = f, f.limit(1)
+    assert files.largest_sheet({"x": small, "y": big}) is big
+    files.write_report(f, str(tmp_path / "report"))
+    assert spark.read.csv(str(tmp_path / "report"), header=True).count() == 4
+    files.write_per_dataset(f, str(tmp_path / "parts"), "sample_id")
+    assert spark.read.parquet(str(tmp_path / "parts")).where("sample_id = 's1'").count() == 2
+
+
+def test_reports_and_empty_samples(spark):
+    one = spark.createDataFrame([(True, "341F")], "detected boolean, name string")
+    assert pf.primer_report(one, pf.report_mode(True, True)).first()[0] == '{"mode":"PE_mixed","detected":true,"name":"341F"}'
+    s = spark.createDataFrame([("a",), ("b",)], "sample_id string")
+    assert [r[0] for r in rd.empty_samples(s, s.limit(1)).collect()] in (["a"], ["b"])
+    assert [r["size"] for r in ft.by_abundance(spark.createDataFrame([("x", 1), ("y", 3)], "seq string, size long")).collect()] == [3, 1]
+    with pytest.raises(ValueError):
+        md.route(one, spark.range(md.MAX_RULES + 1))
