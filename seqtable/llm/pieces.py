@@ -37,7 +37,7 @@ FEW = 32
 class PieceEncoder:
     """Encode with the vocabulary of a SentencePiece BPE model with byte fallback and identity normalisation."""
 
-    def __init__(self, model: str, dropout: float = 0.1, seed: int = 7, remembered: int = 800_000) -> None:
+    def __init__(self, model: str, dropout: float = 0.1, seed: int = 7, remembered: int = 300_000) -> None:
         import sentencepiece
 
         self.model = sentencepiece.SentencePieceProcessor(model_file=model)
@@ -78,33 +78,47 @@ class PieceEncoder:
         self.gap_table = np.array(self.gaps, np.uint64)
         # what is remembered: nodes, each a word after given skips, with its ids in the pool and how many candidates came up
         self.roots: dict[str, int] = {}
+        self.words_of: dict[int, str] = {}
         self.children: dict[int, int] = {}  # node * STEPS + place of one skip more
-        self.paths: list[tuple[str, tuple[int, ...]]] = []
-        self.starts, self.sizes, self.steps, self.wide = (np.zeros(1024, np.int64) for _ in range(4))
+        self.count = 0
+        self.starts, self.born_of = np.zeros(1024, np.int64), np.zeros(1024, np.int64)  # of a child its number in children
+        self.sizes, self.steps, self.wide = np.zeros(1024, np.int32), np.zeros(1024, np.int32), np.zeros(1024, bool)
         self.pool, self.pooled = np.zeros(4096, np.int32), 0
         for c, w in self.marks.items():
             raw = np.array([self.bytes[b] for b in c.encode()], np.int32)
-            self.roots[w] = self._add([(w, ())], raw, np.array([len(raw)]), np.array([0]))
+            self.roots[w] = self._add([len(w)], raw, np.array([len(raw)]), np.array([0]))
 
-    def _add(self, paths: list[tuple[str, tuple[int, ...]]], ids: np.ndarray, sizes: np.ndarray, steps: np.ndarray) -> int:
-        """Append nodes; the number of the first."""
-        first, last, end = len(self.paths), len(self.paths) + len(paths), self.pooled + len(ids)
+    def _add(self, lengths: list[int], ids: np.ndarray, sizes: np.ndarray, steps: np.ndarray) -> int:
+        """Append nodes of words of some lengths; the number of the first."""
+        first, last, end = self.count, self.count + len(lengths), self.pooled + len(ids)
         while last > len(self.starts):
-            self.starts, self.sizes, self.steps, self.wide = (np.concatenate([x, np.zeros_like(x)]) for x in (self.starts, self.sizes, self.steps, self.wide))
+            for name in ("starts", "born_of", "sizes", "steps", "wide"):
+                x = getattr(self, name)
+                setattr(self, name, np.concatenate([x, np.zeros_like(x)]))
         if end > len(self.pool):
             self.pool = np.concatenate([self.pool[: self.pooled], np.zeros(end, np.int32)])
-        self.paths += paths
-        self.sizes[first:last], self.steps[first:last], self.wide[first:last] = sizes, steps, [len(w) > WIDE for w, _ in paths]
+        self.count = last
+        self.sizes[first:last], self.steps[first:last], self.wide[first:last] = sizes, steps, np.array(lengths) > WIDE
         self.starts[first:last] = self.pooled + np.cumsum(sizes) - sizes
         self.pool[self.pooled : end] = ids
         self.pooled = end
         return first
 
+    def _path(self, child: int) -> tuple[str, tuple[int, ...]]:
+        """The word and the skips of a child, given as node * STEPS + place."""
+        skips = [child % STEPS]
+        node = child // STEPS
+        while node not in self.words_of:
+            child = int(self.born_of[node])
+            skips.append(child % STEPS)
+            node = child // STEPS
+        return self.words_of[node], tuple(reversed(skips))
+
     def _drop(self, nodes: int) -> None:
         """Forget all nodes from this one on."""
-        if nodes < len(self.paths):
+        if nodes < self.count:
             self.pooled = int(self.starts[nodes])
-            del self.paths[nodes:]
+            self.count = nodes
 
     def merge(self, word: str, skips: Iterable[int] = ()) -> tuple[list[int], int]:
         """Ids of one word (with its leading space marks), and how many candidates came up.
@@ -212,12 +226,11 @@ class PieceEncoder:
                 even = np.flatnonzero(~odd)
                 if len(even):
                     chosen = [some[k] for k in even.tolist()]
-                    paths = [wanted[k] for k in chosen]
-                    nodes[chosen] = self._add(paths, *self._rounds([s for _, s in paths], ids[even])) + np.arange(len(chosen))
+                    nodes[chosen] = self._add([len(wanted[k][0]) for k in chosen], *self._rounds([wanted[k][1] for k in chosen], ids[even])) + np.arange(len(chosen))
         if single:
             done = [self.merge(*wanted[k]) for k in single]
             flat = np.array(list(chain.from_iterable(x for x, _ in done)), np.int32)
-            nodes[single] = self._add([wanted[k] for k in single], flat, np.array([len(x) for x, _ in done]), np.array([n for _, n in done])) + np.arange(len(single))
+            nodes[single] = self._add([len(wanted[k][0]) for k in single], flat, np.array([len(x) for x, _ in done]), np.array([n for _, n in done])) + np.arange(len(single))
         return nodes
 
     def _rounds(self, skips: list[tuple[int, ...]], ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -287,9 +300,11 @@ class PieceEncoder:
         cut = [self._flat(t) if t else [] for t in texts]
         counts = [len(c) for c in cut]
         words = list(chain.from_iterable(cut))
-        before = len(self.paths)
+        before = self.count
         fresh = list(set(words).difference(self.roots))
-        self.roots.update(zip(fresh, self.merge_many([(w, ()) for w in fresh]).tolist(), strict=True))
+        made = self.merge_many([(w, ()) for w in fresh]).tolist()
+        self.roots.update(zip(fresh, made, strict=True))
+        self.words_of.update(zip(made, fresh, strict=True))
         node = np.array(list(map(self.roots.__getitem__, words)), np.int64)
         born: list[int] = []
         long: list[int] = []
@@ -311,24 +326,25 @@ class PieceEncoder:
                 got = np.array([self.children.get(x, -1) for x in want.tolist()], np.int64)
                 new = want[got < 0].tolist()
                 if new:
-                    got[got < 0] = nodes = self.merge_many([(w, (*s, x % STEPS)) for x in new for w, s in [self.paths[x // STEPS]]])
+                    got[got < 0] = nodes = self.merge_many(list(map(self._path, new)))
+                    self.born_of[nodes] = new
                     self.children.update(zip(new, nodes.tolist(), strict=True))
                     born += new
                 node[some] = got[which]
                 k += 1
                 at = at + 1 + self._gaps(places[some], k)
-        after = len(self.paths)
+        after = self.count
         for i in long:
             ids, steps = self.merge(words[i], self._skips(int(places[i])))
-            node[i] = self._add([(words[i], ())], np.array(ids, np.int32), np.array([len(ids)]), np.array([steps]))
-        sizes = self.sizes[node]
+            node[i] = self._add([len(words[i])], np.array(ids, np.int32), np.array([len(ids)]), np.array([steps]))
+        sizes = self.sizes[node].astype(np.int64)
         ends = np.cumsum(sizes)
         flat = self.pool[np.repeat(self.starts[node] - ends + sizes, sizes) + np.arange(ends[-1] if len(ends) else 0)]
         bounds = np.concatenate([[0], ends])[np.concatenate([[0], np.cumsum(counts)]).astype(np.int64)].tolist()
         self._drop(after)
         if after > self.remembered or self.pooled > 16 * self.remembered:
             for w in fresh:
-                del self.roots[w]
+                del self.words_of[self.roots.pop(w)]
             for x in born:
                 del self.children[x]
             self._drop(before)
