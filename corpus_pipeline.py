@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from seqtable.llm import minhash, mixing, pieces, pii, quality_model
-from seqtable.llm.queries import KEY, SEED, tokenizer_path
+from seqtable.llm.queries import SEED, pseudonym_key, tokenizer_path
 from seqtable.llm.scratch import written
 
 
@@ -24,7 +24,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def pseudonyms(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Replace personal data by pseudonyms; every document stays. n_chars follows the text, whose length is unchanged."""
-    return pii.pseudonymise(docs, KEY)
+    return pii.pseudonymise(docs, pseudonym_key(spark))
 
 
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
