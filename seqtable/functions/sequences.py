@@ -44,21 +44,36 @@ def _quality(q: pa.Array) -> pa.Array:
     return pa.StructArray.from_arrays([pa.array(total), pa.array(_per_string(np.add, _CHANCE[raw], bounds))], ["total", "errors"])
 
 
-@F.arrow_udf(T.IntegerType())
-def _pairs(s: pa.Array) -> pa.Array:
+@F.arrow_udf(T.StructType().add("pairs", T.IntegerType()).add("entropy", T.DoubleType()))
+def _sequence(s: pa.Array) -> pa.Array:
     raw, bounds = _ascii(s)
-    raw = np.where((raw >= 97) & (raw <= 122), raw - 32, raw).astype(np.int64)
-    letters, code = np.unique(raw, return_inverse=True)
-    own = np.repeat(np.arange(len(bounds) - 1), np.diff(bounds))
+    raw = np.where((raw >= 97) & (raw <= 122), raw - 32, raw)
+    return pa.StructArray.from_arrays([pa.array(_distinct_pairs(raw, bounds)), pa.array(_entropy(raw, bounds))], ["pairs", "entropy"])
+
+
+def _distinct_pairs(raw: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+    """Distinct pairs of adjacent letters of each string."""
+    letters = np.flatnonzero(np.bincount(raw, minlength=256))
+    n, rows = len(letters), len(bounds) - 1
     if len(raw) < 2:
-        return pa.array(np.zeros(len(bounds) - 1, np.int32))
-    pair = code[:-1] * len(letters) + code[1:]
+        return np.zeros(rows, np.int32)
+    code = np.zeros(256, np.int64)
+    code[letters] = np.arange(n)
+    pair = code[raw[:-1]] * n + code[raw[1:]]
+    own = np.repeat(np.arange(rows), np.diff(bounds))
     inside = own[1:] == own[:-1]
-    if len(letters) ** 2 <= 64:
+    if n * n <= 64:
         bits = np.append(np.where(inside, np.uint64(1) << pair.astype(np.uint64), np.uint64(0)), np.uint64(0))
-        return pa.array(np.bitwise_count(_per_string(np.bitwise_or, bits, bounds)).astype(np.int32))
-    distinct = np.unique(own[1:][inside] * len(letters) ** 2 + pair[inside])
-    return pa.array(np.bincount(distinct // len(letters) ** 2, minlength=len(bounds) - 1).astype(np.int32))
+        return np.bitwise_count(_per_string(np.bitwise_or, bits, bounds)).astype(np.int32)
+    distinct = np.unique(own[1:][inside] * n * n + pair[inside])
+    return np.bincount(distinct // (n * n), minlength=rows).astype(np.int32)
+
+
+def _entropy(raw: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+    """Entropy in bits of the shares of A, C, G and T of each string; 0 without any."""
+    n = np.stack([_per_string(np.add, (raw == ord(b)).astype(np.int64), bounds) for b in "ACGT"])
+    p = n / np.maximum(n.sum(axis=0), 1)
+    return -(p * np.log2(np.where(p > 0, p, 1.0))).sum(axis=0) + 0.0
 
 
 def phred(q: Column) -> Column:
@@ -90,15 +105,12 @@ def kmers(s: Column, k: int) -> Column:
 
 def complexity(s: Column) -> Column:
     """Distinct pairs of adjacent letters, out of 16."""
-    return F.when(s.isNotNull(), _pairs(s) / F.lit(16.0))
+    return F.when(s.isNotNull(), _sequence(s)["pairs"] / F.lit(16.0))
 
 
 def base_entropy(s: Column) -> Column:
     """Entropy in bits of the shares of A, C, G and T; 0 without any."""
-    counts = [F.length(s) - F.length(F.replace(F.upper(s), F.lit(b), F.lit(""))) for b in "ACGT"]
-    total = counts[0] + counts[1] + counts[2] + counts[3]
-    terms = [F.when(n > 0, -(n / total) * F.log2(n / total)).otherwise(0.0) for n in counts]
-    return F.when(total == 0, F.lit(0.0)).otherwise(terms[0] + terms[1] + terms[2] + terms[3])
+    return F.when(s.isNotNull(), _sequence(s)["entropy"])
 
 
 def revcomp(s: Column) -> Column:
