@@ -1,4 +1,6 @@
 import random
+import re
+import zlib
 
 import duckdb
 import numpy as np
@@ -268,6 +270,115 @@ def test_query_equals_sql(spark, data, name):
     assert sorted(map(str, map(tuple, df.collect()))) == sorted(map(str, r.fetchall()))
 
 
+def brute_scores(texts, labelled):
+    """Scores by density formulas with whole covariance matrices; ``labelled``: (place in texts, label)."""
+    x = np.array([quality_model.statistics(t) for t in texts])
+    rows, y = np.array([i for i, _ in labelled]), np.array([k for _, k in labelled])
+    z = (x - x[rows].mean(axis=0)) / np.maximum(x[rows].std(axis=0), 1e-3)
+    d, out = x.shape[1], []
+    spread = lambda c: (c - c.mean(axis=0)).T @ (c - c.mean(axis=0))
+    pooled = sum(spread(z[rows[y == k]]) for k in (0, 1)) / len(rows)
+    for k in (0, 1):
+        c = z[rows[y == k]]
+        cov = 0.85 * spread(c) / len(c) + 0.15 * pooled
+        cov = 0.95 * cov + 0.05 * np.trace(cov) / d * np.eye(d)
+        gap = z - c.mean(axis=0)
+        out.append(np.log((len(c) + 1) / (len(rows) + 2)) - 0.5 * np.linalg.slogdet(cov)[1] - 0.5 * (gap * np.linalg.solve(cov, gap.T).T).sum(axis=1))
+    return 1 / (1 + np.exp(np.clip(out[0] - out[1], -700, 700)))
+
+
+def test_scores_equal_brute_force(spark, data):
+    docs, labels = (spark.read.parquet(f"{data}/{t}.parquet") for t in ("documents", "labels"))
+    rows, known = docs.select("doc_id", "text").collect(), {r["doc_id"]: r["quality"] for r in labels.collect()}
+    learned = [(i, known[r["doc_id"]]) for i, r in enumerate(rows) if known.get(r["doc_id"]) in (0, 1) and zlib.crc32(str(r["doc_id"]).encode()) % 3 != 1]
+    want = dict(zip([r["doc_id"] for r in rows], brute_scores([r["text"] for r in rows], learned), strict=True))
+    got = {r["doc_id"]: r for r in quality_model.score_documents(docs, labels).collect()}
+    assert set(got) == set(want) and all(abs(got[i]["score"] - want[i]) < 1e-6 and got[i]["held_out"] == (zlib.crc32(str(i).encode()) % 3 == 1) for i in want)
+    assert {r["doc_id"] for r in quality_model.keep_good(docs, labels).collect()} == {i for i, v in want.items() if v >= 0.5}
+
+
+def test_pipeline_stages_equal_brute_force(spark, data):
+    import collections
+
+    import corpus_pipeline as cp
+    import sentencepiece
+    from pyspark.sql import functions as F
+
+    from seqtable.llm.scratch import written
+
+    docs = spark.read.parquet(f"{data}/documents.parquet")
+    good = written(cp.quality(spark, docs, data))
+    # near duplicates: five words, 0.8, one document of each group
+    one = written(cp.near_duplicates(spark, good, data))
+    rows = good.collect()
+    sets = []
+    for r in rows:
+        w = "".join(c.lower() if c.isascii() else c for c in r["text"] or "").split()
+        sets.append({tuple(w[k : k + 5]) for k in range(len(w) - 4)} if len(w) >= 5 else ({tuple(w)} if w else set()))
+    low = list(range(len(rows)))
+
+    def find(x):
+        while low[x] != x:
+            x = low[x]
+        return x
+
+    for i, a in enumerate(sets):
+        for j in range(i):
+            k = len(a & sets[j])
+            if k and 100 * k >= 80 * (len(a) + len(sets[j]) - k):
+                x, y = find(i), find(j)
+                low[max(x, y)] = min(x, y)
+    groups = collections.defaultdict(list)
+    for i, r in enumerate(rows):
+        groups[find(i)].append(r["doc_id"])
+    assert sorted(r["doc_id"] for r in one.collect()) == sorted(min(g) for g in groups.values()) and one.count() < good.count()
+    assert sorted(map(str, one.collect())) == sorted(str(r) for r in rows if r["doc_id"] in {min(g) for g in groups.values()})
+    # pseudonyms: every row stays, only letters and digits change, and only in values that the query reports
+    named = written(cp.pseudonyms(spark, one, data))
+    before, after = ({r["doc_id"]: r for r in d.collect()} for d in (one, named))
+    changed = {r["doc_id"] for r in q.op2_pseudonyms(spark, data).where("n_replaced > 0").collect()}
+    keep = lambda t: re.sub(r"[^\W_]", "0", t or "")
+    assert set(before) == set(after)
+    for i, r in before.items():
+        assert keep(r["text"]) == keep(after[i]["text"]) and (r["text"] != after[i]["text"]) == (i in changed)
+        assert r.asDict() | {"text": 0} == after[i].asDict() | {"text": 0}
+    # mixture: weighted fair queueing of the stage's rows
+    mixed = written(cp.mixture(spark, named, data))
+    plan = named.select("doc_id", "source", F.expr("size(array_remove(split(coalesce(text, ''), '[ \\\\x09-\\\\x0D]+'), ''))").alias("n"), F.xxhash64(F.lit(q.SEED), "doc_id", "text").alias("h")).collect()
+    names = sorted({r["source"] for r in plan}, key=lambda s: (s is None, s or ""))
+    size = {s: sum(r["n"] for r in plan if r["source"] == s) for s in names}
+    weight, total, full = {s: 1 + i % 3 for i, s in enumerate(names)}, sum(size.values()), set()
+    while True:
+        rest, w = total - sum(3 * size[s] for s in full), sum(weight[s] for s in names if s not in full)
+        above = {s for s in names if s not in full and rest * weight[s] / w > 3 * size[s]}
+        if not above:
+            break
+        full |= above
+    target = {s: 3 * size[s] if s in full else rest * weight[s] / w for s in names}
+    plays = []
+    for s in names:
+        cum = 0
+        for r in sorted((r for r in plan if r["source"] == s), key=lambda r: (r["h"], r["doc_id"])):
+            cum += r["n"]
+            plays += [((e * size[s] + cum) / target[s], r["h"], r["doc_id"], r["n"]) for e in range(3) if r["n"]]
+    spent, want = 0, collections.Counter()
+    for _, _, i, n in sorted(plays):
+        spent += n
+        if spent > total:
+            break
+        want[i] += 1
+    assert collections.Counter(r["doc_id"] for r in mixed.collect()) == want and mixed.columns == docs.columns
+    # piece ids: lossless, varied, and the same rows
+    out = cp.piece_ids(spark, mixed, data).collect()
+    model = sentencepiece.SentencePieceProcessor(model_file=q.tokenizer_path("piece_bpe_32k.model"))
+    from seqtable.llm import pieces
+
+    decode = pieces.PieceEncoder(q.tokenizer_path("piece_bpe_32k.model"), 0.0).decode
+    assert collections.Counter(r["doc_id"] for r in out) == want
+    assert all(decode(r["piece_ids"]) == (after[r["doc_id"]]["text"] or "") for r in out)
+    assert sum(r["piece_ids"] != model.encode(after[r["doc_id"]]["text"] or "") for r in out) > len(out) / 2
+
+
 def test_pipeline(spark, data):
     import corpus_pipeline as cp
 
