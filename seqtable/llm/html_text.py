@@ -28,6 +28,8 @@ from .scratch import least_hashed, small_batches
 #: Pages of the table that the labeller may be trained on, least keyed hashes first.
 SAMPLE_PAGES = 400
 GENERATED_PAGES = 600
+#: Share of the generated layouts without telling names, so that place, links and words have to be learned as well.
+PLAIN_PAGES = 0.3
 #: Distinct words of these pages that fill the generated layouts.
 SAMPLE_WORDS = 5000
 TAG_SLOTS, WORD_SLOTS, TAG_SIZE, WORD_SIZE, NUMBERS, HIDDEN = 1024, 1024, 12, 6, 8, 14
@@ -424,8 +426,15 @@ PHRASES = {
 }
 
 
-def generated(words: list[str], n: int, seed: int = 4) -> Iterator[str]:
-    """Pages with marked main blocks, in many layouts, with words drawn from ``words``."""
+def unnamed(page: str, r: np.random.Generator) -> str:
+    """A page whose layout says nothing: sections are plain ``div`` elements under meaningless class names."""
+    names: dict[str, str] = {}
+    plain = re.sub(r" (?:class|id)=(?:\"[^\"]*\"|'[^']*')", lambda m: names.setdefault(m[0], f' class="x{r.integers(1, 99)}"'), page)
+    return re.sub(r"<(/?)(?:article|main|nav|aside|header|footer|section)\b", r"<\1div", plain)
+
+
+def generated(words: list[str], n: int, seed: int = 4, plain: float = 0.0) -> Iterator[str]:
+    """Pages with marked main blocks, in many layouts, a share ``plain`` of them :func:`unnamed`, with words drawn from ``words``."""
     r = np.random.default_rng(seed)
     pick = lambda xs: xs[int(r.integers(len(xs)))]
     chance = lambda p: r.random() < p
@@ -489,6 +498,7 @@ def generated(words: list[str], n: int, seed: int = 4) -> Iterator[str]:
         body = [*before, main(), *after, *([noise("foot")] if chance(0.8) else [])]
         page = "".join(body)
         page = f"<div class='{pick(['wrapper', 'container', 'layout', 'row'])}'>{page}</div>" if chance(0.4) else page
+        page = unnamed(page, r) if plain and chance(plain) else page
         yield f"<html><head><title>{say(1, 12)}</title></head><body>{page}</body></html>"
 
 
@@ -507,7 +517,7 @@ def train_labeller(pages: DataFrame, sample_pages: int = SAMPLE_PAGES, generated
     own = [p for p in (blocks(r["html"]) for r in sorted(rows, key=lambda r: (r["page_id"] is None, r["page_id"]))) if p]
     every = {w.strip(".,!?") for p in own for b in p for w in b.text.lower().split()} - {""}
     words = sorted(every, key=lambda w: (zlib.crc32(w.encode("utf-8", "surrogatepass")), w))[:sample_words] or ["word"]
-    made = [blocks(h) for h in generated(words, generated_pages)]
+    made = [blocks(h) for h in generated(words, generated_pages, plain=PLAIN_PAGES)]
     labelled = [(p, silver(p)) for p in own]
     train = [*[x for x in labelled if x[1].any()], *[(p, np.array([b.label for b in p], bool)) for p in made if p]]
     return Labeller().train(described([p for p, _ in train]), [y for _, y in train])

@@ -231,6 +231,17 @@ def test_labeller_on_layouts_it_has_not_seen(labeller, spark, data):
     assert (np.concatenate(found) == np.concatenate(want)).mean() > 0.98
 
 
+def test_labeller_on_layouts_without_names(labeller, spark, data):
+    words = sorted({w for r in spark.read.parquet(f"{data}/documents.parquet").limit(50).collect() for w in r["text"].lower().split()})
+    pages = [html_text.blocks(h) for h in html_text.generated(words, 200, seed=78, plain=1.0)]
+    assert not any({"article", "main", "nav", "aside", "footer"} & set(b.path) for p in pages for b in p)
+    found, want = labeller.label(html_text.described(pages)), [np.array([b.label for b in p], bool) for p in pages]
+    assert (np.concatenate(found) == np.concatenate(want)).mean() > 0.92
+    page = "<div class=x1><a href=/>Home</a> <a href=/n>News</a></div><div class=x2><h1>On rivers</h1><p>The river rises in the hills, and runs for many miles to the sea.</p><p>In winter it floods the meadows, which farmers like.</p></div><div class=x3>Copyright 2024 Example Media. All rights reserved.</div>"
+    got = html_text.extract(spark.createDataFrame([(1, "u", page)], "page_id long, url string, html string"), labeller).first()["text"]
+    assert got.split("\n") == ["On rivers", "The river rises in the hills, and runs for many miles to the sea.", "In winter it floods the meadows, which farmers like."]
+
+
 def test_main_text_of_given_pages(labeller, spark, data):
     pages = [html_text.blocks(r["html"]) for r in spark.read.parquet(f"{data}/pages.parquet").collect()]
     found = labeller.label(html_text.described(pages))
