@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from .scratch import small_batches
 
-#: Entries are held in each task, so their number is checked; a longer list belongs in a join on host suffixes.
+#: Entries are held in each task, so their number is checked; a longer list is met by :func:`judge_by_table`.
 MAX_ENTRIES = 2_000_000
 
 
@@ -18,7 +18,8 @@ class Trie:
     """Nodes are dicts; a host label leads on by its name, a path segment by its name with a slash before it.
 
     An entry's path may end within a segment ("/en/7" also fits "/en/77"): the beginning of its last segment is kept at
-    the node before it, under None, as a list of (beginning, entry).
+    the node before it, under None, as the best entry of each beginning by its length, so that a segment is looked up
+    once for each length however many entries there are.
     """
 
     def __init__(self, entries: Iterable[tuple[str, str, str]]) -> None:
@@ -34,7 +35,8 @@ class Trie:
             *whole, last = path.split("/")
             for s in whole:
                 node = node.setdefault("/" + s, {})
-            node.setdefault(None, []).append((last, len(host) + len(path), verdict == "block", host + path, verdict))
+            own = node.setdefault(None, {}).setdefault(len(last), {})
+            own[last] = max(own.get(last, (-1,)), (len(host) + len(path), verdict == "block", host + path, verdict))
 
     def find(self, host: str, path: str) -> tuple[str, str] | None:
         """(entry, verdict) of the longest entry that fits; of equally long ones block comes first, then the text's order."""
@@ -44,9 +46,10 @@ class Trie:
         def along_path(node: dict) -> None:
             nonlocal best
             for s in segments:
-                for last, *rank, entry, verdict in node.get(None, ()):
-                    if s.startswith(last) and (best is None or (rank, entry) > best[0]):
-                        best = ((rank, entry), (entry, verdict))
+                for n, own in node.get(None, {}).items():
+                    hit = own.get(s[:n]) if n <= len(s) else None
+                    if hit and (best is None or hit > best):
+                        best = hit
                 node = node.get("/" + s)
                 if node is None:
                     return
@@ -58,7 +61,7 @@ class Trie:
             if node is None:
                 break
             along_path(node)
-        return best and best[1]
+        return best and best[2:]
 
 
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -94,3 +97,24 @@ def judge(pages: DataFrame, entries: Iterable[tuple[str, str, str]], default: st
 
     kept = "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in pages.select(*cols).schema)
     return pages.select(*cols, host.alias("host"), path.alias("path")).mapInArrow(run, f"{kept}host string, path string, rule string, verdict string")
+
+
+def judge_by_table(pages: DataFrame, entries: DataFrame, default: str = "allow", url: str = "url", keep: tuple[str, ...] = ("page_id",)) -> DataFrame:
+    """The same from a table of entries (verdict, host, path) of any size, by joins instead of a trie in each task.
+
+    Every distinct (host, path) offers the suffixes of its host, each of these the beginnings of its path whose length
+    some entry of that host has, and meets entries by equality. Rows without entry keep their place by an outer join.
+    """
+    host, path = url_parts(F.col(f"`{url}`"))
+    rows = pages.select(*[F.col(f"`{c}`") for c in keep], host.alias("host"), path.alias("path"))
+    lower = F.translate("host", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    rules = entries.select("verdict", F.coalesce(lower, F.lit("")).alias("h"), F.coalesce("path", F.lit("")).alias("p"), F.concat(F.coalesce("host", F.lit("")), F.coalesce("path", F.lit(""))).alias("rule")).distinct()
+    shapes = rules.select("h", F.length("p").alias("n")).distinct()
+    urls = rows.select(F.col("host").alias("u"), F.col("path").alias("v")).distinct()
+    labels = F.split("u", r"\.")
+    suffixes = F.array_distinct(F.concat(F.array(F.lit("")), F.transform(F.sequence(F.lit(1), F.size(labels)), lambda i: F.array_join(F.slice(labels, i, F.size(labels)), "."))))
+    offers = urls.select("u", "v", F.explode(suffixes).alias("h")).join(shapes, "h").where(F.length("v") >= F.col("n"))
+    met = offers.select("u", "v", "h", F.substr(F.col("v"), F.lit(1), F.col("n")).alias("p")).join(rules, ["h", "p"])
+    best = met.groupBy("u", "v").agg(F.max(F.struct(F.length("rule").alias("n"), (F.col("verdict") == "block").alias("b"), "rule", "verdict")).alias("best"))
+    out = rows.join(best, (F.col("host") == F.col("u")) & (F.col("path") == F.col("v")), "left")
+    return out.select(*[F.col(f"`{c}`") for c in keep], "host", "path", F.col("best.rule").alias("rule"), F.coalesce("best.verdict", F.lit(default)).alias("verdict"))

@@ -177,6 +177,18 @@ def test_url_filter(spark):
     assert url_filter.judge(df.limit(0), q.URL_ENTRIES).count() == 0
 
 
+def test_url_table_judges_like_the_trie(spark):
+    r = random.Random(7)
+    hosts = ["com", "a.com", "B.a.com", "net", "x.net", ""]
+    entries = [(r.choice(["allow", "block"]), r.choice(hosts), r.choice(["", "/"]) + "/".join(r.choices(["a", "ab", "7"], k=r.randint(0, 3)))) for _ in range(60)]
+    urls = [f"http://{r.choice(['c.', ''])}{r.choice(hosts)}/" + "/".join(r.choices(["a", "abc", "77", "x"], k=r.randint(0, 4))) for _ in range(300)] + [None, "", "x"]
+    df = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")
+    table = spark.createDataFrame(entries, "verdict string, host string, path string")
+    got = sorted(map(str, url_filter.judge_by_table(df, table).collect()))
+    assert got == sorted(map(str, url_filter.judge(df, entries).collect())) and len(got) == 303
+    assert url_filter.judge_by_table(df, table.limit(0)).where("rule is null and verdict = 'allow'").count() == 303
+
+
 PAGE = "<html><head><title>T</title><style>p{}</style></head><body><nav><ul><li><a href=x>Home</a></li><li><a href=x>News</a></li></ul></nav><div class='cookie-notice'><p>We use cookies</p><button>Accept</button></div><article><h1>Head &amp; line</h1><p><b>First  para&nbsp;graph<br>goes on<p>Second one, of the article.</p><script>var t='</p>'</script></article><aside class=related><a href=y>Most read</a></aside><div class='comments'><p>Ann says great article thanks</p></div><footer>&copy; site</footer></body></html>"
 
 
