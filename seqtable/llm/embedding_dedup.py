@@ -16,6 +16,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .components import components
 from .scratch import written
@@ -104,11 +105,13 @@ def near_duplicates(vectors: DataFrame, threshold: float = 0.93) -> DataFrame:
     Only vectors of equal label and dimension are compared. Null, zero and non-finite vectors, and those with null
     components or a null label, link with nothing. Equal vectors are compared once and linked; rows that repeat a vec_id
     are vectors of their own; a null vec_id is never the least of its component unless all are null (then the component
-    is null and kept is true). Other columns are not read.
+    is null and kept is true). Vectors are arrays of any numbers; labels and ids are of any type. Other columns are not read.
     """
     spark = vectors.sparkSession
     key = F.concat_ws(" ", *[F.lower(F.hex(F.xxhash64(F.lit(seed), "label", "embedding"))) for seed in (1, 2)])
-    named = written(vectors.where(_usable()).select("vec_id", key.alias("key"), F.col("label").cast("long").alias("label"), "embedding"))
+    # labels of any type are told apart as texts, numbers of any type are compared in double precision
+    kind = "array<float>" if vectors.schema["embedding"].dataType.simpleString() == "array<float>" else "array<double>"
+    named = written(vectors.where(_usable()).select("vec_id", key.alias("key"), F.col("label").cast("string").alias("label"), F.col("embedding").cast(kind).alias("embedding")))
     classes = written(named.groupBy("key").agg(F.count("*").alias("weight"), F.min("vec_id").alias("first"), F.first("label").alias("label"), F.first("embedding").alias("embedding")).withColumn("dim", F.size("embedding")))
     axes = spark.sparkContext.broadcast(principal_axes(classes))
     width = float(np.sqrt(2 - 2 * threshold)) + 1e-9
@@ -122,7 +125,7 @@ def near_duplicates(vectors: DataFrame, threshold: float = 0.93) -> DataFrame:
                 cell[at] = np.floor((_unit(_matrix(b.take(pa.array(at)), "embedding", d)) @ axes.value[d][:, 0]) / width)
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(cell)], names=[*b.schema.names, "cell"])
 
-    celled = written(classes.mapInArrow(place, "key string, weight bigint, first bigint, label bigint, embedding array<float>, dim int, cell int"))
+    celled = written(classes.mapInArrow(place, T.StructType([*classes.schema.fields, T.StructField("cell", T.IntegerType())])))
     sizes = celled.groupBy("label", "dim", "cell").agg(F.ceil(F.count("*") / TILE).cast("int").alias("tiles"))
     near = sizes.select("label", "dim", F.col("cell").alias("c"), F.explode(F.array(F.struct(F.col("cell").alias("to"), F.col("tiles").alias("own"), F.lit(0).alias("n")), F.struct((F.col("cell") - 1).alias("to"), F.lit(0).alias("own"), F.col("tiles").alias("n")))).alias("x"))
     # for each cell its own tiles and those of the next cell; one row per cell, which stays small

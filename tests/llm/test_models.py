@@ -55,6 +55,10 @@ def test_embeddings(spark):
                 todo.append(j)
         assert (got[i]["n_links"], got[i]["component_id"], got[i]["kept"]) == (len(links[i]), min(seen), min(seen) == i)
     assert embedding_dedup.near_duplicates(df.limit(0)).count() == 0
+    # other types of numbers, labels and ids give the same groups
+    other = df.selectExpr("concat('v', lpad(vec_id, 4, '0')) as vec_id", "cast(embedding as array<double>) as embedding", "concat('l', label) as label")
+    named = {x["vec_id"]: (x["n_links"], x["component_id"], x["kept"]) for x in embedding_dedup.near_duplicates(other).collect()}
+    assert named == {f"v{i:04d}": (x["n_links"], f"v{x['component_id']:04d}", x["kept"]) for i, x in got.items()}
 
 
 def test_minhash_groups(spark):
