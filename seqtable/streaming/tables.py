@@ -2,32 +2,50 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..operators.metadata import upsert
+from ..plans.stages import staged
+
+
+#: Parts of a keyed table; a batch rewrites only those that its keys fall into.
+BUCKETS = 64
+#: Names of the folders of versions and parts, which no column of the table may have.
+VERSION, PART = "seqtable_version", "seqtable_part"
 
 
-def stream_upsert(stream: DataFrame, target_path: str, keys: list[str], checkpoint: str, order: list[str] | None = None) -> StreamingQuery:
-    """Put each batch of a stream into a versioned table by key; a batch that is replayed writes the same version again.
+def stream_upsert(stream: DataFrame, target_path: str, keys: list[str], checkpoint: str, order: list[str] | None = None, buckets: int = BUCKETS) -> StreamingQuery:
+    """Put each batch of a stream into a keyed table of versioned parts; a batch that is replayed writes the same again.
 
-    Version n+1 is version n with batch n; readers take the highest version that :func:`latest` finds complete.
+    Batch n writes version n of the parts that its keys fall into, each from the part's latest version before n; other
+    parts keep theirs. :func:`latest` reads, of each part, the last version up to a batch that is done.
     """
 
     def put(batch: DataFrame, n: int) -> None:
-        spark = batch.sparkSession
-        old = spark.read.parquet(f"{target_path}/v={n - 1}") if n else batch.limit(0).select(*[F.col(c).cast("string").alias(c) for c in batch.columns])
-        upsert(old, batch, keys, order).write.mode("overwrite").parquet(f"{target_path}/v={n}")
+        part = F.pmod(F.xxhash64(*[F.col(k).cast("string") for k in keys]), F.lit(buckets)).cast("int")
+        new = staged(batch.withColumn(PART, part))
+        touched = [r[PART] for r in new.select(PART).distinct().collect()]  # at most ``buckets`` numbers
+        empty = batch.limit(0).select(*[F.col(c).cast("string").alias(c) for c in batch.columns])
+        old = latest(batch.sparkSession, target_path, n - 1, touched) if n else None
+        old = empty if old is None else old.select(*empty.columns)
+        both = upsert(old, new.drop(PART), keys, order)
+        both.withColumn(PART, part).write.mode("overwrite").partitionBy(PART).parquet(f"{target_path}/{VERSION}={n}")
 
     return stream.writeStream.foreachBatch(put).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
-def latest(spark: SparkSession, target_path: str, done: Callable[[], int]) -> DataFrame:
-    """The table after the last batch that the query reports as done."""
-    return spark.read.parquet(f"{target_path}/v={done()}")
+def latest(spark: SparkSession, target_path: str, done: int, parts: list[int] | None = None) -> DataFrame | None:
+    """The table after batch ``done`` (or some parts of it): of each part its last version; None before the first batch."""
+    try:
+        rows = spark.read.parquet(target_path).where(F.col(VERSION) <= done)
+    except AnalysisException:  # nothing is written yet
+        return None
+    rows = rows if parts is None else rows.where(F.col(PART).isin(parts))
+    last = rows.groupBy(F.col(PART).alias("_p")).agg(F.max(VERSION).alias("_v"))  # one row for each part
+    return rows.join(F.broadcast(last), (F.col(PART) == F.col("_p")) & (F.col(VERSION) == F.col("_v"))).drop("_p", "_v", PART, VERSION)
 
 
 def stream_tally(stream: DataFrame) -> DataFrame:

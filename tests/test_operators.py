@@ -271,17 +271,22 @@ def test_xml(spark):
 
 
 def test_streams(spark, tmp_path):
-    from seqtable.streaming.tables import stream_tally, stream_upsert
-
-    src = tmp_path / "in"
-    spark.createDataFrame([("1", "a"), ("2", "b")], "id string, v string").write.parquet(str(src))
-    q = stream_upsert(spark.readStream.schema("id string, v string").parquet(str(src)), str(tmp_path / "out"), ["id"], str(tmp_path / "cp"))
-    q.awaitTermination()
-    assert spark.read.parquet(str(tmp_path / "out/v=0")).count() == 2
+    from seqtable.streaming.tables import latest, stream_tally, stream_upsert
+
+    src, out = tmp_path / "in", str(tmp_path / "out")
+    batches = [[("1", "a"), ("2", "b")], [("2", "c"), ("3", "d")], [("4", None)]]
+    for n, rows in enumerate(batches):
+        spark.createDataFrame(rows, "id string, v string").coalesce(1).write.mode("append").parquet(str(src))
+        q = stream_upsert(spark.readStream.schema("id string, v string").parquet(str(src)), out, ["id"], str(tmp_path / "cp"))
+        q.awaitTermination()
+    assert sorted(tuple(r) for r in latest(spark, out, 2).collect()) == [("1", "a"), ("2", "c"), ("3", "d"), ("4", "")]
+    assert sorted(tuple(r) for r in latest(spark, out, 0).collect()) == [("1", "a"), ("2", "b")]
+    assert latest(spark, str(tmp_path / "none"), 0) is None
+    assert spark.read.parquet(f"{out}/seqtable_version=2").count() <= 2  # only the part of the new key is written again
     tally = stream_tally(spark.readStream.schema("id string, v string").parquet(str(src)).selectExpr("'r' as run_id", "v as status"))
     s = tally.writeStream.outputMode("complete").format("memory").queryName("tally").trigger(availableNow=True).start()
     s.awaitTermination()
-    assert spark.table("tally").count() == 2
+    assert spark.table("tally").count() == 5
 
 
 def test_count_table_with_comments_and_integrity_of_empty_files(spark, tmp_path):
