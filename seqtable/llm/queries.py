@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import embedding_dedup, html_text, minhash, mixing, pieces, pii, quality_model, quality_rules, token_ids, url_filter
+from . import embedding_dedup, hard_negatives, html_text, minhash, mixing, pieces, pii, quality_model, quality_rules, token_ids, url_filter
 
 #: Production parameters. The key of pseudonyms is the setting KEY_SETTING of the session; the one here is for trials,
 #: since whoever has the key can undo the pseudonyms.
@@ -81,8 +81,13 @@ def op10_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(_table(spark, sf_dir, "documents"), k=4, percent=80)
 
 
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Negatives of other labels just below each positive of the anchors: anchor_id, positive_id, rank, negative_id and both scores."""
+    return hard_negatives.mine(_table(spark, sf_dir, "embeddings"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_token_ids, op2_pseudonyms, op3_embedding_dedup, op4_pieces, op5_html_text, op6_url_filter, op7_quality_rules, op8_mixing, op9_quality_model, op10_minhash)}
+    return {f.__name__: f for f in (op1_token_ids, op2_pseudonyms, op3_embedding_dedup, op4_pieces, op5_html_text, op6_url_filter, op7_quality_rules, op8_mixing, op9_quality_model, op10_minhash, op12_hard_negatives)}
 
 
 _RULES = ", ".join(f"('{v}', '{h}', '{p}')" for v, h, p in URL_ENTRIES)
@@ -131,7 +136,22 @@ SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, least(d.doc_id, coalesce(m, d.d
 FROM documents d LEFT JOIN n ON n.doc_id = d.doc_id LEFT JOIN least_ ON least_.a = d.doc_id
 """
 
+_OP12 = """
+WITH v AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label, list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS e
+  FROM embeddings WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (
+  SELECT a.vec_id AS anchor_id, b.vec_id, a.label = b.label AS same, CAST(list_inner_product(a.e, b.e) AS BIGINT) AS score
+  FROM v a JOIN v b ON a.vec_id % 100 = 0 AND a.vec_id <> b.vec_id AND len(a.e) = len(b.e)),
+p AS (SELECT anchor_id, vec_id AS positive_id, score FROM s WHERE same QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5),
+n AS (
+  SELECT p.anchor_id, positive_id, s.vec_id AS negative_id, p.score AS positive_score, s.score AS negative_score,
+    CAST(row_number() OVER (PARTITION BY p.anchor_id, positive_id ORDER BY s.score DESC, s.vec_id) AS INTEGER) AS rank
+  FROM p JOIN s ON s.anchor_id = p.anchor_id AND NOT s.same AND 100 * s.score BETWEEN 80 * p.score AND 100 * p.score)
+SELECT anchor_id, positive_id, rank, negative_id, positive_score, negative_score FROM n WHERE rank <= 5
+"""
+
 
 def oracle_sql() -> dict[str, str]:
     """SQL for the queries it can express; the others are tested against brute force, round trips or held-out labels."""
-    return {"op3_embedding_dedup": _OP3, "op6_url_filter": _OP6, "op10_minhash": _OP10}
+    return {"op3_embedding_dedup": _OP3, "op6_url_filter": _OP6, "op10_minhash": _OP10, "op12_hard_negatives": _OP12}
