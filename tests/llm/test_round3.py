@@ -1,10 +1,14 @@
 import os
+import random
+import re
+import zlib
+from collections import Counter
 
 import duckdb
 import numpy as np
 import pytest
 
-from seqtable.llm import hard_negatives
+from seqtable.llm import hard_negatives, spelling
 from seqtable.llm import queries as q
 
 SMALL = "/root/testdata/sf0.01"
@@ -71,3 +75,66 @@ def test_hard_negatives(spark, monkeypatch):
 
 def test_op12_equals_sql(spark):
     equals_sql(spark, "op12_hard_negatives")
+
+
+def variants(docs):
+    """The contract in plain Python: words, near pairs by comparing all, forms and roots."""
+    n = Counter()
+    for doc, text in docs:
+        for run in re.findall("[A-Za-zÀ-ÿ]+", text or ""):
+            w = "".join(c.lower() if c.isascii() else c for c in run)
+            h = zlib.crc32(f"{doc}:{w}".encode())
+            if h % 31 == 0 and doc is not None:
+                w = w[: h % len(w)] + w[h % len(w) + 1 :]
+            n[w] += 1
+    n = {w: k for w, k in n.items() if len(w) >= 7 and k >= 2}
+
+    def near(a, b):
+        if len(a) == len(b):
+            return sum(x != y for x, y in zip(a, b, strict=True)) == 1
+        a, b = sorted((a, b), key=len)
+        return len(b) - len(a) == 1 and any(b[:i] + b[i + 1 :] == a for i in range(len(b)))
+
+    form, count = {}, {}
+    for a in n:
+        other = [b for b in n if near(a, b)]
+        count[a] = len(other)
+        best = min(other, key=lambda b: (-n[b], b), default=None)
+        form[a] = best if best and n[best] >= 10 * n[a] else None
+    out = []
+    for a in n:
+        root = a
+        while form[root]:
+            root = form[root]
+        out.append((a, form[a], root, n[a], count[a], n[form[a]] if form[a] else None))
+    return sorted(map(repr, out))
+
+
+def test_spelling(spark, monkeypatch):
+    r = random.Random(3)
+    base = ["".join(r.choice("abcdenoäß") for _ in range(r.randint(7, 10))) for _ in range(12)]
+    words = []
+    for i, w in enumerate(base):
+        words += [w] * (300 if i % 3 == 0 else 30)
+        for _ in range(40):
+            k = r.randrange(len(w))
+            v = r.choice([w[:k] + w[k + 1 :], w[:k] + r.choice("abxeäÄ") + w[k:], w[:k] + r.choice("abxneÿ") + w[k + 1 :]])
+            words += [v.upper() if r.random() < 0.1 else v] * r.choice([1, 2, 3])
+    words += ["abcdefg", "gfedcba", "abcdegf"] * 3 + ["short", "a" * 3000, "a" * 3000, "a" * 3001, "a" * 3001]
+    r.shuffle(words)
+    docs = [(i, " ".join(words[i::40])) for i in range(40)] + [(50, None), (51, ""), (52, "12 34 ... !"), (None, "×÷abcdefgh abcdefgh×÷ Straße1Straßen"), (7, words[0])]
+    df = spark.createDataFrame(docs, "doc_id long, text string").selectExpr("*", "1 as word", "2 as n", "3 as key")
+    want = variants(docs)
+    counted = spelling.counted_words(df)
+    assert sorted(repr(tuple(x)) for x in spelling.group_variants(counted).collect()) == want and len(want) > 100
+    # deeper parts, and tiles where that is not enough, change nothing
+    monkeypatch.setattr(spelling, "BLOCK", 64)
+    pairs = {tuple(x) for x in spelling.near_words(counted).collect()}
+    for part in (60, 1):
+        again = [tuple(x) for x in spelling.near_words(counted, part=part).collect()]
+        assert len(again) == len(set(again)) and {tuple(sorted(x)) for x in again} == {tuple(sorted(x)) for x in pairs}
+    assert spelling.group_variants(spelling.counted_words(df.limit(0))).count() == 0
+
+
+def test_op11_equals_sql(spark):
+    equals_sql(spark, "op11_spelling")
