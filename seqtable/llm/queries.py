@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import embedding_dedup, hard_negatives, html_text, minhash, mixing, pieces, pii, quality_model, quality_rules, spelling, token_ids, url_filter
+from . import embedding_dedup, hard_negatives, html_text, minhash, mixing, pieces, pii, quality_model, quality_rules, spelling, token_ids, toxicity, url_filter
 
 #: Production parameters. The key of pseudonyms is the setting KEY_SETTING of the session; the one here is for trials,
 #: since whoever has the key can undo the pseudonyms.
@@ -91,8 +91,13 @@ def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hard_negatives.mine(_table(spark, sf_dir, "embeddings"))
 
 
+def op13_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity score and offending spans of every document, learned from the labels that are not held out: doc_id, held_out, score, predicted, spans."""
+    return toxicity.score_documents(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_token_ids, op2_pseudonyms, op3_embedding_dedup, op4_pieces, op5_html_text, op6_url_filter, op7_quality_rules, op8_mixing, op9_quality_model, op10_minhash, op11_spelling, op12_hard_negatives)}
+    return {f.__name__: f for f in (op1_token_ids, op2_pseudonyms, op3_embedding_dedup, op4_pieces, op5_html_text, op6_url_filter, op7_quality_rules, op8_mixing, op9_quality_model, op10_minhash, op11_spelling, op12_hard_negatives, op13_toxicity)}
 
 
 _RULES = ", ".join(f"('{v}', '{h}', '{p}')" for v, h, p in URL_ENTRIES)

@@ -1,3 +1,4 @@
+import itertools
 import os
 import random
 import re
@@ -7,8 +8,9 @@ from collections import Counter
 import duckdb
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
-from seqtable.llm import hard_negatives, spelling
+from seqtable.llm import hard_negatives, spelling, toxicity
 from seqtable.llm import queries as q
 
 SMALL = "/root/testdata/sf0.01"
@@ -138,3 +140,82 @@ def test_spelling(spark, monkeypatch):
 
 def test_op11_equals_sql(spark):
     equals_sql(spark, "op11_spelling")
+
+
+def test_forward_backward_equals_enumeration():
+    r = np.random.default_rng(2)
+    lengths = [1, 3, 7, 2, 1, 9]
+    scores = r.normal(size=sum(lengths)) * 3
+    starts = np.concatenate([[True] + [False] * (n - 1) for n in lengths])
+    transitions, start = np.exp(r.normal(size=(2, 2))), np.exp(r.normal(size=2))
+    p, pairs = toxicity.forward_backward(scores, starts, transitions, start)
+    want, want_pairs, low = [], [], 0
+    for n in lengths:
+        total, one, two = 0.0, np.zeros(n), np.zeros((n - 1, 4))
+        for y in itertools.product((0, 1), repeat=n):
+            w = start[y[0]] * np.exp(sum(s for s, k in zip(scores[low : low + n], y, strict=True) if k)) * np.prod([transitions[a, b] for a, b in itertools.pairwise(y)])
+            total += w
+            one += w * np.array(y)
+            for k, (a, b) in enumerate(itertools.pairwise(y)):
+                two[k, 2 * a + b] += w
+        want.append(one / total)
+        want_pairs.append(two / total)
+        low += n
+    assert np.allclose(p, np.concatenate(want), atol=1e-12) and np.allclose(pairs.T, np.concatenate(want_pairs), atol=1e-12)
+    # many blocks give what one does
+    long = r.normal(size=1000)
+    cut = np.arange(1000) % 333 == 0
+    whole = toxicity.forward_backward(long, cut, transitions, start)[0]
+    apart = np.concatenate([toxicity.forward_backward(x, np.arange(len(x)) == 0, transitions, start)[0] for x in np.split(long, [333, 666, 999])])
+    assert np.allclose(whole, apart, atol=1e-12)
+
+
+def toxic_texts(r, n):
+    """Texts of invented words; the toxic ones hold two to five forms of three stems."""
+    words = ["".join(r.choice("abdeiklmnoprstuv") for _ in range(r.randint(2, 9))) for _ in range(600)]
+    out = []
+    for _ in range(n):
+        text = [r.choice(words) for _ in range(r.randint(5, 120))]
+        bad = r.random() < 0.2
+        for _ in range(r.randint(2, 5) if bad else 0):
+            text.insert(r.randrange(len(text)), r.choice(["grumph", "Ülfrek", "schnorz"]) + r.choice(["", "en", "ität", "s"]))
+        out.append((" ".join(w.upper() if r.random() < 0.05 else w for w in text), int(bad)))
+    return out
+
+
+def test_toxicity(spark):
+    rows = [(i, t, y) for i, (t, y) in enumerate(toxic_texts(random.Random(4), 900))]
+    extra = [(2000, None), (2001, ""), (2002, "12 34 \n ..."), (None, rows[0][1]), (3, rows[3][1]), (2003, "gut " * 30000 + "Ülfrek schnorzität grumph")]
+    docs = spark.createDataFrame([(i, t) for i, t, _ in rows] + extra, "doc_id long, text string").selectExpr("*", "1 as score", "2 as spans", "3 as toxic")
+    labels = spark.createDataFrame([(i, y) for i, _, y in rows] + [(5, None), (None, 1), (9999, 1), (7, 1 - rows[7][2])], "doc_id long, toxic int").selectExpr("*", "0 as quality", "'x' as text")
+    got = toxicity.score_documents(docs, labels).collect()
+    assert len(got) == len(rows) + len(extra)
+    by = {x["doc_id"]: x for x in got}
+    held = [(by[i], y) for i, _, y in rows if zlib.crc32(str(i).encode()) % 5 == 0]
+    assert all(x["held_out"] for x, _ in held) and sum(x["held_out"] for x in got if x["doc_id"] is not None and x["doc_id"] < 900) in (len(held), len(held) + 1)
+    assert sum(x["predicted"] == y for x, y in held) >= 0.97 * len(held) and sum(y for _, y in held) > 10
+    assert all(0 <= x["score"] <= 1 and x["predicted"] == (x["score"] >= 0.5) for x in got)
+    # spans are places of toxic words in code points
+    texts = {i: t for i, t, _ in rows} | dict(extra[:3] + extra[5:])
+    spans = [texts[i][s["begin"] : s["end"]].lower() for i, x in by.items() if i is not None for s in x["spans"]]
+    bad = [s for s in spans if s.startswith(("grumph", "ülfrek", "schnorz"))]
+    assert len(bad) > 200 and len(bad) >= 0.95 * len(spans)
+    assert by[2003]["spans"][-1]["end"] == len(texts[2003])
+    assert by[2000]["score"] == by[2001]["score"] == by[2002]["score"] < 0.5 and by[2000]["spans"] == []
+    assert by[None]["score"] == by[0]["score"]
+    # the sample does not depend on partitions; the held-out labels and the other columns do not matter
+    other = labels.withColumn("toxic", F.when(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0, 1 - F.col("toxic")).otherwise(F.col("toxic"))).repartition(7)
+    again = {x["doc_id"]: x["score"] for x in toxicity.score_documents(docs.repartition(5), other).collect()}
+    assert again == {i: x["score"] for i, x in by.items()}
+    assert toxicity.score_documents(docs.limit(0), labels).count() == 0
+    none = toxicity.score_documents(docs, labels.limit(0)).collect()
+    assert len({x["score"] for x in none}) == 1 and none[0]["spans"] == []
+
+
+def test_op13_on_held_out_documents(spark):
+    if not os.path.isdir(SMALL):
+        pytest.skip("no driver tables")
+    sf = "/root/testdata/sf0.1"
+    got = q.queries()["op13_toxicity"](spark, sf).join(spark.read.parquet(f"{sf}/labels.parquet"), "doc_id").where("held_out").select("score", "predicted", "toxic").collect()
+    toxic, clean = [x for x in got if x["toxic"] == 1], [x for x in got if x["toxic"] == 0]
+    assert sum(x["predicted"] for x in toxic) >= 0.9 * len(toxic) and sum(x["predicted"] for x in clean) <= 0.01 * len(clean)
