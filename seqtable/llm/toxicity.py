@@ -236,23 +236,35 @@ def _fit_logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray, ridge: float
     return w
 
 
-def telling_evidence(n1: np.ndarray, of1: int, n0: np.ndarray, of0: int, least_ratio: float, error: float = 0.05) -> np.ndarray:
+def telling_evidence(n1: np.ndarray, of1: int, n0: np.ndarray, of0: int, least_ratio: float, tests: int, error: float = 0.05) -> np.ndarray:
     """Which evidence is more common in the ``of1`` toxic than in the ``of0`` clean documents: by ``least_ratio`` at least,
-    and beyond chance by Chernoff's bound of the binomial tail, corrected for the number of tests."""
+    and beyond chance by Chernoff's bound of the binomial tail, corrected for the number of ``tests``."""
     n, even = n1 + n0, of1 / (of1 + of0)
     share = n1 / np.maximum(n, 1)
     log = lambda x: np.log(np.maximum(x, 1e-300))
     surprise = n * (share * log(share / even) + (1 - share) * log((1 - share) / (1 - even)))
-    return (n1 / of1 >= least_ratio * (n0 + 0.5) / (of0 + 1)) & (surprise >= np.log(max(1, len(n1)) / error)) & (share > even)
+    return (n1 / of1 >= least_ratio * (n0 + 0.5) / (of0 + 1)) & (surprise >= np.log(max(1, tests) / error)) & (share > even)
 
 
 @dataclass
 class _Sample:
-    """Labelled documents as sequences of evidence; built batch by batch, so that hashes of few documents are held at a time."""
+    """Labelled documents: for each word its document and label, and the evidence of those words that have any."""
 
-    at: np.ndarray
-    toxic: np.ndarray
     doc: np.ndarray
+    toxic: np.ndarray
+    where: np.ndarray  # words with evidence, ascending
+    at: np.ndarray  # their evidence, -1 where there is none
+
+    def part(self, which: np.ndarray) -> _Sample:
+        """The documents for which ``which`` is true."""
+        words, given = which[self.doc], which[self.doc[self.where]]
+        return _Sample(self.doc[words], self.toxic[words], (np.cumsum(words) - 1)[self.where[given]], self.at[given])
+
+    def scores(self, model: Model, low: int, high: int) -> tuple[np.ndarray, slice]:
+        cut = slice(*np.searchsorted(self.where, [low, high]))
+        out = np.full(high - low, model.bias)
+        out[self.where[cut] - low] = model.scores(self.at[cut])
+        return out, cut
 
 
 def _batches(texts: list[str | None], size: int = PIECE) -> Iterator[slice]:
@@ -270,60 +282,68 @@ def _hashes(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
     return evidence(_lower(raw), words.first, words.last), words.doc
 
 
-def _documents_with(texts: list[str | None], keys: np.ndarray | None = None, apart: bool = False) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of evidence (only those of ``keys``, sorted, if given) and the number of documents that have each.
-
-    ``apart``: no more than the number of different words before it, so that copies of a document do not add up.
-    """
+def _documents_with(texts: list[str | None], keys: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of evidence (only those of ``keys``, sorted, if given) and the number of documents that have each."""
     found, n = np.empty(0, np.uint64), np.empty(0, np.int64)
-    pairs = np.empty((0, 2), np.uint64)
     for cut in _batches(texts):
         h, doc = _hashes(texts[cut])
-        before = np.repeat(np.concatenate([[np.uint64(1)], h[:-1, 0]])[: len(h)], h.shape[1])
         doc = np.repeat(doc, h.shape[1])
         h = h.ravel()
         ok = h != 0
         if keys is not None:
             ok &= keys[np.minimum(np.searchsorted(keys, h), len(keys) - 1)] == h
-        h, doc, before = h[ok], doc[ok], before[ok]
+        h, doc = h[ok], doc[ok]
         order = np.lexsort((doc, h))
-        new = _changes(h[order], doc[order])
-        u, c = np.unique(h[order][new], return_counts=True)
+        u, c = np.unique(h[order][_changes(h[order], doc[order])], return_counts=True)
         found, inverse = np.unique(np.concatenate([found, u]), return_inverse=True)
         n = np.bincount(inverse, np.concatenate([n, c]), len(found)).astype(np.int64)
-        if apart:
-            pairs = np.concatenate([pairs, np.column_stack([h, before])])
-            pairs = pairs[np.lexsort((pairs[:, 1], pairs[:, 0]))]
-            pairs = pairs[_changes(pairs[:, 0], pairs[:, 1])]
-    if apart:
-        n = np.minimum(n, np.unique(pairs[:, 0], return_counts=True)[1])
     return found, n
 
 
+def _words_before(texts: list[str | None], keys: np.ndarray) -> np.ndarray:
+    """How many different words stand before each of ``keys`` (sorted): copies of a document have the same."""
+    pairs = np.empty((0, 2), np.uint64)
+    for cut in _batches(texts):
+        h, _ = _hashes(texts[cut])
+        at = np.minimum(np.searchsorted(keys, h), len(keys) - 1)
+        row, column = np.nonzero(keys[at] == h)
+        before = np.concatenate([[np.uint64(1)], h[:-1, 0]])[: len(h)]
+        pairs = np.concatenate([pairs, np.column_stack([at[row, column].astype(np.uint64), before[row]])])
+        pairs = pairs[np.lexsort((pairs[:, 1], pairs[:, 0]))]
+        pairs = pairs[_changes(pairs[:, 0], pairs[:, 1])]
+    return np.bincount(pairs[:, 0].astype(np.int64), minlength=len(keys))
+
+
 def _changes(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return np.concatenate([[True], (a[1:] != a[:-1]) | (b[1:] != b[:-1])])[: len(a)]
 
 
-def _fit_field(model: Model, sample: _Sample, epochs: int = 8, rate: float = 0.25, ridge: float = 1e-4, block: int = 1 << 16) -> Model:
-    """Maximise the likelihood of the labelled words by steps of Adam over blocks of whole documents."""
-    starts = _starts(sample.doc)
-    cuts = np.flatnonzero(starts)
+def _edges(doc: np.ndarray, block: int) -> list[int]:
+    """Where blocks of whole documents, of ``block`` words or more, begin, and the end."""
     edges = [0]
-    for c in [*cuts[1:].tolist(), len(sample.doc)]:
-        if c - edges[-1] >= block or c == len(sample.doc):
+    for c in [*np.flatnonzero(_starts(doc))[1:].tolist(), len(doc)]:
+        if c - edges[-1] >= block or c == len(doc) > 0:
             edges.append(c)
+    return edges
+
+
+def _fit_field(model: Model, sample: _Sample, epochs: int = 8, rate: float = 0.25, ridge: float = 1e-4, block: int = 1 << 16) -> Model:
+    """Maximise the likelihood of the labelled words by steps of Adam over blocks of whole documents."""
+    starts, edges = _starts(sample.doc), _edges(sample.doc, block)
     theta = np.concatenate([model.weights, [model.bias, model.start], model.transitions.ravel()])
     k = len(model.weights)
     m, v, t = np.zeros_like(theta), np.zeros_like(theta), 0
     for epoch in range(epochs):
         for low, high in zip(edges[:-1], edges[1:], strict=True):
-            at, y, s = sample.at[low:high], sample.toxic[low:high].astype(float), starts[low:high]
+            y, s = sample.toxic[low:high].astype(float), starts[low:high]
             model.weights, model.bias, model.start, model.transitions = theta[:k], theta[k], theta[k + 1], theta[k + 2 :].reshape(2, 2)
-            p, pairs = model.chain(model.scores(at), s)
+            scores, cut = sample.scores(model, low, high)
+            p, pairs = model.chain(scores, s)
             off = p - y
             g = np.zeros_like(theta)
+            at = sample.at[cut]
             given = at >= 0
-            g[:k] = np.bincount(at[given], np.repeat(off, given.sum(axis=1)), k)[:k]
+            g[:k] = np.bincount(at[given], np.repeat(off[sample.where[cut] - low], given.sum(axis=1)), k)[:k]
             g[k], g[k + 1] = off.sum(), off[s].sum()
             before, here = np.concatenate([[0.0], y[:-1]])[~s], y[~s]
             seen = np.stack([(1 - before) * (1 - here), (1 - before) * here, before * (1 - here), before * here])
@@ -346,7 +366,8 @@ def fit(texts: list[str | None], toxic: list[int], class_sizes: tuple[int, int],
     n1, n0 = int((y == 1).sum()), int((y == 0).sum())
     share = (class_sizes[1] + 1) / (sum(class_sizes) + 2)
     empty = Model(np.empty(0, np.uint64), np.empty(0), -5.0, np.zeros((2, 2)), 0.0, np.array([np.log(share / (1 - share)), 0, 0, 0, 0]))
-    keys, df1 = _documents_with([t for t, l in zip(texts, y, strict=True) if l == 1], apart=True)
+    bad = [t for t, l in zip(texts, y, strict=True) if l == 1]
+    keys, df1 = _documents_with(bad)
     often = df1 >= MIN_DOCS
     keys, df1 = keys[often], df1[often]
     if not len(keys) or not n0:
@@ -354,7 +375,9 @@ def fit(texts: list[str | None], toxic: list[int], class_sizes: tuple[int, int],
     seen, n = _documents_with([t for t, l in zip(texts, y, strict=True) if l == 0], keys)
     df0 = np.zeros(len(keys), np.int64)
     df0[np.searchsorted(keys, seen)] = n
-    telling = keys[telling_evidence(df1, n1, df0, n0, least_ratio)]
+    ok = np.flatnonzero(telling_evidence(df1, n1, df0, n0, least_ratio, len(keys)))
+    apart = np.minimum(df1[ok], _words_before(bad, keys[ok])) if len(ok) else df1[ok]
+    telling = keys[ok[telling_evidence(apart, n1, df0[ok], n0, least_ratio, len(keys))]]
     if not len(telling):
         return empty
     # words with telling evidence are labelled toxic; their other evidence may help and may not
@@ -369,28 +392,30 @@ def fit(texts: list[str | None], toxic: list[int], class_sizes: tuple[int, int],
     keys, df1 = keys[kept], df1[kept]
     keys = keys[np.argsort(-df1, kind="stable")[:MAX_EVIDENCE]][::-1].copy()  # of two in one slot the more frequent is added last
     table = Table(keys=keys)
-    ats, labels, docs = [], [], []
+    parts, before = [], 0
     for cut in _batches(texts):
         h, doc = _hashes(texts[cut])
-        ats.append(table.find(h).astype(np.int32))
-        labels.append((find(h) >= 0).any(axis=1) & (y[cut][doc] == 1))
-        docs.append((doc + cut.start).astype(np.int32))
-    whole = _Sample(np.concatenate(ats), np.concatenate(labels), np.concatenate(docs))
+        at = table.find(h).astype(np.int32)
+        where = np.flatnonzero((at >= 0).any(axis=1))
+        parts.append(((doc + cut.start).astype(np.int32), (find(h) >= 0).any(axis=1) & (y[cut][doc] == 1), where + before, at[where]))
+        before += len(doc)
+    whole = _Sample(*[np.concatenate(x) for x in zip(*parts, strict=True)])
     # toxic documents none of whose words could be labelled would teach that all their words are clean
     labelled = np.bincount(whole.doc, whole.toxic, len(y)) > 0
     teaches = labelled | (y == 0)
     new = lambda: Model(keys, np.zeros(len(keys)), -4.0, np.zeros((2, 2)), 0.0)
-    part = lambda which: _Sample(whole.at[which[whole.doc]], whole.toxic[which[whole.doc]], whole.doc[which[whole.doc]])
     x = np.zeros((len(y), 5))
     fold = np.zeros(len(y), np.int64)
     for label in (0, 1):
         fold[y == label] = np.arange((y == label).sum()) % 2
     for other in (0, 1):
-        half = _fit_field(new(), part((fold != other) & teaches))
-        rest = part(fold == other)
-        p, _ = half.chain(half.scores(rest.at), _starts(rest.doc))
+        half = _fit_field(new(), whole.part((fold != other) & teaches))
+        rest = whole.part(fold == other)
+        edges = _edges(rest.doc, 1 << 16)
+        p = [half.chain(rest.scores(half, low, high)[0], _starts(rest.doc[low:high]))[0] for low, high in zip(edges[:-1], edges[1:], strict=True)]
+        p = np.concatenate([np.empty(0), *p])
         x[fold == other] = _aggregates(p, rest.doc, len(y))[fold == other]
-    model = _fit_field(new(), part(teaches))
+    model = _fit_field(new(), whole.part(teaches))
     weight = np.where(y == 1, class_sizes[1] / max(1, n1), class_sizes[0] / max(1, n0))
     model.logistic = _fit_logistic(x, y.astype(float), weight / weight.mean())
     return model
