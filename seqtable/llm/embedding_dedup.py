@@ -32,10 +32,16 @@ def _usable() -> Column:
 
 
 def _unit(x: np.ndarray) -> np.ndarray:
-    x = x / np.abs(x).max(axis=1, keepdims=True)
+    x = _scaled(x)
     return x / np.sqrt((x * x).sum(axis=1, keepdims=True))
 
 
+def _scaled(x: np.ndarray) -> np.ndarray:
+    """Rows times powers of two that bring their largest component to about 1: cosines stay as they are, bit for bit,
+    and squares of very large and very small components neither overflow nor vanish."""
+    return np.ldexp(x, -np.frexp(np.abs(x).max(axis=1, keepdims=True))[1])
+
+
 def _matrix(b: pa.RecordBatch, column: str, d: int) -> np.ndarray:
     return b.column(column).flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(-1, d)
 
@@ -79,6 +85,7 @@ def close_pairs(a: np.ndarray, b: np.ndarray, raw_a: np.ndarray, raw_b: np.ndarr
         stay = s + ta[i, k] * tb[j, k] >= slack
         i, j, s, at = i[stay], j[stay], s[stay], k
     ok = np.zeros(len(i), bool)
+    raw_a, raw_b = _scaled(raw_a), _scaled(raw_b)
     na, nb = np.sqrt((raw_a * raw_a).sum(axis=1)), np.sqrt((raw_b * raw_b).sum(axis=1))
     for low in range(0, len(i), 1 << 18):
         cut = slice(low, low + (1 << 18))

@@ -74,7 +74,8 @@ class WordEncoder:
     Words are found and told apart in numpy, by 64-bit polynomial hashes of their bytes. The ids of a word are remembered
     for the life of the worker process, up to a bound on the number of words; then memory begins anew. Where the vocabulary
     marks the ends of words, a word of letters is encoded without the marks behind it, ASCII in lower case, and many such
-    words are sent as one text, whose ids are cut at the ends.
+    words are sent as one text, whose ids are cut at the ends. A word whose last
+    letter does not stay a letter of its own when it is normalised is encoded together with its marks.
     """
 
     #: Marks that may follow a word and then make one run; no apostrophes and no part of special tokens.
@@ -87,6 +88,7 @@ class WordEncoder:
         self.tokenizer, self.kind, self.remembered = Tokenizer.from_file(path), np.dtype(kind), remembered
         self._forget()
         self.cores: dict[str, bytes] = {"": b""}
+        self.apart: dict[str, bool] = {}  # by last letter, so no larger than the alphabets
         # words are sent many to a text with a special token between them, which no word may hold
         special = [(i, t.content) for i, t in self.tokenizer.get_added_tokens_decoder().items() if t.special and not t.normalized]
         self.mark, self.between = special[0] if special else (None, None)
@@ -178,7 +180,7 @@ class WordEncoder:
         if len(self.cores) > self.remembered:
             self.cores = {"": b""}
         cores = [w.rstrip(self.MARKS) for w in words]
-        whole = [c.isalpha() for c in cores]
+        whole = [c.isalpha() and (c.isascii() or c == w or self._ends_apart(c[-1])) for c, w in zip(cores, words, strict=True)]
         cores = [c.lower() if a and c.isascii() else c for c, a in zip(cores, whole, strict=True)]
         tails = [w[len(c) :] for w, c in zip(words, cores, strict=True)]
         odd = self._encoded([w for w, a in zip(words, whole, strict=True) if not a])
@@ -189,6 +191,13 @@ class WordEncoder:
         find = self.cores.__getitem__
         return odd | {w: find(c) + find(t) for w, c, t, a in zip(words, cores, tails, whole, strict=True) if a}
 
+    def _ends_apart(self, letter: str) -> bool:
+        """Whether every mark behind this letter begins a piece of its own; not so where normalisation takes the letter
+        apart, as with a capital I with a dot."""
+        if letter not in self.apart:
+            self.apart[letter] = all(self._pieces(letter + m)[-1] == m for m in self.MARKS)
+        return self.apart[letter]
+
     def _letters(self, words: list[str], tokenizer) -> dict[str, bytes]:
         """The ids of words of letters alone, each of which has one end."""
         out: dict[str, bytes] = {}

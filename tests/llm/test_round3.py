@@ -2,6 +2,7 @@ import itertools
 import os
 import random
 import re
+import unicodedata
 import zlib
 from collections import Counter
 
@@ -10,7 +11,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from seqtable.llm import hard_negatives, spelling, toxicity
+from seqtable.llm import embedding_dedup, hard_negatives, spelling, token_ids, toxicity
 from seqtable.llm import queries as q
 
 SMALL = "/root/testdata/sf0.01"
@@ -219,3 +220,35 @@ def test_op13_on_held_out_documents(spark):
     got = q.queries()["op13_toxicity"](spark, sf).join(spark.read.parquet(f"{sf}/labels.parquet"), "doc_id").where("held_out").select("score", "predicted", "toxic").collect()
     toxic, clean = [x for x in got if x["toxic"] == 1], [x for x in got if x["toxic"] == 0]
     assert sum(x["predicted"] for x in toxic) >= 0.9 * len(toxic) and sum(x["predicted"] for x in clean) <= 0.01 * len(clean)
+
+
+def test_every_letter_before_marks_is_encoded_as_in_whole_texts():
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    path = public_tokenizers.path("word_bpe_49k.json")
+    t, encoder = Tokenizer.from_file(path), token_ids.WordEncoder(path)
+    r = random.Random(6)
+    odd = [c for c in map(chr, range(0x20000)) if c.isalpha() and not unicodedata.normalize("NFC", c).lower()[-1].isalpha()]
+    assert len(odd) >= 60
+    words = [c + m for c in odd for m in encoder.MARKS]
+    words += [f"x{c}" + "".join(r.choices(encoder.MARKS, k=r.randint(1, 3))) for c in map(chr, range(0x21, 0x20000)) if c.isalnum() or unicodedata.category(c)[0] == "M"]
+    words += ["BELGESİ.", "ALİ,", "VELİ!", "İ!", "İ", "aİb.", "İİ..", "क़ख़.", "ড়!"]
+    for low in range(0, len(words), 2000):
+        some = words[low : low + 2000]
+        got = [np.frombuffer(x, "<u4").tolist() for x in encoder(some)]
+        want = [e.ids for e in t.encode_batch(some, add_special_tokens=False)]
+        assert got == want, [(w, g, x) for w, g, x in zip(some, got, want, strict=True) if g != x][:5]
+
+
+def test_embeddings_of_extreme_sizes(spark):
+    rows = [(1, [1e200, 1e200]), (2, [1e200, 1.01e200]), (3, [1e-200, 1e-200]), (4, [1e-200, -1e-200]), (5, [1e308, 1.7e308]), (6, [5e-324, 5e-324]), (7, [-1.0, -1.0])]
+    df = spark.createDataFrame([(i, v, 1) for i, v in rows], "vec_id long, embedding array<double>, label int")
+    got = {x["vec_id"]: (x["n_links"], x["component_id"]) for x in embedding_dedup.near_duplicates(df).collect()}
+
+    def cosine(a, b):
+        a, b = (np.array(x) / max(map(abs, x)) for x in (a, b))
+        return a @ b / np.sqrt((a @ a) * (b @ b))
+
+    assert {i: n for i, (n, _) in got.items()} == {i: sum(j != i and cosine(v, w) >= 0.93 for j, w in rows) for i, v in rows}
+    assert got[2] == (4, 1) and got[4] == (0, 4) and got[7] == (0, 7)
