@@ -5,18 +5,32 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 
-def staged(df: DataFrame) -> DataFrame:
-    """``df`` as a written table below ``spark.checkpoint.dir``; only a local session may leave that unset, as in tests."""
-    spark = df.sparkSession
+def stage_folder(spark: SparkSession) -> str:
+    """A new folder below ``spark.checkpoint.dir``; only a local session may leave that unset, as in tests."""
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
         if not spark.sparkContext.master.startswith("local["):
             raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         base = "file://" + tempfile.mkdtemp(prefix="spark-seqtable-")
         spark.conf.set("spark.checkpoint.dir", base)
-    path = f"{base.rstrip('/')}/stage-{uuid.uuid4().hex}"
+    return f"{base.rstrip('/')}/stage-{uuid.uuid4().hex}"
+
+
+def staged(df: DataFrame) -> DataFrame:
+    """``df`` as a written table below ``spark.checkpoint.dir``."""
+    path = stage_folder(df.sparkSession)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out.staged_to = path
+    return out
+
+
+def unstage(*tables: DataFrame) -> None:
+    """Delete the files of tables that ``staged`` made, once all that was read from them is written itself."""
+    for t in tables:
+        jvm = t.sparkSession.sparkContext._jvm
+        path = jvm.org.apache.hadoop.fs.Path(t.staged_to)
+        path.getFileSystem(t.sparkSession.sparkContext._jsc.hadoopConfiguration()).delete(path, True)

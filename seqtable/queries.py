@@ -16,6 +16,8 @@ from .operators import reads as rd
 from .operators import similarity as sm
 from .plans import pipelines
 from .plans.fixtures import CTE_M, CTE_Q, CTE_R, full_reads, reads, runs, table
+from .plans.stages import stage_folder
+from .sources import fastq as fq
 from .sources import files as fl
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -766,3 +768,17 @@ def ont_table(spark, d):
     """Counts of the long-read pipeline over all reads."""
     q = full_reads(spark, d)
     return pipelines.ont_pipeline(q.select("sample_id", "seq", "qual"), 10, 50, 400)
+
+
+@query(f"""WITH {CTE_Q}
+SELECT concat('r', ok, '.', ln) AS header, seq, qual, count(*) AS n, 0 AS misnumbered FROM q GROUP BY 1, 2, 3""")
+def fastq_scan(spark, d):
+    """Reads written as FASTQ files, a folder for each sample, and read back in ranges of 1 MB; misnumbered: files whose numbers are not 1 to n."""
+    path = stage_folder(spark)
+    q = full_reads(spark, d)
+    lines = q.select("sample_id", F.concat_ws("\n", F.concat(F.lit("@r"), "ok", F.lit("."), "ln"), "seq", F.lit("+"), "qual").alias("value"))
+    lines.repartition(4, "sample_id").write.partitionBy("sample_id").text(path)
+    rows = fq.read_fastq(spark, path, 1 << 20, endings=(".txt",))
+    numbers = rows.groupBy("file").agg(F.count("*").alias("n"), F.countDistinct("read_no").alias("k"), F.max("read_no").alias("last"))
+    wrong = numbers.agg(F.count_if((F.col("n") != F.col("k")) | (F.col("n") != F.col("last"))).cast("int").alias("misnumbered"))
+    return rows.groupBy("header", "seq", "qual").agg(F.count("*").alias("n")).crossJoin(F.broadcast(wrong))
