@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -15,13 +19,43 @@ FORWARD = [("1100F", "YAACGAGCGCAACCC"), ("27F", "AGAGTTTGATCMTGGCTCAG"), ("799F
 REVERSE = [("1064RD", "CGACRRCCATGCANCACCT"), ("1100RD", "GGGTTGCGCTCGTTG"), ("1193RD", "ACGTCATCCCCACCTTCC"), ("1391RD", "CGGTGTGTACAAGGCCCGGGAACG"), ("1406RD", "ACGGGCRGTGWGTRCAA"), ("1492RD", "TACGGYTACCTTGTTAYGACTT"), ("336R", "ACTGCTGCSYCCCGTAG"), ("388R", "GTGCTGCCTCCCGTAGGAGT"), ("503RD", "CCGCGGCTGCTGGCAC"), ("518R(2)", "CGTATTACCGCGGCTGCTGG"), ("534RD", "ATTACCGCGGCTGCTGG"), ("806RD", "CTACNVGGGTWTCTAAT"), ("926R1D", "CCGYCAATTYMTTTRAGT")]
 
 
+def letter_counts(strings: DataFrame, by_position: bool = True) -> DataFrame:
+    """(pos, code, n): how often each byte stands at each position (from 0; all 0 if not ``by_position``) of a column of strings.
+
+    Counted in numpy batch by batch; a task sends a row for each position and letter that it has seen. Null and empty
+    strings have no letters.
+    """
+    name = strings.columns[0]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        keys, counts = np.empty(0, np.int64), np.empty(0, np.int64)
+        for b in batches:
+            texts = b.column(0).cast(pa.large_string()).fill_null("")
+            bounds = np.frombuffer(texts.buffers()[1], np.int64, len(texts) + 1, 8 * texts.offset)
+            raw = np.frombuffer(texts.buffers()[2] or b"", np.uint8)[bounds[0] : bounds[-1]]
+            at = raw.astype(np.int64)
+            if by_position:
+                at += 256 * (np.arange(len(raw)) - np.repeat(bounds[:-1] - bounds[0], np.diff(bounds)))
+            if len(at) and int(at.max()) < 16 * len(at):
+                n = np.bincount(at)
+                new = np.flatnonzero(n)
+                n = n[new]
+            else:  # few long strings
+                new, n = np.unique(at, return_counts=True)
+            keys, inverse = np.unique(np.concatenate([keys, new]), return_inverse=True)
+            counts = np.bincount(inverse, np.concatenate([counts, n]), len(keys)).astype(np.int64)
+        yield pa.RecordBatch.from_arrays([pa.array((keys // 256).astype(np.int32)), pa.array((keys % 256).astype(np.int32)), pa.array(counts)], names=["pos", "code", "n"])
+
+    return strings.select(name).mapInArrow(run, "pos int, code int, n bigint").groupBy("pos", "code").agg(F.sum("n").alias("n"))
+
+
 def base_profile(reads: DataFrame, n: int = 60) -> DataFrame:
     """(pos, n, a, c, g, t): shares of A, C, G and T at each of the first ``n`` positions (from 0); 0.25 each without any.
 
     Letters are combined by position before the shuffle: a task sends at most ``n`` rows, however many reads it has.
     """
-    letters = reads.select(F.posexplode(F.split(F.substring(F.upper("seq"), 1, n), "")).alias("pos", "x")).where(F.col("x").isin(*BASES))
-    counts = letters.groupBy("pos").agg(*[F.count_if(F.col("x") == b).alias(b) for b in BASES])
+    letters = letter_counts(reads.select(F.substring(F.upper("seq"), 1, n).alias("s")))
+    counts = letters.groupBy("pos").agg(*[F.coalesce(F.sum(F.when(F.col("code") == ord(b), F.col("n"))), F.lit(0)).alias(b) for b in BASES])
     every = reads.sparkSession.range(n).select(F.col("id").cast("int").alias("pos"))
     long = every.join(counts, "pos", "left").select("pos", *[F.coalesce(b, F.lit(0)).alias(b) for b in BASES])
     total = F.col("A") + F.col("C") + F.col("G") + F.col("T")
@@ -137,7 +171,7 @@ def tail_profile(reads: DataFrame, n: int = 10000, width: int = 50, cap: int = 3
     """
     rows = head_reads(reads, n)
     tail = F.reverse(F.upper(F.substring("seq", -width, width)))
-    seen = rows.select(F.posexplode(F.split(tail, "")).alias("pos", "x")).where("x <> ''").groupBy("pos").agg(F.avg((F.col("x") == "N").cast("double")).alias("f"))
+    seen = letter_counts(rows.select(tail.alias("s"))).groupBy("pos").agg((F.sum(F.when(F.col("code") == ord("N"), F.col("n")).otherwise(0)) / F.sum("n")).alias("f"))
     freq = rows.sparkSession.range(width).select(F.col("id").cast("int").alias("pos")).join(seen, "pos", "left").select("pos", F.coalesce("f", F.lit(0.0)).alias("f"))
     limit = freq.agg(F.greatest(3 * F.avg(F.when(F.col("pos").between(25, 44), F.col("f"))), F.lit(0.01)).alias("limit"))
     run = leading_run(freq.crossJoin(F.broadcast(limit)), [], "pos", F.col("f") > F.col("limit")).select(F.least("run", F.lit(cap)).cast("int").alias("trim_length"))
@@ -148,7 +182,7 @@ def tail_profile(reads: DataFrame, n: int = 10000, width: int = 50, cap: int = 3
 
 def quality_status(reads: DataFrame, cutoff: int = 5) -> DataFrame:
     """(n_chars, status): fewer than ``cutoff`` quality characters mean binned or dummy scores."""
-    seen = reads.select(F.explode(F.array_distinct(F.filter(F.split("qual", ""), lambda c: c != ""))).alias("c")).agg(F.countDistinct("c").alias("n_chars"))
+    seen = letter_counts(reads.select("qual"), by_position=False).agg(F.count("code").alias("n_chars"))
     return seen.withColumn("status", F.when(F.col("n_chars") < cutoff, "degraded_binned").otherwise("normal"))
 
 
@@ -163,7 +197,7 @@ def quality_profile(reads: DataFrame, probs: tuple[float, ...] = (0.02, 0.09, 0.
 
     Scores are counted first (at most 94 per position), so that the quantiles are taken from a small table.
     """
-    chars = reads.select(F.posexplode(F.filter(F.split("qual", ""), lambda c: c != "")).alias("pos", "c")).groupBy("pos", (F.ascii("c") - 33).alias("q")).count()
+    chars = letter_counts(reads.select("qual")).select("pos", (F.col("code") - 33).alias("q"), F.col("n").alias("count"))
     names = [f"p{int(round(p * 100)):02d}" for p in probs]
     return chars.groupBy("pos").agg(F.sum("count").alias("n"), *[F.percentile("q", p, F.col("count")).alias(n) for p, n in zip(probs, names, strict=True)])
 

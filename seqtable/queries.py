@@ -531,12 +531,23 @@ def orient(spark, d):
     return sm.orient(f, q.select("seq").distinct())[0].select("feature_id", "seq")
 
 
-@query()
+@query(f"""WITH {CTE_R}, f AS (SELECT DISTINCT md5(upper(seq)) AS feature_id, upper(seq) AS seq FROM r),
+named AS (SELECT concat('g', CAST(tpl % 4 AS VARCHAR), ';t', CAST(tpl AS VARCHAR)) AS lineage, min(seq) AS seq FROM r GROUP BY tpl),
+grams AS (SELECT lineage, kmer, count(*) AS c FROM (SELECT lineage, unnest(list_transform(range(1, length(seq) - 5), lambda i: substr(seq, i, 7))) AS kmer FROM named) GROUP BY 1, 2),
+size AS (SELECT lineage, sum(c) + (SELECT count(DISTINCT kmer) FROM grams) AS total, ln(1.0 / (SELECT count(*) FROM named)) AS prior FROM grams GROUP BY 1),
+asked AS (SELECT feature_id, kmer, count(*) AS c FROM (SELECT feature_id, unnest(list_transform(range(1, length(seq) - 5), lambda i: substr(seq, i, 7))) AS kmer FROM f) WHERE kmer IN (SELECT kmer FROM grams) GROUP BY 1, 2),
+score AS (
+  SELECT feature_id, lineage, max(prior) + sum(a.c * ln((coalesce(g.c, 0) + 1) / total)) AS s
+  FROM asked a CROSS JOIN size LEFT JOIN grams g USING (lineage, kmer) GROUP BY 1, 2),
+post AS (SELECT feature_id, lineage, exp(s - max(s) OVER w) / sum(exp(s - m)) OVER w AS p FROM (SELECT *, max(s) OVER (PARTITION BY feature_id) AS m FROM score) WINDOW w AS (PARTITION BY feature_id)),
+taxa AS (SELECT feature_id, 1 AS depth, string_split(lineage, ';')[1] AS taxon, sum(p) AS p FROM post GROUP BY 1, 3 UNION ALL SELECT feature_id, 2, lineage, p FROM post),
+best AS (SELECT *, row_number() OVER (PARTITION BY feature_id ORDER BY depth DESC, p DESC, taxon DESC) AS k FROM taxa WHERE p >= 0.7)
+SELECT f.feature_id, coalesce(taxon, 'Unassigned') AS lineage, round(coalesce(p, 0), 6) AS confidence FROM f LEFT JOIN best ON best.feature_id = f.feature_id AND k = 1""")
 def kmer_naive_bayes(spark, d):
     """Reads assigned to the group and number of their template, by 7-mers learned from one read of each."""
     r = reads(spark, d)
     named = r.groupBy("tpl").agg(F.min("seq").alias("seq")).select(F.concat(F.lit("g"), (F.col("tpl") % 4).cast("string"), F.lit(";t"), F.col("tpl").cast("string")).alias("lineage"), "seq")
-    return sm.classify(_features(spark, d).select("feature_id", "seq"), sm.train_classifier(named))
+    return sm.classify(_features(spark, d).select("feature_id", "seq"), sm.train_classifier(named)).withColumn("confidence", F.round("confidence", 6))
 
 
 @query(f"WITH {CTE_Q} SELECT sample_id, ok AS read_no, length(min(seq)) AS len, min(seq) AS seq FROM q GROUP BY sample_id, ok")

@@ -1,10 +1,13 @@
 import gzip
+import math
 import random
 import struct
 import zlib
+from collections import Counter
 
 import pytest
 
+from seqtable.operators import profiles, similarity
 from seqtable.sources import fastq
 
 
@@ -81,4 +84,51 @@ def test_fastq_filters_are_pushed_down(spark, tmp_path):
     whole = df.where(f"file = 'file://{tmp_path}/a.fastq' and read_no >= 2")
     assert whole.count() == 1999 and df.where("endswith(file, 'a.fastq')").count() == 2000
     plan = some._jdf.queryExecution().executedPlan().toString()
-    assert "BatchScan" in plan and "Filter" not in plan
+    assert "BatchScan" in plan and "Filter " not in plan
+
+
+def test_letter_counts(spark):
+    r = random.Random(1)
+    rows = ["".join(r.choice("ACGTN") for _ in range(r.choice([0, 1, 40, 300]))) for _ in range(500)] + [None, "", "A" * 200_000]
+    got = {(x["pos"], chr(x["code"])): x["n"] for x in profiles.letter_counts(spark.createDataFrame([(s,) for s in rows], "seq string").repartition(5)).collect()}
+    assert got == Counter((i, c) for s in rows for i, c in enumerate(s or ""))
+    assert profiles.letter_counts(spark.createDataFrame([], "seq string")).count() == 0
+
+
+def test_classifier_equals_its_formula(spark, monkeypatch):
+    """Posteriors of 1,000 classes of three ranks, and the taxa chosen, against the formula in plain Python."""
+    r = random.Random(7)
+    genus = {g: "".join(r.choices("ACGT", k=60)) for g in range(25)}
+    change = lambda s, n: "".join(r.choice("ACGT") if r.random() < n else c for c in s)
+    ref = [(f"k{i % 5};g{i % 25};s{i}", change(genus[i % 25], 0.1)) for i in range(1000)] + [("k0;g0;s0", genus[0])] * 3
+    seqs = [(f"q{i}", change(r.choice(ref)[1], 0.02)[: r.randint(20, 60)]) for i in range(40)] + [("short", "ACG"), ("none", None), ("n", "N" * 30), ("twice", genus[3].lower() * 2)]
+    model = similarity.train_classifier(spark.createDataFrame(ref, "lineage string, seq string"))
+    df = spark.createDataFrame(seqs, "feature_id string, seq string")
+    grams = lambda s: [s[i : i + 7] for i in range(len(s) - 6)]
+    counts, classes = {}, Counter(l for l, _ in ref)
+    for lineage, s in ref:
+        counts.setdefault(lineage, Counter()).update(grams(s))
+    words = {w for c in counts.values() for w in c}
+    want, taxa = {}, {}
+    for i, s in seqs:
+        asked = Counter(g for g in grams((s or "").upper()) if g in words)
+        score = {c: math.log(n / len(ref)) + sum(k * math.log((counts[c][w] + 1) / (sum(counts[c].values()) + len(words))) for w, k in asked.items()) for c, n in classes.items()}
+        top = max(score.values())
+        total = math.fsum(math.exp(x - top) for x in score.values())
+        want.update({(i, c): math.exp(x - top) / total for c, x in score.items()})
+        ranks = Counter()
+        for c in score:
+            for d in (1, 2, 3):
+                ranks[d, ";".join(c.split(";")[:d])] += want[i, c]
+        taxa[i] = max(((d, p, t) for (d, t), p in ranks.items() if p >= 0.7), default=(0, 0.0, "Unassigned"))
+    monkeypatch.setattr(similarity, "MAX_SCORES", 5000)  # blocks of five sequences
+    got = {(x["feature_id"], x["lineage"]): x["p"] for x in similarity.class_scores(df, model).collect()}
+    assert got.keys() == want.keys() and all(abs(got[k] - want[k]) < 1e-9 for k in want)
+    named = similarity.classify(df, model)
+    assert {x["feature_id"]: x["lineage"] for x in named.collect()} == {i: t for i, (_, _, t) in taxa.items()}
+    assert all(abs(x["confidence"] - taxa[x["feature_id"]][1]) < 1e-9 for x in named.collect())
+    assert len({d for d, _, _ in taxa.values()}) >= 3
+    plan = named._jdf.queryExecution().executedPlan().toString()
+    assert "NestedLoop" not in plan and "Cartesian" not in plan and "Exchange" not in plan
+    none = similarity.classify(df, model.limit(0)).collect()
+    assert {x["lineage"] for x in none} == {"Unassigned"} and len(none) == len(seqs)
