@@ -132,3 +132,34 @@ def test_classifier_equals_its_formula(spark, monkeypatch):
     assert "NestedLoop" not in plan and "Cartesian" not in plan and "Exchange" not in plan
     none = similarity.classify(df, model.limit(0)).collect()
     assert {x["lineage"] for x in none} == {"Unassigned"} and len(none) == len(seqs)
+
+
+def test_longest_shared_ends_over_parts(spark):
+    """The two longest common prefixes and suffixes with abundant others, for several numbers of parts."""
+    r = random.Random(13)
+    primer = "ACGTACGTACGGTTAC"
+    parents = [primer + "".join(r.choices("ACGT", k=24)) for _ in range(12)]
+    rows = {}
+    for _ in range(400):
+        a, b, k = r.choice(parents), r.choice(parents), r.randint(0, 40)
+        rows.setdefault(a[:k] + b[k:] if r.random() < 0.8 else a[:k] + r.choice("ACGT") + b[k + 1 :], r.choice([1, 1, 2, 3, 5, 9, 40, 100, 700]))
+    rows = [(f"f{i}", s, n) for i, (s, n) in enumerate(rows.items())] + [("none", None, 5), ("empty", "", 5), ("nosize", "ACGT", None)]
+    df = spark.createDataFrame(rows, "feature_id string, seq string, size long")
+    given = [x for x in rows if x[1] and x[2]]
+    shared = lambda a, b: next((i for i, (x, y) in enumerate(zip(a, b)) if x != y), min(len(a), len(b)))
+    for parts in (1, 3, 17):
+        got = {}
+        for x in similarity.shared_ends(df, 4.0, parts).collect():
+            got.setdefault((x["feature_id"], x["end"]), {})[x["parent"]] = x["n"]
+        for name, s, n in given:
+            for end in (0, 1):
+                turn = lambda t: t[::-1] if end else t
+                want = {p: shared(turn(s), turn(t)) for p, t, m in given if p != name and m >= 4 * n}
+                mine = got.get((name, end), {})
+                assert all(want[p] == k for p, k in mine.items())
+                assert sorted(mine.values(), reverse=True)[:2] == sorted(want.values(), reverse=True)[:2]
+    plan = similarity.remove_chimeras(df, 4.0, 3)._jdf.queryExecution().executedPlan().toString()
+    assert "Generate" not in plan and "Cartesian" not in plan
+    kept = [{x["feature_id"] for x in similarity.remove_chimeras(df, 4.0, p).collect()} for p in (1, 5)]
+    assert kept[0] == kept[1] and {"none", "empty", "nosize"} < kept[0] and len(kept[0]) < len(rows)
+    assert similarity.remove_chimeras(df.limit(0)).count() == 0
