@@ -10,12 +10,13 @@ from pyspark.sql import functions as F
 from .functions import scalars as sc
 from .functions import sequences as sq
 from .operators import features as ft
+from .operators import longreads as lr
 from .operators import metadata as md
 from .operators import profiles as pf
 from .operators import reads as rd
 from .operators import similarity as sm
 from .plans import pipelines
-from .plans.fixtures import CTE_M, CTE_Q, CTE_R, full_reads, reads, runs, table
+from .plans.fixtures import CTE_M, CTE_Q, CTE_R, full_reads, long_reads as long_fixture, reads, runs, table
 from .plans.stages import stage_folder
 from .sources import fastq as fq
 from .sources import files as fl
@@ -793,3 +794,10 @@ def fastq_scan(spark, d):
     numbers = rows.groupBy("file").agg(F.count("*").alias("n"), F.countDistinct("read_no").alias("k"), F.max("read_no").alias("last"))
     wrong = numbers.agg(F.count_if((F.col("n") != F.col("k")) | (F.col("n") != F.col("last"))).cast("int").alias("misnumbered"))
     return rows.groupBy("header", "seq", "qual").agg(F.count("*").alias("n")).crossJoin(F.broadcast(wrong))
+
+
+@query(f"WITH {CTE_R} SELECT concat('t', CAST(tpl AS VARCHAR)) AS feature_id, sample_id, count(*) AS n FROM r GROUP BY 1, 2")
+def map_long_reads(spark, d):
+    """Long reads on both strands counted at the template that they are at least 90 % like; every read has one."""
+    rows, templates = long_fixture(spark, d)
+    return lr.map_long(rows, templates, 0.9)

@@ -6,8 +6,10 @@ import zlib
 from collections import Counter
 
 import pytest
+from pyspark.sql import functions as F
 
-from seqtable.operators import profiles, similarity
+from seqtable.functions.sequences import revcomp
+from seqtable.operators import longreads, profiles, similarity
 from seqtable.sources import fastq
 
 
@@ -163,3 +165,55 @@ def test_longest_shared_ends_over_parts(spark):
     kept = [{x["feature_id"] for x in similarity.remove_chimeras(df, 4.0, p).collect()} for p in (1, 5)]
     assert kept[0] == kept[1] and {"none", "empty", "nosize"} < kept[0] and len(kept[0]) < len(rows)
     assert similarity.remove_chimeras(df.limit(0)).count() == 0
+
+
+def test_minimizers_depend_on_their_text_alone():
+    r = random.Random(3)
+    texts = ["".join(r.choices("ACGT", k=n)) for n in (0, 5, 15, 16, 40, 300, 301)] + [None, "N" * 50, "acgtnACGT" * 9]
+    rows = {}
+    for i, p, h in zip(*longreads.minimizers(texts), strict=True):
+        rows.setdefault(int(i), []).append((int(p), int(h)))
+    for i, t in enumerate(texts):
+        assert rows.get(i, []) == [(int(p), int(h)) for _, p, h in zip(*longreads.minimizers([t]), strict=True)]
+        if t and "n" not in t.lower() and len(t) >= 26:  # a minimizer in every window
+            at = [p for p, _ in rows[i]]
+            assert at[0] < 12 and all(b - a <= 12 for a, b in zip(at, at[1:])) and len(t) - 15 - at[-1] < 12
+    alike = dict(zip(*longreads.minimizers([texts[5], "ACGT" + texts[5]])[1:], strict=True))
+    assert len(alike) > 0
+
+
+def test_long_reads_find_what_all_comparisons_find(spark):
+    """Recall at 90 % identity against all pairs: references of families that share a primer, reads with edits of all kinds."""
+    r = random.Random(21)
+    primer = "".join(r.choices("ACGT", k=40))
+
+    def edited(s, share):
+        out = []
+        for c in s:
+            x = r.random()
+            out.append(c if x >= share else r.choice(["", r.choice("ACGT"), c + r.choice("ACGT")]))
+        return "".join(out)
+
+    roots = [primer + "".join(r.choices("ACGT", k=600)) for _ in range(10)]
+    refs = [(f"r{i}", edited(s, share), 10 - i % 3) for i, (s, share) in enumerate((s, x) for s in roots for x in (0, 0.05, 0.2))]
+    reads = []
+    for i in range(150):
+        s = edited(r.choice(refs)[1], r.choice([0, 0.02, 0.05, 0.08]))
+        reads.append((f"q{i}", s.translate(str.maketrans("ACGT", "TGCA"))[::-1] if i % 3 == 0 else s))
+    reads += [("none", None), ("short", "ACGT"), ("other", "".join(r.choices("ACGT", k=640))), ("n", "N" * 640)]
+    q, f = spark.createDataFrame(reads, "feature_id string, seq string"), spark.createDataFrame(refs, "feature_id string, seq string, size long")
+    all_pairs = q.crossJoin(f.selectExpr("feature_id as ref", "seq as rseq")).selectExpr("feature_id", "ref", "seq", "rseq").withColumn("back", revcomp(F.col("seq")))
+    far = all_pairs.selectExpr("feature_id", "ref", "1 - least(levenshtein(seq, rseq), levenshtein(back, rseq)) / greatest(length(seq), length(rseq)) as identity").where("identity >= 0.9")
+    want = {(x["feature_id"], x["ref"]): x["identity"] for x in far.collect()}
+    got = {(x["query"], x["ref"]): x["identity"] for x in longreads.long_join(q, f, 0.9).collect()}
+    assert all(abs(want[k] - v) < 1e-12 for k, v in got.items())
+    assert len(want) > 150 and len(got) >= 0.97 * len(want)
+    best = {}
+    for (i, _), v in want.items():
+        best[i] = max(v, best.get(i, 0))
+    found = {x["query"]: x["identity"] for x in similarity.top_hit(longreads.long_join(q, f, 0.9), f).collect()}
+    assert sum(abs(found.get(i, 0) - v) < 1e-12 for i, v in best.items()) >= 0.99 * len(best)
+    assert longreads.long_join(q.limit(0), f, 0.9).count() == 0 and longreads.long_join(q, f.limit(0), 0.9).count() == 0
+    # counts of samples, equal reads once
+    named = q.withColumn("sample_id", F.lit("s")).union(q.withColumn("sample_id", F.lit("t")))
+    assert sum(x["n"] for x in longreads.map_long(named, f).collect()) == 2 * len(found)
