@@ -25,26 +25,22 @@ SELECT sample_id, ok, ln, tpl, seq,
  CASE WHEN ok % 4 = 0 THEN reverse(translate(seq, 'ACGT', 'TGCA')) ELSE seq END AS seq_mixed
 FROM r
 """
-def _long(read: bool) -> str:
-    """A template of 47 pieces of 32 letters; in reads two letters of each piece are drawn anew, the second may be missing."""
-    pieces = []
-    for i in range(47):
-        t = f"md5(concat('L', tpl, '_', {i}))"
-        if read:
-            drawn = [f"CAST(floor(ok / {i + 1}) + ln * {i + 3} + pk * {i % 5} AS BIGINT)", f"CAST(floor(pk / {i + 2}) + ok * {i % 7 + 1} + ln AS BIGINT)"]
-            pieces.append(f"translate(concat(substr({t}, 1, 15), '.', substr({t}, 17, 15)), '0123456789abcdef.', concat('ACGTACGTACGTACGT', substr('ACGT', CAST(1 + {drawn[0]} % 4 AS INT), 1)))")
-            pieces.append(f"substr('ACGT', CAST(1 + {drawn[1]} % 6 AS INT), 1)")
-        else:
-            pieces.append(f"translate({t}, '0123456789abcdef', 'ACGTACGTACGTACGT')")
-    return f"concat({', '.join(pieces)})"
-
-
-#: Reads of some 1,490 letters of the same templates, about 5 % of the letters wrong or missing, every fourth on the other strand.
+#: Templates of 47 pieces of 32 letters.
+LONG_TEMPLATES = "SELECT tpl, translate(concat(" + ", ".join(f"md5(concat('L', tpl, '_', {i}))" for i in range(47)) + "), '0123456789abcdef', 'ACGTACGTACGTACGT') AS t FROM (SELECT DISTINCT tpl FROM r) x"
+
+
+def _pieces() -> str:
+    """A template with two letters of each piece drawn anew, of which the second may be missing."""
+    drawn = lambda s, of: f"substr('ACGT', CAST(1 + CAST({s} AS BIGINT) % {of} AS INT), 1)"
+    one = lambda i: [f"substr(t, {32 * i + 1}, 15)", drawn(f"floor(ok / {i + 1}) + ln * {i + 3} + pk * {i % 5}", 4), f"substr(t, {32 * i + 17}, 15)", drawn(f"floor(pk / {i + 2}) + ok * {i % 7 + 1} + ln", 6)]
+    return f"concat({', '.join(x for i in range(47) for x in one(i))})"
+
+
+#: Reads of some 1,490 letters, about 5 % of the letters wrong or missing, every fourth on the other strand.
 LONG = f"""
 SELECT sample_id, ok, ln, tpl, CASE WHEN ok % 4 = 0 THEN reverse(translate(seq, 'ACGT', 'TGCA')) ELSE seq END AS seq
-FROM (SELECT sample_id, ok, ln, tpl, {_long(True)} AS seq FROM r) x
+FROM (SELECT sample_id, ok, ln, r.tpl, {_pieces()} AS seq FROM r JOIN templates ON r.tpl = templates.tpl) x
 """
-LONG_TEMPLATES = f"SELECT tpl, {_long(False)} AS seq FROM (SELECT DISTINCT tpl FROM r) x"
 RUNS = """
 SELECT concat('PRJNA', 1000 + c_nationkey) AS project, concat('SAMN', c_custkey) AS biosample, concat('SRX', o_orderkey) AS experiment,
  CASE WHEN o_orderkey % 17 = 0 THEN NULL ELSE concat('SRR', o_orderkey) END AS run, o_orderkey AS ok,
@@ -73,8 +69,9 @@ def full_reads(spark: SparkSession, sf_dir: str) -> DataFrame:
 def long_reads(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     """Long reads, written once, and the (feature_id, seq, size) rows of their templates."""
     r = reads(spark, sf_dir)
-    templates = spark.sql(LONG_TEMPLATES.replace("FROM r)", "FROM {r})"), r=r)
-    return staged(spark.sql(LONG.replace("FROM r)", "FROM {r})"), r=r)), staged(templates.select(F.concat(F.lit("t"), "tpl").alias("feature_id"), "seq", F.lit(1).alias("size")))
+    templates = staged(spark.sql(LONG_TEMPLATES.replace("FROM r)", "FROM {r})"), r=r))
+    rows = spark.sql(LONG.replace("FROM r JOIN templates", "FROM {r} r JOIN {templates} templates"), r=r, templates=templates)
+    return staged(rows), templates.select(F.concat(F.lit("t"), "tpl").alias("feature_id"), F.col("t").alias("seq"), F.lit(1).alias("size"))
 
 
 def runs(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -175,9 +175,9 @@ def test_minimizers_depend_on_their_text_alone():
         rows.setdefault(int(i), []).append((int(p), int(h)))
     for i, t in enumerate(texts):
         assert rows.get(i, []) == [(int(p), int(h)) for _, p, h in zip(*longreads.minimizers([t]), strict=True)]
-        if t and "n" not in t.lower() and len(t) >= 26:  # a minimizer in every window
+        if t and "n" not in t.lower() and len(t) >= 38:  # a minimizer in every window
             at = [p for p, _ in rows[i]]
-            assert at[0] < 12 and all(b - a <= 12 for a, b in zip(at, at[1:])) and len(t) - 15 - at[-1] < 12
+            assert at[0] < 24 and all(b - a <= 24 for a, b in zip(at, at[1:])) and len(t) - 15 - at[-1] < 24
     alike = dict(zip(*longreads.minimizers([texts[5], "ACGT" + texts[5]])[1:], strict=True))
     assert len(alike) > 0
 
@@ -217,3 +217,23 @@ def test_long_reads_find_what_all_comparisons_find(spark):
     # counts of samples, equal reads once
     named = q.withColumn("sample_id", F.lit("s")).union(q.withColumn("sample_id", F.lit("t")))
     assert sum(x["n"] for x in longreads.map_long(named, f).collect()) == 2 * len(found)
+
+
+def test_distance():
+    r = random.Random(2)
+
+    def slow(a, b):
+        row = list(range(len(b) + 1))
+        for i, x in enumerate(a, 1):
+            new = [i]
+            for j, y in enumerate(b, 1):
+                new.append(min(row[j] + 1, new[-1] + 1, row[j - 1] + (x != y)))
+            row = new
+        return row[-1]
+
+    for _ in range(600):
+        a, b = ("".join(r.choices("ACGTé", k=r.choice([0, 1, 5, 20, 70]))) for _ in range(2))
+        if r.random() < 0.5:
+            b = "".join(c for c in a if r.random() < 0.9) + b[:3]
+        d = slow(a, b)
+        assert [longreads.distance(a, b, m) for m in (d, d + 3, 10**6)] == [d] * 3 and (d == 0 or longreads.distance(a, b, d - 1) is None)
