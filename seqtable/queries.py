@@ -515,7 +515,15 @@ def denoise(spark, d):
     return sm.denoise_by_skew(_features(spark, d).select("feature_id", "seq", "size"), 2)
 
 
-@query()
+@query(f"""WITH {CTE_R}, f AS (SELECT md5(upper(seq)) AS feature_id, upper(seq) AS seq, count(*) AS size FROM r GROUP BY upper(seq)),
+pairs AS (
+  SELECT q.feature_id, p.feature_id AS parent, length(q.seq) AS len, len(list_filter(range(1, least(length(q.seq), length(p.seq)) + 1), lambda i: substr(q.seq, 1, i) = substr(p.seq, 1, i))) AS a,
+    len(list_filter(range(1, least(length(q.seq), length(p.seq)) + 1), lambda i: right(q.seq, i) = right(p.seq, i))) AS b
+  FROM f q JOIN f p ON p.size >= 16 * q.size AND p.feature_id <> q.feature_id),
+gone AS (
+  SELECT feature_id FROM pairs x JOIN pairs y USING (feature_id) WHERE x.parent <> y.parent AND x.a + y.b >= x.len
+  EXCEPT SELECT feature_id FROM pairs WHERE a = len OR b = len)
+SELECT feature_id, seq, size FROM f WHERE feature_id NOT IN (SELECT feature_id FROM gone)""")
 def chimeras(spark, d):
     return sm.remove_chimeras(_features(spark, d).select("feature_id", "seq", "size"))
 
