@@ -237,3 +237,24 @@ def test_distance():
             b = "".join(c for c in a if r.random() < 0.9) + b[:3]
         d = slow(a, b)
         assert [longreads.distance(a, b, m) for m in (d, d + 3, 10**6)] == [d] * 3 and (d == 0 or longreads.distance(a, b, d - 1) is None)
+
+
+def test_greedy_settles_long_chains_in_few_rounds(spark, monkeypatch):
+    """A chain of 1,000 dependent features, and random graphs, as one after the other."""
+    r = random.Random(5)
+    chain = [(i + 1, i, 1) for i in range(1000)]
+    graph = {(2000 + max(a, b), 2000 + min(a, b)) for a, b in ((r.randrange(300), r.randrange(300)) for _ in range(500)) if a != b}
+    links = chain + [(a, b, r.randint(1, 3)) for a, b in sorted(graph)]
+    nodes = [*range(1001), *range(2000, 2300)]
+    centroid, earlier = {}, {}
+    for a, b, d in links:
+        earlier.setdefault(a, []).append((d, b))
+    for n in nodes:
+        near = min(((d, b) for d, b in earlier.get(n, []) if centroid[b] == b), default=None)
+        centroid[n] = near[1] if near else n
+    made = []
+    monkeypatch.setattr(similarity, "staged", lambda df, f=similarity.staged: made.append(1) or f(df))
+    ranks = spark.createDataFrame([(f"n{n}", n) for n in nodes], "node string, rank long")
+    edges = spark.createDataFrame([(f"n{a}", f"n{b}", d) for a, b, d in links], "later string, earlier string, d int").cache()
+    got = {x["node"]: x["centroid"] for x in similarity._greedy(ranks, edges, 5).collect()}
+    assert got == {f"n{n}": f"n{c}" for n, c in centroid.items()} and len(made) < 10
