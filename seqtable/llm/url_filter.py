@@ -10,8 +10,10 @@ from pyspark.sql import functions as F
 
 from .scratch import small_batches
 
-#: Entries are held in each task, so their number is checked; a longer list is met by :func:`judge_by_table`.
-MAX_ENTRIES = 2_000_000
+#: Entries are held in each task, so the bytes that they may take there are bounded before the trie is built; a longer list is
+#: met by :func:`judge_by_table`. A node takes so many bytes at most, an entry so many besides, and each character four.
+MAX_BYTES = 128 << 20
+NODE_BYTES, ENTRY_BYTES, CHAR_BYTES = 420, 1000, 4
 
 
 class Trie:
@@ -24,9 +26,7 @@ class Trie:
 
     def __init__(self, entries: Iterable[tuple[str, str, str]]) -> None:
         self.root: dict = {}
-        for n, (verdict, host, path) in enumerate(entries):
-            if n >= MAX_ENTRIES:
-                raise ValueError(f"more than {MAX_ENTRIES} entries")
+        for verdict, host, path in entries:
             if verdict not in ("allow", "block"):
                 raise ValueError(f"no verdict: {verdict}")
             node = self.root
@@ -78,14 +78,39 @@ def url_parts(url: Column) -> tuple[Column, Column]:
     return F.translate(host, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"), path
 
 
-def judge(pages: DataFrame, entries: Iterable[tuple[str, str, str]], default: str = "allow", url: str = "url", keep: tuple[str, ...] = ("page_id",)) -> DataFrame:
+def trie_bytes(host: str, path: str) -> int:
+    """A bound of the bytes that an entry adds to a trie: its nodes, its own rows and its characters."""
+    return ENTRY_BYTES + NODE_BYTES * (host.count(".") + path.count("/") + 2) + CHAR_BYTES * (len(host) + len(path))
+
+
+def _entries(entries: DataFrame | Iterable[tuple[str, str, str]]) -> list[tuple[str, str, str]] | None:
+    """The entries as a list if a trie of them is small enough, else None; those of a table are summed up before they are collected."""
+    if isinstance(entries, DataFrame):
+        host, path = (F.coalesce(F.col(c), F.lit("")) for c in ("host", "path"))
+        dots = lambda c, x: F.length(c) - F.length(F.replace(c, F.lit(x), F.lit("")))
+        size = F.sum(ENTRY_BYTES + NODE_BYTES * (dots(host, ".") + dots(path, "/") + 2) + CHAR_BYTES * (F.length(host) + F.length(path)))
+        if (entries.agg(size).first()[0] or 0) > MAX_BYTES:
+            return None
+        return [tuple(r) for r in entries.select("verdict", host, path).collect()]
+    entries = list(entries)
+    return entries if sum(trie_bytes(h, p) for _, h, p in entries) <= MAX_BYTES else None
+
+
+def judge(pages: DataFrame, entries: DataFrame | Iterable[tuple[str, str, str]], default: str = "allow", url: str = "url", keep: tuple[str, ...] = ("page_id",)) -> DataFrame:
     """``keep``, host, path, rule, verdict of every row; rule is null and verdict ``default`` where no entry fits.
 
     An entry (verdict, host, path) fits its host and all subdomains of it, and urls whose path starts with its path.
-    Null and malformed urls get the default; repeated rows are judged alike; an empty table gives an empty result.
+    Null and malformed urls get the default; repeated rows are judged alike; an empty table gives an empty result. Entries
+    are given as tuples or as a table (verdict, host, path); where a trie of them could take more than MAX_BYTES in a task,
+    they are met by joins, with the same result.
     """
-    small_batches(pages.sparkSession)
-    trie = pages.sparkSession.sparkContext.broadcast(Trie(entries))
+    spark = pages.sparkSession
+    small_batches(spark)
+    some = _entries(entries)
+    if some is None:
+        table = entries if isinstance(entries, DataFrame) else spark.createDataFrame(entries, "verdict string, host string, path string")
+        return judge_by_table(pages, table, default, url, keep)
+    trie = spark.sparkContext.broadcast(Trie(some))
     host, path = url_parts(F.col(f"`{url}`"))
     cols = [F.col(f"`{c}`") for c in keep]
 

@@ -11,7 +11,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from seqtable.llm import embedding_dedup, hard_negatives, spelling, token_ids, toxicity
+from seqtable.llm import embedding_dedup, hard_negatives, spelling, token_ids, toxicity, url_filter
 from seqtable.llm import queries as q
 
 SMALL = "/root/testdata/sf0.01"
@@ -252,3 +252,34 @@ def test_embeddings_of_extreme_sizes(spark):
 
     assert {i: n for i, (n, _) in got.items()} == {i: sum(j != i and cosine(v, w) >= 0.93 for j, w in rows) for i, v in rows}
     assert got[2] == (4, 1) and got[4] == (0, 4) and got[7] == (0, 7)
+
+
+def test_url_entries_beyond_the_bound_are_met_by_joins(spark, monkeypatch):
+    r = random.Random(11)
+    label = lambda: r.choice(["a", "b", "cc", "example", "com", "net"])
+    path = lambda: "".join("/" + r.choice(["en", "de", "x", "7", "", "article"]) for _ in range(r.randint(0, 3)))
+    entries = list({(r.choice(["allow", "block"]), ".".join(label() for _ in range(r.randint(0, 3))), path()) for _ in range(300)})
+    urls = [f"http://{'.'.join(label() for _ in range(r.randint(1, 4)))}{path()}?q" for _ in range(400)] + [None, "", "nothing", "://", "http://a." * 400 + "com/en"] + ["http://a.com/en"] * 3
+    pages = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string").selectExpr("*", "'h' as h", "'x' as rule")
+    table = spark.createDataFrame(entries, "verdict string, host string, path string").selectExpr("*", "1 as n")
+    want = sorted(map(str, url_filter.judge(pages, entries).collect()))
+    plans = []
+    for bound in (1 << 30, 10):
+        monkeypatch.setattr(url_filter, "MAX_BYTES", bound)
+        for given in (entries, table):
+            df = url_filter.judge(pages, given)
+            plans.append("MapInArrow" in df._jdf.queryExecution().executedPlan().toString())
+            assert sorted(map(str, df.collect())) == want
+    assert plans == [True, True, False, False] and "block" in " ".join(want)
+
+
+def test_bound_of_a_trie_holds():
+    import tracemalloc
+
+    entries = [("block", f"h{i}.sub{i % 977}.example{i % 31}.com", f"/en/{i % 13}/article{i}/x") for i in range(20_000)]
+    bound = sum(url_filter.trie_bytes(h, p) for _, h, p in entries)
+    tracemalloc.start()
+    trie = url_filter.Trie(entries)
+    taken = tracemalloc.get_traced_memory()[0]
+    tracemalloc.stop()
+    assert taken <= bound and trie.find("h5.sub5.example5.com", "/en/5/article5/xyz")
