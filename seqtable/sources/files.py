@@ -109,10 +109,11 @@ def read_count_table(spark: SparkSession, path: str) -> DataFrame:
     head = lines.where(named).first() or lines.where(~F.col("value").startswith("#")).first()
     if head is None:
         return spark.createDataFrame([], "feature_id string, sample_id string, n bigint")
-    samples = head["value"].split("\t")[1:]
     cells = lines.where(~F.col("value").startswith("#") & (F.col("value") != head["value"])).select(F.split("value", "\t").alias("v"))
-    pairs = F.explode(F.array(*[F.struct(F.lit(s).alias("sample_id"), F.get("v", F.lit(i + 1)).try_cast("double").cast("bigint").alias("n")) for i, s in enumerate(samples)]))
-    return cells.select(F.split(F.col("v")[0], ";")[0].alias("feature_id"), pairs.alias("x")).select("feature_id", "x.*").where("n > 0")
+    cells = cells.select(F.split(F.col("v")[0], ";")[0].alias("feature_id"), F.posexplode("v").alias("at", "x")).where("at > 0").select("feature_id", "at", F.col("x").try_cast("double").cast("bigint").alias("n")).where("n > 0")
+    # samples are met by position, a row each, so that the plan does not grow with their number
+    names = spark.createDataFrame(list(enumerate(head["value"].split("\t"))), "_at int, sample_id string")
+    return cells.join(names, F.col("at") == F.col("_at")).select("feature_id", "sample_id", "n")
 
 
 def fastq_integrity(lines: DataFrame, files: DataFrame | None = None) -> DataFrame:

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from seqtable.functions.sequences import revcomp
 from seqtable.operators import longreads, profiles, similarity
-from seqtable.sources import fastq
+from seqtable.sources import fastq, files
 
 
 def bgzip(data, r):
@@ -258,3 +258,35 @@ def test_greedy_settles_long_chains_in_few_rounds(spark, monkeypatch):
     edges = spark.createDataFrame([(f"n{a}", f"n{b}", d) for a, b, d in links], "later string, earlier string, d int").cache()
     got = {x["node"]: x["centroid"] for x in similarity._greedy(ranks, edges, 5).collect()}
     assert got == {f"n{n}": f"n{c}" for n, c in centroid.items()} and len(made) < 10
+
+
+def test_count_table_of_many_samples(spark, tmp_path):
+    n = 20_000
+    rows = {f"f{i}": {(i * 7919 + k * 104_729) % n: k + 1 for k in range(50)} for i in range(6)}
+    with open(tmp_path / "wide.tsv", "w") as out:
+        out.write("#OTU ID\t" + "\t".join(f"s{j}" for j in range(n)) + "\n")
+        for f, cells in rows.items():
+            out.write(f + ";size=9\t" + "\t".join(str(float(cells.get(j, 0))) for j in range(n)) + "\n")
+    got = {tuple(x) for x in files.read_count_table(spark, str(tmp_path / "wide.tsv")).collect()}
+    assert got == {(f, f"s{j}", k) for f, cells in rows.items() for j, k in cells.items()}
+
+
+def test_trim_positions_equal_the_rule_one_by_one(spark):
+    """Stable start and end of quality profiles, against the rule in plain Python."""
+    r = random.Random(6)
+
+    def slow(rows, q, retain=50):
+        p25, n = [x[1] for x in rows], [x[2] for x in rows]
+        smooth = [sum(p25[i : i + 5]) / 5 if i + 5 <= len(p25) else None for i in range(len(p25))]
+        ok = [x is not None and x >= q for x in smooth]
+        start = next((i for i in range(len(ok) - 4) if all(ok[i : i + 5])), 0)
+        thin = next((i for i in range(len(n)) if n[i] < min(9000, 0.7 * max(n))), len(n))
+        limit = max(40, thin)
+        end = next((i for i in range(len(ok) - 1, 3, -1) if i < limit and all(ok[i - 4 : i + 1])), 0)
+        return start, max(end, start + retain)
+
+    for _ in range(6):
+        size, depth = r.choice([30, 90, 160]), r.choice([500, 20_000])
+        rows = [(i, float(r.choice([10, 24, 26, 30, 38]) if r.random() < 0.5 else 33 - i // 9), depth - depth * i // (size * 2) - r.randint(0, 30)) for i in range(size)]
+        got = profiles.trim_positions(spark.createDataFrame(rows, "pos int, p25 double, n long")).first()
+        assert tuple(got) == slow(rows, 25)
