@@ -35,6 +35,20 @@ def ont_pipeline(reads: DataFrame, q: float = 10, lo: int | None = None, hi: int
     return ft.min_frequency(staged(sm.map_back(kept, otus, 0.90, "both")), 2)
 
 
+def merge_or_forward(pairs: DataFrame, min_overlap: int = 10, max_diff_pct: float = 10.0, min_rate: float = 0.5) -> DataFrame:
+    """(sample_id, read_no, seq, qual, use) of read pairs: merged, or the forward reads of samples that merge too rarely.
+
+    One decision for each sample, a small table, routes the rows: of a sample whose share of merged pairs is below
+    ``min_rate`` every forward read stands, of the others the pairs that merged.
+    """
+    pairs = staged(pairs.select("sample_id", "read_no", "seq1", "qual1", "seq2", "qual2"))
+    merged = staged(sm.merge_pairs(pairs, min_overlap, max_diff_pct))
+    decided = staged(ft.merge_rate(pairs, merged, min_rate).select(F.col("sample_id").alias("_sample"), "use"))
+    forward = pairs.select("sample_id", "read_no", F.col("seq1").alias("seq"), F.col("qual1").alias("qual"))
+    both = merged.withColumn("_is", F.lit("merged")).unionByName(forward.withColumn("_is", F.lit("forward")))
+    return both.join(decided, (F.col("sample_id") == F.col("_sample")) & (F.col("_is") == F.col("use"))).select("sample_id", "read_no", "seq", "qual", "use")
+
+
 def sized(features: DataFrame, clusters: DataFrame) -> DataFrame:
     return sm.cluster_sizes(features, clusters)
 

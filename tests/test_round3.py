@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from seqtable.functions.sequences import revcomp
 from seqtable.operators import longreads, profiles, similarity
+from seqtable.plans import pipelines
 from seqtable.sources import fastq, files
 
 
@@ -290,3 +291,22 @@ def test_trim_positions_equal_the_rule_one_by_one(spark):
         rows = [(i, float(r.choice([10, 24, 26, 30, 38]) if r.random() < 0.5 else 33 - i // 9), depth - depth * i // (size * 2) - r.randint(0, 30)) for i in range(size)]
         got = profiles.trim_positions(spark.createDataFrame(rows, "pos int, p25 double, n long")).first()
         assert tuple(got) == slow(rows, 25)
+
+
+def test_samples_that_merge_rarely_keep_their_forward_reads(spark):
+    r = random.Random(3)
+    rows, want = [], set()
+    for sample, share in (("good", 0.9), ("half", 0.5), ("bad", 0.4), ("none", 0.0)):
+        for i in range(20):
+            s = "".join(r.choices("ACGT", k=50))
+            overlaps = i < 20 * share
+            back = s[20:] if overlaps else "".join(r.choices("ACGT", k=30))
+            rows.append((sample, i, s[:40], "I" * 40, back.translate(str.maketrans("ACGT", "TGCA"))[::-1], "I" * 30))
+            if share < 0.5:
+                want.add((sample, i, s[:40], "forward"))
+            elif overlaps:
+                want.add((sample, i, s, "merged"))
+    df = spark.createDataFrame(rows, "sample_id string, read_no int, seq1 string, qual1 string, seq2 string, qual2 string")
+    got = pipelines.merge_or_forward(df, 15, 0.0)
+    assert {(x["sample_id"], x["read_no"], x["seq"], x["use"]) for x in got.collect()} == want
+    assert got.where("length(seq) <> length(qual)").count() == 0 and pipelines.merge_or_forward(df.limit(0)).count() == 0
