@@ -44,30 +44,39 @@ RAW = frozenset("script style iframe".split())
 #: A tag up to ``>`` outside quotes, without looking past another ``<``.
 TAG = re.compile(r"<(/?)([a-zA-Z][^\s/>]*)((?:[^<>\"']|\"[^<\"]*\"|'[^<']*')*+)>")
 TAG_NAME = re.compile(r"(/?)([a-zA-Z][^\s/>]*)")
-#: The rest of a tag that has a ``<`` in it: up to ``>`` outside quotes.
-FAR_END = re.compile(r"(?:[^>\"']|\"[^\"]*\"|'[^']*')*+>")
-#: A path of more words keeps this many of its outermost and innermost each, as features of a block.
-PATH_WORDS = 32
+#: What decides where a tag that has a ``<`` in it ends.
+MARK = re.compile(r"[>\"']")
 ATTRIBUTE = re.compile(r"\b(class|id|role|data-y)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
 NAME = re.compile(r"[a-z]+")
 
 
 @dataclass
 class Block:
-    """A leaf block: its text (references decoded, white space single), path words, characters in links, and a label for training."""
+    """A leaf block: its text (references decoded, white space single), characters in links, and labels for training.
+
+    ``turns`` are the path words that open (their slot) or close (its complement) between the block before and this one:
+    the words open at a block are what all turns up to it leave, so that paths of any depth take room in line with the page.
+    """
 
     text: str
-    path: tuple[str, ...]
+    turns: list[int]
     linked: int
     label: int = 0
+    silver: bool = False
 
 
 @dataclass
 class _Open:
     tag: str
-    path: tuple[str, ...]
+    slots: tuple[int, ...]
     label: str
-    block: bool
+    article: bool
+    outside: bool
+
+
+@lru_cache(maxsize=20_000)
+def _slot(word: str) -> int:
+    return zlib.crc32(word.encode("utf-8", "surrogatepass")) % TAG_SLOTS
 
 
 @lru_cache(maxsize=4096)
@@ -87,6 +96,30 @@ def _attributes(text: str) -> tuple[tuple[str, ...], str]:
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 
 
+def far_end(html: str, at: int, known: dict[int, int]) -> int:
+    """Behind the first ``>`` outside quotes from ``at`` on, or -1 if a quote stays open.
+
+    What follows a mark outside quotes is the same whichever tag it is read for, so it is kept in ``known`` by the
+    mark's place: all calls for a page read every part of it once for each kind of quote.
+    """
+    passed = []
+    end = -1
+    while mark := MARK.search(html, at):
+        q = mark.start()
+        if q in known:
+            end = known[q]
+            break
+        passed.append(q)
+        if html[q] == ">":
+            end = q + 1
+            break
+        at = html.find(html[q], q + 1) + 1
+        if not at:
+            break
+    known.update(dict.fromkeys(passed, end))
+    return end
+
+
 def tags(html: str) -> Iterator[tuple[int, int, str, bool, str]]:
     """(start, end, name, whether it ends an element, attributes) of all tags and of what is no text (name empty).
 
@@ -95,7 +128,7 @@ def tags(html: str) -> Iterator[tuple[int, int, str, bool, str]]:
     """
     at, last = 0, html.rfind(">")
     ends: dict[str, bool] = {}  # whether an end of a silent element may still come
-    far = 8 * len(html) + 65_536  # characters that may be read again behind tags with a < in them
+    known: dict[int, int] = {}
     while (start := html.find("<", at)) >= 0:
         if near := TAG.match(html, start):
             slash, tag, attributes = near.groups()
@@ -119,9 +152,8 @@ def tags(html: str) -> Iterator[tuple[int, int, str, bool, str]]:
                 yield start, at, "", False, ""
                 continue
             slash, tag = name.groups()
-            end = FAR_END.match(html, name.end()) if far > 0 else None
-            far -= (end.end() if end else len(html)) - start
-            at = end.end() if end else html.index(">", name.end()) + 1
+            end = far_end(html, name.end(), known)
+            at = end if end >= 0 else html.index(">", name.end()) + 1
             attributes = html[name.end() : at - 1]
         tag = tag.lower()
         if tag in SILENT and not slash:
@@ -141,22 +173,24 @@ def tags(html: str) -> Iterator[tuple[int, int, str, bool, str]]:
 def blocks(html: str | None) -> list[Block]:
     """The blocks of a whole page; unclosed elements end where HTML ends them. Scripts, styles and comments are no text."""
     html = html or ""
-    root = _Open("", (), "", False)
+    root = _Open("", (), "", False, False)
     out: list[Block] = []
     stack: list[_Open] = [root]
     open_: Counter[str] = Counter()
     block_at = [0]  # where the open blocks stand in the stack
     texts: list[str] = []
+    turns: list[int] = []
     linked = links = at = 0
 
     def flush() -> None:
-        nonlocal linked
+        nonlocal linked, turns
         if texts:
             raw = "".join(texts)
             text = " ".join((unescape(raw) if "&" in raw else raw).split())
             if text:
                 top = stack[-1]
-                out.append(Block(text, top.path, min(linked, len(text)), int(top.label == "1")))
+                out.append(Block(text, turns, min(linked, len(text)), int(top.label == "1"), top.article and not top.outside))
+                turns = []
             texts.clear()
         linked = 0
 
@@ -169,6 +203,7 @@ def blocks(html: str | None) -> list[Block]:
         gone = stack[i:]
         open_.subtract(o.tag for o in gone)
         links -= sum(o.tag == "a" for o in gone)
+        turns.extend(~w for o in gone for w in o.slots)
         del stack[i:]
 
     for start, end, tag, closing, attributes in tags(html):
@@ -201,12 +236,12 @@ def blocks(html: str | None) -> list[Block]:
             continue
         words, label = _attributes(attributes) if attributes else ((), "")
         top = stack[-1]
-        path = (*top.path, tag, *words)
-        if len(path) > 2 * PATH_WORDS:
-            path = (*path[:PATH_WORDS], *path[-PATH_WORDS:])
+        own = (tag, *words)
+        slots = tuple(map(_slot, own))
+        turns.extend(slots)
         if block:
             block_at.append(len(stack))
-        stack.append(_Open(tag, path, label or top.label, block))
+        stack.append(_Open(tag, slots, label or top.label, top.article or tag in ("article", "main"), top.outside or not OUTSIDE.isdisjoint(own)))
         open_[tag] += 1
         links += tag == "a"
     texts.append(html[at:])
@@ -216,20 +251,17 @@ def blocks(html: str | None) -> list[Block]:
 
 @dataclass
 class Sequence:
-    """One page as arrays: slots of path and words with offsets, and numbers per block."""
+    """One page as arrays: turns of the path (slot, opened 1 or closed -1) and where those of each block end, slots of
+    words with offsets, and numbers per block."""
 
-    tags: np.ndarray
-    tag_at: np.ndarray
+    turns: np.ndarray
+    signs: np.ndarray
+    turn_end: np.ndarray
     words: np.ndarray
     word_at: np.ndarray
     numbers: np.ndarray
 
 
-@lru_cache(maxsize=20_000)
-def _path_slots(path: tuple[str, ...]) -> tuple[int, ...]:
-    return tuple(zlib.crc32(w.encode("utf-8", "surrogatepass")) % TAG_SLOTS for w in path) or (0,)
-
-
 _POWERS = np.cumprod(np.full(64, 0x9E3779B97F4A7C15, np.uint64), dtype=np.uint64)
 
 
@@ -250,7 +282,7 @@ def described(pages: list[list[Block]]) -> list[Sequence]:
     """The arrays of pages; the words of all their blocks are hashed in one sweep."""
     every = [b for p in pages for b in p]
     if not every:
-        return [Sequence(*(np.empty(0, np.int64),) * 4, np.empty((0, NUMBERS))) for _ in pages]
+        return [Sequence(*(np.empty(0, np.int64),) * 5, np.empty((0, NUMBERS))) for _ in pages]
     words, word_at = _word_slots([b.text for b in every])
     word_end = np.append(word_at[1:], len(words))
     n = np.array([len(b.text) for b in every], float)
@@ -260,19 +292,29 @@ def described(pages: list[list[Block]]) -> list[Sequence]:
     for p in pages:
         end = at + len(p)
         if at == end:
-            out.append(Sequence(*(np.empty(0, np.int64),) * 4, np.empty((0, NUMBERS))))
+            out.append(Sequence(*(np.empty(0, np.int64),) * 5, np.empty((0, NUMBERS))))
             continue
-        slots = [_path_slots(b.path) for b in p]
-        sizes = np.array(list(map(len, slots)))
+        sizes = np.array([len(b.turns) for b in p])
+        turns = np.fromiter(chain.from_iterable(b.turns for b in p), np.int64, sizes.sum())
         numbers = shape[at:end]
         numbers[:, 3] = np.arange(len(p)) / len(p)
         numbers[:, 4] = 1 - numbers[:, 3]
         low = word_at[at]
-        out.append(Sequence(np.fromiter(chain.from_iterable(slots), np.int64, sizes.sum()), np.cumsum(sizes) - sizes, words[low : word_end[end - 1]], word_at[at:end] - low, numbers))
+        out.append(Sequence(np.where(turns < 0, ~turns, turns), np.where(turns < 0, -1, 1), np.cumsum(sizes), words[low : word_end[end - 1]], word_at[at:end] - low, numbers))
         at = end
     return out
 
 
+def _up_to(x: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """Sums of the first ``end`` rows of ``x``, for each end."""
+    return np.concatenate([np.zeros_like(x[:1], shape=(1, *x.shape[1:])), np.cumsum(x, axis=0)])[end]
+
+
+def _depth(s: Sequence) -> np.ndarray:
+    """Path words open at each block, as a column; 1 where there are none, whose mean is 0."""
+    return np.maximum(_up_to(s.signs, s.turn_end), 1)[:, None]
+
+
 class Labeller:
     """The network. Parameters are plain arrays, so it travels to the tasks by itself."""
 
@@ -285,8 +327,9 @@ class Labeller:
             self.p |= {f"{k}x": w(size, 4 * HIDDEN), f"{k}h": w(HIDDEN, 4 * HIDDEN), f"{k}0": np.concatenate([np.zeros(HIDDEN), np.ones(HIDDEN), np.zeros(2 * HIDDEN)])}
 
     def inputs(self, s: Sequence) -> np.ndarray:
-        bag = lambda table, ids, at: np.add.reduceat(table[ids], at, axis=0) / np.diff(np.append(at, len(ids)))[:, None]
-        return np.hstack([bag(self.p["tags"], s.tags, s.tag_at), bag(self.p["words"], s.words, s.word_at), s.numbers])
+        path = _up_to(self.p["tags"][s.turns] * s.signs[:, None], s.turn_end) / _depth(s)
+        words = np.add.reduceat(self.p["words"][s.words], s.word_at, axis=0) / np.diff(np.append(s.word_at, len(s.words)))[:, None]
+        return np.hstack([path, words, s.numbers])
 
     def _run(self, x: np.ndarray, mask: np.ndarray, k: str) -> tuple[np.ndarray, list]:
         """Hidden states (steps, pages, HIDDEN) of one direction, in reading order, and what training needs."""
@@ -394,9 +437,11 @@ class Labeller:
             dx += da_all @ self.p[f"{k}x"].T
         for j, s in enumerate(pages):
             d = dx[: len(s.numbers), j]
-            for name, ids, at, cut in (("tags", s.tags, s.tag_at, slice(0, TAG_SIZE)), ("words", s.words, s.word_at, slice(TAG_SIZE, TAG_SIZE + WORD_SIZE))):
-                n = np.diff(np.append(at, len(ids)))
-                np.add.at(g[name], ids, np.repeat(d[:, cut] / n[:, None], n, axis=0))
+            # a turn is felt by its own block and all that follow
+            felt = np.cumsum((d[:, :TAG_SIZE] / _depth(s))[::-1], axis=0)[::-1]
+            np.add.at(g["tags"], s.turns, s.signs[:, None] * np.repeat(felt, np.diff(s.turn_end, prepend=0), axis=0))
+            n = np.diff(np.append(s.word_at, len(s.words)))
+            np.add.at(g["words"], s.words, np.repeat(d[:, TAG_SIZE : TAG_SIZE + WORD_SIZE] / n[:, None], n, axis=0))
         return g
 
 
@@ -507,7 +552,7 @@ OUTSIDE = frozenset({"nav", "header", "footer", "aside", "form", "title", "head"
 
 def silver(page: list[Block]) -> np.ndarray:
     """Labels of a page with an article or main element: the blocks in it that are in no marked part; others have none."""
-    return np.array([("article" in b.path or "main" in b.path) and not OUTSIDE.intersection(b.path) for b in page], bool)
+    return np.array([b.silver for b in page], bool)
 
 
 def train_labeller(pages: DataFrame, sample_pages: int = SAMPLE_PAGES, generated_pages: int = GENERATED_PAGES, sample_words: int = SAMPLE_WORDS) -> Labeller:
