@@ -1,11 +1,12 @@
 """Near-duplicate vectors of equal label by cosine, compared tile against tile in PCA order.
 
 Vectors are scaled to length 1 and rotated to the principal axes of all vectors of their dimension. Two unit vectors
-with cosine >= t lie at most sqrt(2 - 2t) apart, so only equal or neighbouring cells of that width on the first axis
-can hold links. Cells are dealt out in tiles of bounded size. Within a pair of tiles the products of the leading axes
-are summed first; by Cauchy-Schwarz the rest is at most the product of the suffix norms, and pairs that cannot reach t
-any more are dropped after every step. What remains is decided by the cosine of the given components in double precision.
-A pair of tiles emits link counts and a spanning forest of its links, never the links themselves.
+with cosine >= t lie at most sqrt(2 - 2t) apart, so only equal or neighbouring cells of that width on the two leading
+axes can hold links. Cells are dealt out in blocks of bounded size, each compared with the blocks it may have links
+with, tile by tile. Within a pair of tiles the products of the leading axes are summed first; by Cauchy-Schwarz the rest
+is at most the product of the suffix norms, and pairs that cannot reach t any more are dropped after every step. What
+remains is decided by the cosine of the given components in double precision. A pair of blocks emits link counts and a
+spanning forest of its links, never the links themselves.
 """
 
 from __future__ import annotations
@@ -19,9 +20,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .components import components
-from .scratch import written
+from .scratch import discard, written
 
-TILE = 1024
+#: Vectors compared at once, and those sent to a task for each side: at most BLOCK, and some BLOCK_NUMBERS numbers.
+TILE, BLOCK, BLOCK_NUMBERS = 1024, 8192, 1 << 21
+#: A cell and its neighbours on two axes.
+AROUND = [(a, b) for a in (-1, 0, 1) for b in (-1, 0, 1)]
 STEPS = (8, 16, 32, 64, 128, 256, 512, 1024, 2048, 4096)
 
 
@@ -126,51 +130,67 @@ def near_duplicates(vectors: DataFrame, threshold: float = 0.93) -> DataFrame:
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             dims = b.column("dim").to_numpy()
-            cell = np.zeros(b.num_rows, np.int32)
+            cell = np.zeros((2, b.num_rows), np.int32)
             for d in np.unique(dims).tolist():
                 at = np.flatnonzero(dims == d)
-                cell[at] = np.floor((_unit(_matrix(b.take(pa.array(at)), "embedding", d)) @ axes.value[d][:, 0]) / width)
-            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(cell)], names=[*b.schema.names, "cell"])
-
-    celled = written(classes.mapInArrow(place, T.StructType([*classes.schema.fields, T.StructField("cell", T.IntegerType())])))
-    sizes = celled.groupBy("label", "dim", "cell").agg(F.ceil(F.count("*") / TILE).cast("int").alias("tiles"))
-    near = sizes.select("label", "dim", F.col("cell").alias("c"), F.explode(F.array(F.struct(F.col("cell").alias("to"), F.col("tiles").alias("own"), F.lit(0).alias("n")), F.struct((F.col("cell") - 1).alias("to"), F.lit(0).alias("own"), F.col("tiles").alias("n")))).alias("x"))
-    # for each cell its own tiles and those of the next cell; one row per cell, which stays small
-    plan = near.groupBy("label", "dim", F.col("x.to").alias("to")).agg(F.max("x.own").alias("own"), F.max("x.n").alias("next")).where("own > 0")
-    lower = plan.select("label", "dim", (F.col("to") + 1).alias("to"), F.col("own").alias("previous"))
-    plan = plan.join(lower, ["label", "dim", "to"], "left").select(F.col("label").alias("l_"), F.col("dim").alias("d_"), F.col("to").alias("c_"), "own", "next", F.coalesce("previous", F.lit(0)).alias("previous"))
-    met = celled.join(plan, (F.col("label") == F.col("l_")) & (F.col("dim") == F.col("d_")) & (F.col("cell") == F.col("c_")))
-    tile = F.pmod(F.xxhash64("key"), F.col("own")).cast("int")
-    met = met.withColumn("tile", tile)
-    pair = lambda cell, apart, i, j, side: F.struct(cell.alias("base"), apart.alias("apart"), i.alias("i"), j.alias("j"), side.alias("side"))
-    upto = lambda n: F.when(n > 0, F.sequence(F.lit(0), n - 1)).otherwise(F.array().cast("array<int>"))
-    c, t = F.col("cell"), F.col("tile")
-    same = F.transform(upto(F.col("own")), lambda o: pair(c, F.lit(False), F.least(o, t), F.greatest(o, t), t > o))
-    up = F.transform(upto(F.col("next")), lambda o: pair(c, F.lit(True), t, o, F.lit(False)))
-    down = F.transform(upto(F.col("previous")), lambda o: pair(c - 1, F.lit(True), o, t, F.lit(True)))
-    dealt = met.withColumn("p", F.explode(F.concat(same, up, down))).select("label", "dim", "p.*", "key", "weight", "embedding")
+                lead = axes.value[d][:, :2]
+                cell[: lead.shape[1], at] = np.floor((_unit(_matrix(b.take(pa.array(at)), "embedding", d)) @ lead).T / width)
+            yield pa.RecordBatch.from_arrays([*b.columns, *map(pa.array, cell)], names=[*b.schema.names, "c0", "c1"])
+
+    celled = written(classes.mapInArrow(place, T.StructType([*classes.schema.fields, *[T.StructField(c, T.IntegerType()) for c in ("c0", "c1")]])))
+    block = F.greatest(F.least(F.floor(F.lit(BLOCK_NUMBERS) / F.col("dim")), F.lit(BLOCK)), F.lit(TILE))
+    sizes = celled.groupBy("label", "dim", "c0", "c1").agg(F.ceil(F.count("*") / block).cast("int").alias("n"))
+    # every cell tells itself and its neighbours how many blocks it has: one row for each cell, with nine numbers at most
+    told = sizes.select("label", "dim", "c0", "c1", "n", F.explode(F.array(*[F.struct(F.lit(a).alias("o0"), F.lit(b).alias("o1")) for a, b in AROUND])).alias("o"))
+    plan = told.groupBy("label", "dim", (F.col("c0") + F.col("o.o0")).alias("c0"), (F.col("c1") + F.col("o.o1")).alias("c1")).agg(F.max(F.when(F.expr("o.o0 = 0 and o.o1 = 0"), F.col("n"))).alias("own"), F.collect_list(F.struct("o.o0", "o.o1", "n")).alias("near")).where("own > 0")
+    plan = plan.select(*[F.col(c).alias(f"_{c}") for c in ("label", "dim", "c0", "c1")], "own", "near")
+    met = celled.join(plan, [F.col(c) == F.col(f"_{c}") for c in ("label", "dim", "c0", "c1")])
+    met = met.withColumn("t", F.pmod(F.xxhash64("key"), F.col("own")).cast("int"))
+
+    def pairs(x: Column) -> Column:
+        """The pairs of blocks, named from the lesser cell, in which a vector meets the cell that told ``x``."""
+        mine, up = F.col("t"), (x["o0"] > 0) | ((x["o0"] == 0) & (x["o1"] > 0))
+        same = (x["o0"] == 0) & (x["o1"] == 0)
+
+        def pair(o: Column) -> Column:
+            fields = {"b0": F.col("c0") - F.when(up, x["o0"]).otherwise(0), "b1": F.col("c1") - F.when(up, x["o1"]).otherwise(0), "d0": F.abs(x["o0"]), "d1": F.when(up, x["o1"]).otherwise(-x["o1"])}
+            i = F.when(same, F.least(o, mine)).when(up, o).otherwise(mine)
+            j = F.when(same, F.greatest(o, mine)).when(up, mine).otherwise(o)
+            return F.struct(*[v.alias(k) for k, v in fields.items()], i.alias("i"), j.alias("j"), F.when(same, mine > o).otherwise(up).alias("side"))
+
+        return F.transform(F.sequence(F.lit(0), x["n"] - 1), pair)
+
+    dealt = met.withColumn("p", F.explode(F.flatten(F.transform("near", pairs)))).select("label", "dim", "p.*", "key", "weight", "embedding")
 
     def compare(table: pa.Table) -> pa.Table:
         d = table["dim"][0].as_py()
         raw = table["embedding"].combine_chunks().flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(-1, d)
         key_, weight, side = np.array(table["key"].to_pylist(), object), table["weight"].to_numpy(), table["side"].to_numpy()
         x = _unit(raw) @ axes.value[d]
-        one = table["apart"][0].as_py() or table["i"][0].as_py() != table["j"][0].as_py()
-        a, b = (np.flatnonzero(~side), np.flatnonzero(side)) if one else (np.arange(len(raw)),) * 2
-        i, j = close_pairs(x[a], x[b], raw[a], raw[b], threshold) if len(a) and len(b) else (np.empty(0, int),) * 2
-        i, j = a[i], b[j]
-        if not one:
-            i, j = i[i < j], j[i < j]
-        links = np.bincount(i, weights=weight[j], minlength=len(raw)) + np.bincount(j, weights=weight[i], minlength=len(raw))
+        alone = not table["d0"][0].as_py() and not table["d1"][0].as_py() and table["i"][0].as_py() == table["j"][0].as_py()
+        a, b = (np.arange(len(raw)),) * 2 if alone else (np.flatnonzero(~side), np.flatnonzero(side))
+        links, edges = np.zeros(len(raw)), [np.empty((2, 0), int)]
+        for low in range(0, len(a), TILE):
+            for high in range(low if alone else 0, len(b), TILE):
+                p, q = a[low : low + TILE], b[high : high + TILE]
+                i, j = close_pairs(x[p], x[q], raw[p], raw[q], threshold)
+                i, j = p[i], q[j]
+                if alone and low == high:
+                    i, j = i[i < j], j[i < j]
+                links += np.bincount(i, weights=weight[j], minlength=len(raw)) + np.bincount(j, weights=weight[i], minlength=len(raw))
+                some, local = np.unique(np.concatenate([i, j]), return_inverse=True)
+                edges.append(np.stack([some, some[_forest(len(some), *np.split(local, 2))]]))  # no more than a tile's rows
+        i, j = np.concatenate(edges, axis=1)
         at = np.flatnonzero(links)
         low = _forest(len(raw), i, j)
         return pa.table({"a": pa.array(key_[at], pa.string()), "n": pa.array(links[at].astype(np.int64)), "b": pa.array(key_[low[at]], pa.string())})
 
-    found = written(dealt.groupBy("label", "dim", "base", "apart", "i", "j").applyInArrow(compare, "a string, n bigint, b string"))
+    found = written(dealt.groupBy("label", "dim", "b0", "b1", "d0", "d1", "i", "j").applyInArrow(compare, "a string, n bigint, b string"))
     roots = components(found.select("a", "b"))
     links = found.groupBy("a").agg(F.sum("n").alias("n"))
     out = classes.select("key", "weight", "first").join(links, F.col("key") == F.col("a"), "left").join(roots, F.col("key") == F.col("node"), "left")
     out = written(out.select("key", (F.col("weight") - 1 + F.coalesce("n", F.lit(0))).alias("n_links"), "first", F.coalesce("root", "key").alias("root")))
+    discard(classes, celled, found)
     least = out.groupBy("root").agg(F.min("first").alias("component_id"))
     of_class = out.withColumn("k", F.reverse("root")).join(least.select(F.reverse("root").alias("k"), "component_id"), "k").select(F.col("key").alias("_key"), "n_links", "component_id")
     linked = named.select("vec_id", "key").join(of_class, F.col("key") == F.col("_key")).select("vec_id", "n_links", "component_id")

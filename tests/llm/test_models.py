@@ -31,7 +31,12 @@ def test_components(spark):
     assert components(spark.createDataFrame([], "a string, b string")).count() == 0
 
 
-def test_embeddings(spark):
+@pytest.mark.parametrize("tile", [embedding_dedup.TILE, 4])
+def test_embeddings(spark, monkeypatch, tile):
+    # small tiles and blocks: cells of several blocks, each of several tiles
+    monkeypatch.setattr(embedding_dedup, "TILE", tile)
+    monkeypatch.setattr(embedding_dedup, "BLOCK", 8 * tile)
+    monkeypatch.setattr(embedding_dedup, "BLOCK_NUMBERS", 32 * tile)
     r = np.random.default_rng(1)
     base = r.normal(size=(20, 16))
     rows = []
