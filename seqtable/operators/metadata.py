@@ -170,13 +170,20 @@ def source_gap(runs: DataFrame, urls: DataFrame) -> DataFrame:
 def associate_publications(tiers: DataFrame, articles: DataFrame, max_abstracts: int = 2) -> DataFrame:
     """Publications of each project from its first tier that has any.
 
-    ``tiers``: (project, tier, pos, pmid); ``articles``: (pmid, title, abstract, doi). All ids of the tier are joined by
-    ``;``, titles and abstracts of the first ``max_abstracts`` by `` || ``, distinct dois in order by ``;``.
+    ``tiers``: (project, tier, pos, pmid); ``articles``: (pmid, title, abstract, doi), one row for each pmid. All ids of
+    the tier are joined by ``;``, titles and abstracts of the first ``max_abstracts`` by `` || ``, distinct dois in order by
+    ``;``. The first ids are found before articles are met, so that a project gathers no other texts.
     """
-    best = tiers.where("pmid is not null").withColumn("_t", F.min("tier").over(Window.partitionBy("project"))).where("tier = _t")
-    rows = best.join(articles, "pmid", "left").groupBy("project").agg(F.min("tier").alias("tier"), F.array_sort(F.collect_list(F.struct("pos", "pmid", "title", "abstract", "doi"))).alias("a"))
-    head = F.slice("a", 1, max_abstracts)
-    return rows.select("project", "tier", F.array_join("a.pmid", ";").alias("pmids"), F.array_join(F.transform(head, lambda x: x["title"]), " || ").alias("titles"), F.array_join(F.transform(head, lambda x: x["abstract"]), " || ").alias("abstracts"), F.array_join(F.array_distinct(F.array_compact("a.doi")), ";").alias("dois"))
+    named = tiers.where("pmid is not null").select(F.col("project").alias("_p"), "tier", "pos", "pmid")
+    first = named.groupBy(F.col("_p").alias("_q")).agg(F.min("tier").alias("_t"))
+    best = named.join(first, F.col("_p").eqNullSafe(F.col("_q")) & (F.col("tier") == F.col("_t")))
+    ids = best.groupBy("_p").agg(F.min("tier").alias("tier"), F.array_sort(F.collect_list(F.struct("pos", "pmid"))).alias("a"))
+    met = ids.select(F.col("_p").alias("_q"), F.posexplode("a.pmid").alias("k", "pmid")).join(articles.select("pmid", "title", "abstract", "doi"), "pmid")
+    head = F.when(F.col("k") < max_abstracts, F.struct("k", "title", "abstract"))
+    of = met.groupBy("_q").agg(F.array_sort(F.collect_list(head)).alias("h"), F.array_sort(F.collect_list(F.when(F.col("doi").isNotNull(), F.struct("k", "doi")))).alias("d"))
+    joined = lambda c, sep: F.coalesce(F.array_join(c, sep), F.lit(""))
+    out = ids.join(of, F.col("_p").eqNullSafe(F.col("_q")), "left")
+    return out.select(F.col("_p").alias("project"), "tier", F.array_join("a.pmid", ";").alias("pmids"), joined(F.col("h.title"), " || ").alias("titles"), joined(F.col("h.abstract"), " || ").alias("abstracts"), joined(F.array_distinct("d.doi"), ";").alias("dois"))
 
 
 # columns

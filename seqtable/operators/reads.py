@@ -7,6 +7,9 @@ from pyspark.sql import functions as F
 
 from ..functions.sequences import IUPAC, base_entropy, complexity, count_n, expected_errors, fasta_id, iupac_regex, mean_error_phred, mean_phred, phred, revcomp
 
+#: Read numbers that are sorted together when reads are numbered.
+NUMBERED = 100_000
+
 
 def min_length(reads: DataFrame, n: int = 50, paired: bool = False) -> DataFrame:
     """Reads of at least ``n`` bases; paired: both mates go if either is shorter."""
@@ -157,8 +160,20 @@ def clean_fasta_ids(df: DataFrame) -> DataFrame:
 
 
 def number_reads(reads: DataFrame) -> DataFrame:
-    """Running number of the reads of each sample, over files in order. A sample is one sorted run; samples are many."""
-    return reads.withColumn("n", F.row_number().over(Window.partitionBy("sample_id").orderBy("file", "read_no")))
+    """Running number of the reads of each sample, over files in order.
+
+    Reads are counted by sample, file and run of NUMBERED read numbers; what stands before each run is a running sum of
+    those counts, and only the reads of one run are sorted together. Read numbers that are no integers make a file one run.
+    """
+    whole = reads.schema["read_no"].dataType.simpleString() in ("tinyint", "smallint", "int", "bigint")
+    run = F.floor(F.col("read_no") / NUMBERED) if whole else F.lit(0)
+    keys = [F.col("sample_id"), F.col("file"), run]
+    counts = reads.groupBy(*[k.alias(f"_{i}") for i, k in enumerate(keys)]).agg(F.count("*").alias("_c"))
+    before = F.sum("_c").over(Window.partitionBy("_0").orderBy("_1", "_2").rowsBetween(Window.unboundedPreceding, -1))
+    offsets = counts.select("_0", "_1", "_2", F.coalesce(before, F.lit(0)).alias("_b"))
+    met = reads.withColumn("_r", run).join(offsets, F.col("sample_id").eqNullSafe(F.col("_0")) & F.col("file").eqNullSafe(F.col("_1")) & F.col("_r").eqNullSafe(F.col("_2")))
+    n = F.col("_b") + F.row_number().over(Window.partitionBy("sample_id", "file", "_r").orderBy("read_no"))
+    return met.withColumn("n", n).select(*[F.col(f"`{c}`") for c in reads.columns], "n")
 
 
 def label_reads(reads: DataFrame) -> DataFrame:

@@ -599,12 +599,16 @@ def merge_rate(spark, d):
 
 
 @query("""WITH t AS (SELECT o_custkey AS project, CASE WHEN o_orderkey % 3 = 0 THEN 1 ELSE 2 END AS tier, o_orderkey AS pos, concat('P', o_orderkey) AS pmid FROM (SELECT DISTINCT o_custkey, o_orderkey FROM orders)),
-b AS (SELECT *, row_number() OVER (PARTITION BY project ORDER BY pos) AS k FROM (SELECT *, min(tier) OVER (PARTITION BY project) AS best FROM t) x WHERE tier = best)
-SELECT project, best AS tier, string_agg(pmid, ';' ORDER BY pos) AS pmids, string_agg(CASE WHEN k <= 2 THEN concat('T', pos) END, ' || ' ORDER BY pos) AS titles FROM b GROUP BY ALL""")
+b AS (SELECT *, row_number() OVER (PARTITION BY project ORDER BY pos) AS k FROM (SELECT *, min(tier) OVER (PARTITION BY project) AS best FROM t) x WHERE tier = best),
+d AS (SELECT project, string_agg(doi, ';' ORDER BY p) AS dois FROM (SELECT project, concat('10.', pos % 3) AS doi, min(pos) AS p FROM b WHERE pos % 4 > 0 GROUP BY 1, 2) y GROUP BY 1)
+SELECT b.project, best AS tier, string_agg(pmid, ';' ORDER BY pos) AS pmids, string_agg(CASE WHEN k <= 2 THEN concat('T', pos) END, ' || ' ORDER BY pos) AS titles,
+ coalesce(string_agg(CASE WHEN k <= 2 AND pos % 5 > 0 THEN concat('On ', pos % 11) END, ' || ' ORDER BY pos), '') AS abstracts, coalesce(max(dois), '') AS dois
+FROM b LEFT JOIN d ON b.project = d.project GROUP BY b.project, best""")
 def publications(spark, d):
     o = table(spark, d, "orders").select(F.col("o_custkey").alias("project"), F.when(F.col("o_orderkey") % 3 == 0, 1).otherwise(2).alias("tier"), F.col("o_orderkey").alias("pos"), F.concat(F.lit("P"), "o_orderkey").alias("pmid")).distinct()
-    a = o.select("pmid", F.concat(F.lit("T"), "pos").alias("title"), F.lit("x").alias("abstract"), F.lit(None).cast("string").alias("doi")).distinct()
-    return md.associate_publications(o, a).select("project", "tier", "pmids", "titles")
+    text = lambda here, head, n: F.when(F.col("pos") % here > 0, F.concat(F.lit(head), F.col("pos") % n))
+    a = o.select("pmid", F.concat(F.lit("T"), "pos").alias("title"), text(5, "On ", 11).alias("abstract"), text(4, "10.", 3).alias("doi")).distinct()
+    return md.associate_publications(o, a)
 
 
 @query("""WITH t AS (SELECT c_nationkey AS dataset_id, count(*) AS samples, CAST(sum(c_custkey) AS BIGINT) AS raw FROM customer GROUP BY 1)

@@ -42,9 +42,20 @@ def largest_sheet(sheets: dict[str, DataFrame]) -> DataFrame:
     return max(sheets.values(), key=lambda d: d.count())
 
 
+def xml_records(spark: SparkSession, path: str, tag: str) -> DataFrame:
+    """(xml) of all whole elements ``tag``, which do not nest, of XML files of any size.
+
+    The text source cuts files at the start of the element, so that a file is read in as many tasks as its size asks for
+    and no string is longer than a record. Elements of longer names, and one that a file breaks off, have no row.
+    """
+    rest = spark.read.option("lineSep", f"<{tag}").text(path)
+    body = F.regexp_extract("value", rf"(?s)^([\s>].*?</{tag})\s*>", 1)
+    return rest.select(body.alias("b")).where("b <> ''").select(F.concat(F.lit(f"<{tag}"), "b", F.lit(">")).alias("xml"))
+
+
 def read_project_xml(spark: SparkSession, path: str) -> DataFrame:
     """(accession, title, description, organism) of project records."""
-    return parse_project_xml(spark.read.option("wholetext", True).text(path).select(F.explode(F.regexp_extract_all("value", F.lit(r"(?s)<DocumentSummary\b.*?</DocumentSummary>"), F.lit(0))).alias("xml")), "xml")
+    return parse_project_xml(xml_records(spark, path, "DocumentSummary"), "xml")
 
 
 def parse_project_xml(df: DataFrame, col: str) -> DataFrame:
@@ -61,8 +72,8 @@ def parse_experiment_xml(df: DataFrame, col: str) -> DataFrame:
 
 
 def read_experiment_xml(spark: SparkSession, path: str) -> DataFrame:
-    whole = spark.read.option("wholetext", True).text(path)
-    return parse_experiment_xml(whole.select(F.explode(F.regexp_extract_all("value", F.lit(r"(?s)<EXPERIMENT_PACKAGE\b.*?</EXPERIMENT_PACKAGE>"), F.lit(0))).alias("xml")), "xml")
+    """(experiment, run, platform, design) of the experiment packages of files."""
+    return parse_experiment_xml(xml_records(spark, path, "EXPERIMENT_PACKAGE"), "xml")
 
 
 def parse_article_xml(df: DataFrame, col: str) -> DataFrame:
@@ -75,8 +86,8 @@ def parse_article_xml(df: DataFrame, col: str) -> DataFrame:
 
 
 def read_article_xml(spark: SparkSession, path: str) -> DataFrame:
-    whole = spark.read.option("wholetext", True).text(path)
-    return parse_article_xml(whole.select(F.explode(F.regexp_extract_all("value", F.lit(r"(?s)<PubmedArticle\b.*?</PubmedArticle>"), F.lit(0))).alias("xml")), "xml")
+    """(pmid, title, abstract, doi) of the articles of files."""
+    return parse_article_xml(xml_records(spark, path, "PubmedArticle"), "xml")
 
 
 def parse_sample_text(df: DataFrame, text_col: str) -> DataFrame:
@@ -91,6 +102,11 @@ def parse_sample_text(df: DataFrame, text_col: str) -> DataFrame:
     return b.select(x(r"ID:\s*(\d+)").alias("uid"), x(r"(?:Accession|BioSample):\s*([A-Z]+\d+)").alias("biosample"), x(r"Sample name:\s*([^;\n]+)").alias("sample_name"), x(r"(?m)^Organism:\s*(.+)$").alias("organism"), attrs.alias("attrs"))
 
 
+def read_sample_text(spark: SparkSession, path: str) -> DataFrame:
+    """The samples of flat text files of any size, whose records are parted by a blank line."""
+    return parse_sample_text(spark.read.option("lineSep", "\n\n").text(path), "value")
+
+
 def read_fasta(spark: SparkSession, path: str) -> DataFrame:
     """(id, size, sample, seq) of FASTA records with sequences over any number of lines."""
     records = spark.read.option("lineSep", ">").text(path).where(F.trim("value") != "")

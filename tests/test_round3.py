@@ -9,7 +9,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from seqtable.functions.sequences import revcomp
-from seqtable.operators import longreads, profiles, similarity
+from seqtable.operators import longreads, metadata, profiles, similarity
+from seqtable.operators import reads as reads_
 from seqtable.plans import pipelines
 from seqtable.sources import fastq, files
 
@@ -310,3 +311,93 @@ def test_samples_that_merge_rarely_keep_their_forward_reads(spark):
     got = pipelines.merge_or_forward(df, 15, 0.0)
     assert {(x["sample_id"], x["read_no"], x["seq"], x["use"]) for x in got.collect()} == want
     assert got.where("length(seq) <> length(qual)").count() == 0 and pipelines.merge_or_forward(df.limit(0)).count() == 0
+
+
+def test_xml_dumps_are_read_in_several_tasks(spark, tmp_path):
+    r = random.Random(8)
+    one = lambda i: f"<DocumentSummary uid='{i}'>\n<ArchiveID accession=\"PRJ{i}\"/><ProjectDescr><Title>Study {i} é{'x' * r.randrange(200)}</Title></ProjectDescr>\n</DocumentSummary{' ' * (i % 5 == 0)}>"
+    text = "<?xml version='1.0'?>\n<DocumentSummarySet>" + "\n ".join(one(i) for i in range(300)) + "</DocumentSummarySet>"
+    (tmp_path / "a.xml").write_text(text)
+    (tmp_path / "cut.xml").write_text(one(300) + "<DocumentSummary uid='301'><ArchiveID acc")
+    (tmp_path / "empty.xml").write_text("")
+    sizes = [spark.conf.get(k) for k in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")]
+    try:
+        for size in (997, 4096, 1 << 20):
+            spark.conf.set("spark.sql.files.maxPartitionBytes", str(size))
+            spark.conf.set("spark.sql.files.openCostInBytes", "1")
+            got = files.read_project_xml(spark, str(tmp_path))
+            assert sorted(x["accession"] for x in got.collect()) == sorted(f"PRJ{i}" for i in range(301))
+            assert size > 4096 or files.xml_records(spark, str(tmp_path), "DocumentSummary").rdd.getNumPartitions() > 5
+    finally:
+        for k, v in zip(("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes"), sizes, strict=True):
+            spark.conf.set(k, v)
+    titles = {x["accession"]: x["title"] for x in files.read_project_xml(spark, str(tmp_path / "a.xml")).collect()}
+    assert titles["PRJ7"].startswith("Study 7 é")
+
+
+def test_sample_text_by_records(spark, tmp_path):
+    block = "{i}: Title\nIdentifiers: BioSample: SAMN{i}; Sample name: n{i}\nOrganism: soil\nAttributes:\n    /depth=\"{i}\"\nAccession: SAMN{i}\tID: {i}\n"
+    text = "\n".join(block.format(i=i) for i in range(1, 60))
+    (tmp_path / "s.txt").write_text(text)
+    whole = files.parse_sample_text(spark.createDataFrame([(text,)], "t string"), "t")
+    got = files.read_sample_text(spark, str(tmp_path / "s.txt"))
+    assert sorted(map(str, got.collect())) == sorted(map(str, whole.collect())) and got.count() == 59
+
+
+def test_publications_equal_brute_force(spark):
+    r = random.Random(3)
+    tiers = [(r.choice(["p", "q", "s", None]), r.randrange(1, 4), n, r.choice([f"{n}", f"{n}", None])) for n in range(60)] + [("only null", 1, 1, None), ("unknown", 2, 1, "x")]
+    art = [(f"{n}", r.choice([f"t{n}", None]), r.choice([f"a{n}", None]), r.choice([f"d{n % 4}", None])) for n in range(60)]
+    by = {a[0]: a for a in art}
+    want = {}
+    for p in {t[0] for t in tiers if t[3] is not None}:
+        mine = [t for t in tiers if t[0] == p and t[3] is not None]
+        best = min(t[1] for t in mine)
+        ids = [t[3] for t in sorted(mine, key=lambda t: t[2]) if t[1] == best]
+        rows = [by.get(i, (i, None, None, None)) for i in ids]
+        join = lambda xs, sep: sep.join(x for x in xs if x is not None)
+        want[p] = (best, ";".join(ids), join([x[1] for x in rows[:2]], " || "), join([x[2] for x in rows[:2]], " || "), join(dict.fromkeys(x[3] for x in rows), ";"))
+    got = metadata.associate_publications(spark.createDataFrame(tiers, "project string, tier int, pos int, pmid string"), spark.createDataFrame(art, "pmid string, title string, abstract string, doi string"))
+    assert {x["project"]: tuple(x)[1:] for x in got.collect()} == want
+
+
+def test_reads_of_one_sample_are_numbered_in_runs(spark, monkeypatch):
+    monkeypatch.setattr(reads_, "NUMBERED", 7)
+    r = random.Random(5)
+    rows = [("hot", f"f{i % 3}", n) for i in range(3) for n in r.sample(range(1, 400), 100)] + [("hot", None, n) for n in (3, 9, 20)] + [("s", "f0", 5), (None, "f0", 1), (None, "f0", 2)]
+    df = spark.createDataFrame(rows, "sample_id string, file string, read_no long").withColumn("extra", F.lit(1))
+    got = reads_.number_reads(df.repartition(3))
+    want, seen = set(), Counter()
+    for s, f, n in sorted(rows, key=lambda x: (x[0] or "", x[1] is not None, x[1] or "", x[2])):
+        seen[s] += 1
+        want.add((s, f, n, 1, seen[s]))
+    assert {tuple(x) for x in got.collect()} == want and got.columns == [*df.columns, "n"]
+
+
+def test_streams_leave_a_bounded_number_of_files(spark, tmp_path):
+    from seqtable.streaming.tables import latest, stream_upsert
+
+    src, out, cp = tmp_path / "in", tmp_path / "out", tmp_path / "cp"
+    rows, folders = {}, []
+
+    def put():
+        stream_upsert(spark.readStream.schema("id string, v string").parquet(str(src)), str(out), ["id"], str(cp), buckets=3, keep=2).awaitTermination()
+
+    for n in range(7):
+        new = {f"{(5 * n + k) % 17}": f"{n}" for k in range(4)}
+        rows |= new
+        spark.createDataFrame(list(new.items()), "id string, v string").coalesce(1).write.mode("append").parquet(str(src))
+        put()
+        folders.append((len(list(out.glob("*/seqtable_part=*"))), len(list(out.glob("*")))))
+        assert {tuple(x) for x in latest(spark, str(out), n).collect()} == set(rows.items())
+        if n == 4:
+            at_4 = set(rows.items())
+        if n == 5:
+            at_5 = set(rows.items())
+    assert max(folders) <= (3 * 3, 3 + 2) and max(n for _, n in folders) <= 3 + 2
+    assert {tuple(x) for x in latest(spark, str(out), 5).collect()} == at_5
+    assert {tuple(x) for x in latest(spark, str(out), 4).collect()} == at_4
+    for f in (cp / "commits").glob("*6*"):
+        f.unlink()
+    put()  # the last batch is replayed
+    assert {tuple(x) for x in latest(spark, str(out), 6).collect()} == set(rows.items())
