@@ -28,7 +28,7 @@ import pyarrow.fs as pafs
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .scratch import shared_folder, small_batches, written
+from .scratch import discard, shared_folder, small_batches, written
 
 MAGIC = b"SVB1"
 NULL_ID = np.iinfo(np.int64).min
@@ -341,6 +341,7 @@ def write_ids(docs: DataFrame, tokenizer: str, folder: str, end_id: int = 1) ->
     blocks = blocks.withColumn("part", F.when(F.col("part") < 0, F.least(by_hash, F.lit(unnamed - 1))).otherwise(F.col("part")))
     ordered = blocks.repartitionById(n + unnamed, F.col("part")).sortWithinPartitions("part", F.col("doc_id").asc_nulls_first(), F.xxhash64("control", "data"))
     ordered.mapInArrow(write, "part bigint, n bigint").agg(F.sum("n")).collect()
+    discard(coded)
 
 
 def read_ids(spark: SparkSession, folder: str, digest_only: bool = False) -> DataFrame:
