@@ -90,6 +90,16 @@ def retention(raw: DataFrame, counts: DataFrame, paired: bool = True, threshold:
 def abundance_check(reads: DataFrame, limit_ppt: int = 950) -> DataFrame:
     """(n, n_unique, ppt, untrustworthy): unique per thousand reads, truncated; only a single sample can fail."""
     row = reads.agg(F.count("*").alias("n"), F.countDistinct("seq").alias("n_unique"), F.countDistinct("sample_id").alias("s"))
+    return _trusted(row, limit_ppt)
+
+
+def derep_check(unique: DataFrame, samples: DataFrame, limit_ppt: int = 950) -> DataFrame:
+    """:func:`abundance_check` of reads that are dereplicated already: (seq, size) rows, and ``samples`` with any number of rows each."""
+    row = unique.agg(F.coalesce(F.sum("size"), F.lit(0)).alias("n"), F.count("*").alias("n_unique"))
+    return _trusted(row.crossJoin(samples.agg(F.countDistinct("sample_id").alias("s"))), limit_ppt)
+
+
+def _trusted(row: DataFrame, limit_ppt: int) -> DataFrame:
     row = row.withColumn("ppt", F.when(F.col("n") > 0, F.floor(F.col("n_unique") * 1000 / F.col("n"))).otherwise(0).cast("bigint"))
     return row.select("n", "n_unique", "ppt", ((F.col("s") == 1) & (F.col("ppt") > limit_ppt)).alias("untrustworthy"))
 

@@ -265,32 +265,36 @@ def standardize_columns(df: DataFrame, dictionary: dict[str, list[str]] | None =
     become CamelCase, and columns that then share a name are merged; the first alias becomes DesignDescription. The core
     columns come first, then the others in groups of a common first word.
     """
+    # columns are held by position, since names may differ in case alone, which Spark does not tell apart
+    given = df.columns
+    df = df.toDF(*[f"_{i}" for i in range(len(given))])
     names, used = [], set()
-    cols = df.columns[1:] if df.columns and df.columns[0] == "ID" else df.columns
-    df = df.select(*[_c(c) for c in cols])
-    for c in cols:
-        n = re.sub(r"(_sra|_biosample|_x|_y)$", "", re.sub(r"^(Sample_|Experiment_|Run_)", "", c))
-        k, i = n, 2
+    at = [i for i in range(len(given)) if i > 0 or given[0] != "ID"]
+    for i in at:
+        n = re.sub(r"(_sra|_biosample|_x|_y)$", "", re.sub(r"^(Sample_|Experiment_|Run_)", "", given[i]))
+        k, again = n, 2
         while k in used:
-            k, i = f"{n}_{i}", i + 1
+            k, again = f"{n}_{again}", again + 1
         used.add(k)
         names.append(k)
-    df = df.toDF(*names)
-    content = detect_accession_columns(df)
-    df = df.select(*[_c(c).alias(content[c]) if c in content and (content[c] == c or content[c] not in df.columns) else _c(c) for c in df.columns])
+    content = detect_accession_columns(df.select(*[f"_{i}" for i in at]))
+    found = [content.get(f"_{i}") for i in at]
+    names = [f if f and (f == n or f not in names) else n for n, f in zip(names, found, strict=True)]
     for standard, variants in (dictionary or {}).items():
-        if standard not in df.columns:
+        if standard not in names:
             known = {v.strip().lower() for v in variants}
-            hit = next((c for c in df.columns if c.strip().lower() in known), None)
-            df = df.withColumnRenamed(hit, standard) if hit else df
-    hit = next((a for a in aliases if a in df.columns), None)
-    if hit and "DesignDescription" not in df.columns:
-        df = df.withColumnRenamed(hit, "DesignDescription")
-    groups: dict[str, list[str]] = {}
-    for c in df.columns:
-        groups.setdefault(_camel(c), []).append(c)
-    df = df.select(*[(reduce(merge_columns, [_c(c).cast("string") for c in g]) if len(g) > 1 else _c(g[0])).alias(n) for n, g in groups.items()])
-    return df.select(*[_c(c) for c in column_order(df.columns, core or CORE)])
+            names = _renamed(names, next((n for n in names if n.strip().lower() in known), None), standard)
+    if "DesignDescription" not in names:
+        names = _renamed(names, next((a for a in aliases if a in names), None), "DesignDescription")
+    groups: dict[str, list[Column]] = {}
+    for i, n in zip(at, names, strict=True):
+        groups.setdefault(_camel(n), []).append(F.col(f"_{i}"))
+    merged = {n: reduce(merge_columns, [c.cast("string") for c in g]) if len(g) > 1 else g[0] for n, g in groups.items()}
+    return df.select(*[merged[n].alias(n) for n in column_order(list(merged), core or CORE)])
+
+
+def _renamed(names: list[str], old: str | None, new: str) -> list[str]:
+    return [new if n == old else n for n in names]
 
 
 def column_order(names: list[str], core: list[str]) -> list[str]:

@@ -4,9 +4,15 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
+#: The stage tables of the innermost open scope.
+_made: ContextVar[list[DataFrame] | None] = ContextVar("_made", default=None)
+
 
 def stage_folder(spark: SparkSession) -> str:
     """A new folder below ``spark.checkpoint.dir``; only a local session may leave that unset, as in tests."""
@@ -25,9 +31,35 @@ def staged(df: DataFrame) -> DataFrame:
     df.write.parquet(path)
     out = df.sparkSession.read.schema(df.schema).parquet(path)
     out.staged_to = path
+    if (made := _made.get()) is not None:
+        made.append(out)
     return out
 
 
+@contextmanager
+def scope() -> Iterator[Callable[[DataFrame], DataFrame]]:
+    """Stage tables made inside are deleted at the end, also after an error; what goes through the given function is written
+    and stays. It then belongs to the scope outside, if there is one."""
+    token = _made.set(own := [])
+
+    def keep(df: DataFrame) -> DataFrame:
+        out = staged(df)
+        kept.append(own.pop())
+        return out
+
+    kept: list[DataFrame] = []
+    try:
+        yield keep
+    except BaseException:
+        own += kept
+        raise
+    finally:
+        _made.reset(token)
+        unstage(*own)
+        if (outer := _made.get()) is not None:
+            outer += kept
+
+
 def unstage(*tables: DataFrame) -> None:
     """Delete the files of tables that ``staged`` made, once all that was read from them is written itself."""
     for t in tables:

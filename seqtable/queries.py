@@ -530,7 +530,7 @@ def chimeras(spark, d):
 
 @query()
 def otu_table(spark, d):
-    return pipelines.otu_pipeline(reads(spark, d))
+    return pipelines.otu_pipeline(reads(spark, d)).counts
 
 
 @query(f"WITH {CTE_Q}, f AS (SELECT DISTINCT seq_mixed, seq FROM q) SELECT md5(seq_mixed) AS feature_id, seq FROM f")
@@ -771,7 +771,7 @@ def merge_and_classify(spark, d):
     parts = [r.where("ok % 2 = 0"), r.where("ok % 2 = 1")]
     seqs = [ft.dereplicate(p).select(F.md5("seq").alias("feature_id"), "seq") for p in parts]
     keep = r.where("tpl % 3 <> 0").select(F.md5("seq").alias("feature_id")).distinct()
-    counts, taxonomy = pipelines.merge_and_classify([ft.feature_counts(p) for p in parts], seqs, r.select("seq").distinct(), sm.train_classifier(named), keep)
+    counts, taxonomy, _ = pipelines.merge_and_classify([ft.feature_counts(p) for p in parts], seqs, r.select("seq").distinct(), sm.train_classifier(named), keep)
     known = r.select(F.md5("seq").alias("feature_id"), "seq").distinct()
     return counts.select("feature_id").distinct().join(taxonomy, "feature_id").join(known, "feature_id").select("feature_id", "seq", F.col("lineage").try_cast("int").alias("tpl"))
 
@@ -791,7 +791,7 @@ def region_spans(spark, d):
 def ont_table(spark, d):
     """Counts of the long-read pipeline over all reads."""
     q = full_reads(spark, d)
-    return pipelines.ont_pipeline(q.select("sample_id", "seq", "qual"), 10, 50, 400)
+    return pipelines.ont_pipeline(q.select("sample_id", "seq", "qual"), 10, 50, 400).counts
 
 
 @query(f"""WITH {CTE_Q}

@@ -160,9 +160,15 @@ def manifest_paired(files: DataFrame) -> DataFrame:
     return files.groupBy("sample_id").agg(side(1, "forward_path"), side(2, "reverse_path")).where("forward_path is not null and reverse_path is not null")
 
 
-def write_report(df: DataFrame, path: str, sep: str = ",") -> None:
-    """A report as CSV or TSV with header, UTF-8 without byte order mark."""
-    df.write.mode("overwrite").csv(path, sep=sep, header=True)
+def write_report(df: DataFrame, path: str, sep: str = ",", byte_order_mark: bool = False) -> None:
+    """A report as CSV or TSV with header, in UTF-8.
+
+    With ``byte_order_mark``, by which spreadsheets tell the encoding, each file begins with one: it is the first character
+    of its header. Quotes inside values are doubled.
+    """
+    first, *others = df.columns
+    named = df.select(F.col(f"`{first}`").alias("\ufeff" + first), *[F.col(f"`{c}`") for c in others]) if byte_order_mark else df
+    named.write.mode("overwrite").csv(path, sep=sep, header=True, escape='"', encoding="UTF-8")
 
 
 def write_per_dataset(df: DataFrame, path: str, col: str = "bioproject") -> None:
