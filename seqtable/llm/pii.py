@@ -44,58 +44,71 @@ FIRST_DAY, LAST_DAY = "1900-01-01", "2099-12-31"
 _LOWER, _UPPER, _DIGITS = "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "0123456789"
 
 
-def _noise(key: str, kind: str, *parts: Column) -> Column:
+def _bind(value: Column, body) -> Column:
+    """``body(value)`` with the value computed once."""
+    return F.transform(F.array(value), body)[0]
+
+
+def _noise(key: str, kind: str | Column, *parts: Column) -> Column:
     """A keyed 32-bit number of the parts."""
     return F.conv(F.substring(F.sha2(F.concat_ws("|", F.lit(key), F.lit(kind), *[p.cast("string") for p in parts]), 256), 1, 8), 16, 10).cast("long")
 
 
-def permute_cells(cells: Column, key: str, kind: str) -> Column:
+def permute_cells(cells: Column, key: str, kind: str | Column) -> Column:
     """A keyed permutation of cells (x, r, o), x within 0 .. r - 1 each; r and o stay in place.
 
     An alternating Feistel network over the two halves of the cells, with the radix of each cell.
     """
-    half = F.ceil(F.size(cells) / 2).cast("int")
 
     def round_(state: Column, i: Column) -> Column:
         left, right = state["l"], state["r"]
+
+        def mixed(other: Column) -> Column:
+            return F.transform(left, lambda c, j: F.struct(F.pmod(c["x"] + _noise(key, kind, i, j, other), c["r"]).alias("x"), c["r"].alias("r"), c["o"].alias("o")))
+
         other = F.array_join(F.transform(right, lambda c: c["x"].cast("string")), ",")
-        mixed = F.transform(left, lambda c, j: F.struct(F.pmod(c["x"] + _noise(key, kind, i, j, other), c["r"]).alias("x"), c["r"].alias("r"), c["o"].alias("o")))
-        return F.struct(right.alias("l"), mixed.alias("r"))
+        return F.struct(right.alias("l"), _bind(other, mixed).alias("r"))
+
+    def network(c: Column) -> Column:
+        half = F.ceil(F.size(c) / 2).cast("int")
+        start = F.struct(F.slice(c, F.lit(1), half).alias("l"), F.slice(c, half + 1, F.size(c)).alias("r"))
+        return F.aggregate(F.sequence(F.lit(1), F.lit(ROUNDS)), start, round_, lambda t: F.concat(t["l"], t["r"]))
 
-    state = F.aggregate(F.sequence(F.lit(1), F.lit(ROUNDS)), F.struct(F.slice(cells, F.lit(1), half).alias("l"), F.slice(cells, half + 1, F.size(cells)).alias("r")), round_)
-    return F.transform(F.array(state), lambda t: F.concat(t["l"], t["r"]))[0]
+    return _bind(cells, network)
 
 
-def permute_chars(s: Column, key: str, kind: str, alphabets: list[str]) -> Column:
+def permute_chars(s: Column, key: str, kind: str | Column, alphabets: list[str]) -> Column:
     """Permute the characters of ``s`` that are in one of ``alphabets``, each within its alphabet.
 
     Other characters stay in place. One character alone is shifted by the key.
     """
     every = "".join(alphabets)
-    parts = F.filter(F.split(s, ""), lambda c: c != "")
-    base = [F.lit(sum(map(len, alphabets[:i]))) for i in range(len(alphabets))]
-
-    def origin(c: Column) -> Column:
-        at, out = F.instr(F.lit(every), c) - 1, base[0]
-        for b in base[1:]:
-            out = F.when(at >= b, b).otherwise(out)
-        return out
-
-    def radix(c: Column) -> Column:
-        at, out = F.instr(F.lit(every), c) - 1, F.lit(len(alphabets[0]))
-        for b, a in zip(base[1:], alphabets[1:], strict=True):
-            out = F.when(at >= b, F.lit(len(a))).otherwise(out)
-        return out
-
-    own = F.filter(parts, lambda c: F.instr(F.lit(every), c) > 0)
-    cells = F.transform(own, lambda c: F.struct((F.instr(F.lit(every), c) - 1 - origin(c)).cast("long").alias("x"), radix(c).cast("long").alias("r"), origin(c).alias("o")))
-    done = F.transform(permute_cells(cells, key, kind), lambda c: F.substring(F.lit(every), (c["o"] + c["x"] + 1).cast("int"), F.lit(1)))
-    filled = F.aggregate(
-        parts, F.struct(F.lit("").alias("s"), F.lit(1).alias("at"), done.alias("d")),
-        lambda acc, c: F.when(F.instr(F.lit(every), c) > 0, F.struct(F.concat(acc["s"], F.element_at(acc["d"], acc["at"])).alias("s"), (acc["at"] + 1).alias("at"), acc["d"].alias("d"))).otherwise(F.struct(F.concat(acc["s"], c).alias("s"), acc["at"].alias("at"), acc["d"].alias("d"))),
-        lambda acc: acc["s"],
-    )
-    return F.when(F.size(own) > 0, filled).otherwise(s)
+    starts = [sum(map(len, alphabets[:i])) for i in range(len(alphabets))]
+
+    def cell(c: Column) -> Column:
+        def of(at: Column) -> Column:
+            origin, radix = F.lit(0), F.lit(len(alphabets[0]))
+            for b, a in zip(starts[1:], alphabets[1:], strict=True):
+                origin, radix = F.when(at >= b, b).otherwise(origin), F.when(at >= b, len(a)).otherwise(radix)
+            return F.struct((at - origin).cast("long").alias("x"), radix.cast("long").alias("r"), origin.alias("o"))
+
+        return _bind(F.instr(F.lit(every), c) - 1, of)
+
+    def filled(parts: Column, done: Column) -> Column:
+        """The characters in their places, taken from ``done`` where they were permuted."""
+
+        def put(acc: Column, c: Column) -> Column:
+            own = F.instr(F.lit(every), c) > 0
+            new = F.when(own, F.substring(F.lit(every), (F.get(done, acc["at"])["o"] + F.get(done, acc["at"])["x"] + 1).cast("int"), F.lit(1))).otherwise(c)
+            return F.struct(F.concat(acc["s"], new).alias("s"), (acc["at"] + own.cast("int")).alias("at"))
+
+        return F.aggregate(parts, F.struct(F.lit("").alias("s"), F.lit(0).alias("at")), put, lambda acc: acc["s"])
+
+    def permuted(parts: Column) -> Column:
+        cells = F.transform(F.filter(parts, lambda c: F.instr(F.lit(every), c) > 0), cell)
+        return _bind(permute_cells(cells, key, kind), lambda done: filled(parts, done))
+
+    return _bind(F.filter(F.split(s, ""), lambda c: c != ""), permuted)
 
 
 def permute_number(x: Column, bound: int, key: str, kind: str) -> Column:
@@ -137,11 +150,6 @@ def _refill(s: Column, digits: Column) -> Column:
     )
 
 
-def _bind(value: Column, body) -> Column:
-    """``body(value)`` with the value computed once."""
-    return F.transform(F.array(value), body)[0]
-
-
 def _card(s: Column, key: str) -> Column:
     def swap(d: Column) -> Column:
         return _bind(permute_chars(F.substr(d, F.lit(1), F.length(d) - 1), key, "card", [_DIGITS]), lambda head: _refill(s, F.concat(head, F.pmod(F.lit(10) - F.pmod(_luhn(head, True), F.lit(10)), F.lit(10)).cast("string"))))
@@ -177,8 +185,9 @@ def _email(s: Column, key: str) -> Column:
     local, domain = F.substring_index(s, "@", 1), F.substring_index(s, "@", -1)
     last = F.substring_index(domain, ".", -1)
     head = F.substr(domain, F.lit(1), F.length(domain) - F.length(last))
-    sets = [_LOWER, _UPPER, _DIGITS]
-    return F.concat(permute_chars(local, key, "local", sets), F.lit("@"), permute_chars(head, key, "domain", sets), last)
+    sides = F.array(F.struct(F.lit("local").alias("kind"), local.alias("s")), F.struct(F.lit("domain").alias("kind"), head.alias("s")))
+    new = F.transform(sides, lambda x: permute_chars(x["s"], key, x["kind"], [_LOWER, _UPPER, _DIGITS]))
+    return F.concat(F.array_join(new, "@"), last)
 
 
 def _cards(s: Column, key: str) -> Column:
@@ -221,34 +230,43 @@ def _cards(s: Column, key: str) -> Column:
     return F.when(whole, _bind(F.regexp_extract_all(s, F.lit("[0-9]+"), F.lit(0)), lambda t: _bind(F.split(s, "[0-9]+", -1), lambda g: among(t, g)))).otherwise(F.struct(s.alias("s"), F.lit(0).cast("long").alias("n")))
 
 
-def _side_by_side(s: Column, key: str) -> Column:
-    """(s, n): numbers side by side with the n values among them replaced."""
-    gaps = F.transform(F.split(s, BESIDE, -1), lambda p: _cards(p, key))
-    others = F.transform(F.regexp_extract_all(s, F.lit(BESIDE), F.lit(0)), lambda m: _bind(_single(m, key), lambda p: F.struct(p.alias("s"), (p != m).cast("long").alias("n"))))
-    both = F.flatten(F.zip_with(gaps, F.concat(others, F.array(F.struct(F.lit("").alias("s"), F.lit(0).cast("long").alias("n")))), lambda a, b: F.array(a, b)))
-    return _bind(both, lambda x: F.struct(F.array_join(F.transform(x, lambda y: y["s"]), "").alias("s"), F.aggregate(x, F.lit(0).cast("long"), lambda n, y: n + y["n"]).alias("n")))
-
-
 def _single(s: Column, key: str) -> Column:
     """The pseudonym of a value that is no card, or the value itself if it fails validation."""
-    d = _digits(s)
     whole = {k: f"^(?:{v})$" for k, v in PATTERNS.items()}
-    valid_national = ~s.rlike(r"^(000|666|9)|-00-|-0000$")
-    return (
-        F.when(F.instr(s, "@") > 0, _email(s, key))
-        .when(s.rlike(whole["secret"]) & ~s.rlike("^[0-9]+$"), permute_chars(s, key, "secret", [_DIGITS, "abcdef", "ABCDEF"]))
-        .when(s.rlike(whole["national"]), F.when(valid_national, permute_chars(s, key, "national", [_DIGITS])).otherwise(s))
-        .when(s.rlike(whole["date"]), _date(s, key))
-        .when(s.rlike(whole["ip"]), _ip(s, key))
-        .when(s.rlike(whole["phone"]) & F.length(d).between(8, 15), permute_chars(s, key, "phone", [_DIGITS]))
-        .otherwise(s)
+    kind = (
+        F.when(F.instr(s, "@") > 0, "email")
+        .when(s.rlike(whole["secret"]) & ~s.rlike("^[0-9]+$"), "secret")
+        .when(s.rlike(whole["national"]), F.when(~s.rlike(r"^(000|666|9)|-00-|-0000$"), "national"))
+        .when(s.rlike(whole["date"]), "date")
+        .when(s.rlike(whole["ip"]), "ip")
+        .when(s.rlike(whole["phone"]) & F.length(_digits(s)).between(8, 15), "phone")
     )
 
+    def of(k: Column) -> Column:
+        # one network for all that have digits, or hexadecimal ones, in their own places
+        placed = permute_chars(s, key, k, [_DIGITS, "abcdef", "ABCDEF"])
+        return F.when(k == "email", _email(s, key)).when(k == "date", _date(s, key)).when(k == "ip", _ip(s, key)).when(k.isNotNull(), placed).otherwise(s)
+
+    return _bind(kind, of)
+
 
 def pseudonym(s: Column, key: str) -> Column:
-    """(s, n): one found value with the n valid ones in it replaced; itself if it fails validation."""
+    """(s, n): one found value with the n valid ones in it replaced; itself if it fails validation.
+
+    Numbers side by side are cut at the values of other kinds among them, between which cards are looked for; any other
+    value stands alone, between two empty texts.
+    """
     side = s.rlike("^[0-9 -]+$") & (F.length(_digits(s)) >= 13)
-    return F.when(side, _side_by_side(s, key)).otherwise(_bind(_single(s, key), lambda p: F.struct(p.alias("s"), (p != s).cast("long").alias("n"))))
+
+    def both(alone: Column) -> Column:
+        between = F.when(alone, F.array(F.lit(""), F.lit(""))).otherwise(F.split(s, BESIDE, -1))
+        values = F.when(alone, F.array(s)).otherwise(F.regexp_extract_all(s, F.lit(BESIDE), F.lit(0)))
+        gaps = F.transform(between, lambda p: _cards(p, key))
+        others = F.transform(values, lambda m: _bind(_single(m, key), lambda p: F.struct(p.alias("s"), (p != m).cast("long").alias("n"))))
+        nothing = F.struct(F.lit("").alias("s"), F.lit(0).cast("long").alias("n"))
+        return F.flatten(F.zip_with(gaps, F.concat(others, F.array(nothing)), lambda a, b: F.array(a, b)))
+
+    return _bind(_bind(~side, both), lambda x: F.struct(F.array_join(F.transform(x, lambda y: y["s"]), "").alias("s"), F.aggregate(x, F.lit(0).cast("long"), lambda n, y: n + y["n"]).alias("n")))
 
 
 def pseudonymise(docs: DataFrame, key: str, text: str = "text", found: str | None = None) -> DataFrame:
