@@ -1,4 +1,7 @@
+import datetime
+import hashlib
 import random
+import string
 import re
 import zlib
 
@@ -180,6 +183,103 @@ def test_permutations_are_bijections(spark):
     assert s.select("p").distinct().count() == 1000
 
 
+def feistel(cells, key, kind):
+    """Cells (x, radix) permuted by the rounds of the network, one number at a time."""
+    half = -(-len(cells) // 2)
+    left, right = cells[:half], cells[half:]
+    for i in range(1, 9):
+        other = ",".join(str(x) for x, _ in right)
+        left, right = right, [((x + noise(key, kind, i, j, other)) % n, n) for j, (x, n) in enumerate(left)]
+    return [x for x, _ in left + right]
+
+
+def noise(*parts):
+    return int(hashlib.sha256("|".join(map(str, parts)).encode()).hexdigest()[:8], 16)
+
+
+def placed(s, key, kind, alphabets):
+    own = [next((a for a in alphabets if c in a), None) for c in s]
+    new = iter(feistel([(a.index(c), len(a)) for c, a in zip(s, own, strict=True) if a], key, kind))
+    return "".join(a[next(new)] if a else c for c, a in zip(s, own, strict=True))
+
+
+LOW, UP, DIGITS = string.ascii_lowercase, string.ascii_uppercase, string.digits
+
+
+def plain_pseudonym(kind, s, key):
+    """What stands in the place of ``s``, a value of the kind; itself if it is none by the checks of that kind."""
+    d = re.sub(r"\D", "", s)
+    if kind == "card":
+        if luhn(s) % 10:
+            return s
+        head = placed(d[:-1], key, "card", [DIGITS])
+        new = iter(head + next(c for c in DIGITS if luhn(head + c) % 10 == 0))
+        return "".join(next(new) if c.isdigit() else c for c in s)
+    if kind == "date":
+        form = "%Y-%m-%d" if s[4] == "-" else f"%d{s[2]}%m{s[2]}%Y"
+        first = datetime.date(1900, 1, 1)
+        try:
+            day = (datetime.datetime.strptime(s, form).date() - first).days
+        except ValueError:
+            return s
+        span = 73049
+        if not 0 <= day < span:
+            return s
+        side = 271  # the least whose square reaches the span
+        while True:
+            left, right = divmod(day, side)
+            for i in range(1, 9):
+                left, right = right, (left + noise(key, "date", i, right)) % side
+            day = left * side + right
+            if day < span:
+                return (first + datetime.timedelta(day)).strftime(form)
+    if kind == "ip":
+        part = s.split(".")
+        if any(int(x) > 255 or (len(x) > 1 and x[0] == "0") for x in part):
+            return s
+        low, size = ([{1: k[0], 2: k[1], 3: k[2]}[len(x)] for x in part] for k in ((0, 10, 100), (10, 90, 156)))
+        return ".".join(str(o + x) for o, x in zip(low, feistel([(int(x) - o, n) for x, o, n in zip(part, low, size, strict=True)], key, "ip"), strict=True))
+    if kind == "email":
+        local, domain = s.split("@")
+        head, last = domain.rsplit(".", 1)
+        return placed(local, key, "local", [LOW, UP, DIGITS]) + "@" + placed(head + ".", key, "domain", [LOW, UP, DIGITS]) + last
+    if kind == "national" and (s[:3] in ("000", "666") or s[0] == "9" or s[4:6] == "00" or s[7:] == "0000"):
+        return s
+    return placed(s, key, kind, [DIGITS, "abcdef", "ABCDEF"])
+
+
+def test_pseudonyms_equal_a_plain_network(spark):
+    r = random.Random(17)
+    digits = lambda n: "".join(r.choices(DIGITS, k=n))
+
+    def card():
+        d = digits(15)
+        d += next(c for c in DIGITS if luhn(d + c) % 10 == 0) if r.random() < 0.8 else r.choice(DIGITS)
+        return r.choice([d, " ".join(d[i : i + 4] for i in (0, 4, 8, 12)), "-".join(d[i : i + 4] for i in (0, 4, 8, 12))])
+
+    def date():
+        y, m, d = r.choice([1899, 1900, 1987, 2024, 2099, 2100]), r.randint(1, 13), r.randint(1, 31)
+        return r.choice([f"{y}-{m:02}-{d:02}", f"{d:02}.{m:02}.{y}", f"{d:02}/{m:02}/{y}"])
+
+    make = {
+        "card": card, "date": date, "ip": lambda: ".".join(str(r.choice([r.randint(0, 9), r.randint(10, 99), r.randint(100, 270)])) for _ in range(4)),
+        "email": lambda: "".join(r.choices(LOW + UP + DIGITS + "._+", k=r.randint(1, 12))) + "@" + ".".join("".join(r.choices(LOW + DIGITS, k=r.randint(1, 6))) for _ in range(r.randint(1, 3))) + r.choice([".com", ".de", ".Org"]),
+        "national": lambda: f"{r.choice(['000', '666', '900', digits(3), digits(3)])}-{r.choice(['00', digits(2)])}-{digits(4)}",
+        "phone": lambda: r.choice([f"+{r.randint(1, 99)} ({digits(3)}) {digits(3)}-{digits(4)}", f"({digits(3)}) {digits(3)}-{digits(4)}", f"{digits(3)}.{digits(3)}.{digits(4)}", f"+1{digits(10)}"]),
+        "secret": lambda: "".join(r.choices(DIGITS + r.choice(["abcdef", "ABCDEF", "abcdefABCDEF"]), k=r.choice([32, 40, 64]))),
+    }
+    texts, want = [], []
+    for _ in range(150):
+        found = [(k, make[k]()) for k in r.choices(list(make), k=r.randint(1, 6))]
+        gaps = [r.choice([" and ", ", see ", "\n", " (of) "]) for _ in found]
+        texts.append("word" + "".join(g + v for g, (_, v) in zip(gaps, found, strict=True)) + " end")
+        new = [plain_pseudonym(k, v, "key") for k, v in found]
+        want.append(("word" + "".join(g + v for g, v in zip(gaps, new, strict=True)) + " end", sum(n != v for n, (_, v) in zip(new, found, strict=True))))
+    got = pii.pseudonymise(docs(spark, texts), "key", found="n").orderBy("doc_id").collect()
+    for text, row, (new, n) in zip(texts, got, want, strict=True):
+        assert (row["text"], row["n"]) == (new, n), text
+
+
 def brute_statistics(text):
     w = re.findall(r"[^\x20\x09-\x0D]+", text or "")
     c = {}
