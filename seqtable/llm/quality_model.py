@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .scratch import least_hashed, small_batches, written
+from .scratch import discard, least_hashed, small_batches, written
 
 STATISTICS = ("log_words", "word_length", "distinct", "symbols", "capitals", "digits", "repeats", "dup_lines", "line_length", "marks", "pipes")
 #: Bound on the labelled rows that the two classes are fitted on, least keyed hashes first.
@@ -134,11 +134,17 @@ def score_documents(docs: DataFrame, labels: DataFrame, threshold: float = 0.5,
 
 
 def keep_good(docs: DataFrame, labels: DataFrame, threshold: float = 0.5, max_labelled: int = MAX_LABELLED) -> DataFrame:
-    """The rows of ``docs`` that score at least ``threshold``, with all their columns; rows are scored where they stand."""
+    """The rows of ``docs`` that score at least ``threshold``, with all their columns; rows are scored where they stand.
+
+    The documents to learn from are at most ``max_labelled`` ids, those with the least keyed hashes, which are broadcast.
+    """
     small_batches(docs.sparkSession)
-    one = labels.where("quality in (0, 1)").select("doc_id").distinct()
-    known = docs.select("doc_id", "text").join(one, "doc_id", "left_semi").where(~held_out(F.col("doc_id")))
-    model = fit_on(written(with_statistics(known, ["doc_id"])), labels, max_labelled)
+    # the ids of labelled rows are chosen first, so that no text is shuffled to meet the labels
+    one = labels.where("quality in (0, 1)").select("doc_id").distinct().where(~held_out(F.col("doc_id")))
+    ids = written(least_hashed(one.join(docs.select("doc_id"), "doc_id", "left_semi"), F.xxhash64("doc_id", F.lit(3)), max_labelled))
+    known = written(with_statistics(docs.select("doc_id", "text").join(F.broadcast(ids), "doc_id", "left_semi"), ["doc_id"]))
+    model = fit_on(known, labels, max_labelled)
+    discard(ids, known)
     names = docs.columns
     at = names.index("text")
 
