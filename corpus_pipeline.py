@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from seqtable.llm import minhash, mixing, pieces, pii, quality_model
 from seqtable.llm.queries import SEED, pseudonym_key, tokenizer_path
-from seqtable.llm.scratch import written
+from seqtable.llm.scratch import discard, written
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -44,8 +44,10 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The rows of all stages, one after the other, over the documents of ``sf_dir``."""
+    """The rows of all stages, one after the other, over the documents of ``sf_dir``; a stage's table is deleted once the next is written."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for _, stage in STAGES[:-1]:
-        docs = written(stage(spark, docs, sf_dir))
+    for i, (_, stage) in enumerate(STAGES[:-1]):
+        before, docs = docs, written(stage(spark, docs, sf_dir))
+        if i:
+            discard(before)
     return STAGES[-1][1](spark, docs, sf_dir)
