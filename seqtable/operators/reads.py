@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.sequences import IUPAC, base_entropy, complexity, count_n, expected_errors, fasta_id, iupac_regex, mean_error_phred, mean_phred, phred, revcomp
+from ..functions.sequences import IUPAC, base_entropy, complexity, count_n, expected_errors, fasta_id, iupac_regex, mean_error_phred, mean_phred, revcomp
+from ..plans.stages import staged
 
 #: Read numbers that are sorted together when reads are numbered.
 NUMBERED = 100_000
@@ -63,9 +66,9 @@ def filter_expected_error(reads: DataFrame, maxee: float | None = 1.0, rate: flo
 
 def filter_length_fraction(reads: DataFrame, fraction: float, min_q: int = 4, window: int = 3, max_n: int = 0) -> DataFrame:
     """Truncate before the first run of more than ``window`` scores below ``min_q``; keep reads of at least ``fraction`` of their length."""
-    low = F.transform(phred(F.col("qual")), lambda q: (q < min_q).cast("int"))
-    # the end of the first run of window + 1 low scores
-    run = F.aggregate(low, F.struct(F.lit(0).alias("n"), F.lit(0).alias("i"), F.lit(-1).alias("at")), lambda a, x: F.struct(F.when(x == 1, a["n"] + 1).otherwise(0).alias("n"), (a["i"] + 1).alias("i"), F.when((a["at"] < 0) & (x == 1) & (a["n"] + 1 > window), a["i"] - window).otherwise(a["at"]).alias("at")), lambda a: a["at"])
+    # where the first window + 1 low scores begin, -1 without any
+    least = math.ceil(min_q) + 32
+    run = F.regexp_instr("qual", F.lit(rf"[\x{{0}}-\x{{{least:x}}}]{{{window + 1}}}")) - 1 if least >= 0 else F.when(F.col("qual").isNotNull(), -1)
     cut = F.when(run < 0, F.length("seq")).otherwise(run)
     rows = reads.withColumn("_cut", cut.cast("int")).where(F.col("_cut") >= fraction * F.length("seq"))
     rows = rows.withColumns({c: F.substr(F.col(c), F.lit(1), F.col("_cut")) for c in ("seq", "qual")}).drop("_cut")

@@ -680,7 +680,7 @@ def mean_quality_filter(spark, d):
 @query(f"WITH {CTE_Q}, c AS (SELECT seq, length(regexp_extract(bad_qual, '^(.*?)(#{{4}}|$)', 1)) AS cut FROM q) SELECT length(substr(seq, 1, cut)) AS len, count(*) AS n FROM c WHERE cut >= 0.02 * length(seq) GROUP BY 1")
 def length_fraction_filter(spark, d):
     """Reads cut before their first four poor scores, by what is left of them."""
-    kept = rd.filter_length_fraction(full_reads(spark, d).select("seq", F.col("bad_qual").alias("qual")), 0.02)
+    kept = rd.filter_length_fraction(full_reads(spark, d, "seq", "bad_qual").select("seq", F.col("bad_qual").alias("qual")), 0.02)
     return kept.groupBy(F.length("seq").alias("len")).agg(F.count("*").alias("n"))
 
 

@@ -37,3 +37,16 @@ def test_features_are_derived_once_for_their_clusters(spark, data, monkeypatch):
     made = written(monkeypatch)
     out = q.cluster_97(spark, data)
     assert sum(plan.count("l_orderkey") > 0 for _, plan in made) == 1 and scans(out, "l_orderkey") == 0
+
+
+def test_low_runs_are_those_of_a_plain_loop(spark):
+    quals = ["IIII", "####IIII", "II####II", "###I###I####", "###", "", None, "I$$$$", "I%%%%", "II!\"#$I"]
+    rows = [("ACGTACGTACGT"[: len(s or "AC")], s) for s in quals]
+
+    def cut(s, n, min_q, window):
+        return next((i for i in range(len(s) - window) if all(ord(c) - 33 < min_q for c in s[i : i + window + 1])), n)
+
+    for min_q, window in ((4, 3), (4, 0), (3, 1), (0, 1)):
+        got = rd.filter_length_fraction(spark.createDataFrame(rows, "seq string, qual string"), 0.0, min_q, window)
+        want = [(t[:k], s[:k]) for t, s in rows if s is not None for k in [cut(s, len(t), min_q, window)]]
+        assert sorted(map(tuple, got.collect())) == sorted(want)
