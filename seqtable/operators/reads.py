@@ -142,8 +142,9 @@ def extract_amplicon(seqs: DataFrame, fwd: str, rev: str, lo: int = 300, hi: int
     complement = str.maketrans("ACGTRYSWKMBDHVN", "TGCAYRSWMKVHDBN")
     pattern = iupac_regex(fwd) + "([A-Z]*?)" + iupac_regex(rev.upper().translate(complement)[::-1])
     plus, minus = (F.regexp_extract(F.upper(s), pattern, 1) for s in (F.col("seq"), revcomp(F.col("seq"))))
-    found = seqs.withColumn("seq", F.when(plus != "", plus).otherwise(minus))
-    return found.where(F.length("seq").between(lo, hi))
+    # looked for on the other strand only where it must be, and once a read: a filter would look for it again
+    found = F.array(F.coalesce(F.nullif(plus, F.lit("")), minus))
+    return seqs.withColumn("seq", F.explode(F.filter(found, lambda s: F.length(s).between(lo, hi))))
 
 
 def head_reads(reads: DataFrame, n: int) -> DataFrame:

@@ -39,6 +39,13 @@ def test_features_are_derived_once_for_their_clusters(spark, data, monkeypatch):
     assert sum(plan.count("l_orderkey") > 0 for _, plan in made) == 1 and scans(out, "l_orderkey") == 0
 
 
+def test_a_filter_writes_the_columns_that_it_reads(spark, data, monkeypatch):
+    made = written(monkeypatch)
+    q.length_fraction_filter(spark, data)
+    q.amplicon(spark, data)
+    assert [c for c, _ in made] == [["seq", "bad_qual"], ["ok", "ln", "seq"]]
+
+
 def test_low_runs_are_those_of_a_plain_loop(spark):
     quals = ["IIII", "####IIII", "II####II", "###I###I####", "###", "", None, "I$$$$", "I%%%%", "II!\"#$I"]
     rows = [("ACGTACGTACGT"[: len(s or "AC")], s) for s in quals]
@@ -50,3 +57,11 @@ def test_low_runs_are_those_of_a_plain_loop(spark):
         got = rd.filter_length_fraction(spark.createDataFrame(rows, "seq string, qual string"), 0.0, min_q, window)
         want = [(t[:k], s[:k]) for t, s in rows if s is not None for k in [cut(s, len(t), min_q, window)]]
         assert sorted(map(tuple, got.collect())) == sorted(want)
+
+
+def test_an_amplicon_is_looked_for_once(spark):
+    rows = [(1, "AAACCGGTTTTT"), (2, "AAAAACCGGTTT"), (3, "GGGG"), (4, None)]
+    out = rd.extract_amplicon(spark.createDataFrame(rows, "id int, seq string"), "AAA", "AAA", 2, 9)
+    assert {tuple(x) for x in out.collect()} == {(1, "CCGG"), (2, "AACCGG")}
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("regexp_extract") <= 2, plan
