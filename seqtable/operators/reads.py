@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from ..functions.sequences import IUPAC, base_entropy, complexity, count_n, expected_errors, fasta_id, iupac_regex, mean_error_phred, mean_phred, revcomp
 from ..plans.stages import staged
 
-#: Read numbers that are sorted together when reads are numbered.
+#: Reads that are sorted together when reads are numbered.
 NUMBERED = 100_000
 
 
@@ -166,20 +166,23 @@ def clean_fasta_ids(df: DataFrame) -> DataFrame:
 def number_reads(reads: DataFrame) -> DataFrame:
     """Running number of the reads of each sample, over files in order.
 
-    Reads are counted by sample, file and run of NUMBERED read numbers; what stands before each run is a running sum of
-    those counts, and only the reads of one run are sorted together. Read numbers that are no integers make a file one run.
+    Reads are range-sorted, some NUMBERED to a part, and written with their place in the order, so that neither a sample nor
+    a file is one task's. What stands before a sample's first row of a part is a running sum over the parts, a row for each part and
+    sample in it.
     """
-    whole = reads.schema["read_no"].dataType.simpleString() in ("tinyint", "smallint", "int", "bigint")
-    run = F.floor(F.col("read_no") / NUMBERED) if whole else F.lit(0)
-    keys = [F.col("sample_id"), F.col("file"), run]
-    counts = reads.groupBy(*[k.alias(f"_{i}") for i, k in enumerate(keys)]).agg(F.count("*").alias("_c"))
-    before = F.sum("_c").over(Window.partitionBy("_0").orderBy("_1", "_2").rowsBetween(Window.unboundedPreceding, -1))
-    offsets = counts.select("_0", "_1", "_2", F.coalesce(before, F.lit(0)).alias("_b"))
-    met = reads.withColumn("_r", run).join(offsets, F.col("sample_id").eqNullSafe(F.col("_0")) & F.col("file").eqNullSafe(F.col("_1")) & F.col("_r").eqNullSafe(F.col("_2")))
-    n = F.col("_b") + F.row_number().over(Window.partitionBy("sample_id", "file", "_r").orderBy("read_no"))
-    return met.withColumn("n", n).select(*[F.col(f"`{c}`") for c in reads.columns], "n")
-
-
-def label_reads(reads: DataFrame) -> DataFrame:
-    """FASTA lines ``>sample_n;sample=sample;`` with their sequence."""
-    return number_reads(reads).select(F.concat(F.lit(">"), "sample_id", F.lit("_"), F.col("n").cast("string"), F.lit(";sample="), "sample_id", F.lit(";\n"), "seq").alias("value"))
+    columns, reads = [F.col(f"`{c}`") for c in reads.columns], staged(reads)
+    order = ["sample_id", "file", "read_no"]
+    parts = max(int(reads.sparkSession.conf.get("spark.sql.shuffle.partitions")), math.ceil(reads.count() / NUMBERED))
+    placed = staged(reads.repartitionByRange(parts, *order).sortWithinPartitions(*order).withColumn("_at", F.monotonically_increasing_id()))
+    part = F.shiftright("_at", 33).alias("_p")
+    runs = placed.groupBy(F.col("sample_id").alias("_s"), part).agg(F.min("_at").alias("_low"), F.count("*").alias("_c"))
+    before = F.sum("_c").over(Window.partitionBy("_s").orderBy("_p").rowsBetween(Window.unboundedPreceding, -1))
+    offsets = runs.select("_s", F.col("_p").alias("_q"), (F.coalesce(before, F.lit(0)) - F.col("_low") + 1).alias("_b"))
+    met = placed.select("*", part).join(offsets, F.col("sample_id").eqNullSafe(F.col("_s")) & (F.col("_p") == F.col("_q")))
+    return met.select(*columns, (F.col("_at") + F.col("_b")).alias("n"))
+
+
+def label_reads(reads: DataFrame, *keep: str) -> DataFrame:
+    """FASTA lines ``>sample_n;sample=sample;`` with their sequence, and the columns ``keep``."""
+    label = F.concat(F.lit(">"), "sample_id", F.lit("_"), F.col("n").cast("string"), F.lit(";sample="), "sample_id", F.lit(";\n"), "seq")
+    return number_reads(reads).select(label.alias("value"), *keep)

@@ -654,12 +654,10 @@ def match_or_first(spark, d):
 
 @query(f"WITH {CTE_R} SELECT tpl, seq AS label FROM (SELECT tpl, concat('>', sample_id, '_', row_number() OVER (PARTITION BY sample_id ORDER BY ok, ln, pk, seq), ';sample=', sample_id, ';', chr(10), seq) AS seq FROM (SELECT DISTINCT * FROM r) r) x")
 def labelled_fasta(spark, d):
-    r = reads(spark, d).distinct()
+    r = reads(spark, d, distinct=True)
     file = F.concat(F.lpad(F.col("ok").cast("string"), 12, "0"), F.lpad(F.col("ln").cast("string"), 4, "0"), F.lpad(F.col("pk").cast("string"), 12, "0"))
     rows = r.select("sample_id", "tpl", "seq", file.alias("file"), F.col("seq").alias("read_no"))
-    lines = rd.label_reads(rows).select(F.col("value").alias("label"))
-    names = rd.number_reads(rows).select("tpl", F.concat(F.lit(">"), "sample_id", F.lit("_"), F.col("n").cast("string"), F.lit(";sample="), "sample_id", F.lit(";\n"), "seq").alias("label"))
-    return names.join(lines, "label").select("tpl", "label")
+    return rd.label_reads(rows, "tpl").select("tpl", F.col("value").alias("label"))
 
 
 # filters and trims of reads

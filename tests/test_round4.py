@@ -65,3 +65,12 @@ def test_an_amplicon_is_looked_for_once(spark):
     assert {tuple(x) for x in out.collect()} == {(1, "CCGG"), (2, "AACCGG")}
     plan = out._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("regexp_extract") <= 2, plan
+
+
+def test_numbered_parts_are_bounded(spark, monkeypatch):
+    monkeypatch.setattr(rd, "NUMBERED", 10)
+    rows = [("s", f"f{n:04d}", "A") for n in range(300)]
+    made = written(monkeypatch)
+    got = rd.label_reads(spark.createDataFrame(rows, "sample_id string, file string, read_no string").withColumn("seq", F.col("read_no")), "file")
+    assert {tuple(x) for x in got.collect()} == {(f">s_{n + 1};sample=s;\nA", f"f{n:04d}") for n in range(300)}
+    assert "RepartitionByExpression" in made[1][1] and ", 30" in made[1][1]
