@@ -39,6 +39,10 @@ def test_features_are_derived_once_for_their_clusters(spark, data, monkeypatch):
     assert sum(plan.count("l_orderkey") > 0 for _, plan in made) == 1 and scans(out, "l_orderkey") == 0
 
 
+def test_counts_and_ids_are_derived_once_for_both_filters(spark, data):
+    assert scans(q.filter_features(spark, data), "l_orderkey") == 0
+
+
 def test_a_filter_writes_the_columns_that_it_reads(spark, data, monkeypatch):
     made = written(monkeypatch)
     q.length_fraction_filter(spark, data)
