@@ -43,6 +43,13 @@ def test_counts_and_ids_are_derived_once_for_both_filters(spark, data):
     assert scans(q.filter_features(spark, data), "l_orderkey") == 0
 
 
+def test_reads_are_mapped_in_one_pass(spark, data, monkeypatch):
+    made = written(monkeypatch)
+    reads = fixtures.reads(spark, data)
+    out = sm.map_back(reads, spark.createDataFrame([("a", "ACGT", 1)], "feature_id string, seq string, size long"))
+    assert sum(plan.count("l_orderkey") > 0 for _, plan in made) == 1 and scans(out, "l_orderkey") == 0
+
+
 def test_a_filter_writes_the_columns_that_it_reads(spark, data, monkeypatch):
     made = written(monkeypatch)
     q.length_fraction_filter(spark, data)
