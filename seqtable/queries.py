@@ -764,13 +764,14 @@ def layout_majority(spark, d):
 def merge_and_classify(spark, d):
     """Two datasets merged, features outside a given list left out, the others oriented against all reads and classified by template."""
     r = reads(spark, d)
-    named = r.groupBy("tpl").agg(F.min("seq").alias("seq")).select(F.col("tpl").cast("string").alias("lineage"), "seq")
+    known = staged(r.select("tpl", "seq").distinct())
+    named = staged(known.groupBy("tpl").agg(F.min("seq").alias("seq")).select(F.col("tpl").cast("string").alias("lineage"), "seq"))
     parts = [r.where("ok % 2 = 0"), r.where("ok % 2 = 1")]
     seqs = [ft.dereplicate(p).select(F.md5("seq").alias("feature_id"), "seq") for p in parts]
-    keep = r.where("tpl % 3 <> 0").select(F.md5("seq").alias("feature_id")).distinct()
-    counts, taxonomy, _ = pipelines.merge_and_classify([ft.feature_counts(p) for p in parts], seqs, r.select("seq").distinct(), sm.train_classifier(named), keep)
-    known = r.select(F.md5("seq").alias("feature_id"), "seq").distinct()
-    return counts.select("feature_id").distinct().join(taxonomy, "feature_id").join(known, "feature_id").select("feature_id", "seq", F.col("lineage").try_cast("int").alias("tpl"))
+    keep = known.where("tpl % 3 <> 0").select(F.md5("seq").alias("feature_id")).distinct()
+    counts, taxonomy, _ = pipelines.merge_and_classify([ft.feature_counts(p) for p in parts], seqs, known.select("seq").distinct(), sm.train_classifier(named), keep)
+    named = known.select(F.md5("seq").alias("feature_id"), "seq").distinct()
+    return counts.select("feature_id").distinct().join(taxonomy, "feature_id").join(named, "feature_id").select("feature_id", "seq", F.col("lineage").try_cast("int").alias("tpl"))
 
 
 @query(f"WITH {CTE_R}, t AS (SELECT min(seq) AS ref FROM r), f AS (SELECT DISTINCT substr(ref, 1 + CAST(ok % 30 AS INT), CAST(40 + ok % 50 AS INT)) AS seq, CAST(1 + ok % 30 AS INT) AS lo, CAST(least(113, ok % 30 + 40 + ok % 50) AS INT) AS hi FROM r, t) SELECT md5(seq) AS feature_id, lo, hi FROM f")
