@@ -257,7 +257,7 @@ fr AS (SELECT *, CASE WHEN length(seq) < 50 THEN 'length' WHEN mq < 20 THEN 'qua
 def _mixed_reads(spark, d) -> DataFrame:
     k = F.col("ok") % 11
     seq = F.when(k == 1, F.substr(F.col("seq"), F.lit(1), (30 + F.col("ok") % 40).cast("int"))).when(k == 3, F.lit("A" * 60)).when(k == 4, F.repeat(F.lit("AAAAAAAAAAAAAAAAAAAAAAAACGTCAG"), (1 + F.col("ok") % 3).cast("int"))).otherwise(F.col("seq"))
-    return full_reads(spark, d).select("sample_id", "ok", "ln", seq.alias("seq"), F.when(k == 2, F.col("bad_qual")).otherwise(F.col("qual")).alias("qual"))
+    return full_reads(spark, d, "sample_id", "ok", "ln", "seq", "qual", "bad_qual").select("sample_id", "ok", "ln", seq.alias("seq"), F.when(k == 2, F.col("bad_qual")).otherwise(F.col("qual")).alias("qual"))
 
 
 @query(f"WITH {_FILTER_SQL} SELECT discard_reason, count(*) AS n FROM fr GROUP BY 1")
@@ -267,7 +267,7 @@ def read_filter(spark, d):
 
 @query(f"WITH {CTE_Q}, e AS (SELECT ok, ln, round(list_sum(list_transform(string_split(qual, ''), lambda c: power(10.0, -(ascii(c) - 33) / 10.0))), 6) AS ee, round(list_sum(list_transform(string_split(qual, ''), lambda c: ascii(c) - 33)) / 113.0, 6) AS mq FROM q WHERE ok % 10 = 1 OR ok % 10 <> 1) SELECT ok, ln, ee, mq FROM e")
 def expected_errors(spark, d):
-    return full_reads(spark, d).select("ok", "ln", F.round(sq.expected_errors(F.col("qual")), 6).alias("ee"), F.round(sq.mean_phred(F.col("qual")), 6).alias("mq"))
+    return full_reads(spark, d, "ok", "ln", "qual").select("ok", "ln", F.round(sq.expected_errors(F.col("qual")), 6).alias("ee"), F.round(sq.mean_phred(F.col("qual")), 6).alias("mq"))
 
 
 @query(f"WITH {CTE_Q}, s AS (SELECT sample_id, substr(seq_tail_n, 16, 95) AS seq FROM q) SELECT sample_id, count(*) AS n, CAST(sum(length(seq)) AS BIGINT) AS bases FROM s WHERE length(seq) >= 95 AND length(seq) - length(replace(seq, 'N', '')) <= 1 GROUP BY 1")
@@ -788,7 +788,7 @@ def region_spans(spark, d):
 @query()
 def ont_table(spark, d):
     """Counts of the long-read pipeline over all reads."""
-    q = full_reads(spark, d)
+    q = full_reads(spark, d, "sample_id", "seq", "qual")
     return pipelines.ont_pipeline(q.select("sample_id", "seq", "qual"), 10, 50, 400).counts
 
 
