@@ -1,5 +1,8 @@
+import random
 from collections import Counter
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import functions as F
 
 from seqtable import queries as q
@@ -85,3 +88,31 @@ def test_numbered_parts_are_bounded(spark, monkeypatch):
     got = rd.label_reads(spark.createDataFrame(rows, "sample_id string, file string, read_no string").withColumn("seq", F.col("read_no")), "file")
     assert {tuple(x) for x in got.collect()} == {(f">s_{n + 1};sample=s;\nA", f"f{n:04d}") for n in range(300)}
     assert "RepartitionByExpression" in made[1][1] and ", 30" in made[1][1]
+
+
+def test_pairs_are_joined_by_batches_as_one_by_one():
+    r = random.Random(3)
+    rows, overlap = [], []
+    for _ in range(300):
+        m, n = r.randint(0, 30), r.randint(0, 30)
+        text = lambda k, of: "".join(r.choices(of, k=k))
+        rows.append((text(m, "ACGTN"), text(m, "!#5I"), text(n, "ACGTN"), text(n, "!#5I")))
+        overlap.append(r.randint(0, min(m, n)))
+    for some, o in ((rows, overlap), (rows[:1], overlap[:1]), ([], []), ([("A\u00e9G", "III", "GT", "II")], [1])):
+        columns = [pa.array([x[k] for x in some], pa.string()) for k in range(4)]
+        seq, qual = sm._joined_all(columns, np.array(o, np.int64))
+        assert list(zip(seq.to_pylist(), qual.to_pylist(), strict=True)) == [sm._joined(*x, k) for x, k in zip(some, o, strict=True)]
+
+
+def test_plain_pairs_are_not_joined_one_by_one(monkeypatch):
+    monkeypatch.setattr(sm, "_joined", None)
+    columns = [pa.array([x, x]) for x in ("ACGT", "IIII", "GTAA", "##II")]
+    seq, qual = sm._joined_all(columns, np.array([2, 0]))
+    assert seq.to_pylist() == ["ACGTAA", "ACGTGTAA"] and qual.to_pylist() == ["IIIIII", "IIII##II"]
+
+
+def test_reads_are_written_as_fastq_by_all_tasks(spark, data, monkeypatch):
+    fixed = []
+    kind = type(spark.range(1))
+    monkeypatch.setattr(kind, "repartition", lambda df, *a: fixed.append(a) or df)
+    assert q.fastq_scan(spark, data).agg(F.sum("misnumbered")).first()[0] == 0 and not fixed
