@@ -797,9 +797,9 @@ SELECT concat('r', ok, '.', ln) AS header, seq, qual, count(*) AS n, 0 AS misnum
 def fastq_scan(spark, d):
     """Reads written as FASTQ files, a folder for each sample, and read back in ranges of 1 MB; misnumbered: files whose numbers are not 1 to n."""
     path = stage_folder(spark)
-    q = full_reads(spark, d)
+    q = full_reads(spark, d, "sample_id", "ok", "ln", "seq", "qual")
     lines = q.select("sample_id", F.concat_ws("\n", F.concat(F.lit("@r"), "ok", F.lit("."), "ln"), "seq", F.lit("+"), "qual").alias("value"))
-    lines.repartition(4, "sample_id").write.partitionBy("sample_id").text(path)
+    lines.write.partitionBy("sample_id").text(path)
     rows = fq.read_fastq(spark, path, 1 << 20, endings=(".txt",))
     numbers = rows.groupBy("file").agg(F.count("*").alias("n"), F.countDistinct("read_no").alias("k"), F.max("read_no").alias("last"))
     wrong = numbers.agg(F.count_if((F.col("n") != F.col("k")) | (F.col("n") != F.col("last"))).cast("int").alias("misnumbered"))
