@@ -6,6 +6,7 @@ import pyarrow as pa
 from pyspark.sql import functions as F
 
 from seqtable import queries as q
+from seqtable.operators import longreads
 from seqtable.operators import reads as rd
 from seqtable.operators import similarity as sm
 from seqtable.plans import fixtures, stages
@@ -116,3 +117,27 @@ def test_reads_are_written_as_fastq_by_all_tasks(spark, data, monkeypatch):
     kind = type(spark.range(1))
     monkeypatch.setattr(kind, "repartition", lambda df, *a: fixed.append(a) or df)
     assert q.fastq_scan(spark, data).agg(F.sum("misnumbered")).first()[0] == 0 and not fixed
+
+
+def test_distances_of_a_block_are_those_one_by_one():
+    r = random.Random(6)
+    pairs = [("", ""), ("A", ""), ("AC\u00e9GTACGTACGT", "ACGTACGTACGT"), ("ACGT\x01ACGTACGT", "ACGTACGTACGT"), ("A" * 40, "A" * 40), ("A" * 40, "A" * 31 + "C" * 9)]
+    for _ in range(400):
+        a = r.choices("ACGT" if r.random() < 0.7 else "AC", k=r.choice([20, 90, 300]))
+        b = list(a)
+        for _ in range(r.randint(0, 40)):
+            i = r.randrange(len(b) + 1)
+            b[i : i + r.randint(0, 2)] = r.choices("ACGTN", k=r.randint(0, 2))
+        pairs.append(("".join(a), "".join(b)))
+    for most in (0, 3, 12, 19, 60, 200):
+        got = longreads.distances([a for a, _ in pairs], [b for _, b in pairs], [most] * len(pairs))
+        assert got == [longreads.distance(a, b, most) for a, b in pairs], most
+    mixed = [r.randint(0, 60) for _ in pairs]
+    assert longreads.distances(*map(list, zip(*pairs)), mixed) == [longreads.distance(a, b, m) for (a, b), m in zip(pairs, mixed)]
+    assert longreads.distances([], [], []) == []
+
+
+def test_long_reads_are_not_compared_one_by_one(monkeypatch):
+    monkeypatch.setattr(longreads, "distance", None)
+    a = "".join(random.Random(7).choices("ACGT", k=1500))
+    assert longreads.distances([a, a, a], [a, a[:700] + a[710:], a[::-1]], [150] * 3) == [0, 10, None]
