@@ -11,9 +11,9 @@ from pyspark.sql import functions as F
 REGIONS = [("V1", 69, 99), ("V2", 137, 242), ("V3", 433, 497), ("V4", 576, 682), ("V5", 822, 879), ("V6", 986, 1043), ("V7", 1117, 1173), ("V8", 1243, 1294), ("V9", 1435, 1465)]
 
 
-def dereplicate(reads: DataFrame, by: tuple[str, ...] = ()) -> DataFrame:
-    """(by, seq, size): distinct sequences with their abundance; combined before the shuffle."""
-    return reads.groupBy(*by, F.upper("seq").alias("seq")).agg(F.count("*").alias("size"))
+def dereplicate(reads: DataFrame, by: tuple[str, ...] = (), *more: Column) -> DataFrame:
+    """(by, seq, size, more): distinct sequences with their abundance and further aggregates; combined before the shuffle."""
+    return reads.groupBy(*by, F.upper("seq").alias("seq")).agg(F.count("*").alias("size"), *more)
 
 
 def by_abundance(features: DataFrame) -> DataFrame:

@@ -429,8 +429,9 @@ def abundance_check(spark, d):
 
 @query(f"WITH {CTE_R} SELECT md5(seq) AS feature_id, sample_id, count(*) AS n, tpl % 3 = 0 AS kept FROM r GROUP BY ALL")
 def filter_features(spark, d):
-    r = reads(spark, d)
-    counts, ids = staged(ft.feature_counts(r)), staged(r.where("tpl % 3 = 0").select("seq").distinct().select(F.md5("seq").alias("feature_id")))
+    found = ft.dereplicate(reads(spark, d), ("sample_id",), F.bool_or(F.expr("tpl % 3 = 0")).alias("listed"))
+    counts = staged(found.select(F.md5("seq").alias("feature_id"), "sample_id", F.col("size").alias("n"), "listed"))
+    ids, counts = counts.where("listed").select("feature_id").distinct(), counts.drop("listed")
     return ft.keep_features(counts, ids).withColumn("kept", F.lit(True)).unionByName(ft.removed_features(counts, ids).withColumn("kept", F.lit(False)))
 
 

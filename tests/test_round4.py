@@ -47,6 +47,15 @@ def test_counts_and_ids_are_derived_once_for_both_filters(spark, data):
     assert scans(q.filter_features(spark, data), "l_orderkey") == 0
 
 
+def test_counts_and_ids_come_from_one_pass_over_the_reads(spark, data, monkeypatch):
+    made = written(monkeypatch)
+    out = q.filter_features(spark, data)
+    assert sum(plan.count("l_orderkey") > 0 for _, plan in made) == 1 and scans(out, "l_orderkey") == 0
+    r = fixtures.reads(spark, data)
+    want = Counter((x.feature_id, x.sample_id, x.kept) for x in r.select(F.md5("seq").alias("feature_id"), "sample_id", F.expr("tpl % 3 = 0 AS kept")).collect())
+    assert Counter({(x.feature_id, x.sample_id, x.kept): x.n for x in out.collect()}) == want
+
+
 def test_reads_are_mapped_in_one_pass(spark, data, monkeypatch):
     made = written(monkeypatch)
     reads = fixtures.reads(spark, data)
