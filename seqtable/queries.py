@@ -427,18 +427,23 @@ def abundance_check(spark, d):
     return ft.abundance_check(reads(spark, d))
 
 
+def _marked_counts(spark, d) -> DataFrame:
+    """Counts with the mark of features of every third template, from one pass over the reads; only distinct sequences are hashed."""
+    found = ft.dereplicate(reads(spark, d), ("sample_id",), F.bool_or(F.expr("tpl % 3 = 0")).alias("listed"))
+    return staged(found.select(F.md5("seq").alias("feature_id"), "sample_id", F.col("size").alias("n"), "listed"))
+
+
 @query(f"WITH {CTE_R} SELECT md5(seq) AS feature_id, sample_id, count(*) AS n, tpl % 3 = 0 AS kept FROM r GROUP BY ALL")
 def filter_features(spark, d):
-    found = ft.dereplicate(reads(spark, d), ("sample_id",), F.bool_or(F.expr("tpl % 3 = 0")).alias("listed"))
-    counts = staged(found.select(F.md5("seq").alias("feature_id"), "sample_id", F.col("size").alias("n"), "listed"))
-    ids, counts = counts.where("listed").select("feature_id").distinct(), counts.drop("listed")
+    marked = _marked_counts(spark, d)
+    counts, ids = marked.drop("listed"), marked.where("listed").select("feature_id").distinct()
     return ft.keep_features(counts, ids).withColumn("kept", F.lit(True)).unionByName(ft.removed_features(counts, ids).withColumn("kept", F.lit(False)))
 
 
 @query(f"WITH {CTE_R} SELECT 'feature_without_sequence' AS issue, 'error' AS level, count(DISTINCT seq) AS n FROM r WHERE tpl % 3 <> 0 UNION ALL SELECT 'sample_not_in_manifest', 'warning', count(DISTINCT sample_id) FROM r WHERE sample_id IN ('S1', 'S2')")
 def referential_check(spark, d):
-    r = reads(spark, d)
-    return ft.check_references(ft.feature_counts(r), r.where("tpl % 3 = 0").select(F.md5("seq").alias("feature_id")).distinct(), r.where("sample_id not in ('S1', 'S2')").select("sample_id").distinct())
+    counts = _marked_counts(spark, d)
+    return ft.check_references(counts, counts.where("listed").select("feature_id").distinct(), counts.where("sample_id not in ('S1', 'S2')").select("sample_id").distinct())
 
 
 @query(f"WITH {CTE_R}, l AS (SELECT 60 + ok % 300 AS len FROM r), o AS (SELECT len, row_number() OVER (ORDER BY len) AS k, count(*) OVER () AS n FROM l) SELECT *, n >= 20 AND p95 / p05 > 1.5 AS warn FROM (SELECT max(n) AS n, CAST(min(CASE WHEN k = floor(n * 0.05) + 1 THEN len END) AS INT) AS p05, CAST(min(CASE WHEN k >= floor(n * 0.95) THEN len END) AS INT) AS p95 FROM o) x")

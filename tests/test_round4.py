@@ -56,6 +56,15 @@ def test_counts_and_ids_come_from_one_pass_over_the_reads(spark, data, monkeypat
     assert Counter({(x.feature_id, x.sample_id, x.kept): x.n for x in out.collect()}) == want
 
 
+def test_references_are_checked_from_one_pass_over_the_reads(spark, data, monkeypatch):
+    made = written(monkeypatch)
+    out = q.referential_check(spark, data)
+    assert sum(plan.count("l_orderkey") > 0 for _, plan in made) == 1 and scans(out, "l_orderkey") == 0
+    r = fixtures.reads(spark, data)
+    lost = r.where("tpl % 3 <> 0").select("seq").distinct().count()
+    assert {tuple(x) for x in out.collect()} == {("feature_without_sequence", "error", lost), ("sample_not_in_manifest", "warning", 2)}
+
+
 def test_reads_are_mapped_in_one_pass(spark, data, monkeypatch):
     made = written(monkeypatch)
     reads = fixtures.reads(spark, data)
