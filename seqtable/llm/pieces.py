@@ -4,7 +4,8 @@ The merges of the model are applied from an agenda (best score first, then leftm
 candidate merge that comes up is skipped with that chance, by a draw of its own: a keyed hash of (seed, document, place of
 the word in the document) gives how many candidates are applied before the next one is skipped, so every occurrence of a
 word is varied anew, and all its segmentations decode to the same text. What a word becomes after given skips does not
-depend on the draw; it is remembered, up to a bound. The model's own file is read, never trained.
+depend on the draw; what comes up more than once in a batch is remembered, up to a bound, the rest is merged in one go with
+all its skips. The model's own file is read, never trained.
 """
 
 from __future__ import annotations
@@ -13,9 +14,10 @@ import heapq
 import re
 import zlib
 from bisect import bisect_right
-from collections.abc import Iterable, Iterator
+from collections import Counter
+from collections.abc import Callable, Iterable, Iterator
 from functools import lru_cache
-from itertools import chain
+from itertools import chain, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -32,6 +34,8 @@ WIDE = 32
 STEPS = 128
 #: Fewer words than this are merged one by one.
 FEW = 32
+#: An odd number that spreads pairs over their table.
+SPREAD = 0x9E3779B97F4A7C15
 
 
 class PieceEncoder:
@@ -57,13 +61,23 @@ class PieceEncoder:
             self.texts[i] = t.replace(SPACE, " ").encode()
         for b, i in enumerate(self.bytes):
             self.texts[i] = bytes([b])
-        # every way to make a piece of two: (left, right) as one number, sorted, with the piece; and characters to ids
+        # every way to make a piece of two: (left, right) as one number, at its place or the next free one, with the piece
         made = {(self.ids[t[:k]] << 32) | self.ids[t[k:]]: i for t, i in self.ids.items() for k in range(1, len(t)) if t[:k] in self.ids and t[k:] in self.ids}
-        self.pairs = np.array(sorted(made), np.int64)
-        self.products = np.array([made[k] for k in self.pairs.tolist()], np.int64)
-        self.ranks = np.full(m.get_piece_size(), -np.inf)
-        for t, i in self.ids.items():
-            self.ranks[i] = self.scores[t]
+        bits = max(8, (4 * len(made)).bit_length())
+        self.shift, self.last = np.uint64(64 - bits), (1 << bits) - 1
+        free = np.iinfo(np.int64).min
+        pairs, products = [free] * (1 << bits), [0] * (1 << bits)
+        for k, i in made.items():
+            at = (k * SPREAD & 0xFFFFFFFFFFFFFFFF) >> (64 - bits)
+            while pairs[at] != free:
+                at = (at + 1) & self.last
+            pairs[at], products[at] = k, i
+        self.pairs, self.products = np.array(pairs, np.int64), np.array(products, np.int64)
+        # pieces in order of score, in steps of WIDE that leave room for a place in the word; no piece comes last
+        score = np.full(m.get_piece_size(), -np.inf)
+        score[list(self.ids.values())] = [self.scores[t] for t in self.ids]
+        self.order = (WIDE * (1 + np.unique(score, return_inverse=True)[1])).astype(np.int32)
+        self.order[0] = -2 * WIDE
         self.chars = np.full(0x110000, -1, np.int32)
         for t, i in self.ids.items():
             if len(t) == 1:
@@ -88,7 +102,7 @@ class PieceEncoder:
             raw = np.array([self.bytes[b] for b in c.encode()], np.int32)
             self.roots[w] = self._add([len(w)], raw, np.array([len(raw)]), np.array([0]))
 
-    def _add(self, lengths: list[int], ids: np.ndarray, sizes: np.ndarray, steps: np.ndarray) -> int:
+    def _add(self, lengths: list[int] | np.ndarray, ids: np.ndarray, sizes: np.ndarray, steps: np.ndarray) -> int:
         """Append nodes of words of some lengths; the number of the first."""
         first, last, end = self.count, self.count + len(lengths), self.pooled + len(ids)
         while last > len(self.starts):
@@ -98,7 +112,7 @@ class PieceEncoder:
         if end > len(self.pool):
             self.pool = np.concatenate([self.pool[: self.pooled], np.zeros(end, np.int32)])
         self.count = last
-        self.sizes[first:last], self.steps[first:last], self.wide[first:last] = sizes, steps, np.array(lengths) > WIDE
+        self.sizes[first:last], self.steps[first:last], self.wide[first:last] = sizes, steps, np.asarray(lengths) > WIDE
         self.starts[first:last] = self.pooled + np.cumsum(sizes) - sizes
         self.pool[self.pooled : end] = ids
         self.pooled = end
@@ -196,80 +210,117 @@ class PieceEncoder:
                 held = 0
         return [*out, SPACE * held] if held else out
 
-    def _candidates(self, left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(piece, score) of adjacent pieces; the score is -inf where they make none."""
+    def _made(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        """The pieces that adjacent pieces make, 0 where they make none."""
         want = (left << 32) | right
-        where = np.minimum(np.searchsorted(self.pairs, want), len(self.pairs) - 1)
-        piece = np.where((self.pairs[where] == want) & (left >= 0) & (right >= 0), self.products[where], 0)
-        return piece, np.where(piece > 0, self.ranks[piece], -np.inf)
+        at = ((want.view(np.uint64) * np.uint64(SPREAD)) >> self.shift).view(np.int64)
+        found = self.pairs[at]
+        out = np.where(found == want, self.products[at], 0)
+        open_ = np.flatnonzero((found != want) & (found >= 0) & (want >= 0))
+        while len(open_):
+            at[open_] = (at[open_] + 1) & self.last
+            found = self.pairs[at[open_]]
+            hit = found == want[open_]
+            out[open_[hit]] = self.products[at[open_[hit]]]
+            open_ = open_[~hit & (found >= 0)]
+        return out
 
     def merge_many(self, wanted: list[tuple[str, tuple[int, ...]]]) -> np.ndarray:
-        """Nodes of many (word, skips), merged at once: each round takes the best entry of every word's agenda.
+        """Nodes of many (word, skips), merged at once."""
+        most = max((len(x) for _, x in wanted), default=0)
+        skips = np.full((len(wanted), most + 1), STEPS, np.int64)
+        for k, (_, x) in enumerate(wanted):
+            if x:
+                skips[k, : len(x)] = x
+        return self._merge_all([w for w, _ in wanted], skips[:, 0], lambda k, turn, step: skips[k, turn], lambda k: wanted[k][1])
+
+    def _merge_drawn(self, words: list[str], places: np.ndarray) -> np.ndarray:
+        """Nodes of single occurrences, each with all the skips that its place draws."""
+        if not self.gaps:
+            return self.merge_many([(w, ()) for w in words])
+        return self._merge_all(words, self._gaps(places, 0), lambda k, turn, step: step + 1 + self._gaps(places[k], turn), lambda k: self._skips(int(places[k])))
+
+    def _merge_all(self, words: list[str], due: np.ndarray, follow: Callable, one: Callable) -> np.ndarray:
+        """Nodes of words with the skips that begin with ``due`` (see ``_rounds``), or that ``one`` lists for a word.
 
         Long words and words with characters outside the vocabulary are merged one by one.
         """
-        nodes = np.zeros(len(wanted), np.int64)
-        groups: dict[int, list[int]] = {}
-        for k, (w, _) in enumerate(wanted):
-            groups.setdefault(-(-len(w) // 4) * 4, []).append(k)
-        single: list[int] = []
-        for width, group in groups.items():
-            if width > WIDE or len(group) < FEW:
-                single += group
+        nodes = np.zeros(len(words), np.int64)
+        sizes = np.fromiter(map(len, words), np.int64, len(words))
+        starts = np.cumsum(sizes) - sizes
+        chars = self.chars[np.frombuffer("".join(words).encode("utf-32-le", "surrogatepass"), np.uint32)]
+        widths = -(-sizes // 4) * 4
+        single = [np.flatnonzero(widths > WIDE)]
+        for width in range(4, WIDE + 1, 4):
+            group = np.flatnonzero(widths == width)
+            if len(group) < FEW:
+                single.append(group)
                 continue
             for low in range(0, len(group), 8192):
                 some = group[low : low + 8192]
-                points = np.frombuffer("".join(wanted[k][0].ljust(width, "\0") for k in some).encode("utf-32-le", "surrogatepass"), np.uint32).reshape(len(some), width)
-                ids = np.where(points > 0, self.chars[points], -2).astype(np.int64)
-                odd = (ids == -1).any(axis=1) | (np.array([len(wanted[k][0]) for k in some]) != (points > 0).sum(axis=1))
-                single += [some[k] for k in np.flatnonzero(odd).tolist()]
-                even = np.flatnonzero(~odd)
-                if len(even):
-                    chosen = [some[k] for k in even.tolist()]
-                    nodes[chosen] = self._add([len(wanted[k][0]) for k in chosen], *self._rounds([wanted[k][1] for k in chosen], ids[even])) + np.arange(len(chosen))
-        if single:
-            done = [self.merge(*wanted[k]) for k in single]
+                at = np.arange(width)
+                ids = np.where(at < sizes[some, None], chars[np.minimum(starts[some, None] + at, len(chars) - 1)], -2)
+                odd = (ids == -1).any(axis=1)
+                if odd.any():
+                    single.append(some[odd])
+                    some, ids = some[~odd], ids[~odd]
+                if len(some):
+                    nodes[some] = self._add(sizes[some], *self._rounds(ids, due[some], lambda k, turn, step, some=some: follow(some[k], turn, step))) + np.arange(len(some))
+        alone = np.concatenate(single)
+        if len(alone):
+            done = [self.merge(words[k], one(k)) for k in alone.tolist()]
             flat = np.array(list(chain.from_iterable(x for x, _ in done)), np.int32)
-            nodes[single] = self._add([len(wanted[k][0]) for k in single], flat, np.array([len(x) for x, _ in done]), np.array([n for _, n in done])) + np.arange(len(single))
+            nodes[alone] = self._add(sizes[alone], flat, np.array([len(x) for x, _ in done]), np.array([n for _, n in done])) + np.arange(len(alone))
         return nodes
 
-    def _rounds(self, skips: list[tuple[int, ...]], ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Ids of all words one after the other, how many each has, and how many candidates came up."""
-        n, width = ids.shape
-        skipped = np.zeros((STEPS, n), bool)
-        skipped[list(chain.from_iterable(skips)), np.repeat(np.arange(n), [len(s) for s in skips])] = True
-        ids = np.hstack([ids, np.full((n, 1), -2, np.int64)])
-        piece, score = self._candidates(ids[:, :-1], ids[:, 1:])
-        columns = np.arange(width + 1)
-        final, steps = ids.copy(), np.zeros(n, np.int64)
-        rows = np.arange(n)
+    def _rounds(self, ids: np.ndarray, due: np.ndarray, follow: Callable) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Ids of all words one after the other, how many each has, and how many candidates came up.
+
+        Each round takes the best entry of every word's agenda. ``due`` is the first place that a word skips,
+        ``follow(words, turns, place)`` the next ones of words that skip at a place for the first time, second, and so on.
+        """
+        n, width = ids.shape[0], ids.shape[1] + 2
+        # the pieces of a word stand where they begin, between two ends that make no piece; each knows its neighbours
+        sym = np.full((n, width), -2, np.int64)
+        sym[:, 1:-1] = ids
+        sym = sym.ravel()
+        piece = self._made(sym, np.append(sym[1:], -2))
+        # the agenda: order of the piece, then leftmost first
+        agenda = np.ascontiguousarray((self.order[piece].reshape(n, width) + np.arange(WIDE, WIDE - width, -1, np.int32)).T)
+        before, after = np.arange(-1, n * width - 1), np.arange(1, n * width + 1)
+        rows, due, turn, steps = np.arange(n), due.copy(), np.zeros(n, np.int64), np.zeros(n, np.int64)
         for step in range(STEPS):
-            best = score.argmax(axis=1)
-            go = score[np.arange(len(rows)), best] > -np.inf
-            if not go.all():
-                final[rows[~go]], steps[rows[~go]] = ids[~go], step
-                if not go.any():
-                    break
-                rows, ids, piece, score, best = (x[go] for x in (rows, ids, piece, score, best))
-            skip = skipped[step, rows]
-            here = np.arange(len(rows))
-            ids[here, best] = np.where(skip, ids[here, best], piece[here, best])
-            # what is behind a pair that is merged moves up by one
-            shift = (columns > best[:, None]) & ~skip[:, None]
-            ids[:, :-1] = np.where(shift[:, :-1], ids[:, 1:], ids[:, :-1])
-            ids[~skip, -1] = -2
-            piece[:, :-1], score[:, :-1] = np.where(shift[:, :-2], piece[:, 1:], piece[:, :-1]), np.where(shift[:, :-2], score[:, 1:], score[:, :-1])
-            score[~skip, -1] = -np.inf
-            score[skip, best[skip]] = -np.inf
-            here = np.flatnonzero(~skip)
-            some, j = np.concatenate([here, here]), np.concatenate([best[here], best[here] - 1])
-            some, j = some[j >= 0], j[j >= 0]
-            piece[some, j], score[some, j] = self._candidates(ids[some, j], ids[some, j + 1])
-        return final[final >= 0].astype(np.int32), (final >= 0).sum(axis=1), steps
-
-    def _gaps(self, places: np.ndarray, k: int) -> np.ndarray:
+            best = agenda.max(axis=0)
+            here = np.flatnonzero(best > 0)
+            if 4 * len(here) < 3 * len(rows):
+                agenda, rows, best = agenda.take(here, axis=1), rows[here], best[here]
+                here = np.arange(len(rows))
+            if not len(here):
+                break
+            row, column = rows[here], WIDE - (best[here] & (WIDE - 1)).astype(np.int64)
+            steps[row] = step + 1
+            skip = due[row] == step
+            if skip.any():
+                agenda[column[skip], here[skip]] = -WIDE
+                some = row[skip]
+                turn[some] += 1
+                due[some] = follow(some, turn[some], step)
+                here, row, column = here[~skip], row[~skip], column[~skip]
+            first = row * width
+            at = first + column
+            gone, left, new = after[at], before[at], piece[at]
+            right = after[gone]
+            sym[at], sym[gone], after[at], before[right] = new, -2, right, at
+            agenda[gone - first, here] = -WIDE
+            both, place, where = np.concatenate([at, left]), np.concatenate([column, left - first]), np.concatenate([here, here])
+            piece[both] = made = self._made(np.concatenate([new, sym[left]]), np.concatenate([sym[right], new]))
+            agenda[place, where] = self.order[made] + (WIDE - place)
+        kept = sym >= 0
+        return sym[kept].astype(np.int32), kept.reshape(n, width).sum(axis=1), steps
+
+    def _gaps(self, places: np.ndarray, k: int | np.ndarray) -> np.ndarray:
         """How many candidates of each occurrence are applied between its skips k - 1 and k."""
-        x = places + np.uint64(k * 0xD1B54A32D192ED03 & 0xFFFFFFFFFFFFFFFF)
+        x = places + np.atleast_1d(k).astype(np.uint64) * np.uint64(0xD1B54A32D192ED03)
         x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
         x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
         return np.searchsorted(self.gap_table, (x ^ (x >> np.uint64(31))) >> np.uint64(11), "right")
@@ -301,42 +352,47 @@ class PieceEncoder:
         counts = [len(c) for c in cut]
         words = list(chain.from_iterable(cut))
         before = self.count
-        fresh = list(set(words).difference(self.roots))
+        places = self._places(keys, counts)
+        node = np.fromiter(map(self.roots.get, words, repeat(-1)), np.int64, len(words))
+        unknown = np.flatnonzero(node < 0)
+        texts_of = list(map(words.__getitem__, unknown.tolist()))
+        fresh = [w for w, n in Counter(texts_of).items() if n > 1]
         made = self.merge_many([(w, ()) for w in fresh]).tolist()
         self.roots.update(zip(fresh, made, strict=True))
         self.words_of.update(zip(made, fresh, strict=True))
-        node = np.array(list(map(self.roots.__getitem__, words)), np.int64)
+        node[unknown] = np.fromiter(map(self.roots.get, texts_of, repeat(-1)), np.int64, len(unknown))
         born: list[int] = []
-        long: list[int] = []
-        places = self._places(keys, counts)
+        alone = [unknown[node[unknown] < 0]]
         if self.gaps:
             # from each word to what it is after its first skip, its second, and so on
-            some, k = np.arange(len(words)), 0
-            at = self._gaps(places, 0)
+            some, k = np.flatnonzero(node >= 0), 0
+            at = self._gaps(places[some], 0)
             while True:
                 go = at < self.steps[node[some]]
                 some, at = some[go], at[go]
                 if k == 0:
-                    wide = self.wide[node[some]] > 0
-                    long = some[wide].tolist()
+                    wide = self.wide[node[some]]
+                    alone.append(some[wide])
                     some, at = some[~wide], at[~wide]
                 if not len(some):
                     break
-                want, which = np.unique(node[some] * STEPS + at, return_inverse=True)
+                want, which, n = np.unique(node[some] * STEPS + at, return_inverse=True, return_counts=True)
                 got = np.array([self.children.get(x, -1) for x in want.tolist()], np.int64)
-                new = want[got < 0].tolist()
+                more = (got < 0) & (n > 1)
+                new = want[more].tolist()
                 if new:
-                    got[got < 0] = nodes = self.merge_many(list(map(self._path, new)))
+                    got[more] = nodes = self.merge_many(list(map(self._path, new)))
                     self.born_of[nodes] = new
                     self.children.update(zip(new, nodes.tolist(), strict=True))
                     born += new
-                node[some] = got[which]
+                node[some] = got = got[which]
+                alone.append(some[got < 0])
+                some = some[got >= 0]
                 k += 1
-                at = at + 1 + self._gaps(places[some], k)
+                at = at[got >= 0] + 1 + self._gaps(places[some], k)
         after = self.count
-        for i in long:
-            ids, steps = self.merge(words[i], self._skips(int(places[i])))
-            node[i] = self._add([len(words[i])], np.array(ids, np.int32), np.array([len(ids)]), np.array([steps]))
+        rest = np.concatenate(alone)
+        node[rest] = self._merge_drawn(list(map(words.__getitem__, rest.tolist())), places[rest])
         sizes = self.sizes[node].astype(np.int64)
         ends = np.cumsum(sizes)
         flat = self.pool[np.repeat(self.starts[node] - ends + sizes, sizes) + np.arange(ends[-1] if len(ends) else 0)]
