@@ -186,3 +186,22 @@ def label_reads(reads: DataFrame, *keep: str) -> DataFrame:
     """FASTA lines ``>sample_n;sample=sample;`` with their sequence, and the columns ``keep``."""
     label = F.concat(F.lit(">"), "sample_id", F.lit("_"), F.col("n").cast("string"), F.lit(";sample="), "sample_id", F.lit(";\n"), "seq")
     return number_reads(reads).select(label.alias("value"), *keep)
+
+
+#: Places of the bit table of :func:`repeats`: at most 1,048,576 words are broadcast.
+PLACES = 1 << 26
+
+
+def repeats(rows: DataFrame, *columns: str) -> DataFrame:
+    """(_word, _bits), a bit table of the hashes that more than one row has: for :func:`may_repeat`. Only hashes are shuffled."""
+    twice = rows.select(F.xxhash64(*columns).alias("h")).groupBy("h").agg(F.count("*").alias("n")).where("n > 1")
+    place = twice.select(F.pmod("h", F.lit(PLACES)).alias("p"))
+    return staged(place.groupBy(F.expr("p div 64").alias("_word")).agg(F.expr("bit_or(shiftleft(1L, CAST(p % 64 AS INT)))").alias("_bits")))
+
+
+def may_repeat(rows: DataFrame, table: DataFrame, *columns: str) -> DataFrame:
+    """``rows`` and again: false where a row surely has no equal; true for all others and, as the table is of fixed size, for
+    some that have none."""
+    place = F.pmod(F.xxhash64(*columns), F.lit(PLACES))
+    met = rows.withColumn("_p", place).join(F.broadcast(table), F.expr("_p div 64") == F.col("_word"), "left")
+    return met.select(*rows.columns, F.expr("coalesce(shiftright(_bits, CAST(_p % 64 AS INT)) & 1, 0) = 1").alias("again"))

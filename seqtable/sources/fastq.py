@@ -3,21 +3,26 @@
 ``read_fastq`` reads large files in many tasks: plain files are cut into byte ranges, blocked gzip files (bgzip) into ranges
 of blocks. A range owns the records that begin behind its first byte and up to the first byte of the next range; its
 reader finds the first of them by the phase of the four lines, since a quality line may begin with ``@`` too. Plain gzip
-cannot be cut and stays one task.
+cannot be cut and stays one task. ``write_fastq`` writes blocked gzip, a folder for each value of a column.
 """
 
 from __future__ import annotations
 
 import re
+import uuid
 import zlib
 from collections.abc import Iterable, Iterator
+from dataclasses import dataclass
+from urllib.parse import quote
 
 import pyarrow as pa
+import pyarrow.compute as pc
 import pyarrow.fs as pafs
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql.datasource import DataSource, DataSourceReader, EqualTo, Filter, In, InputPartition, IsNotNull, LessThan, LessThanOrEqual, StringEndsWith, StringStartsWith
+from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, DataSourceReader, EqualTo, Filter, In, InputPartition, IsNotNull, LessThan, LessThanOrEqual, StringEndsWith, StringStartsWith, WriterCommitMessage
 
+from ..functions.sequences import ascii_bytes
 from ..plans.stages import staged
 
 SCHEMA = "file string, read_no bigint, header string, seq string, qual string"
@@ -30,6 +35,8 @@ CHUNK = 1 << 20
 BLOCK_HEAD = b"\x1f\x8b\x08\x04"
 #: Ranges whose first numbers are broadcast; more are joined by a shuffle.
 MAX_BROADCAST_RANGES = 200_000
+#: Letters of a written block, and files that a task holds open.
+BLOCK, OPEN = 0xFF00, 64
 _SEQUENCE = re.compile(rb"[A-Za-z*.\-]*\r?\Z")
 
 
@@ -168,7 +175,9 @@ def records(chunks: Iterable[tuple[bytes, bool]], first: bool, where: str, seen:
 
 
 def _text(lines: list[bytes]) -> pa.Array:
-    raw = pa.array([x.rstrip(b"\r") for x in lines], pa.binary())
+    raw = pa.array(lines, pa.binary())
+    if pc.any(pc.ends_with(raw, b"\r")).as_py():
+        raw = pa.array([x.rstrip(b"\r") for x in lines], pa.binary())
     try:
         return raw.cast(pa.string())
     except pa.ArrowInvalid:
@@ -228,7 +237,7 @@ class FastqReader(DataSourceReader):
     def read(self, partition: _Range) -> Iterator[pa.RecordBatch]:
         if not partition.uri:
             return
-        fs, path = pafs.FileSystem.from_uri(partition.uri)
+        fs, path = pafs.FileSystem.from_uri(quote(partition.uri, safe=":/@"))
         n, owned, seen = 0, 0, {}
         with fs.open_input_stream(path, compression="gzip") if path.endswith(".gz") and not partition.blocked else fs.open_input_file(path) as f:
             chunks = _gzip_chunks(f) if path.endswith(".gz") and not partition.blocked else (_block_chunks if partition.blocked else _plain_chunks)(f, partition.low, partition.high)
@@ -236,13 +245,15 @@ class FastqReader(DataSourceReader):
                 if self.most is not None:
                     lines = lines[: 4 * (self.most - n)]
                 header, seq, _, qual = (lines[k::4] for k in range(4))
-                bad = next((k for k, (h, s, q) in enumerate(zip(header, seq, qual, strict=True)) if not h.startswith(b"@") or len(s.rstrip(b"\r")) != len(q.rstrip(b"\r"))), None)
+                bad = None
+                if list(map(len, seq)) != list(map(len, qual)) or not all([h.startswith(b"@") for h in header]):
+                    bad = next((k for k, (h, s, q) in enumerate(zip(header, seq, qual, strict=True)) if not h.startswith(b"@") or len(s.rstrip(b"\r")) != len(q.rstrip(b"\r"))), None)
                 if bad is not None:
                     raise ValueError(f"no FASTQ record at read {n + bad + 1} of {partition.uri}" + f" from byte {partition.low}" * bool(partition.low))
                 owned += sum(map(len, lines)) + len(lines)
                 if not self.count_only:
                     size = len(header)
-                    columns = {"file": pa.array([partition.uri] * size), **({"part": pa.array([partition.low] * size, pa.int64()), "no": pa.array(range(n + 1, n + size + 1), pa.int64())} if self.split else {"read_no": pa.array(range(n + 1, n + size + 1), pa.int64())}), "header": _text([h[1:] for h in header]), "seq": _text(seq), "qual": _text(qual)}
+                    columns = {"file": pa.repeat(pa.scalar(partition.uri), size), **({"part": pa.repeat(pa.scalar(partition.low, pa.int64()), size), "no": pa.array(range(n + 1, n + size + 1), pa.int64())} if self.split else {"read_no": pa.array(range(n + 1, n + size + 1), pa.int64())}), "header": _text([h[1:] for h in header]), "seq": _text(seq), "qual": _text(qual)}
                     yield pa.RecordBatch.from_pydict(columns)
                 n += len(header)
                 if n == self.most:
@@ -251,6 +262,84 @@ class FastqReader(DataSourceReader):
             yield pa.RecordBatch.from_pydict({"file": pa.array([partition.uri]), "part": pa.array([partition.low], pa.int64()), **{k: pa.array([v], pa.int64()) for k, v in (("n", n), ("owned", owned), ("inside", seen["inside"]), ("blank", seen["blank"]))}})
 
 
+def bgzip_block(text: bytes) -> bytes:
+    """A block of a blocked gzip file; that of no letters ends a file."""
+    pack = zlib.compressobj(3, zlib.DEFLATED, -15)
+    body = pack.compress(text) + pack.flush()
+    head = BLOCK_HEAD + b"\0\0\0\0\0\xff\x06\0BC\x02\0" + (len(body) + 25).to_bytes(2, "little")
+    return head + body + zlib.crc32(text).to_bytes(4, "little") + len(text).to_bytes(4, "little")
+
+
+@dataclass
+class _Written(WriterCommitMessage):
+    files: list[str]
+
+
+class FastqWriter(DataSourceArrowWriter):
+    """Writes (folder, text) rows, whole records, as blocked gzip files of these folders, and names them at the end.
+
+    A task holds the blocks of at most OPEN folders; the one that it has not written to for longest is closed first, and has
+    another file if it comes again.
+    """
+
+    def __init__(self, path: str) -> None:
+        self.path = path
+
+    def _fs(self) -> tuple[pafs.FileSystem, str]:
+        fs, path = pafs.FileSystem.from_uri(self.path) if "://" in self.path or self.path.startswith("file:") else (pafs.LocalFileSystem(), self.path)
+        return fs, path.rstrip("/")
+
+    def write(self, iterator: Iterator[pa.RecordBatch]) -> _Written:
+        fs, path = self._fs()
+        files: list[str] = []
+        open_: dict[str, tuple[pa.NativeFile, bytearray]] = {}
+
+        def close(folder: str) -> None:
+            out, held = open_.pop(folder)
+            with out:
+                out.write((bgzip_block(bytes(held)) if held else b"") + bgzip_block(b""))
+
+        try:
+            for b in iterator:
+                folders, texts = b.column(0), b.column(1)
+                for folder in folders.unique().to_pylist():
+                    if folder in open_:
+                        open_[folder] = open_.pop(folder)
+                    else:
+                        if len(open_) == OPEN:
+                            close(next(iter(open_)))
+                        fs.create_dir(f"{path}/{folder}")
+                        files.append(f"{path}/{folder}/part-{uuid.uuid4().hex}.fastq.gz")
+                        open_[folder] = fs.open_output_stream(files[-1] + ".tmp", compression=None), bytearray()
+                    out, held = open_[folder]
+                    held += ascii_bytes(texts.filter(pc.equal(folders, folder)))[0].tobytes()
+                    whole = len(held) // BLOCK * BLOCK
+                    for low in range(0, whole, BLOCK):
+                        out.write(bgzip_block(bytes(held[low : low + BLOCK])))
+                    del held[:whole]
+            for folder in list(open_):
+                close(folder)
+        except BaseException:
+            for out, _ in open_.values():
+                out.close()
+            for f in files:
+                if fs.get_file_info(f + ".tmp").is_file:
+                    fs.delete_file(f + ".tmp")
+            raise
+        return _Written(files)
+
+    def commit(self, messages: list[_Written | None]) -> None:
+        fs, path = self._fs()
+        fs.create_dir(path)
+        for f in [f for m in messages if m for f in m.files]:
+            fs.move(f + ".tmp", f)
+
+    def abort(self, messages: list[_Written | None]) -> None:
+        fs, _ = self._fs()
+        for f in [f for m in messages if m for f in m.files]:
+            fs.delete_file(f + ".tmp")
+
+
 class FastqSource(DataSource):
     @classmethod
     def name(cls) -> str:
@@ -262,6 +351,9 @@ class FastqSource(DataSource):
     def reader(self, schema) -> FastqReader:
         return FastqReader(self.options)
 
+    def writer(self, schema, overwrite: bool) -> FastqWriter:
+        return FastqWriter(self.options["path"])
+
 
 def register(spark: SparkSession) -> None:
     """Make the format known, with its filters pushed down."""
@@ -269,6 +361,14 @@ def register(spark: SparkSession) -> None:
     spark.dataSource.register(FastqSource)
 
 
+def write_fastq(reads: DataFrame, path: str, by: str) -> None:
+    """(header, seq, qual) rows as blocked gzip files below a folder ``by``=value of ``path`` for each value, some of each task."""
+    register(reads.sparkSession)
+    lines = F.concat(F.lit("@"), *[x for c, end in (("header", "\n"), ("seq", "\n+\n"), ("qual", "\n")) for x in (F.coalesce(F.col(c), F.lit("")), F.lit(end))])
+    folder = F.concat(F.lit(f"{by}="), F.coalesce(F.url_encode(F.col(by).cast("string")), F.lit("__HIVE_DEFAULT_PARTITION__")))
+    reads.select(folder.alias("folder"), lines.alias("text")).write.format("fastq").mode("append").save(path)
+
+
 def read_fastq(spark: SparkSession, path: str, bytes_per_partition: int = 64 << 20, endings: tuple[str, ...] = ENDINGS) -> DataFrame:
     """(file, read_no, header, seq, qual) of all files below ``path``, large ones read in many tasks.
 

@@ -1,11 +1,17 @@
+import gzip
 import random
+from collections import Counter
+from pathlib import Path
 
 import pyarrow as pa
+import pytest
 from pyspark.sql import functions as F
 
 from seqtable import queries as q
 from seqtable.operators import longreads
+from seqtable.operators import reads as rd
 from seqtable.plans import fixtures
+from seqtable.sources import fastq
 
 
 def edited(r, s, share):
@@ -94,3 +100,66 @@ def test_every_long_read_has_its_template(spark, data):
     want = fixtures.reads(spark, data).groupBy(F.concat(F.lit("t"), "tpl").alias("feature_id"), "sample_id").agg(F.count("*").alias("n"))
     got = q.map_long_reads(spark, data)
     assert got.columns == want.columns and sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
+
+
+def test_written_fastq_is_blocked_and_read_back(spark, tmp_path, monkeypatch):
+    r = random.Random(11)
+    rows = [(f"r{i}", "".join(r.choices("ACGT", k=n)), "I" * n, r.choice(["S1", "S 2/x", None])) for i, n in enumerate(r.choices([0, 5, 120], k=3000))]
+    df = spark.createDataFrame(rows, "header string, seq string, qual string, sample string").repartition(3)
+    for open_ in (64, 1):
+        monkeypatch.setattr(fastq, "OPEN", open_)
+        path = tmp_path / str(open_)
+        fastq.write_fastq(df, str(path), "sample")
+        files = [f for f in path.rglob("*") if f.is_file()]
+        assert {f.parent.name for f in files} == {"sample=S1", "sample=S+2%2Fx", "sample=__HIVE_DEFAULT_PARTITION__"} and all(f.name.endswith(".fastq.gz") for f in files)
+        for f in files:
+            assert fastq._block_size(f.read_bytes()[:18]) and f.read_bytes().endswith(fastq.bgzip_block(b""))
+        text = b"".join(gzip.decompress(f.read_bytes()) for f in files).decode()
+        assert sorted(text.split("@")[1:]) == sorted(f"{h}\n{s}\n+\n{x}\n" for h, s, x, _ in rows)
+        got = fastq.read_fastq(spark, str(path), 2000).collect()
+        assert Counter((x["header"], x["seq"], x["qual"]) for x in got) == Counter(x[:3] for x in rows)
+        assert all(sorted(x["read_no"] for x in got if x["file"] == f) == list(range(1, n + 1)) for f, n in Counter(x["file"] for x in got).items())
+    fastq.write_fastq(df.limit(0), str(tmp_path / "none"), "sample")
+    assert fastq.read_fastq(spark, str(tmp_path / "none")).count() == 0
+
+
+def test_a_failed_write_names_no_file(spark, tmp_path):
+    df = spark.range(0, 200, 1, 2).select(F.lit("h").alias("header"), F.lit("A").alias("seq"), F.when(F.col("id") == 199, F.raise_error(F.lit("stop"))).otherwise(F.lit("I")).alias("qual"), F.lit("s").alias("sample"))
+    with pytest.raises(Exception, match="stop"):
+        fastq.write_fastq(df, str(tmp_path / "x"), "sample")
+    assert not [f for f in (tmp_path / "x").rglob("*.gz")]
+
+
+def test_what_may_repeat_holds_all_that_does(spark, monkeypatch):
+    r = random.Random(12)
+    rows = [(f"h{r.randrange(4000)}", r.choice("AC")) for _ in range(3000)]
+    df = spark.createDataFrame(rows, "a string, b string")
+    n = Counter(rows)
+    for places, most in ((rd.PLACES, 0), (1 << 6, 3000)):  # a full table only asks for more
+        monkeypatch.setattr(rd, "PLACES", places)
+        out = rd.may_repeat(df, rd.repeats(df, "a", "b"), "a", "b")
+        assert out.columns == ["a", "b", "again"]
+        got = [(tuple(x[:2]), x["again"]) for x in out.collect()]
+        assert Counter(x for x, _ in got) == n and all(again for x, again in got if n[x] > 1)
+        assert sum(again and n[x] == 1 for x, again in got) <= most
+
+
+def test_fastq_scan_takes_less_room_than_its_letters(spark, data, monkeypatch):
+    made, folder = [], q.stage_folder
+    monkeypatch.setattr(q, "stage_folder", lambda s: made.append(folder(s)) or made[-1])
+    monkeypatch.setattr(q, "staged", lambda df, write=q.staged: (made.append((out := write(df)).staged_to), out)[1])
+    out = q.fastq_scan(spark, data)
+    room = sum(f.stat().st_size for p in made for f in Path(p.removeprefix("file:")).rglob("*") if f.is_file())
+    letters = out.agg(F.sum(F.col("n") * (F.length("header") + F.length("seq") + F.length("qual") + 6))).first()[0]
+    assert len(made) == 2 and 0 < room < letters / 2
+    # whole reads are shuffled from the written table of those that may repeat, not from the files
+    tree = out._jdf.queryExecution().optimizedPlan().toString()
+    below = [t.split("Join")[0] for t in tree.split("Aggregate [")[1:] if " AS header#" in t.split("\n")[0]]
+    assert below and not any("fastq" in t for t in below), tree
+
+
+@pytest.mark.parametrize("number", ["read_no + 1", "CASE WHEN read_no = 2 THEN 1 ELSE read_no END", "CASE WHEN read_no = 2 THEN 0 ELSE read_no END"])
+def test_wrong_numbers_are_seen(spark, data, monkeypatch, number):
+    read = fastq.read_fastq
+    monkeypatch.setattr(fastq, "read_fastq", lambda *a, **k: read(*a, **k).withColumn("read_no", F.expr(number)))
+    assert q.fastq_scan(spark, data).first()["misnumbered"] > 0
